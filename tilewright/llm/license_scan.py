@@ -7,62 +7,66 @@ better priority are suppressed. One projection, no join and no shuffle, whatever
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 from .license_rules import Rule, rules
 
+HITS = "array<struct<start:int,minus_end:int,priority:int,place:int,label:string,weight:double>>"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases of whole words and their labels, with the weight that one gives a text.
 PHRASES = {"cc by": ("cc-by", 0.8), "general public license": ("gpl", 0.8), "all rights reserved": ("reserved", 0.5)}
 
 
-def present(text: Column, keywords: list[str]) -> Column:
-    return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(k)), F.lit(k)) for k in keywords]))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value worked out once a row however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def spans(text: Column, rule: Column) -> Column:
     """Every match of the rule: what lies between matches gives their places."""
-    found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-    between = F.split(text, rule["pattern"], -1)
-
-    def step(acc, i):
-        start = acc["at"] + F.length(F.get(between, i))
-        end = start + F.length(F.get(found, i))
-        hit = F.struct(
-            start.alias("start"),
-            (-end).alias("minus_end"),
-            rule["priority"].alias("priority"),
-            rule["place"].alias("place"),
-            rule["label"].alias("label"),
-            rule["weight"].alias("weight"),
-        )
-        return F.struct(end.alias("at"), F.concat(acc["hits"], F.array(hit)).alias("hits"))
 
-    kind = "array<struct<start:int,minus_end:int,priority:int,place:int,label:string,weight:double>>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("hits"))
+    def walk(found, between):
+        def step(acc, i):
+            start = acc["at"] + F.length(F.get(between, i))
+            hit = lambda end: F.struct(
+                start.alias("start"),
+                (-end).alias("minus_end"),
+                rule["priority"].alias("priority"),
+                rule["place"].alias("place"),
+                rule["label"].alias("label"),
+                rule["weight"].alias("weight"),
+            )
+            return let(start + F.length(F.get(found, i)), lambda end: F.struct(end.alias("at"), F.concat(acc["hits"], F.array(hit(end))).alias("hits")))
+
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast(HITS).alias("hits"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), empty, step, lambda acc: acc["hits"])
+
     return F.when(
-        F.size(found) > 0,
-        F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), empty, step, lambda acc: acc["hits"]),
-    ).otherwise(F.array().cast(kind))
+        F.rlike(text, rule["pattern"]),
+        let(
+            F.struct(F.regexp_extract_all(text, rule["pattern"], F.lit(0)).alias("found"), F.split(text, rule["pattern"], -1).alias("between")),
+            lambda m: walk(m["found"], m["between"]),
+        ),
+    ).otherwise(F.array().cast(HITS))
 
 
 def unsuppressed(hits: Column, priorities: int) -> Column:
     """Of hits in order of start, longest first: those outside every earlier one of the same or a better priority."""
 
     def step(acc, hit):
-        inside = F.exists(F.slice(acc["ends"], 1, hit["priority"]), lambda end: end >= -hit["minus_end"])
+        outside = ~F.exists(F.slice(acc["ends"], 1, hit["priority"]), lambda end: end >= -hit["minus_end"])
         grown = F.transform(
             acc["ends"],
             lambda end, i: F.when(i == hit["priority"] - 1, F.greatest(end, -hit["minus_end"])).otherwise(end),
         )
-        return F.struct(
-            F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(hit))).alias("kept"),
-            F.when(inside, acc["ends"]).otherwise(grown).alias("ends"),
-        )
+        return F.when(outside, F.struct(F.concat(acc["kept"], F.array(hit)).alias("kept"), grown.alias("ends"))).otherwise(acc)
 
-    start = F.struct(F.slice(hits, 1, 0).alias("kept"), F.array_repeat(F.lit(-1), priorities).alias("ends"))
+    start = F.struct(F.array().cast(HITS).alias("kept"), F.array_repeat(F.lit(-1), priorities).alias("ends"))
     return F.aggregate(hits, start, step, lambda acc: acc["kept"])
 
 
@@ -89,21 +93,10 @@ def license_scan(documents: DataFrame, signatures: list[Rule] | None = None) ->
     signatures = rules() if signatures is None else signatures
     priorities = max(r.priority for r in signatures)
     keywords = sorted({w for r in signatures for w in r.keyword.split(" ")})
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.weight).alias("weight"),
-                F.lit(i).alias("place"),
-                F.lit(r.pattern).alias("pattern"),
-                F.array(*map(F.lit, r.keyword.split(" "))).alias("keywords"),
-            )
-            for i, r in enumerate(signatures)
-        ]
-    )
+    table = [r._asdict() | {"place": i, "keywords": r.keyword.split(" ")} for i, r in enumerate(signatures)]
+    kind = "array<struct<label:string,priority:int,weight:double,place:int,pattern:string,keywords:array<string>>>"
+    table = F.from_json(F.lit(json.dumps(table)), kind)
     rows = common.texts(documents).select("doc_id", common.lower_az(F.col("text")).alias("text"))
-    rows = rows.select("doc_id", "text", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), present(F.col("text"), keywords).alias("present"))
 
     text, has = F.col("text"), lambda w: F.contains(F.col("text"), F.lit(w))
     gate = F.lit(False)
@@ -113,11 +106,15 @@ def license_scan(documents: DataFrame, signatures: list[Rule] | None = None) ->
             both = both & has(word)
         gate = gate | both
     words = F.when(gate, F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    tried = F.filter(table, lambda r: F.forall(r["keywords"], lambda w: F.array_contains(F.col("present"), w)))
-    rows = rows.select("doc_id", "n_words", words.alias("words"), F.flatten(F.transform(tried, lambda r: spans(text, r))).alias("hits"))
+    present = F.filter(F.from_json(F.lit(json.dumps(keywords)), "array<string>"), lambda k: F.contains(text, k))
+    tried = let(present, lambda p: F.filter(table, lambda r: F.forall(r["keywords"], lambda w: F.array_contains(p, w))))
+    hits = F.flatten(F.transform(tried, lambda r: spans(text, r)))
+    rows = rows.select("doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), words.alias("words"), hits.alias("hits"))
 
     by_phrase = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(weight).alias("weight"), places(F.col("words"), p).alias("at")) for p, (label, weight) in PHRASES.items()])
-    rows = rows.select("doc_id", "n_words", F.filter(by_phrase, lambda b: F.size(b["at"]) > 0).alias("base"), unsuppressed(F.array_sort("hits"), priorities).alias("hits"))
+    base = F.when(F.size("words") > 0, F.filter(by_phrase, lambda b: F.size(b["at"]) > 0)).otherwise(F.slice(by_phrase, 1, 0))
+    kept = F.when(F.size("hits") > 0, unsuppressed(F.array_sort("hits"), priorities)).otherwise(F.col("hits"))
+    rows = rows.select("doc_id", "n_words", base.alias("base"), kept.alias("hits"))
     at = F.flatten(F.transform("base", lambda b: b["at"]))
     base_labels = F.transform("base", lambda b: b["label"])
     weights = F.concat(F.transform("base", lambda b: b["weight"]), F.transform("hits", lambda h: h["weight"]))
