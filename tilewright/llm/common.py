@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def discard(frame: DataFrame) -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about most bytes of text, a longer text alone in its own."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             if held and held + size > most:
