@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
+import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 
 NONE = np.int64(1) << 40
 #: Longer sequences merge one by one on a heap: in step with short ones they would be quadratic.
@@ -138,3 +140,25 @@ def byte_alphabet() -> dict[str, int]:
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def latin(pattern: str) -> re.Pattern | None:
+    """The same split for Latin-1 texts, without Unicode classes: the plain re module is faster."""
+    letters, digits, spaces = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+    inside = lambda m: m[0].replace(r"\p{L}", letters).replace(r"\p{N}", digits).replace(r"\s", spaces)
+    plain = regex.sub(r"\[[^\]]*\]", inside, pattern)
+    for name, chars in ((r"\p{L}", f"[{letters}]"), (r"\p{N}", f"[{digits}]"), (r"\s", f"[{spaces}]"), (r"\S", f"[^{spaces}]")):
+        plain = plain.replace(name, chars)
+    return None if r"\p" in plain else re.compile(plain)
+
+
+#: Characters outside ranges whose Unicode classes have long been settled: there the regex module and the tokenizers
+#: library may know different versions, so such texts are split into words by the library's own rules.
+UNSETTLED = re.compile("[^\x00-\u04ff\u1e00-\u1eff\u2000-\u206f\u20ac]")
+
+
+def split_by_library(tokenizer, text: str) -> list[str]:
+    """Words by the normalizer and pre-tokenizer of a tokenizers.Tokenizer."""
+    if tokenizer.normalizer is not None:
+        text = tokenizer.normalizer.normalize_str(text)
+    return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,20 +22,12 @@ from . import bpe, common
 CACHE = 250_000
 
 
-def latin(pattern: str) -> re.Pattern | None:
-    """The same split for Latin-1 texts, without Unicode classes: the plain re module is faster."""
-    letters, digits, spaces = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
-    inside = lambda m: m[0].replace(r"\p{L}", letters).replace(r"\p{N}", digits).replace(r"\s", spaces)
-    plain = regex.sub(r"\[[^\]]*\]", inside, pattern)
-    for name, chars in ((r"\p{L}", f"[{letters}]"), (r"\p{N}", f"[{digits}]"), (r"\s", f"[{spaces}]"), (r"\S", f"[^{spaces}]")):
-        plain = plain.replace(name, chars)
-    return None if r"\p" in plain else re.compile(plain)
-
-
 class ByteCodec:
     """One byte-level vocabulary. Symbols are token ids throughout."""
 
     def __init__(self, vocabulary_file: str, pattern: str):
+        from tokenizers import Tokenizer
+
         with open(vocabulary_file, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
@@ -58,8 +49,9 @@ class ByteCodec:
         for c, b in alphabet.items():
             self.byte_id[b] = vocab[c]
         self._trie([*vocab.values()])
-        self.split, self.split_latin = regex.compile(pattern), latin(pattern)
+        self.split, self.split_latin = regex.compile(pattern), bpe.latin(pattern)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.tokenizer = Tokenizer.from_file(vocabulary_file)
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}
         self.size_of = np.array([*map(len, self.bytes_of)])
@@ -179,6 +171,8 @@ class ByteCodec:
                 return self.split_latin.findall(text)
             except UnicodeEncodeError:
                 pass
+        if bpe.UNSETTLED.search(text):
+            return bpe.split_by_library(self.tokenizer, text)
         return self.split.findall(text)
 
     def parts(self, text: str) -> list[str]:

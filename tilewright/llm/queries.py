@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, exact_dedup, license_scan, token_counts
+from . import bpe_codec, exact_dedup, license_scan, packing, token_counts
 
 QUERIES = {
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op5_license_scan": license_scan.op5_license_scan,
     "op8_bpe_round_trip": bpe_codec.op8_bpe_round_trip,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
