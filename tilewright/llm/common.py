@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,3 +74,61 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             held += size
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def by_key(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:
+    """The rows of each key as one table, from batches sorted by key (repartition and sortWithinPartitions before).
+
+    Unlike a grouped map it starts no new call to Python for every small group.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        if not len(keys):
+            continue
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and held[-1].column(key)[0].as_py() != keys[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of n nodes the smallest node that the edges a-b reach from it."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component: the smallest node of each connected component, for every node that has an edge.
+
+    edges: long columns a and b, a never equal to b. Each round every node moves to its smallest neighbour and the
+    graph is drawn again over the targets, without doubles; the few rounds that this takes are then put together.
+    """
+    edges = save(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    moves = []
+    while True:
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        moves.append(save(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))))
+        at = lambda end: moves[-1].select(F.col("node").alias(end), F.col("to").alias(f"to_{end}"))
+        moved = edges.join(at("a"), "a").join(at("b"), "b").filter("to_a != to_b")
+        following = save(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct())
+        discard(edges)
+        edges = following
+        if edges.isEmpty():
+            break
+    out = moves[-1].withColumnRenamed("to", "component")
+    for move in reversed(moves[:-1]):
+        ends = out.select(F.col("node").alias("to"), "component")
+        out = move.join(ends, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
+    return save(out)
