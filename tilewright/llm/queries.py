@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, exact_dedup, license_scan, ngram_join, packing, quality, token_counts
+from . import bpe_codec, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, token_counts
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op5_license_scan": license_scan.op5_license_scan,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_bpe_round_trip": bpe_codec.op8_bpe_round_trip,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
