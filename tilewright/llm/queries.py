@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, token_counts
+from . import bpe_codec, embedding_dedup, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, token_counts
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_embedding_near_dedup": embedding_dedup.op2_embedding_near_dedup,
     "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op5_license_scan": license_scan.op5_license_scan,
@@ -15,4 +16,4 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
-ORACLE_SQL = {"op9_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL = {"op2_embedding_near_dedup": embedding_dedup.SQL, "op9_exact_dedup": exact_dedup.SQL}
