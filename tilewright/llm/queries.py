@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, embedding_dedup, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, token_counts
+from . import bpe_codec, embedding_dedup, exact_dedup, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality, token_counts
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_embedding_near_dedup": embedding_dedup.op2_embedding_near_dedup,
+    "op3_lm_scoring": lm_scoring.op3_lm_scoring,
     "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op5_license_scan": license_scan.op5_license_scan,
