@@ -25,7 +25,7 @@ def assign(places: DataFrame, most: int = 1000, low: int = 6, high: int = 17) ->
     """
     if most < 1 or not 1 <= low <= high <= qk.ZOOM:
         raise ValueError(f"no tiles with most={most}, low={low}, high={high}")
-    rows = places.filter(qk.is_full(F.col("qk17"))).withColumn("cell", F.substring("qk17", 1, high))
+    rows = places.filter(qk.is_full(F.col("qk17"))).select("place_id", "qk17", F.substring("qk17", 1, high).alias("cell"))
     counts = cell_counts(places, low, high).filter(F.col("cnt") <= most)
     cells = rows.select("cell").distinct().select("cell", F.explode(qk.prefixes(F.col("cell"), low, high)).alias("p"))
     best = cells.select("cell", F.col("p.level").alias("level"), F.col("p.qk").alias("qk")).join(counts, ["level", "qk"]).groupBy("cell").agg(F.min("level").alias("level"))
