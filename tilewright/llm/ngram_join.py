@@ -53,10 +53,23 @@ def shingles(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
+def by_row(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Order by row, then by value (64 bits). One sort of both in one number, where that settles it."""
+    if len(row) and row[-1] < 1 << 24:
+        key = row.astype(np.uint64) << np.uint64(40) | value >> np.uint64(24)
+        order = np.argsort(key)
+        key, value = key[order], value[order]
+        tied = key[1:] == key[:-1]
+        if not (tied & (value[1:] != value[:-1])).any():
+            return order
+        return order[np.lexsort((value, key))]
+    return np.lexsort((value, row))
+
+
 def unique_sets(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's hashes sorted and without doubles."""
     row = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((hashes, row))
+    order = by_row(row, hashes)
     hashes, row = hashes[order], row[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
@@ -213,3 +226,22 @@ def keep_classes(documents: DataFrame, n: int = 5, threshold: float = 0.8) -> Da
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(common.read_table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+    FROM d
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach AS r JOIN pairs AS p ON r.b = p.a
+), least AS (SELECT a, min(b) AS m FROM reach GROUP BY a), degree AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(m, doc_id)) AS class_id, coalesce(n, 0) AS n_links, doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM documents LEFT JOIN least ON least.a = doc_id LEFT JOIN degree ON degree.a = doc_id
+"""
