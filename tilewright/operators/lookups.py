@@ -16,7 +16,8 @@ def density(points: DataFrame, lon: Column, lat: Column, zoom: int = 15) -> Data
     """
     key = F.substring(qk.quadkey(lon, lat), 1, zoom)
     counted = points.groupBy(key.alias("tile_qk15")).agg(F.log(1 + F.count("*")).alias("density_score"))
-    box = counted.withColumn("box", F.when(F.col("tile_qk15").isNotNull(), qk.envelope(F.col("tile_qk15"))))
+    # exploding one box works it out once; a plain column would be repeated in every expression over its sides
+    box = counted.select("*", F.explode(F.array(F.when(F.col("tile_qk15").isNotNull(), qk.envelope(F.col("tile_qk15"))))).alias("box"))
     return box.select("tile_qk15", "density_score", *[F.col(f"box.{c}").alias(f"tile_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
