@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import string
 import tempfile
 import uuid
@@ -55,6 +56,18 @@ def save(frame: DataFrame) -> DataFrame:
     return back
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for what runs meanwhile: for tables whose rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(frame: DataFrame) -> None:
     """Deletes a table made by save() that no later plan reads."""
     spark = frame.sparkSession

@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, hashing
-from .ngram_join import shared_counts, unique_sets
+from .ngram_join import by_row, shared_counts, unique_sets
 
 #: Word frequencies are counted in so many cells. They only set the order of words, so cells may be shared.
 CELLS = 1 << 17
@@ -24,6 +25,10 @@ CELLS = 1 << 17
 FILTER_BITS = 1 << 24
 #: Lines compared at a time: a word or a cluster with more of them is dealt out as pairs of blocks.
 BLOCK = 1024
+#: Lines of a cluster that are verified in one task; of a larger cluster, two such blocks at a time.
+VERIFIED = 512
+#: Pairs held until they are folded into what they connect.
+PENDING = 1 << 19
 LAST = (1 << 63) - 1
 
 
@@ -54,7 +59,7 @@ class Lines:
 
 
 def each(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Lines]:
-    for batch in common.slices(batches, most=1 << 20):
+    for batch in common.slices(batches, most=1 << 19):
         yield Lines(batch, least)
 
 
@@ -82,47 +87,85 @@ def occurrences(least: int):
     return run
 
 
-def prefixes(frequency, threshold: float, least: int, filter_=None):
-    """mapInArrow function: the rare first words of each distinct line of a batch: token, id, size, pos, parity bits.
+def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
+    """mapInArrow function: the rare first words of each distinct line of a batch, packed by key.
 
-    filter_: bits of the tokens that more than one line has.
+    A key is a range of tokens (their high bits). A token of hot (sorted tokens and their numbers of blocks) has keys
+    of its own instead, one for each pair of its blocks, and a line goes to those that hold its block.
     """
 
     def run(batches):
-        often = frequency.value
-        bits = None if filter_ is None else filter_.value
+        often, (crowded, wide) = frequency.value, hot.value if hot else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        # Rarity in eighths of a doubling: enough for an order, and it leaves room for the word itself in a sort key.
+        rarity = np.floor(8 * np.log2(np.maximum(often, 1))).astype(np.uint64)
         for lines in each(batches, least):
             ids, _ = lines.marks()
             ids, first = np.unique(ids, return_index=True)
             rows = lines.rows[first]
+            if not len(rows):
+                continue
             sizes = lines.sizes[rows]
             take = np.repeat(lines.starts[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
             words, row = lines.words[take], np.repeat(np.arange(len(rows)), sizes)
-            order = np.lexsort((words, often[(words % np.uint64(CELLS)).astype(np.int64)], row))
-            words = words[order]
+            place = rarity[(words % np.uint64(CELLS)).astype(np.int64)] << np.uint64(55) | words >> np.uint64(9)
+            words = words[by_row(row, place)]
             pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             bit = hashing.mix(words + np.uint64(1)) >> np.uint64(57)
             parity = []
             for half in (0, 1):
                 own = np.where(bit >> np.uint64(6) == half, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-                parity.append(np.bitwise_xor.reduceat(own, np.cumsum(sizes) - sizes) if len(sizes) else own)
+                parity.append(np.bitwise_xor.reduceat(own, np.cumsum(sizes) - sizes))
             head = pos < (sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1)[row]
-            if bits is not None:
-                cell = (words % np.uint64(FILTER_BITS)).astype(np.int64)
-                head &= (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
-            row = row[head]
-            columns = [words[head].view(np.int64), ids[row], sizes[row].astype(np.int32), pos[head].astype(np.int32), *(p.view(np.int64)[row] for p in parity)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["token", "id", "size", "pos", "p1", "p2"])
+            words, row, pos = words[head], row[head], pos[head]
+            key, at = (words >> np.uint64(64 - bits)).astype(np.int64), np.arange(len(words))
+            if len(crowded):
+                found = np.minimum(np.searchsorted(crowded, words), len(crowded) - 1)
+                own = np.flatnonzero(crowded[found] == words)
+                blocks = wide[found[own]]
+                block = (hashing.mix(ids[row[own]].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+                again = np.repeat(np.arange(len(own)), blocks)
+                other = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                pair = np.minimum(block[again], other).astype(np.uint64) << np.uint64(32) | np.maximum(block[again], other).astype(np.uint64)
+                special = (hashing.mix(words[own][again] ^ hashing.mix(pair)) >> np.uint64(1)).astype(np.int64) | 1 << 62
+                rest = np.setdiff1d(at, own, assume_unique=True)
+                key, at = np.concatenate((key[rest], special)), np.concatenate((rest, own[again]))
+            order = np.argsort(key, kind="stable")
+            key, at = key[order], at[order]
+            cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
+            fields = (words[at], ids[row[at]], *(p[row[at]] for p in parity), sizes[row[at]].astype(np.uint32), pos[at].astype(np.uint32))
+            bodies = [b"".join(f[a:b].tobytes() for f in fields) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]]), pa.array(bodies, pa.binary())], ["key", "body"])
 
     return run
 
 
-PREFIX = "token long, id long, size int, pos int, p1 long, p2 long"
+PREFIX = "key long, body binary"
+
+
+def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
+    """token, id, two halves of the parity bits, size and pos of all rows."""
+    out = [[] for _ in range(6)]
+    for body in bodies:
+        n = len(body) // 40
+        at = 0
+        for k, kind in enumerate(("<u8", "<i8", "<u8", "<u8", "<u4", "<u4")):
+            out[k].append(np.frombuffer(body, kind, n, at))
+            at += n * int(kind[-1])
+    return [np.concatenate(x) for x in out]
+
+
+def crowded_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: how many rows each token has in a batch."""
+    for batch in batches:
+        bodies = batch.column("body").to_pylist()
+        if bodies:
+            token, n = np.unique(unpacked(bodies)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
 
 
 def bit_filter(keys: DataFrame, name: str) -> np.ndarray:
     """FILTER_BITS bits, one set for each value of the column. Comes to the driver as 64-bit words, a bounded number."""
-    cell = F.expr(f"int(pmod(pmod(`{name}`, {FILTER_BITS}) + if(`{name}` < 0, {(1 << 64) % FILTER_BITS}, 0), {FILTER_BITS}))")
+    cell = F.pmod(F.col(name), F.lit(FILTER_BITS)).cast("int")
     words = keys.select(cell.alias("cell")).groupBy(F.floor(F.col("cell") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cell % 64)")).alias("bits"))
     out = np.zeros(FILTER_BITS // 64, np.int64)
     for r in words.collect():
@@ -138,47 +181,75 @@ def dealt(rows: DataFrame, group: str, blocks) -> DataFrame:
 
 
 def meeting(threshold: float):
-    """mapInArrow function over rows sorted by key: ties lines that pass all filters to the smallest id they reach."""
+    """mapInArrow function over rows sorted by key: ties lines that pass all filters to the smallest id they reach.
+
+    Rows of a token stand in order of size, so every row looks ahead as far as sizes agree, all rows at the same time.
+    """
+    share = threshold / (1 + threshold)
 
     def run(batches):
-        share = threshold / (1 + threshold)
         for table in common.by_key(batches):
-            ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
-            if len(ids) < 2:
-                continue
-            size, pos, p1, p2 = (table.column(c).to_numpy()[first].astype(np.int64) for c in ("size", "pos", "p1", "p2"))
-            p1, p2 = p1.view(np.uint64), p2.view(np.uint64)  # of signed numbers only the absolute value would be counted
-            a, b = [], []
-            for at in range(0, len(ids), 512):
-                x = slice(at, at + 512)
-                total = size[x, None] + size[None]
+            token, ids, p1, p2, size, pos = unpacked(table.column("body").to_pylist())
+            size, pos = size.astype(np.int64), pos.astype(np.int64)
+            order = np.lexsort((ids, size, token))
+            token, ids, p1, p2, size, pos = (x[order] for x in (token, ids, p1, p2, size, pos))
+            known, own = np.unique(ids, return_inverse=True)
+            root, a, b, held = np.arange(len(known)), [], [], 0
+            left, ahead = np.arange(len(token)), 0
+            while len(left):
+                ahead += 1
+                left = left[: np.searchsorted(left, len(token) - ahead)]
+                right = left + ahead
+                near = (token[left] == token[right]) & (size[left] >= threshold * size[right] - 1e-9)
+                left, right = left[near], right[near]
+                total = size[left] + size[right]
                 need = np.ceil(share * total - 1e-9)
-                ok = np.minimum(size[x, None], size[None]) >= threshold * np.maximum(size[x, None], size[None]) - 1e-9
-                ok &= np.minimum(pos[x, None], pos[None]) + 1 + np.minimum((size - pos)[x, None] - 1, (size - pos)[None] - 1) >= need
-                ok &= np.bitwise_count(p1[x, None] ^ p1[None]).astype(np.int64) + np.bitwise_count(p2[x, None] ^ p2[None]) <= total - 2 * need
-                i, j = np.nonzero(ok)
-                a.append(i + at)
-                b.append(j)
-            root = common.roots(len(ids), np.concatenate(a), np.concatenate(b))
-            moved = np.flatnonzero(root != np.arange(len(ids)))
+                ok = np.bitwise_count(p1[left] ^ p1[right]).astype(np.int64) + np.bitwise_count(p2[left] ^ p2[right]) <= total - 2 * need
+                ok &= np.minimum(pos[left], pos[right]) + np.minimum(size[left] - pos[left], size[right] - pos[right]) >= need
+                i, j = own[left[ok]], own[right[ok]]
+                apart = root[i] != root[j]  # the others are tied already
+                a.append(i[apart])
+                b.append(j[apart])
+                held += len(a[-1])
+                if held > PENDING:
+                    root, a, b, held = fold(root, a, b), [], [], 0
+            root = fold(root, a, b)
+            moved = np.flatnonzero(root != np.arange(len(known)))
             if len(moved):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(known[moved]), pa.array(known[root[moved]])], ["a", "b"])
 
     return run
 
 
+def fold(root: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Roots after more edges."""
+    return common.roots(len(root), np.concatenate([np.arange(len(root)), *a]), np.concatenate([root, *b]))
+
+
+def place_mark(ids: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """One number for a line at its place."""
+    return hashing.mix(ids.view(np.uint64) ^ hashing.mix(doc.view(np.uint64) ^ hashing.mix(line.astype(np.uint64)))).view(np.int64)
+
+
+def place_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: adds place_mark to rows with id, doc and line."""
+    for batch in batches:
+        ids, doc, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "doc", "line"))
+        yield pa.RecordBatch.from_arrays([pa.array(place_mark(ids, doc, line))], ["mark"])
+
+
 def sets_of(filter_, least: int):
-    """mapInArrow function: id and packed set of the lines that the filter lets pass, once a batch."""
+    """mapInArrow function: id, place and packed set of the lines whose place the filter lets pass."""
 
     def run(batches):
         bits = filter_.value
         for lines in each(batches, least):
-            ids, first = np.unique(lines.marks()[0], return_index=True)
-            cell = (ids.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+            ids, doc, line = lines.marks()[0], lines.doc[lines.rows], lines.line[lines.rows]
+            cell = (place_mark(ids, doc, line).view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
             pick = np.flatnonzero(bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
-            rows = lines.rows[first[pick]]
+            rows = lines.rows[pick]
             packed = [lines.words[s : s + n].tobytes() for s, n in zip(lines.starts[rows].tolist(), lines.sizes[rows].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array(packed, pa.binary())], ["id", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array(doc[pick]), pa.array(line[pick]), pa.array(packed, pa.binary())], ["id", "doc", "line", "words"])
 
     return run
 
@@ -193,11 +264,15 @@ def later(threshold: float):
             doc, line, block = (table.column(c).to_numpy() for c in ("doc", "line", "block"))
             sets = [np.frombuffer(x, np.uint64) for x in table.column("words").to_pylist()]
             both, n = shared_counts(sets), np.array([*map(len, sets)], np.float64)
-            linked = both >= threshold * (n[:, None] + n[None] - both) - 1e-6
-            before = (doc[None] < doc[:, None]) | ((doc[None] == doc[:, None]) & (line[None] < line[:, None]))
-            if (block != block[0]).any():
-                before &= block[:, None] != block[None]
-            gone = (linked & before).any(axis=1)
+            across, gone = (block != block[0]).any(), np.zeros(len(ids), bool)
+            for at in range(0, len(ids), 256):
+                x = slice(at, at + 256)
+                shared = both[x].astype(np.float64)
+                linked = shared >= threshold * (n[x, None] + n[None] - shared) - 1e-6
+                linked &= (doc[None] < doc[x, None]) | ((doc[None] == doc[x, None]) & (line[None] < line[x, None]))
+                if across:
+                    linked &= block[x, None] != block[None]
+                gone[x] = linked.any(axis=1)
             if gone.any():
                 yield pa.RecordBatch.from_arrays([pa.array(ids[gone])], ["id"])
 
@@ -212,23 +287,30 @@ def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3)
     for r in docs.mapInArrow(frequencies(least), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
         frequency[r.cell] = r.n
     frequency = spark.sparkContext.broadcast(frequency)
-
-    tokens = docs.mapInArrow(prefixes(frequency, threshold, least), PREFIX).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    tokens = common.save(tokens)
-    hot = common.save(tokens.filter(F.col("n") > BLOCK).select("token", F.ceil(F.col("n") / F.lit(BLOCK)).cast("long").alias("wide")))
-    shared = spark.sparkContext.broadcast(bit_filter(tokens, "token"))
-    heads = docs.mapInArrow(prefixes(frequency, threshold, least, shared), PREFIX).join(hot, "token", "left")
-    heads = dealt(heads, "token", F.coalesce("wide", F.lit(1).cast("long"))).drop("wide").repartition("key").sortWithinPartitions("key")
-    clusters = common.components(heads.mapInArrow(meeting(threshold), "a long, b long"))
+    # Ranges grow with the input, so that what meets in one stays at some hundred thousand words.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = int(np.clip(np.ceil(np.log2(max(size / (6 << 20), 1))), 4, 22))
+
+    # Crowded words are found on a sixteenth of the documents; that only decides how rows are dealt out.
+    part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(16)) == 0)
+    counts = part.mapInArrow(prefixes(frequency, threshold, least, bits), PREFIX).mapInArrow(crowded_tokens, "token long, n long")
+    counts = counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(100_000)
+    found = sorted((r.token % (1 << 64), -(-r.n // BLOCK)) for r in counts.collect())
+    hot = spark.sparkContext.broadcast((np.array([t for t, _ in found], np.uint64), np.array([n for _, n in found], np.int64)))
+    heads = docs.mapInArrow(prefixes(frequency, threshold, least, bits, hot), PREFIX).repartition("key").sortWithinPartitions("key")
+    with common.small_batches(spark, 500):  # rows of some kilobytes each
+        clusters = common.components(heads.mapInArrow(meeting(threshold), "a long, b long"))
 
     occ = common.save(docs.mapInArrow(occurrences(least), "doc long, line long, id long, mark long"))
     firsts = common.save(occ.groupBy("id", "mark").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK // 2)).cast("long").alias("wide"))
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("wide"))
     placed = clusters.join(sizes, "component").withColumnRenamed("node", "id").join(firsts.select("id", "first.doc", "first.line"), "id")
-    lined = spark.sparkContext.broadcast(bit_filter(clusters, "node"))
-    sets = docs.mapInArrow(sets_of(lined, least), "id long, words binary").join(placed, "id")
+    placed = common.save(placed)
+    lined = spark.sparkContext.broadcast(bit_filter(placed.mapInArrow(place_marks, "mark long"), "mark"))
+    sets = docs.mapInArrow(sets_of(lined, least), "id long, doc long, line long, words binary").join(placed, ["id", "doc", "line"])
     sets = dealt(sets, "component", F.col("wide")).drop("wide").repartition("key").sortWithinPartitions("key")
-    similar = common.save(sets.mapInArrow(later(threshold), "id long").distinct())
+    with common.small_batches(spark, 1000):
+        similar = common.save(sets.mapInArrow(later(threshold), "id long").distinct())
 
     # Of equal lines the first stays, unless it matches another earlier one; only ids with something to remove go on.
     verdict = firsts.join(similar.withColumn("similar", F.lit(True)), "id", "left").filter("n > 1 or similar")
@@ -247,13 +329,24 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
     doc_id, lose the lines that any of them loses. An empty table gives no rows.
     """
     gone = common.save(removed_lines(documents, threshold, least))
-    gone = gone.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("gone_doc"), F.col("lines").alias("line_dedup_removed"))
-    joined = documents.join(gone, documents["doc_id"].eqNullSafe(gone["gone_doc"]), "left").drop("gone_doc")
-    lines = F.split(documents["text"], "\n", -1)
+    named = gone.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("gone_doc"), F.col("lines").alias("line_dedup_removed"))
+    # Documents that lose nothing, as far as a filter of bounded size can tell, need not meet the list of losses.
+    bits = documents.sparkSession.sparkContext.broadcast(bit_filter(gone, "doc"))
+
+    @F.pandas_udf("boolean")
+    def touched(ids: pd.Series) -> pd.Series:
+        cell = (ids.fillna(LAST).astype("int64").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+        return pd.Series((bits.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool))
+
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    some = documents.filter(touched(key))
+    joined = some.join(named, some["doc_id"].eqNullSafe(named["gone_doc"]), "left").drop("gone_doc")
+    joined = joined.union(documents.filter(~touched(key)).withColumn("line_dedup_removed", F.lit(None).cast("array<int>")))
+    lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("line_dedup_removed"), i))
-    text = F.when(F.col("line_dedup_removed").isNull(), documents["text"]).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("line_dedup_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     removed = F.coalesce("line_dedup_removed", F.array().cast("array<int>")).alias("line_dedup_removed")
-    return joined.select(*[text.alias("text") if c == "text" else documents[c] for c in documents.columns], removed)
+    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in documents.columns], removed)
 
 
 def without_repeats(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:

@@ -20,7 +20,7 @@ from . import common, hashing
 #: Documents of a block; two blocks are compared at a time.
 BLOCK = 384
 #: n-gram columns of the matrix products at a time.
-COLUMNS = 4096
+COLUMNS = 2048
 
 
 def choose_bands(threshold: float, recall: float = 0.999, low: float = 0.5, most: float = 0.25) -> tuple[int, int]:
