@@ -51,6 +51,8 @@ def test_awkward_rows(spark, awkward):
 def test_many_variants_over_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 4)
     monkeypatch.setattr(line_dedup, "VERIFIED", 16)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 2)
+    monkeypatch.setattr(line_dedup, "TOGETHER", 8)
     monkeypatch.setattr(line_dedup, "PENDING", 50)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(30)]

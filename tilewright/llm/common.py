@@ -45,29 +45,34 @@ def save(frame: DataFrame) -> DataFrame:
     """Cuts lineage: writes frame as a table in the shared folder and reads it back.
 
     Spark then knows its size, so later joins broadcast it only under
-    spark.sql.autoBroadcastJoinThreshold and shuffle beyond that.
+    spark.sql.autoBroadcastJoinThreshold and shuffle beyond that. Shuffle files go when the table is written.
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/tilewright-{uuid.uuid4().hex}"
     schema = frame.schema
-    frame.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        frame.write.parquet(path)
     back = spark.read.schema(schema).parquet(path)
     back.saved_at = path
     return back
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Arrow batches of at most so many rows for what runs meanwhile: for tables whose rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for what runs meanwhile."""
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for what runs meanwhile: for tables whose rows are large."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def discard(frame: DataFrame) -> None:
     """Deletes a table made by save() that no later plan reads."""
     spark = frame.sparkSession
@@ -89,22 +94,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             yield batch.slice(start)
 
 
-def by_key(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:
+def by_key(batches: Iterator[pa.RecordBatch], key: str = "key", least: int = 1) -> Iterator[pa.Table]:
     """The rows of each key as one table, from batches sorted by key (repartition and sortWithinPartitions before).
 
-    Unlike a grouped map it starts no new call to Python for every small group.
+    Whole keys go together until a table has at least so many rows. Unlike a grouped map it starts no new call to
+    Python for every small group.
     """
     held: list[pa.RecordBatch] = []
+    rows, last = 0, None
     for batch in batches:
         keys = batch.column(key).to_numpy(zero_copy_only=False)
         if not len(keys):
             continue
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and held[-1].column(key)[0].as_py() != keys[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
+        cuts, at = (np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), 0
+        for cut in [0, *cuts] if held and last != keys[0] else cuts:
+            if rows + cut - at >= least:
+                yield pa.Table.from_batches([*held, batch.slice(at, cut - at)])
+                held, rows, at = [], 0, cut
+        held.append(batch.slice(at))
+        rows, last = rows + len(keys) - at, keys[-1]
     if held:
         yield pa.Table.from_batches(held)
 

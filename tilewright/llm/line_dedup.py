@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common, hashing
@@ -25,8 +25,12 @@ CELLS = 1 << 17
 FILTER_BITS = 1 << 24
 #: Lines compared at a time: a word or a cluster with more of them is dealt out as pairs of blocks.
 BLOCK = 1024
-#: Lines of a cluster that are verified in one task; of a larger cluster, two such blocks at a time.
+#: Lines of a cluster that are verified together; a larger cluster goes in blocks of so many.
 VERIFIED = 512
+#: Earliest lines of a larger cluster that every block of it gets to see.
+PIVOTS = 32
+#: Lines of small clusters verified in one go.
+TOGETHER = 64
 #: Pairs held until they are folded into what they connect.
 PENDING = 1 << 19
 LAST = (1 << 63) - 1
@@ -63,34 +67,32 @@ def each(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Lines]:
         yield Lines(batch, least)
 
 
-def frequencies(least: int):
-    """mapInArrow function: in how many lines the words of each cell stand."""
+def first_pass(least: int):
+    """mapInArrow function: place and marks of every line; then, with a cell and no place, in how many lines the words
+    of each cell stand."""
 
     def run(batches):
         total = np.zeros(CELLS, np.int64)
         for lines in each(batches, least):
             total += np.bincount((lines.words % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+            one, two = lines.marks()
+            none = pa.nulls(len(one), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(lines.doc[lines.rows]), pa.array(lines.line[lines.rows]), pa.array(one), pa.array(two), none, none], SEEN)
         cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], ["cell", "n"])
+        none = pa.nulls(len(cell), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(cell), pa.array(total[cell])], SEEN)
 
     return run
 
 
-def occurrences(least: int):
-    """mapInArrow function: place and marks of every line."""
-
-    def run(batches):
-        for lines in each(batches, least):
-            one, two = lines.marks()
-            yield pa.RecordBatch.from_arrays([pa.array(lines.doc[lines.rows]), pa.array(lines.line[lines.rows]), pa.array(one), pa.array(two)], ["doc", "line", "id", "mark"])
-
-    return run
+SEEN = ["doc", "line", "id", "mark", "cell", "n"]
 
 
 def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
     """mapInArrow function: the rare first words of each distinct line of a batch, packed by key.
 
-    A key is a range of tokens (their high bits). A token of hot (sorted tokens and their numbers of blocks) has keys
+    A key is a range of words (their high bits), a token names a word within it (its low bits; words that share one
+    meet and fail the filters). A token of hot (sorted tokens and their numbers of blocks) has keys
     of its own instead, one for each pair of its blocks, and a line goes to those that hold its block.
     """
 
@@ -117,7 +119,8 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
                 parity.append(np.bitwise_xor.reduceat(own, np.cumsum(sizes) - sizes))
             head = pos < (sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1)[row]
             words, row, pos = words[head], row[head], pos[head]
-            key, at = (words >> np.uint64(64 - bits)).astype(np.int64), np.arange(len(words))
+            words = words >> np.uint64(64 - bits) << np.uint64(32) | words & LOW
+            key, at = (words >> np.uint64(32)).astype(np.int64), np.arange(len(words))
             if len(crowded):
                 found = np.minimum(np.searchsorted(crowded, words), len(crowded) - 1)
                 own = np.flatnonzero(crowded[found] == words)
@@ -132,7 +135,9 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
             order = np.argsort(key, kind="stable")
             key, at = key[order], at[order]
             cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
-            fields = (words[at], ids[row[at]], *(p[row[at]] for p in parity), sizes[row[at]].astype(np.uint32), pos[at].astype(np.uint32))
+            # Numbers in halves: the high ones are mostly zero and take no room once compressed.
+            halves = (h for x in (sizes[row[at]], pos[at]) for h in (x & 0xFFFF, x >> 16))
+            fields = ((words[at] & LOW).astype(np.uint32), ids[row[at]], *(p[row[at]] for p in parity), *(h.astype(np.uint16) for h in halves))
             bodies = [b"".join(f[a:b].tobytes() for f in fields) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]]), pa.array(bodies, pa.binary())], ["key", "body"])
 
@@ -140,27 +145,31 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
 
 
 PREFIX = "key long, body binary"
+ROW = 36
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
     """token, id, two halves of the parity bits, size and pos of all rows."""
-    out = [[] for _ in range(6)]
+    kinds = ("<u4", "<i8", "<u8", "<u8", "<u2", "<u2", "<u2", "<u2")
+    out = [[] for _ in kinds]
     for body in bodies:
-        n = len(body) // 40
-        at = 0
-        for k, kind in enumerate(("<u8", "<i8", "<u8", "<u8", "<u4", "<u4")):
-            out[k].append(np.frombuffer(body, kind, n, at))
+        n, at = len(body) // ROW, 0
+        for x, kind in zip(out, kinds):
+            x.append(np.frombuffer(body, kind, n, at))
             at += n * int(kind[-1])
-    return [np.concatenate(x) for x in out]
+    *first, s1, s2, p1, p2 = [np.concatenate(x) for x in out]
+    return [*first, s1 | s2.astype(np.int64) << 16, p1 | p2.astype(np.int64) << 16]
 
 
 def crowded_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow function: how many rows each token has in a batch."""
+    """mapInArrow function: how many rows each token has in a batch, its key in the high bits."""
     for batch in batches:
         bodies = batch.column("body").to_pylist()
         if bodies:
-            token, n = np.unique(unpacked(bodies)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+            key = np.repeat(batch.column("key").to_numpy(zero_copy_only=False), [len(x) // ROW for x in bodies])
+            token, n = np.unique(key << 32 | unpacked(bodies)[0].astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
 
 
 def bit_filter(keys: DataFrame, name: str) -> np.ndarray:
@@ -173,13 +182,6 @@ def bit_filter(keys: DataFrame, name: str) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def dealt(rows: DataFrame, group: str, blocks) -> DataFrame:
-    """Sends each row of a group of B blocks to every pair of blocks that holds its own: key, block."""
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return rows.withColumn("key", F.xxhash64(group, F.least("block", "other"), F.greatest("block", "other"))).drop("other", "blocks", group)
-
-
 def meeting(threshold: float):
     """mapInArrow function over rows sorted by key: ties lines that pass all filters to the smallest id they reach.
 
@@ -190,7 +192,10 @@ def meeting(threshold: float):
     def run(batches):
         for table in common.by_key(batches):
             token, ids, p1, p2, size, pos = unpacked(table.column("body").to_pylist())
-            size, pos = size.astype(np.int64), pos.astype(np.int64)
+            # Most words stand in one prefix only. Those that, by a count in cells, stand in no other are left out.
+            cell = token & np.uint32((1 << 20) - 1)
+            some = np.flatnonzero(np.bincount(cell, minlength=1 << 20)[cell] > 1)
+            token, ids, p1, p2, size, pos = (x[some] for x in (token, ids, p1, p2, size, pos))
             order = np.lexsort((ids, size, token))
             token, ids, p1, p2, size, pos = (x[order] for x in (token, ids, p1, p2, size, pos))
             known, own = np.unique(ids, return_inverse=True)
@@ -238,15 +243,21 @@ def place_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(place_mark(ids, doc, line))], ["mark"])
 
 
-def sets_of(filter_, least: int):
-    """mapInArrow function: id, place and packed set of the lines whose place the filter lets pass."""
+def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values a bit_filter lets pass."""
+    cell = (values.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def sets_of(filters, least: int):
+    """mapInArrow function: id, place and packed set of the lines whose document and place the filters let pass."""
 
     def run(batches):
-        bits = filter_.value
-        for lines in each(batches, least):
+        some, bits = filters.value
+        own = (b.filter(pa.array(passes(some, b.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False)))) for b in batches)
+        for lines in each(own, least):
             ids, doc, line = lines.marks()[0], lines.doc[lines.rows], lines.line[lines.rows]
-            cell = (place_mark(ids, doc, line).view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
-            pick = np.flatnonzero(bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
+            pick = np.flatnonzero(passes(bits, place_mark(ids, doc, line)))
             rows = lines.rows[pick]
             packed = [lines.words[s : s + n].tobytes() for s, n in zip(lines.starts[rows].tolist(), lines.sizes[rows].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array(doc[pick]), pa.array(line[pick]), pa.array(packed, pa.binary())], ["id", "doc", "line", "words"])
@@ -255,36 +266,70 @@ def sets_of(filter_, least: int):
 
 
 def later(threshold: float):
-    """mapInArrow function over rows sorted by key: the lines that match an earlier one."""
+    """mapInArrow function over rows sorted by key: id and place of the lines that match an earlier one of their key.
+
+    Only lines with asks are judged, and only those with base count as the earlier ones.
+    """
 
     def run(batches):
-        for table in common.by_key(batches):
-            ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
-            table = table.take(pa.array(first))
-            doc, line, block = (table.column(c).to_numpy() for c in ("doc", "line", "block"))
+        for table in common.by_key(batches, least=TOGETHER):
+            key, ids, doc, line, asks, base = (table.column(c).to_numpy() for c in ("key", "id", "doc", "line", "asks", "base"))
             sets = [np.frombuffer(x, np.uint64) for x in table.column("words").to_pylist()]
-            both, n = shared_counts(sets), np.array([*map(len, sets)], np.float64)
-            across, gone = (block != block[0]).any(), np.zeros(len(ids), bool)
+            both, n, gone = shared_counts(sets), np.array([*map(len, sets)], np.float64), np.zeros(len(ids), bool)
             for at in range(0, len(ids), 256):
                 x = slice(at, at + 256)
                 shared = both[x].astype(np.float64)
                 linked = shared >= threshold * (n[x, None] + n[None] - shared) - 1e-6
                 linked &= (doc[None] < doc[x, None]) | ((doc[None] == doc[x, None]) & (line[None] < line[x, None]))
-                if across:
-                    linked &= block[x, None] != block[None]
-                gone[x] = linked.any(axis=1)
+                linked &= (key[x, None] == key[None]) & base[None]
+                gone[x] = linked.any(axis=1) & asks[x]
             if gone.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[gone])], ["id"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[gone]) for x in (ids, doc, line)], PLACE)
 
     return run
 
 
+PLACE = ["id", "doc", "line"]
+
+
+def verified(sets: DataFrame, threshold: float) -> DataFrame:
+    """id and place of the lines that match an earlier one of their cluster.
+
+    A cluster of several blocks is judged block by block first, with its earliest lines in each. Where lines are much
+    alike that settles nearly all; the rest, dealt out in blocks as well, then asks every other block.
+    """
+    spark = sets.sparkSession
+    fields = [*PLACE, "words"]
+    yes, no = F.lit(True), F.lit(False)
+    judged = lambda rows: rows.repartition("key").sortWithinPartitions("key").mapInArrow(later(threshold), "id long, doc long, line long").distinct()
+
+    block, every = F.pmod(F.xxhash64("id"), F.col("wide")), F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)
+    sets = sets.withColumn("block", block)
+    own = sets.withColumn("to", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("block"))))
+    with common.small_batches(spark, 1000):
+        near = common.save(judged(own.select(F.xxhash64("component", "to").alias("key"), *fields, yes.alias("asks"), yes.alias("base"))))
+    large = sets.filter("wide > 1")
+    open_ = common.save(large.select(*PLACE, "component").join(near, PLACE, "left_anti").distinct())
+    if open_.isEmpty():
+        return near
+    counts = common.save(open_.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("turns")))
+    turn = F.pmod(F.xxhash64("id", F.lit(5)), F.col("turns"))
+    asking = large.join(open_.drop("component"), PLACE, "left_semi").join(counts, "component")
+    asking = asking.withColumn("to", F.explode(every)).filter("to != block").select(F.xxhash64("component", "to", turn).alias("key"), *fields, yes.alias("asks"), no.alias("base"))
+    base = large.join(counts, "component").withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
+    base = base.select(F.xxhash64("component", "block", "turn").alias("key"), *fields, no.alias("asks"), yes.alias("base"))
+    with common.small_batches(spark, 1000):
+        far = common.save(judged(asking.union(base)))
+    return near.union(far)
+
+
 def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
     """doc, lines: the numbers of the lines that go, of every document that loses any."""
     spark = documents.sparkSession
     docs = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
+    seen = common.save(docs.mapInArrow(first_pass(least), ", ".join(f"{c} long" for c in SEEN)))
     frequency = np.zeros(CELLS, np.int64)
-    for r in docs.mapInArrow(frequencies(least), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
+    for r in seen.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
         frequency[r.cell] = r.n
     frequency = spark.sparkContext.broadcast(frequency)
     # Ranges grow with the input, so that what meets in one stays at some hundred thousand words.
@@ -295,28 +340,28 @@ def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3)
     part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(16)) == 0)
     counts = part.mapInArrow(prefixes(frequency, threshold, least, bits), PREFIX).mapInArrow(crowded_tokens, "token long, n long")
     counts = counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(100_000)
-    found = sorted((r.token % (1 << 64), -(-r.n // BLOCK)) for r in counts.collect())
+    found = sorted((r.token, -(-r.n // BLOCK)) for r in counts.collect())
     hot = spark.sparkContext.broadcast((np.array([t for t, _ in found], np.uint64), np.array([n for _, n in found], np.int64)))
     heads = docs.mapInArrow(prefixes(frequency, threshold, least, bits, hot), PREFIX).repartition("key").sortWithinPartitions("key")
     with common.small_batches(spark, 500):  # rows of some kilobytes each
         clusters = common.components(heads.mapInArrow(meeting(threshold), "a long, b long"))
 
-    occ = common.save(docs.mapInArrow(occurrences(least), "doc long, line long, id long, mark long"))
+    occ = seen.filter("cell is null").select("doc", "line", "id", "mark")
     firsts = common.save(occ.groupBy("id", "mark").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("wide"))
     placed = clusters.join(sizes, "component").withColumnRenamed("node", "id").join(firsts.select("id", "first.doc", "first.line"), "id")
     placed = common.save(placed)
-    lined = spark.sparkContext.broadcast(bit_filter(placed.mapInArrow(place_marks, "mark long"), "mark"))
-    sets = docs.mapInArrow(sets_of(lined, least), "id long, doc long, line long, words binary").join(placed, ["id", "doc", "line"])
-    sets = dealt(sets, "component", F.col("wide")).drop("wide").repartition("key").sortWithinPartitions("key")
-    with common.small_batches(spark, 1000):
-        similar = common.save(sets.mapInArrow(later(threshold), "id long").distinct())
+    rank = F.row_number().over(Window.partitionBy("component").orderBy("doc", "line"))
+    pivots = placed.filter("wide > 1").withColumn("rank", rank).filter(F.col("rank") <= PIVOTS).select(*PLACE, F.lit(True).alias("pivot"))
+    lined = spark.sparkContext.broadcast((bit_filter(placed, "doc"), bit_filter(placed.mapInArrow(place_marks, "mark long"), "mark")))
+    placed = placed.join(pivots, PLACE, "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
+    sets = docs.mapInArrow(sets_of(lined, least), "id long, doc long, line long, words binary")
+    similar = verified(common.save(sets.join(placed, PLACE)), threshold)
 
-    # Of equal lines the first stays, unless it matches another earlier one; only ids with something to remove go on.
-    verdict = firsts.join(similar.withColumn("similar", F.lit(True)), "id", "left").filter("n > 1 or similar")
-    verdict = common.save(verdict.select("id", "mark", "first", F.coalesce("similar", F.lit(False)).alias("similar")))
-    gone = occ.join(verdict, ["id", "mark"]).filter("similar or doc != first.doc or line != first.line")
-    return gone.groupBy("doc").agg(F.array_sort(F.collect_list(F.col("line").cast("int"))).alias("lines"))
+    # Of equal lines all but the first go, and that one too where it matches another earlier line.
+    again = occ.join(firsts.filter("n > 1").select("id", "mark", "first"), ["id", "mark"]).filter("doc != first.doc or line != first.line")
+    gone = again.select("doc", "line").union(similar.select("doc", "line"))
+    return gone.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("line").cast("int"))).alias("lines"))
 
 
 def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
@@ -335,8 +380,7 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
 
     @F.pandas_udf("boolean")
     def touched(ids: pd.Series) -> pd.Series:
-        cell = (ids.fillna(LAST).astype("int64").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
-        return pd.Series((bits.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool))
+        return pd.Series(passes(bits.value, ids.fillna(LAST).astype("int64").to_numpy()))
 
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     some = documents.filter(touched(key))
