@@ -112,11 +112,11 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
             place = rarity[(words % np.uint64(CELLS)).astype(np.int64)] << np.uint64(55) | words >> np.uint64(9)
             words = words[by_row(row, place)]
             pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            bit = hashing.mix(words + np.uint64(1)) >> np.uint64(57)
-            parity = []
-            for half in (0, 1):
-                own = np.where(bit >> np.uint64(6) == half, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-                parity.append(np.bitwise_xor.reduceat(own, np.cumsum(sizes) - sizes))
+            width = 1 << parity_class(sizes)
+            begin = np.cumsum(width) - width
+            bit = (hashing.mix(words + np.uint64(1)) >> np.uint64(54)).astype(np.int64) & (64 * width - 1)[row]
+            parity = np.zeros(width.sum(), np.uint64)
+            np.bitwise_xor.at(parity, begin[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
             head = pos < (sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1)[row]
             words, row, pos = words[head], row[head], pos[head]
             words = words >> np.uint64(64 - bits) << np.uint64(32) | words & LOW
@@ -136,30 +136,74 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
             key, at = key[order], at[order]
             cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
             # Numbers in halves: the high ones are mostly zero and take no room once compressed.
-            halves = (h for x in (sizes[row[at]], pos[at]) for h in (x & 0xFFFF, x >> 16))
-            fields = ((words[at] & LOW).astype(np.uint32), ids[row[at]], *(p[row[at]] for p in parity), *(h.astype(np.uint16) for h in halves))
-            bodies = [b"".join(f[a:b].tobytes() for f in fields) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+            halves = (h.astype(np.uint16) for x in (sizes[row[at]], pos[at]) for h in (x & 0xFFFF, x >> 16))
+            fields = ((words[at] & LOW).astype(np.uint32), ids[row[at]], *halves)
+            many = width[row[at]]
+            ends = np.concatenate(([0], np.cumsum(many)))
+            bits_ = parity[np.repeat(begin[row[at]] - ends[:-1], many) + np.arange(ends[-1])]
+            bodies = [np.uint32(b - a).tobytes() + b"".join(f[a:b].tobytes() for f in fields) + bits_[ends[a] : ends[b]].tobytes() for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]]), pa.array(bodies, pa.binary())], ["key", "body"])
 
     return run
 
 
 PREFIX = "key long, body binary"
-ROW = 36
 LOW = np.uint64(0xFFFFFFFF)
 
 
+def parity_class(sizes: np.ndarray) -> np.ndarray:
+    """c of the 64 * 2**c parity bits of a set: no fewer bits than words, up to 1,024."""
+    return np.clip(np.ceil(np.log2(np.maximum(sizes, 1) / 64)), 0, 4).astype(np.int64)
+
+
 def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
-    """token, id, two halves of the parity bits, size and pos of all rows."""
-    kinds = ("<u4", "<i8", "<u8", "<u8", "<u2", "<u2", "<u2", "<u2")
-    out = [[] for _ in kinds]
+    """token, id, size and pos of all rows, and the parity bits of all, end to end."""
+    kinds = ("<u4", "<i8", "<u2", "<u2", "<u2", "<u2")
+    out = [[] for _ in (*kinds, "<u8")]
     for body in bodies:
-        n, at = len(body) // ROW, 0
+        n, at = rows_of(body), 4
         for x, kind in zip(out, kinds):
             x.append(np.frombuffer(body, kind, n, at))
             at += n * int(kind[-1])
-    *first, s1, s2, p1, p2 = [np.concatenate(x) for x in out]
-    return [*first, s1 | s2.astype(np.int64) << 16, p1 | p2.astype(np.int64) << 16]
+        out[-1].append(np.frombuffer(body, "<u8", -1, at))
+    token, ids, s1, s2, p1, p2, parity = [np.concatenate(x) for x in out]
+    return [token, ids, s1 | s2.astype(np.int64) << 16, p1 | p2.astype(np.int64) << 16, parity]
+
+
+def rows_of(body: bytes) -> int:
+    return int.from_bytes(body[:4], "little")
+
+
+class Parity:
+    """Parity bits of rows, each in its class. Two of different classes meet in the smaller: halves fold into it."""
+
+    def __init__(self, flat: np.ndarray, begin: np.ndarray, kind: np.ndarray):
+        self.kind, self.at, self.bits = kind, [], []
+        for c in range(int(kind.max(initial=0)) + 1):
+            rows, parts = [], []
+            for k in range(c, int(kind.max(initial=0)) + 1):
+                own = np.flatnonzero(kind == k)
+                part = flat[begin[own, None] + np.arange(1 << k)]
+                while part.shape[1] > 1 << c:
+                    part = part[:, : part.shape[1] // 2] ^ part[:, part.shape[1] // 2 :]
+                rows.append(own)
+                parts.append(part)
+            place = np.zeros(len(kind), np.int64)
+            place[np.concatenate(rows)] = np.arange(sum(map(len, rows)))
+            self.at.append(place)
+            self.bits.append(np.concatenate(parts))
+
+    def apart(self, left: np.ndarray, right: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Which pairs have sets that surely differ in more than most words."""
+        first = self.bits[0][:, 0] if len(self.at) else np.empty(0, np.uint64)
+        out = np.bitwise_count(first[self.at[0][left]] ^ first[self.at[0][right]]) > most
+        kind = np.where(out, 0, np.minimum(self.kind[left], self.kind[right]))
+        for c in range(1, len(self.bits)):
+            own = np.flatnonzero(kind == c)
+            if len(own):
+                differ = np.bitwise_count(self.bits[c][self.at[c][left[own]]] ^ self.bits[c][self.at[c][right[own]]]).sum(axis=1, dtype=np.int64)
+                out[own] = differ > most[own]
+        return out
 
 
 def crowded_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +211,7 @@ def crowded_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         bodies = batch.column("body").to_pylist()
         if bodies:
-            key = np.repeat(batch.column("key").to_numpy(zero_copy_only=False), [len(x) // ROW for x in bodies])
+            key = np.repeat(batch.column("key").to_numpy(zero_copy_only=False), [*map(rows_of, bodies)])
             token, n = np.unique(key << 32 | unpacked(bodies)[0].astype(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
 
@@ -191,13 +235,15 @@ def meeting(threshold: float):
 
     def run(batches):
         for table in common.by_key(batches):
-            token, ids, p1, p2, size, pos = unpacked(table.column("body").to_pylist())
+            token, ids, size, pos, flat = unpacked(table.column("body").to_pylist())
+            kind = parity_class(size)
+            begin = np.cumsum(1 << kind) - (1 << kind)
             # Most words stand in one prefix only. Those that, by a count in cells, stand in no other are left out.
             cell = token & np.uint32((1 << 20) - 1)
             some = np.flatnonzero(np.bincount(cell, minlength=1 << 20)[cell] > 1)
-            token, ids, p1, p2, size, pos = (x[some] for x in (token, ids, p1, p2, size, pos))
-            order = np.lexsort((ids, size, token))
-            token, ids, p1, p2, size, pos = (x[order] for x in (token, ids, p1, p2, size, pos))
+            some = some[np.lexsort((ids[some], size[some], token[some]))]
+            token, ids, size, pos = (x[some] for x in (token, ids, size, pos))
+            parity = Parity(flat, begin[some], kind[some])
             known, own = np.unique(ids, return_inverse=True)
             root, a, b, held = np.arange(len(known)), [], [], 0
             left, ahead = np.arange(len(token)), 0
@@ -209,8 +255,8 @@ def meeting(threshold: float):
                 left, right = left[near], right[near]
                 total = size[left] + size[right]
                 need = np.ceil(share * total - 1e-9)
-                ok = np.bitwise_count(p1[left] ^ p1[right]).astype(np.int64) + np.bitwise_count(p2[left] ^ p2[right]) <= total - 2 * need
-                ok &= np.minimum(pos[left], pos[right]) + np.minimum(size[left] - pos[left], size[right] - pos[right]) >= need
+                ok = np.minimum(pos[left], pos[right]) + np.minimum(size[left] - pos[left], size[right] - pos[right]) >= need
+                ok &= ~parity.apart(left, right, total - 2 * need)
                 i, j = own[left[ok]], own[right[ok]]
                 apart = root[i] != root[j]  # the others are tied already
                 a.append(i[apart])
