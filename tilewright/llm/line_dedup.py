@@ -23,7 +23,7 @@ from .ngram_join import by_row, shared_counts, unique_sets
 CELLS = 1 << 17
 #: Bits of a filter that lets pass what a table holds, and little else while the table is no larger than that.
 FILTER_BITS = 1 << 24
-#: Lines compared at a time: a word or a cluster with more of them is dealt out as pairs of blocks.
+#: Lines compared at a time: a word with more of them is dealt out as pairs of blocks.
 BLOCK = 1024
 #: Lines of a cluster that are verified together; a larger cluster goes in blocks of so many.
 VERIFIED = 512
