@@ -20,7 +20,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that match an earlier one; a document left without words goes. Columns as in docs."""
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, least=1)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

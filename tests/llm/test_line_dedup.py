@@ -61,3 +61,14 @@ def test_many_variants_over_several_blocks(spark, monkeypatch):
         lines = [" ".join(base[: 24 + rng.randrange(7)] + [f"x{rng.randrange(40)}" for _ in range(rng.randrange(4))]) for _ in range(3)]
         rows.append((i, "\n".join([*lines, f"only here {i} {rng.random()}"])))
     compare(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_short_lines_go_too(spark, sf):
+    rows = [(1, "buy now buy now buy now\nhome\nHome\na b c\na b c d"), (2, "now buy\n\n \nhome page\nc b a a\nd e a b c"), (3, "HOME")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc: r.lines for r in line_dedup.removed_lines(docs, least=1).collect()} == {1: [2], 2: [0, 4, 5], 3: [0]}
+    assert {r.doc_id for r in line_dedup.without_repeats(docs, least=1).collect()} == {1, 2}
+    docs = common.read_table(spark, sf, "documents")
+    want = brute(docs.select("doc_id", "text").collect(), least=1)
+    got = {r.doc_id: r.removed for r in line_dedup.op7_line_dedup(spark, sf).collect() if r.n_removed}
+    assert got == want and want != brute(docs.select("doc_id", "text").collect())

@@ -47,7 +47,7 @@ class Lines:
         self.words, self.sizes = unique_sets(*hashing.word_hashes(flat))
         self.doc, self.line = np.repeat(ids, n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        #: Lines of fewer words than least stay out of it.
+        #: Lines of fewer different words than least stay out of it.
         self.rows = np.flatnonzero(self.sizes >= max(least, 1))
 
     def marks(self) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +93,8 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
 
     A key is a range of words (their high bits), a token names a word within it (its low bits; words that share one
     meet and fail the filters). A token of hot (sorted tokens and their numbers of blocks) has keys
-    of its own instead, one for each pair of its blocks, and a line goes to those that hold its block.
+    of its own instead, one for each pair of its blocks, and a line goes to those that hold its block. Lines so short
+    that one word more or less takes them below the threshold match equal sets only, which marks find: they stay out.
     """
 
     def run(batches):
@@ -101,9 +102,10 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
         # Rarity in eighths of a doubling: enough for an order, and it leaves room for the word itself in a sort key.
         rarity = np.floor(8 * np.log2(np.maximum(often, 1))).astype(np.uint64)
         for lines in each(batches, least):
-            ids, _ = lines.marks()
-            ids, first = np.unique(ids, return_index=True)
-            rows = lines.rows[first]
+            sizes = lines.sizes[lines.rows]
+            near = sizes >= threshold * (sizes + 1) - 1e-9
+            ids, first = np.unique(lines.marks()[0][near], return_index=True)
+            rows = lines.rows[near][first]
             if not len(rows):
                 continue
             sizes = lines.sizes[rows]
@@ -415,7 +417,7 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
 
     Lines part at line feeds; their words at white space, A-Z in lower case. A line goes when an earlier one (by
     doc_id, then place) has Jaccard similarity threshold or more with it, whether that one stays or not; lines of
-    fewer than `least` words stay as they are. line_dedup_removed: the numbers (from 0) of the lines that went, empty
+    fewer than `least` different words stay as they are, and 1 leaves out none that has a word. line_dedup_removed: the numbers (from 0) of the lines that went, empty
     where none did. Null texts stay null. A null doc_id comes after all others, and such rows, like repeated rows of a
     doc_id, lose the lines that any of them loses. An empty table gives no rows.
     """
@@ -447,5 +449,5 @@ def without_repeats(documents: DataFrame, threshold: float = 0.8, least: int = 3
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_removed, removed (the numbers of the lines that went) and the text that stays, for every row."""
-    out = line_dedup(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
     return out.select("doc_id", F.size("line_dedup_removed").cast("long").alias("n_removed"), F.col("line_dedup_removed").alias("removed"), "text")
