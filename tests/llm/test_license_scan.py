@@ -78,3 +78,29 @@ def test_hundreds_of_rules_and_no_python_in_the_plan(awkward):
     assert len(rules()) > 200
     plan = license_scan.license_scan(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+WRAPPED = [
+    ("gpl-3.0-or-later", "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+    ("gpl-2.0-or-later", "GNU General Public License\nas published by the Free Software Foundation; either version 2\nof the License, or (at your option) any later version."),
+    ("bsd-3-clause", "Neither the name of the University of California, Berkeley, and its laboratories nor the names of its\n  contributors may be used to endorse or promote products derived"),
+    ("bsd", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND\nCONTRIBUTORS "AS IS" AND ANY EXPRESS'),
+    ("proprietary", "Unauthorized copying of this file,\nvia any medium is strictly prohibited"),
+    ("no-derivatives", "may not be reproduced, distributed, or transmitted in any form or by any means, including photocopying, recording,\nor other electronic or mechanical methods, without the prior\nwritten permission of the publisher"),
+    ("reserved", "Copyright 2020 Someone\nAll rights reserved."),
+    ("gpl-3.0", "Released under GPLv3."),
+    ("gpl-2.0", "It is GPL-2.0. See below."),
+    ("lgpl-3.0", "under the LGPLv3."),
+    ("lgpl-2.1", "under LGPL-2.1."),
+    ("agpl-3.0", "under the AGPL-3.0."),
+]
+
+
+def test_wrapped_notices_and_names_that_end_a_sentence(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(WRAPPED)] + [(99, "gpl-3.1 lgpl-2.1.5 gplv2.0.1")]
+    got = {r.doc_id: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, text) in enumerate(WRAPPED):
+        assert label in [d.label for d in got[i].detections], text
+        want, spans = brute(text)
+        assert tuple(got[i])[1:8] == want and [(d.start, d.end, d.priority, d.label) for d in got[i].detections] == spans
+    assert set(got[99].labels.split(",")) == {"gpl", "lgpl"}

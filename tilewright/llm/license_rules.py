@@ -1,8 +1,9 @@
 """Signature rules for license scans, written by hand, in order.
 
 One rule a line: label | priority | weight | keyword | pattern. Patterns run over text with A-Z in lower case; a space
-in one stands for any run of white space. The keyword is a plain part of every match: only texts that hold it are
-tried. Priority 1 beats 5: tags and addresses (1), notices (2), names with versions (3), names (4), mentions (5).
+in one stands for any run of white space, and gaps cross line feeds. The keyword is a plain part of every match: only
+texts that hold it are tried. Priority 1 beats 5: tags and addresses (1), notices (2), names with versions (3), names
+(4), mentions (5).
 """
 
 from __future__ import annotations
@@ -120,13 +121,13 @@ bsd-4-clause | 3 | 0.9 | bsd | \b(original|old) bsd licen[sc]e\b
 0bsd | 3 | 0.9 | bsd | \b(0bsd|bsd zero clause( licen[sc]e)?|zero-clause bsd)\b
 bsd | 4 | 0.7 | bsd | \bbsd(-style)? licen[sc]ed?\b
 bsd | 2 | 0.9 | redistribution and use | redistribution and use in source and binary forms, with or without modification, are permitted
-bsd-3-clause | 2 | 0.9 | endorse or promote | neither the name of .{1,80} may be used to endorse or promote products
+bsd-3-clause | 2 | 0.9 | endorse or promote | neither the name of [\s\S]{1,300}? may be used to endorse or promote products
 bsd-4-clause | 2 | 0.9 | advertising materials | all advertising materials mentioning features or use of this software
-bsd | 5 | 0.6 | "as is" | this software is provided by .{1,80} "as is"
+bsd | 5 | 0.6 | "as is" | this software is provided by [\s\S]{1,300}? "as is"
 gpl-3.0 | 2 | 1.0 | general public license | licensed under the gnu general public license,? (version |v\.?)3(\.0)?\b
 gpl-2.0 | 2 | 1.0 | general public license | licensed under the gnu general public license,? (version |v\.?)2(\.0)?\b
-gpl-3.0-or-later | 2 | 1.0 | general public license | gnu general public license .{0,80}(either version 3 of the license|version 3),? or \(?at your option\)? any later version
-gpl-2.0-or-later | 2 | 1.0 | general public license | gnu general public license .{0,80}(either version 2 of the license|version 2),? or \(?at your option\)? any later version
+gpl-3.0-or-later | 2 | 1.0 | general public license | gnu general public license\b\s*[\s\S]{0,120}?(either )?version 3(\.0)?( of the license)?,? or \(?at your option\)? any later version
+gpl-2.0-or-later | 2 | 1.0 | general public license | gnu general public license\b\s*[\s\S]{0,120}?(either )?version 2(\.0)?( of the license)?,? or \(?at your option\)? any later version
 gpl-3.0 | 3 | 0.9 | general public license | gnu general public license,? (version |v\.?)3(\.0)?\b
 gpl-2.0 | 3 | 0.9 | general public license | gnu general public license,? (version |v\.?)2(\.0)?\b
 gpl-1.0 | 3 | 0.9 | general public license | gnu general public license,? (version |v\.?)1(\.0)?\b
@@ -137,15 +138,15 @@ agpl-3.0 | 3 | 0.9 | affero general public | gnu affero general public licen[sc]
 lgpl | 4 | 0.8 | lesser general public | \b(gnu )?lesser general public licen[sc]e\b
 agpl | 4 | 0.8 | affero general public | \b(gnu )?affero general public licen[sc]e\b
 gpl | 4 | 0.8 | general public licen | \b(gnu )?general public licen[sc]e\b
-gpl-3.0 | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?3(\.0)?(?![-+.\w])
+gpl-3.0 | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?3(\.0)?(?![-+\w]|\.\d)
 gpl-3.0-or-later | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?3(\.0)?(\+|-or-later| or later)
-gpl-2.0 | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?2(\.0)?(?![-+.\w])
+gpl-2.0 | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?2(\.0)?(?![-+\w]|\.\d)
 gpl-2.0-or-later | 3 | 0.9 | gpl | \b(gnu )?gplv?[- ]?2(\.0)?(\+|-or-later| or later)
-lgpl-3.0 | 3 | 0.9 | lgpl | \blgplv?[- ]?3(\.0)?(?![-+.\w])
+lgpl-3.0 | 3 | 0.9 | lgpl | \blgplv?[- ]?3(\.0)?(?![-+\w]|\.\d)
 lgpl-3.0-or-later | 3 | 0.9 | lgpl | \blgplv?[- ]?3(\.0)?(\+|-or-later| or later)
-lgpl-2.1 | 3 | 0.9 | lgpl | \blgplv?[- ]?2\.1(?![-+.\w])
+lgpl-2.1 | 3 | 0.9 | lgpl | \blgplv?[- ]?2\.1(?![-+\w]|\.\d)
 lgpl-2.1-or-later | 3 | 0.9 | lgpl | \blgplv?[- ]?2\.1(\+|-or-later| or later)
-agpl-3.0 | 3 | 0.9 | agpl | \bagplv?[- ]?3(\.0)?(?![-+.\w])
+agpl-3.0 | 3 | 0.9 | agpl | \bagplv?[- ]?3(\.0)?(?![-+\w]|\.\d)
 agpl-3.0-or-later | 3 | 0.9 | agpl | \bagplv?[- ]?3(\.0)?(\+|-or-later| or later)
 lgpl | 5 | 0.6 | lgpl | \blgpl\b
 agpl | 5 | 0.6 | agpl | \bagpl\b
@@ -256,11 +257,11 @@ cc-by-nd | 4 | 0.8 | attribution-noderiv | attribution-noderiv(ative)?s( \d\.\d)
 cc-by | 4 | 0.8 | creative commons attribution | creative commons attribution( \d\.\d)?( international)?( licen[sc]e)?
 cc-other | 5 | 0.6 | creative commons | \bcreative commons( licen[sc]e)?\b
 proprietary | 2 | 0.9 | proprietary and confidential | \bproprietary and confidential\b
-proprietary | 2 | 0.9 | strictly prohibited | unauthori[sz]ed (copying|use|reproduction|distribution) .{1,80} strictly prohibited
+proprietary | 2 | 0.9 | strictly prohibited | unauthori[sz]ed (copying|use|reproduction|distribution) [\s\S]{1,300}? strictly prohibited
 proprietary | 4 | 0.7 | end user licen | \bend user licen[sc]e agreement\b
 proprietary | 4 | 0.6 | proprietary licen | \bproprietary licen[sc]e\b
-no-derivatives | 5 | 0.5 | may not be reproduced | may not be reproduced .{0,60}without .{0,40}permission
-reserved | 4 | 0.6 | all rights reserved | (copyright|©|\(c\)).{0,80}all rights reserved
+no-derivatives | 5 | 0.5 | may not be reproduced | may not be reproduced\b\s*[\s\S]{0,300}?without [\s\S]{0,120}?permission
+reserved | 4 | 0.6 | all rights reserved | (copyright|©|\(c\))[\s\S]{0,300}?all rights reserved
 copyright | 5 | 0.4 | copyright | copyright (\(c\)|©)? ?(19|20)\d\d
 dual-license | 5 | 0.5 | dual | \bdual[- ]licen[sc]ed\b
 license-file | 5 | 0.4 | see license | see (the )?licen[sc]e file
