@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import geometry
 from tilewright.functions import quadkey as qk
-from tilewright.plans import build
+from tilewright.operators import export
+from tilewright.plans import build, queries
 from tilewright.sources import scans, sinks
 from tilewright.sources.hadoop import Files
 from tilewright.streaming import density
 
 from .test_operators import BOX, NAMES
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_scans(spark, tmp_path):
     for release in ("2024-01", "2024-02", "2024-03"):
@@ -111,3 +114,14 @@ def test_density_of_a_stream(spark, tmp_path):
     assert ("2024-01-01 00:00:00", 2) in got
     assert len(density.tile_counts(frame, F.col("lon"), F.col("lat"), "ts").collect()) == 3
     assert len(spark.table("counts").first().tile_qk) == 9 and qk.ZOOM == 17
+
+
+def test_every_category_is_counted(spark, tmp_path):
+    places = spark.range(4000).selectExpr("id", "case when id % 4 < 3 then concat('k=', id % 1999) end category")
+    sinks.write_counts(export.category_counts(places, F.col("category")), f"{tmp_path}/categories")
+    want = {r.category: r.n for r in places.filter("category is not null").groupBy("category").agg(F.count("*").alias("n")).collect()}
+    got = spark.read.json(f"{tmp_path}/categories").collect()
+    assert {r.category: r.n for r in got} == want and len(got) == len(want) > 1000
+    rows = queries.tile_assignment(spark, SF).join(queries.scored(spark, SF).select("place_id", "category"), "place_id")
+    plain = rows.groupBy("category").agg(F.countDistinct("place_id").alias("n"), F.countDistinct("tile_qk").alias("n_tiles"))
+    assert sorted(map(tuple, queries.collection_stats(spark, SF).collect())) == sorted(map(tuple, plain.collect()))

@@ -151,13 +151,14 @@ def coverage(tiles: DataFrame, box: tuple[float, float, float, float], most: int
     return hits.filter(F.length("tile_qk") < regular)
 
 
-def collection_stats(records: DataFrame, places: DataFrame, category: Column | None) -> dict:
-    """Small aggregates for a collection's description: records, tiles, extent, and places by category."""
+def category_counts(places: DataFrame, category: Column) -> DataFrame:
+    """category, n: how many places each category has; places without one don't count."""
+    return places.groupBy(category.alias("category")).agg(F.count("*").alias("n")).filter("category is not null")
+
+
+def collection_stats(records: DataFrame) -> dict:
+    """Small aggregates for a collection's description: records, tiles, extent."""
     one = records.agg(F.countDistinct("rkey").alias("records"), F.countDistinct("tile_qk").alias("tiles")).first()
     box = records.select("tile_qk").distinct().select(qk.envelope(F.col("tile_qk")).alias("e"))
     edge = box.agg(*[F.round(f(f"e.{c}"), 6).alias(c) for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]).first()
-    out = {"records": one.records, "tiles": one.tiles, "extent": edge.asDict()}
-    if category is not None:
-        counts = places.groupBy(category.alias("category")).agg(F.count("*").alias("n")).filter("category is not null")
-        out["categories"] = {r.category: r.n for r in counts.orderBy(F.desc("n"), "category").limit(1000).collect()}
-    return out
+    return {"records": one.records, "tiles": one.tiles, "extent": edge.asDict()}

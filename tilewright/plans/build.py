@@ -106,8 +106,9 @@ class Build:
         records = scans.text_keys(self.spark, f"{out}/records")
         payloads = sinks.payloads(records, source, c.tiles.get("source", ""), c.tiles.get("license", ""), c.generated_at, c.repo)
         sinks.write_payloads(payloads, f"{out}/payloads")
-        category = F.col("primary_category") if source == "osm" else F.col("categories.primary") if source == "places" else None
-        sinks.write_manifest(records, out, {"collection": source, "generated_at": c.generated_at, **export.collection_stats(records, places, category)})
+        category = F.col("primary_category") if source == "osm" else F.col("categories.primary") if source == "places" else F.col("subtype")
+        sinks.write_counts(export.category_counts(places, category), f"{out}/categories")
+        sinks.write_manifest(records, out, {"collection": source, "generated_at": c.generated_at, "categories": "categories", **export.collection_stats(records)})
         return out
 
 

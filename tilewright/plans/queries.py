@@ -411,7 +411,8 @@ def record_tiles(spark, sf_dir):
 @query(f"WITH {IMPORTANCE_SQL}, a AS ({assigned_sql('pts', 50, 1, 17)}) SELECT category, count(DISTINCT place_id) AS n, count(DISTINCT tile_qk) AS n_tiles FROM a JOIN scored USING (place_id) GROUP BY 1")
 def collection_stats(spark, sf_dir):
     rows = tile_assignment(spark, sf_dir).join(scored(spark, sf_dir).select("place_id", "category"), "place_id")
-    return rows.groupBy("category").agg(F.countDistinct("place_id").alias("n"), F.countDistinct("tile_qk").alias("n_tiles"))
+    counts = export.category_counts(rows.select("place_id", "category").distinct(), F.col("category"))
+    return counts.join(rows.groupBy("category").agg(F.countDistinct("tile_qk").alias("n_tiles")), "category")
 
 
 def coverage_sql(where: str) -> str:

@@ -103,6 +103,11 @@ def publish(tiles: DataFrame, root: str) -> None:
     tiles.mapInPandas(write, "tile_qk string").write.format("noop").mode("overwrite").save()
 
 
+def write_counts(counts: DataFrame, path: str) -> None:
+    """category, n as JSON lines, the most frequent first over all files."""
+    counts.orderBy(F.desc("n"), "category").write.mode("overwrite").json(path)
+
+
 def write_manifest(records: DataFrame, path: str, metadata: dict) -> None:
     """rkey, tile_qk sorted by rkey, and manifest.json last: without it the run isn't complete."""
     write_sorted(records.select("rkey", "tile_qk").distinct(), f"{path}/record_tiles", "rkey")
