@@ -89,24 +89,42 @@ def bounds(polygons: Polygons) -> tuple[float, float, float, float]:
     return (*every.min(axis=0), *every.max(axis=0))
 
 
-def _ring_side(ring: np.ndarray, x: float, y: float) -> int:
-    """1 inside, 0 on the border, -1 outside."""
-    a, b = ring, np.roll(ring, -1, axis=0)
-    cross = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
-    on = (cross == 0) & (np.minimum(a[:, 0], b[:, 0]) <= x) & (x <= np.maximum(a[:, 0], b[:, 0])) & (np.minimum(a[:, 1], b[:, 1]) <= y) & (y <= np.maximum(a[:, 1], b[:, 1]))
-    if on.any():
-        return 0
-    up, down = (a[:, 1] <= y) & (b[:, 1] > y), (b[:, 1] <= y) & (a[:, 1] > y)
-    return 1 if (np.count_nonzero(up & (cross > 0)) + np.count_nonzero(down & (cross < 0))) % 2 else -1
+#: Products of points and edges worked out at a time.
+CHUNK = 1 << 20
+
+
+def _ring_side(ring: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of each point 1 inside, 0 on the border, -1 outside."""
+    (ax, ay), (bx, by) = ring.T[:, :, None], np.roll(ring, -1, axis=0).T[:, :, None]
+    out = np.empty(len(x), np.int8)
+    step = max(1, CHUNK // max(len(ring), 1))
+    for k in range(0, len(x), step):
+        px, py = x[None, k : k + step], y[None, k : k + step]
+        cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+        on = (cross == 0) & (np.minimum(ax, bx) <= px) & (px <= np.maximum(ax, bx)) & (np.minimum(ay, by) <= py) & (py <= np.maximum(ay, by))
+        up, down = (ay <= py) & (by > py), (by <= py) & (ay > py)
+        odd = (np.count_nonzero(up & (cross > 0), axis=0) + np.count_nonzero(down & (cross < 0), axis=0)) % 2
+        out[k : k + step] = np.where(on.any(axis=0), 0, np.where(odd == 1, 1, -1))
+    return out
+
+
+def covers_each(polygons: Polygons, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether each point is inside or on a border of any of the polygons, overlapping or not."""
+    out = np.zeros(len(x), bool)
+    for shell, *holes in polygons:
+        left = np.flatnonzero(~out)
+        side = _ring_side(shell, x[left], y[left])
+        inside = side >= 0
+        for hole in holes:
+            some = np.flatnonzero(inside & (side > 0))
+            inside[some] = _ring_side(hole, x[left[some]], y[left[some]]) <= 0
+        out[left[inside]] = True
+    return out
 
 
 def covers(polygons: Polygons, x: float, y: float) -> bool:
     """Whether the point is inside or on a border."""
-    for shell, *holes in polygons:
-        side = _ring_side(shell, x, y)
-        if side == 0 or (side > 0 and all(_ring_side(h, x, y) <= 0 for h in holes)):
-            return True
-    return False
+    return bool(covers_each(polygons, np.array([x], np.float64), np.array([y], np.float64))[0])
 
 
 def _half_plane(ring: np.ndarray, axis: int, at: float, sign: float) -> np.ndarray:
@@ -131,7 +149,8 @@ def _half_plane(ring: np.ndarray, axis: int, at: float, sign: float) -> np.ndarr
 
 
 def clip(polygons: Polygons, xmin: float, ymin: float, xmax: float, ymax: float) -> Polygons:
-    """What lies inside a box. Concave parts may come back joined along the box's border, with no area there."""
+    """What lies inside a box. Parts of a concave ring come back joined along the box's border, with no area there: for
+    points on that border the result says nothing, for all others inside the box it is right."""
     out = []
     for rings in polygons:
         kept = []
@@ -148,9 +167,10 @@ def clip(polygons: Polygons, xmin: float, ymin: float, xmax: float, ymax: float)
 
 
 def fills(polygons: Polygons, xmin: float, ymin: float, xmax: float, ymax: float) -> bool:
-    """Whether a clip to the box is the whole box: one part with no hole and four corners, or the box's area."""
+    """Whether one polygon of a clip to the box has the box's whole area. Parts may overlap, so their areas don't add
+    up; a box that only several parts fill together counts as not filled and is tested point by point."""
     whole = (xmax - xmin) * (ymax - ymin)
-    return area(polygons) >= whole * (1 - 1e-12) and len(polygons) > 0
+    return any(area([p]) >= whole * (1 - 1e-12) for p in polygons)
 
 
 def interior_point(polygons: Polygons) -> tuple[float, float]:
@@ -180,5 +200,6 @@ def interior_point(polygons: Polygons) -> tuple[float, float]:
 
 
 def merge(parts: list[Polygons]) -> Polygons:
-    """All parts as one geometry; covers() is true where any part's is."""
+    """The union of parts as one geometry. Parts stay as they are, overlapping or not: covers_each() holds where any of
+    them covers, which is the union."""
     return [p for part in parts for p in part]

@@ -1,4 +1,10 @@
-"""Quadkeys as column expressions: no UDF, all inside whole-stage code generation."""
+"""Quadkeys as column expressions.
+
+A quadkey is a number while it is worked with: its digits 0 to 3 are read as decimal ones, so that an ancestor is a
+division by a power of ten and seventeen digits fit a long. Text, with its leading zeros, is made at the edge. The
+digits of x and y come from bin(), read as decimal: adding x and twice y carries nothing, and neither is written out
+twice.
+"""
 
 from __future__ import annotations
 
@@ -12,20 +18,46 @@ ZOOM = 17
 MAX_LATITUDE = 85.05101030905541
 
 
-def quadkey(lon: Column, lat: Column, zoom: int = ZOOM) -> Column:
-    """Quadkey of a point, digits 0 NW, 1 NE, 2 SW, 3 SE; null outside lon -180..180 or lat -90..90.
+def column_of(lon: Column, zoom: int) -> Column:
+    """Column of tiles; longitude 180 belongs to the last one."""
+    n = 1 << zoom
+    return F.least(F.floor((lon + 180) / 360 * n), F.lit(n - 1).cast("long"))
 
-    Longitude 180 belongs to the last column. The clamp of latitude comes after the check of its range.
-    """
+
+def row_of(lat: Column, zoom: int) -> Column:
+    """Row of tiles from the north; the outermost ones reach to the poles."""
     n = 1 << zoom
-    inside = lon.between(-180, 180) & lat.between(-90, 90)
     s = F.sin(F.radians(F.least(F.greatest(lat, F.lit(-MAX_LATITUDE)), F.lit(MAX_LATITUDE))))
-    x = F.least(F.floor((lon + 180) / 360 * n), F.lit(n - 1).cast("long"))
     y = F.floor((F.lit(0.5) - F.log((1 + s) / (1 - s)) / (4 * math.pi)) * n)
-    y = F.greatest(F.least(y, F.lit(n - 1).cast("long")), F.lit(0).cast("long"))
-    bit = lambda v, i: F.shiftright(v, i).bitwiseAND(F.lit(1).cast("long"))
-    digits = [(bit(x, i) + 2 * bit(y, i)).cast("string") for i in range(zoom - 1, -1, -1)]
-    return F.when(inside, F.concat(*digits))
+    return F.greatest(F.least(y, F.lit(n - 1).cast("long")), F.lit(0).cast("long"))
+
+
+def woven(x: Column, y: Column) -> Column:
+    """The number of a tile: digits of x and twice those of y."""
+    return F.bin(x).cast("long") + 2 * F.bin(y).cast("long")
+
+
+def number(lon: Column, lat: Column, zoom: int = ZOOM) -> Column:
+    """Quadkey of a point as a number, null outside lon -180..180 or lat -90..90. The clamp of latitude comes after
+    the check of its range."""
+    inside = lon.between(-180, 180) & lat.between(-90, 90)
+    return F.when(inside, woven(column_of(lon, zoom), row_of(lat, zoom)))
+
+
+def text(number: Column, zoom: int | Column) -> Column:
+    """A number of so many digits as text."""
+    return F.lpad(number.cast("string"), zoom, F.lit("0"))
+
+
+def ancestor(number: Column, steps: Column) -> Column:
+    """The number of the tile so many levels up. Whole numbers throughout: seventeen digits are too many for a double."""
+    power = F.element_at(F.array(*[F.lit(10**k).cast("long") for k in range(ZOOM + 1)]), (steps + 1).cast("int"))
+    return F.call_function("div", number, power)
+
+
+def quadkey(lon: Column, lat: Column, zoom: int = ZOOM) -> Column:
+    """Quadkey of a point as text, digits 0 NW, 1 NE, 2 SW, 3 SE; null outside lon -180..180 or lat -90..90."""
+    return text(number(lon, lat, zoom), zoom)
 
 
 def _axis(qk: Column, bits: str) -> Column:
@@ -58,11 +90,6 @@ def is_full(qk: Column) -> Column:
     return F.coalesce(F.rlike(qk, F.lit("^[0-3]{17}$")), F.lit(False))
 
 
-def prefixes(qk: Column, low: int, high: int) -> Column:
-    """array<struct<level, qk>>: the ancestors of qk at levels low to high."""
-    return F.transform(F.sequence(F.lit(low), F.lit(high)), lambda z: F.struct(z.alias("level"), F.substring(qk, F.lit(1), z).alias("qk")))
-
-
 def overlaps(a: Column, b: tuple[float, float, float, float]) -> Column:
     """Whether box a (struct) meets box b, edges included; a box with xmin > xmax runs over the antimeridian."""
     xmin, ymin, xmax, ymax = b
@@ -75,5 +102,9 @@ def overlaps(a: Column, b: tuple[float, float, float, float]) -> Column:
 
 def child_quadkey(x: Column, y: Column, zoom: Column) -> Column:
     """Quadkey of tile x, y at a zoom given as a column."""
-    digit = lambda i: (F.pmod(F.floor(x / F.pow(F.lit(2), i)), F.lit(2)) + 2 * F.pmod(F.floor(y / F.pow(F.lit(2), i)), F.lit(2))).cast("int").cast("string")
-    return F.when(zoom > 0, F.array_join(F.transform(F.sequence(zoom - 1, F.lit(0), F.lit(-1)), digit), "")).otherwise("")
+    return F.when(zoom > 0, text(woven(x.cast("long"), y.cast("long")), zoom.cast("int"))).otherwise("")
+
+
+def within(key: Column, prefix: str) -> Column:
+    """Whether a full quadkey lies in a tile, as a range that reaches the scan of a table sorted by it."""
+    return key.between(F.lit(prefix.ljust(ZOOM, "0")), F.lit(prefix.ljust(ZOOM, "3")))

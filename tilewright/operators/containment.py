@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,30 +14,61 @@ from ..functions import json_text as js
 from ..functions import quadkey as qk
 
 
+def keyed(points: DataFrame, low: int, high: int) -> DataFrame:
+    """place_id, lon, lat and tile_qk for every tile from level low to high that holds the point."""
+    rows = points.filter(qk.is_full(F.col("qk17"))).select("place_id", "lon", "lat", "qk17", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("z"))
+    return rows.select("place_id", "lon", "lat", F.substring(F.col("qk17"), F.lit(1), F.col("z")).alias("tile_qk"))
+
+
 def candidates(points: DataFrame, covering: DataFrame, low: int = 4, high: int = 16) -> DataFrame:
-    """Pairs of a point and a covering tile that holds it, by equality of prefixes: place_id, lon, lat, boundary_id,
-    level, geom, interior."""
-    keys = points.filter(qk.is_full(F.col("qk17"))).select("place_id", "lon", "lat", F.explode(qk.prefixes(F.col("qk17"), low, high)).alias("p"))
-    keys = keys.select("place_id", "lon", "lat", F.col("p.qk").alias("tile_qk"))
-    return keys.join(covering, "tile_qk")
+    """Pairs of a point and a covering tile that holds it, by equality of prefixes: place_id, lon, lat and the columns
+    of covering."""
+    return keyed(points, low, high).join(covering, "tile_qk")
 
 
 def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the rows whose geometry covers their point, borders included."""
+    """mapInArrow function over rows sorted by tile, salt and kind, shapes (with geom) before points: the points that
+    the shapes of their tile cover. Each shape is parsed once a tile and meets all points of a batch at a time."""
+    at, shapes = None, []
     for batch in batches:
-        polygons = [geometry.parse(w) for w in batch.column("geom").to_pylist()]
-        keep = [geometry.covers(g, x, y) for g, x, y in zip(polygons, batch.column("lon").to_pylist(), batch.column("lat").to_pylist())]
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["place_id", "boundary_id", "level"])
-
-
-def matches(points: DataFrame, covering: DataFrame, low: int = 4, high: int = 16) -> DataFrame:
-    """place_id, boundary_id, level. Tiles inside a boundary need no test; the others go to the polygon kernel."""
-    pairs = candidates(points, covering, low, high)
-    sure = pairs.filter("interior").select("place_id", "boundary_id", "level")
-    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    open_ = pairs.filter("not interior").select("place_id", "lon", "lat", "boundary_id", "level", "geom")
-    tested = open_.mapInArrow(covered, f"place_id {kinds['place_id']}, boundary_id {kinds['boundary_id']}, level {kinds['level']}")
-    return sure.union(tested).distinct()
+        tile, salt = batch.column("tile_qk").to_pylist(), batch.column("salt").to_pylist()
+        geom, bounds = batch.column("geom"), batch.column("boundary_id")
+        is_shape = geom.is_valid().to_numpy(zero_copy_only=False)
+        x, y = batch.column("lon").to_numpy(zero_copy_only=False), batch.column("lat").to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(tile):
+            end = start + 1
+            while end < len(tile) and tile[end] == tile[start] and salt[end] == salt[start] and is_shape[end] == is_shape[start]:
+                end += 1
+            if (tile[start], salt[start]) != at:
+                at, shapes = (tile[start], salt[start]), []
+            if is_shape[start]:
+                shapes += [(bounds.slice(i, 1), batch.column("level").slice(i, 1), geometry.parse(geom[i].as_py())) for i in range(start, end)]
+            else:
+                for boundary, level, shape in shapes:
+                    hit = np.flatnonzero(geometry.covers_each(shape, x[start:end], y[start:end])) + start
+                    if len(hit):
+                        first = pa.array(np.zeros(len(hit), np.int64))
+                        yield pa.RecordBatch.from_arrays([batch.column("place_id").take(pa.array(hit)), boundary.take(first), level.take(first)], ["place_id", "boundary_id", "level"])
+            start = end
+
+
+def matches(points: DataFrame, covering: DataFrame, low: int = 4, high: int = 16, most: int = 50_000) -> DataFrame:
+    """place_id, boundary_id, level. Tiles inside a boundary need no test; for the others the shapes go, once each, to
+    where the points of their tile are. A tile of over `most` points is dealt out in several parts."""
+    keys = keyed(points, low, high)
+    sure = keys.join(covering.filter("interior").select("tile_qk", "boundary_id", "level"), "tile_qk").select("place_id", "boundary_id", "level")
+    edge = covering.filter("not interior").select("tile_qk", "boundary_id", "level", "geom")
+    tiles = edge.select("tile_qk").distinct()
+    parts = keys.select("tile_qk").join(tiles, "tile_qk", "left_semi").groupBy("tile_qk").agg(F.ceil(F.count("*") / F.lit(most)).cast("long").alias("parts"))
+    none = lambda c, of: F.lit(None).cast(of.schema[c].dataType).alias(c)
+    shapes = edge.join(parts, "tile_qk").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    shapes = shapes.select("tile_qk", "salt", none("place_id", points), none("lon", points), none("lat", points), "boundary_id", "level", "geom")
+    spots = keys.join(parts, "tile_qk").withColumn("salt", F.pmod(F.xxhash64("place_id"), F.col("parts")))
+    spots = spots.select("tile_qk", "salt", "place_id", "lon", "lat", *[none(c, covering) for c in ("boundary_id", "level", "geom")])
+    met = shapes.union(spots).repartition("tile_qk", "salt").sortWithinPartitions("tile_qk", "salt", F.col("geom").isNull())
+    kinds = ", ".join(f"{c} {of.schema[c].dataType.simpleString()}" for c, of in (("place_id", points), ("boundary_id", covering), ("level", covering)))
+    return sure.union(met.mapInArrow(covered, kinds)).distinct()
 
 
 def relations(matched: DataFrame, assignments: DataFrame, names: DataFrame, prefix: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry
 from ..functions import quadkey as qk
 
-COVERING = "tile_qk string, boundary_id string, level int, interior boolean, geom binary"
+COVERING = "tile_qk string, boundary_id string, level int, interior boolean, geom binary, points long"
 
 
 def tile_box(x: int, y: int, zoom: int) -> tuple[float, float, float, float]:
@@ -26,6 +26,13 @@ def quadkey_of(x: int, y: int, zoom: int) -> str:
     return "".join(str((x >> i & 1) + 2 * (y >> i & 1)) for i in range(zoom - 1, -1, -1))
 
 
+def wider(box: tuple[float, float, float, float]) -> tuple[float, float, float, float]:
+    """A box with a sixteenth of its size more on every side. Shapes are kept clipped to that, so that the edges which
+    clipping adds lie where no point of the tile is."""
+    dx, dy = (box[2] - box[0]) / 16, (box[3] - box[1]) / 16
+    return box[0] - dx, box[1] - dy, box[2] + dx, box[3] + dy
+
+
 def seeds(boundaries: DataFrame, zoom: int = 4) -> DataFrame:
     """Each boundary with every tile of the first level whose box it meets.
 
@@ -52,28 +59,42 @@ def descend(first: int, leaf: int, last: int, capacity: int):
                 while stack:
                     x, y, zoom, shape = stack.pop()
                     box = tile_box(x, y, zoom)
-                    shape = geometry.clip(shape, *box)
-                    if not shape or not geometry.area(shape) > 0:
+                    shape = geometry.clip(shape, *wider(box))
+                    part = geometry.clip(shape, *box)
+                    if not part or not geometry.area(part) > 0:
                         continue
-                    if geometry.fills(shape, *box):
-                        out.append((quadkey_of(x, y, zoom), True, geometry.write(geometry.box(*box))))
-                    elif zoom >= last or (zoom >= leaf and geometry.points(shape) <= capacity):
-                        out.append((quadkey_of(x, y, zoom), False, geometry.write(shape)))
+                    if geometry.fills(part, *box):
+                        out.append((quadkey_of(x, y, zoom), True, None, 5))
+                    elif zoom >= last or (zoom >= leaf and geometry.points(part) <= capacity):
+                        out.append((quadkey_of(x, y, zoom), False, geometry.write(shape), geometry.points(part)))
                     else:
                         stack += [(2 * x + dx, 2 * y + dy, zoom + 1, shape) for dx in (0, 1) for dy in (0, 1)]
+                    if len(out) >= 1000:
+                        yield tiles_of(row, out)
+                        out = []
                 if out:
-                    tile, interior, geom = zip(*out)
-                    n = len(out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tile), pa.array([str(row["boundary_id"])] * n), pa.array([row["level"]] * n, pa.int32()), pa.array(interior), pa.array(geom, pa.binary())],
-                        ["tile_qk", "boundary_id", "level", "interior", "geom"],
-                    )
+                    yield tiles_of(row, out)
 
     return run
 
 
+def tiles_of(row: dict, out: list[tuple[str, bool, bytes | None, int]]) -> pa.RecordBatch:
+    tile, interior, geom, points = zip(*out)
+    kinds = [(tile, pa.string()), ([str(row["boundary_id"])] * len(out), pa.string()), ([row["level"]] * len(out), pa.int32()), (interior, pa.bool_()), (geom, pa.binary()), (points, pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in kinds], ["tile_qk", "boundary_id", "level", "interior", "geom", "points"])
+
+
+def stats(covering: DataFrame, last: int = 16, capacity: int = 5000) -> DataFrame:
+    """zoom, tiles, over_capacity: of each level how many tiles it has, and how many of the last level hold more
+    points than capacity."""
+    zoom = F.length("tile_qk")
+    over = F.sum(F.when((zoom == last) & (F.col("points") > capacity), 1).otherwise(0))
+    return covering.groupBy(zoom.alias("zoom")).agg(F.count("*").alias("tiles"), over.alias("over_capacity"))
+
+
 def cover(boundaries: DataFrame, first: int = 4, leaf: int = 12, last: int = 16, capacity: int = 5000) -> DataFrame:
-    """tile_qk, boundary_id, level, interior, geom: tiles inside a boundary whole, tiles on its border with the part.
+    """tile_qk, boundary_id, level, interior, geom, points: tiles inside a boundary, and tiles on its border with geom,
+    the boundary's part there and a little around (see wider()). points: vertices of the part in the tile itself.
 
     Tiles stop at level `last`, from level `leaf` on where the part has at most `capacity` points. No tile of a
     boundary lies in another of its tiles.

@@ -14,8 +14,8 @@ def density(points: DataFrame, lon: Column, lat: Column, zoom: int = 15) -> Data
 
     Points without a quadkey share one null tile, which no join ever finds.
     """
-    key = F.substring(qk.quadkey(lon, lat), 1, zoom)
-    counted = points.groupBy(key.alias("tile_qk15")).agg(F.log(1 + F.count("*")).alias("density_score"))
+    counted = points.groupBy(qk.number(lon, lat, zoom).alias("tile")).agg(F.log(1 + F.count("*")).alias("density_score"))
+    counted = counted.select(qk.text(F.col("tile"), zoom).alias("tile_qk15"), "density_score")
     # exploding one box works it out once; a plain column would be repeated in every expression over its sides
     box = counted.select("*", F.explode(F.array(F.when(F.col("tile_qk15").isNotNull(), qk.envelope(F.col("tile_qk15"))))).alias("box"))
     return box.select("tile_qk15", "density_score", *[F.col(f"box.{c}").alias(f"tile_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
@@ -68,18 +68,31 @@ def with_scores(places: DataFrame, densities: DataFrame | None, rarities: DataFr
     return places.join(scores, F.col(category) == F.col("_category"), "left").drop("_category")
 
 
-def box_density(boxes: DataFrame, densities: DataFrame, zoom: int = 5) -> DataFrame:
+def box_density(boxes: DataFrame, densities: DataFrame, zoom: int = 15) -> DataFrame:
     """id, avg_density over the tiles that a box meets, edges included; 0 where it meets none.
 
-    boxes: id, xmin, ymin, xmax, ymax. Instead of comparing every box with every tile both go to the cells of a coarse
-    grid; a pair that meets in several cells counts in the first one alone.
+    boxes: id, xmin, ymin, xmax, ymax, no box over the antimeridian. A box goes to the tiles, four at most, of the
+    finest level at which it is no wider and no higher than one of them, and the tiles of densities to their ancestors
+    at the levels that boxes have taken (no more than zoom + 1). So a small box meets the tiles of a small area only,
+    and every pair meets once.
     """
-    size = 360.0 / (1 << zoom)
-    cells = lambda low, high, at: F.explode(F.sequence(F.floor((F.col(low) - at) / size), F.floor((F.col(high) - at) / size)))
-    left = boxes.withColumn("cx", cells("xmin", "xmax", -180)).withColumn("cy", cells("ymin", "ymax", -90))
-    tiles = densities.filter("tile_qk15 is not null")
-    right = tiles.withColumn("cx", cells("tile_xmin", "tile_xmax", -180)).withColumn("cy", cells("tile_ymin", "tile_ymax", -90))
+    one, last = F.lit(1).cast("long"), F.lit((1 << zoom) - 1).cast("long")
+    # A tile that only touches the box's edge is met too: one more on each side.
+    ends = {
+        "west": F.greatest(qk.column_of(F.col("xmin"), zoom) - one, F.lit(0).cast("long")),
+        "east": F.least(qk.column_of(F.col("xmax"), zoom) + one, last),
+        "north": F.greatest(qk.row_of(F.col("ymax"), zoom) - one, F.lit(0).cast("long")),
+        "south": F.least(qk.row_of(F.col("ymin"), zoom) + one, last),
+    }
+    left = boxes.select("id", "xmin", "ymin", "xmax", "ymax", *[c.alias(n) for n, c in ends.items()])
+    wide = F.greatest(F.col("east") - F.col("west"), F.col("south") - F.col("north")) + 1
+    left = left.withColumn("up", F.least(F.ceil(F.log2(wide.cast("double"))).cast("int"), F.lit(zoom)))
+    at = lambda c: F.expr(f"shiftright({c}, up)")
+    left = left.withColumn("x", F.explode(F.sequence(at("west"), at("east")))).withColumn("y", F.explode(F.sequence(at("north"), at("south"))))
+    left = left.withColumn("cell", qk.woven(F.col("x"), F.col("y"))).select("id", "xmin", "ymin", "xmax", "ymax", "up", "cell")
+    levels = sorted(r.up for r in left.select("up").distinct().collect())  # zoom + 1 at most
+    right = densities.filter("tile_qk15 is not null").withColumn("up", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    right = right.withColumn("cell", qk.ancestor(F.col("tile_qk15").cast("long"), F.col("up")))
     meet = (F.col("tile_xmin") <= F.col("xmax")) & (F.col("tile_xmax") >= F.col("xmin")) & (F.col("tile_ymin") <= F.col("ymax")) & (F.col("tile_ymax") >= F.col("ymin"))
-    first = (F.floor((F.greatest("xmin", "tile_xmin") + 180) / size) == F.col("cx")) & (F.floor((F.greatest("ymin", "tile_ymin") + 90) / size) == F.col("cy"))
-    found = left.join(right, ["cx", "cy"]).filter(meet & first).groupBy("id").agg(F.avg("density_score").alias("avg_density"))
+    found = left.join(right, ["up", "cell"]).filter(meet).groupBy("id").agg(F.avg("density_score").alias("avg_density"))
     return boxes.select("id").join(found, "id", "left").select("id", F.coalesce("avg_density", F.lit(0.0)).alias("avg_density"))

@@ -8,29 +8,46 @@ from pyspark.sql import functions as F
 from ..functions import quadkey as qk
 
 
+def _cells(places: DataFrame, high: int) -> DataFrame:
+    """cell (a number), n: how many places each tile of the finest level has."""
+    cell = F.substring("qk17", 1, high).cast("long")
+    return places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+
+
+def _levels(cells: DataFrame, low: int, high: int) -> DataFrame:
+    """Every cell with each of its tiles from level low to high: level, tile (a number)."""
+    rows = cells.select("*", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("level"))
+    return rows.withColumn("tile", qk.ancestor(F.col("cell"), F.lit(high) - F.col("level")))
+
+
+def _counts(cells: DataFrame, low: int, high: int) -> DataFrame:
+    return _levels(cells, low, high).groupBy("level", "tile").agg(F.sum("n").alias("cnt"))
+
+
 def cell_counts(places: DataFrame, low: int, high: int) -> DataFrame:
     """level, qk, cnt for every tile from level low to high.
 
     Places are counted once, at the finest level; the levels above add up those counts.
     """
-    cells = places.filter(qk.is_full(F.col("qk17"))).groupBy(F.substring("qk17", 1, high).alias("cell")).agg(F.count("*").alias("n"))
-    levels = cells.select(F.explode(qk.prefixes(F.col("cell"), low, high)).alias("p"), "n")
-    return levels.groupBy("p.level", "p.qk").agg(F.sum("n").alias("cnt"))
+    return _counts(_cells(places, high), low, high).select("level", qk.text(F.col("tile"), F.col("level")).alias("qk"), "cnt")
 
 
 def assign(places: DataFrame, most: int = 1000, low: int = 6, high: int = 17) -> DataFrame:
     """place_id, tile_qk: the coarsest tile from level low to high that holds at most `most` places, else the finest.
 
-    places: place_id, qk17. The level is chosen per cell of the finest level, so places join once, on their cell.
+    places: place_id, qk17. The level is chosen per cell of the finest level, so places join once, on their cell. A
+    tile that holds too many has only ancestors that do, so a cell's tile lies one level below the finest of those;
+    these are few, a share of 1/most of the places at every level.
     """
     if most < 1 or not 1 <= low <= high <= qk.ZOOM:
         raise ValueError(f"no tiles with most={most}, low={low}, high={high}")
-    rows = places.filter(qk.is_full(F.col("qk17"))).select("place_id", "qk17", F.substring("qk17", 1, high).alias("cell"))
-    counts = cell_counts(places, low, high).filter(F.col("cnt") <= most)
-    cells = rows.select("cell").distinct().select("cell", F.explode(qk.prefixes(F.col("cell"), low, high)).alias("p"))
-    best = cells.select("cell", F.col("p.level").alias("level"), F.col("p.qk").alias("qk")).join(counts, ["level", "qk"]).groupBy("cell").agg(F.min("level").alias("level"))
-    level = F.coalesce("level", F.lit(high))
-    return rows.join(best, "cell", "left").select("place_id", F.substring(F.col("qk17"), F.lit(1), level).alias("tile_qk"))
+    cells = _cells(places, high)
+    full = _counts(cells, low, high).filter(F.col("cnt") > most).select("level", "tile")
+    levels = _levels(cells.select("cell", "n"), low, high)
+    depth = levels.join(full, ["level", "tile"]).groupBy("cell").agg(F.max("level").alias("full"))
+    rows = places.filter(qk.is_full(F.col("qk17"))).select("place_id", "qk17", F.substring("qk17", 1, high).cast("long").alias("cell"))
+    level = F.least(F.coalesce(F.col("full") + 1, F.lit(low)), F.lit(high))
+    return rows.join(depth, "cell", "left").select("place_id", F.substring(F.col("qk17"), F.lit(1), level).alias("tile_qk"))
 
 
 def top(places: DataFrame, n: int = 10_000, always: Column | None = None) -> DataFrame:
@@ -70,7 +87,8 @@ def references(covering: DataFrame, tiles: DataFrame) -> DataFrame:
     """
     cover = covering.select(F.col("boundary_id").alias("place_id"), F.col("tile_qk").alias("cover"))
     grid = tiles.select("tile_qk").distinct()
-    up = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda n: F.substring(F.col(c), F.lit(1), n)))
-    above = cover.select("place_id", up("cover").alias("tile_qk")).distinct().join(grid, "tile_qk").select("place_id", "tile_qk")
-    below = grid.select("tile_qk", up("tile_qk").alias("cover")).join(cover, "cover").select("place_id", "tile_qk")
+    up = lambda c: F.explode(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))).alias("n")
+    head = lambda c: F.substring(F.col(c), F.lit(1), F.col("n"))
+    above = cover.select("place_id", "cover", up("cover")).select("place_id", head("cover").alias("tile_qk")).distinct().join(grid, "tile_qk").select("place_id", "tile_qk")
+    below = grid.select("tile_qk", up("tile_qk")).select("tile_qk", head("tile_qk").alias("cover")).join(cover, "cover").select("place_id", "tile_qk")
     return above.union(below).distinct()
