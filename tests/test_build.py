@@ -56,16 +56,16 @@ def test_freshness(spark, tmp_path):
 def test_tiles_and_manifest(spark, tmp_path):
     rows = [("012301", "b", "b", '{"rkey":"b"}'), ("012301", "a", "a", '{"rkey":"a"}'), ("0123012", "c", "c", '{"rkey":"c"}')]
     records = spark.createDataFrame(rows, "tile_qk string, place_id string, rkey string, record_json string")
-    tiles = sinks.payloads(records, "things", "src", "lic", "now", "repo.example")
-    sinks.publish(tiles, f"{tmp_path}/pub")
+    head = sinks.Head("things", "src", "lic", "now", "repo.example")
+    written = sinks.publish(records, f"{tmp_path}/pub", head)
+    assert {(r.tile_qk, r.n) for r in written.collect()} == {("012301", 2), ("0123012", 1)}
     path = f"{tmp_path}/pub/012301/012301.json.gz"
     first = open(path, "rb").read()
-    sinks.publish(tiles, f"{tmp_path}/pub")
-    assert open(path, "rb").read() == first
+    sinks.publish(records, f"{tmp_path}/pub", head)
+    assert open(path, "rb").read() == first and sorted(os.listdir(f"{tmp_path}/pub/012301")) == ["012301.json.gz", "0123012.json.gz"]
     got = json.loads(gzip.decompress(first))
+    assert list(got) == ["collection", "source", "license", "generated_at", "records"]
     assert [r["value"]["rkey"] for r in got["records"]] == ["a", "b"] and got["records"][0]["uri"] == "https://repo.example/things/a" and got["records"][0]["cid"] is None
-    sinks.write_payloads(tiles, f"{tmp_path}/lines")
-    assert {json.loads(r.value)["collection"] for r in spark.read.text(f"{tmp_path}/lines").collect()} == {"things"}
     sinks.write_by_prefix(records, f"{tmp_path}/records", "tile_qk", 4, "place_id")
     back = scans.text_keys(spark, f"{tmp_path}/records")
     assert {r.tile_qk4 for r in back.collect()} == {"0123"}
@@ -89,17 +89,56 @@ def test_whole_build(spark, tmp_path):
         f"id string, names {NAMES}, subtype string, country string, region string, wikidata string, population long, parent_division_id string, hierarchies {chain}",
     ).write.parquet(f"{tmp_path}/divisions")
     spark.createDataFrame([("c", True, shape(0, 0, 20, 10), (0.0, 0.0, 20.0, 10.0)), ("r", True, shape(0, 0, 10, 10), (0.0, 0.0, 10.0, 10.0))], f"division_id string, is_land boolean, geometry binary, bbox {BOX}").write.parquet(f"{tmp_path}/areas")
-    config = build.Config(f"{tmp_path}/out", {n: f"{tmp_path}/{n}" for n in ("places", "divisions", "areas")}, most=5, summary=10)
+    config = build.Config(f"{tmp_path}/out", {n: f"{tmp_path}/{n}" for n in ("places", "divisions", "areas")}, most=5, summary=10, names={"divisions": "org.divisions"})
     made = build.Build(spark, config)
     out = made.run("places")
-    records = scans.text_keys(spark, f"{out}/records")
+    records = scans.text_keys(spark, f"{tmp_path}/out/places_records")
     one = {r.place_id: json.loads(r.record_json) for r in records.collect()}
     assert len(one) == 30
     within = lambda i: [w["rkey"] for w in one[f"p{i}"]["relations"].get("within", [])]
-    assert within(5) == ["divisions:c", "divisions:r"] and within(15) == ["divisions:c"] and within(25) == []
-    assert json.loads(Files(spark).read_text(f"{out}/manifest.json"))["records"] == 30
-    divisions = scans.text_keys(spark, f"{made.run('divisions')}/records").collect()
+    assert within(5) == ["org.divisions:c", "org.divisions:r"] and within(15) == ["org.divisions:c"] and within(25) == []
+    manifest = json.loads(Files(spark).read_text(f"{out}/manifest.json"))
+    files = [f for _, _, names in os.walk(out) for f in names if f.endswith(".json.gz")]
+    assert manifest["tiles"] == len(files) > 1 and manifest["records"] == records.count()
+    about = json.loads(Files(spark).read_text(f"{out}/collection.json"))
+    assert about["recordCount"] == 30 and about["containmentLevels"] == ["country", "region"] and about["locationTypes"] == ["community.lexicon.location.geo"]
+    assert about["categories"] == [{"value": "bar", "count": 15}, {"value": "inn", "count": 15}] and {"id", "names", "categories"} <= set(about["attributes"])
+    assert float(about["extent"]["west"]) <= 0 <= 29 <= float(about["extent"]["east"]) < 45
+    assert os.readlink(f"{tmp_path}/out/tiles/places/current") == made.when
+    found = sinks.get_record(spark, f"{tmp_path}/out/tiles/places/current", "p7")
+    assert found["uri"] == "https://places.example/places/p7" and found["importance"] >= 0 and found["value"]["name"] == "Place 7" and "importance" not in found["value"]
+    assert sinks.get_record(spark, out, "none") is None and sinks.read_tile(spark, out, "333333") is None
+    run = made.run("divisions")
+    divisions = scans.text_keys(spark, f"{tmp_path}/out/divisions_records").collect()
     assert {r.place_id for r in divisions} == {"c", "r"} and len(divisions) == len({(r.place_id, r.tile_qk) for r in divisions})
+    about = json.loads(Files(spark).read_text(f"{run}/collection.json"))
+    assert about["locationTypes"] == ["community.lexicon.location.bbox"] and about["categories"] == [{"value": "country", "count": 1}, {"value": "region", "count": 1}]
+    with made.alone():
+        with pytest.raises(RuntimeError), made.alone():
+            pass
+    assert not Files(spark).exists(f"{tmp_path}/out/.lock")
+
+
+def test_newest_release_is_built_from(spark, tmp_path):
+    for release in ("1", "2"):
+        spark.range(1).write.parquet(f"{tmp_path}/{release}/division")
+        spark.range(1).write.parquet(f"{tmp_path}/{release}/area")
+    config = build.Config("x", {"divisions": f"{tmp_path}/*/division", "areas": f"{tmp_path}/*/area", "osm": f"{tmp_path}/osm"})
+    got = build.Build(spark, config).config.inputs
+    assert got["areas"].endswith("/2/area") and got["divisions"].endswith("/2/division") and got["ways"].endswith("osm/type=way")
+
+
+def test_description_of_nothing_and_of_summary_tiles(spark):
+    records = spark.createDataFrame([("01", "a", '{"attributes":{"x":1,"y":null}}'), ("01", "b", '{"attributes":{"z":1}}')], "tile_qk string, rkey string, record_json string")
+    about = export.collection(records, None, "osm", {"collection": "c"})
+    assert about["extent"] == {"north": "85.051129", "south": "66.513260", "east": "0.000000", "west": "-90.000000"} or about["extent"]["east"] == "0.000000"
+    assert about["attributes"] == ["x", "y", "z"] and about["recordCount"] == 2 and "containmentLevels" not in about
+    assert export.collection(records.limit(0), None, "osm", {}) is None
+    assert export.describe("r", {"a": True, "b": False}) == {"did": "did:web:r", "collections": [{"collection": "a", "metadata": "https://r/org.atgeo.collection/a"}, {"collection": "b"}]}
+
+
+def test_sql_takes_the_parameters_that_it_names(spark):
+    assert scans.execute(spark, "select :a + 1 as x, ':b' as y, cast('1' as int) z", {"a": 1, "b": 2}).first().x == 2
 
 
 def test_density_of_a_stream(spark, tmp_path):
@@ -123,5 +162,5 @@ def test_every_category_is_counted(spark, tmp_path):
     got = spark.read.json(f"{tmp_path}/categories").collect()
     assert {r.category: r.n for r in got} == want and len(got) == len(want) > 1000
     rows = queries.tile_assignment(spark, SF).join(queries.scored(spark, SF).select("place_id", "category"), "place_id")
-    plain = rows.groupBy("category").agg(F.countDistinct("place_id").alias("n"), F.countDistinct("tile_qk").alias("n_tiles"))
+    plain = rows.filter("category is not null").groupBy("category").agg(F.countDistinct("place_id").alias("n"), F.countDistinct("tile_qk").alias("n_tiles"))
     assert sorted(map(tuple, queries.collection_stats(spark, SF).collect())) == sorted(map(tuple, plain.collect()))

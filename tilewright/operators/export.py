@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text as js
 from ..functions import quadkey as qk
+from ..functions import scoring
 
 
 def text(value: str) -> Column:
@@ -139,16 +140,18 @@ def parse_box(text: str) -> tuple[float, float, float, float]:
 def coverage(tiles: DataFrame, box: tuple[float, float, float, float], most: int = 50, regular: int = 6) -> DataFrame:
     """tile_qk of the tiles that meet the box: regular ones, or where those are over `most`, all summary ones.
 
-    tiles: tile_qk. Raises BadBox where there are too many and no summary tiles at all.
+    tiles: tile_qk. Raises BadBox where there are too many and no summary tiles at all. One job counts what decides;
+    the result reads tiles once more, so a table of tiles is better than a plan that makes them.
     """
+    fine = F.length("tile_qk") >= regular
     distinct = tiles.select("tile_qk").distinct()
-    hits = distinct.filter(qk.overlaps(qk.envelope(F.col("tile_qk")), box))
-    fine = hits.filter(F.length("tile_qk") >= regular)
-    if fine.limit(most + 1).count() <= most:
-        return fine
-    if distinct.filter(F.length("tile_qk") < regular).isEmpty():
+    # Exploding one box works it out once for all comparisons.
+    boxed = distinct.select("tile_qk", F.explode(F.array(qk.envelope(F.col("tile_qk")))).alias("box"))
+    hit = qk.overlaps(F.col("box"), box)
+    found = boxed.agg(F.count_if(hit & fine).alias("fine"), F.count_if(~fine).alias("coarse")).first()
+    if found.fine > most and not found.coarse:
         raise BadBox("BboxTooLarge", f"the box meets more than {most} tiles")
-    return hits.filter(F.length("tile_qk") < regular)
+    return boxed.filter(hit & (fine if found.fine <= most else ~fine)).select("tile_qk")
 
 
 def category_counts(places: DataFrame, category: Column) -> DataFrame:
@@ -156,9 +159,54 @@ def category_counts(places: DataFrame, category: Column) -> DataFrame:
     return places.groupBy(category.alias("category")).agg(F.count("*").alias("n")).filter("category is not null")
 
 
-def collection_stats(records: DataFrame) -> dict:
-    """Small aggregates for a collection's description: records, tiles, extent."""
-    one = records.agg(F.countDistinct("rkey").alias("records"), F.countDistinct("tile_qk").alias("tiles")).first()
-    box = records.select("tile_qk").distinct().select(qk.envelope(F.col("tile_qk")).alias("e"))
-    edge = box.agg(*[F.round(f(f"e.{c}"), 6).alias(c) for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]).first()
-    return {"records": one.records, "tiles": one.tiles, "extent": edge.asDict()}
+#: The kinds of places that records of a source carry; fixed values.
+LOCATION_TYPES = {
+    "places": ["community.lexicon.location.geo"],
+    "osm": ["community.lexicon.location.geo"],
+    "divisions": ["community.lexicon.location.bbox"],
+}
+ADDRESS = "community.lexicon.location.address"
+
+
+def extent(tiles: DataFrame, regular: int = 6) -> dict[str, str] | None:
+    """Bounds of the regular tiles, or of all where there are none, as text of six decimals; None without tiles."""
+    box = tiles.select("tile_qk").distinct().select((F.length("tile_qk") >= regular).alias("regular"), F.explode(F.array(qk.envelope(F.col("tile_qk")))).alias("e"))
+    sides = {"north": F.max("e.ymax"), "south": F.min("e.ymin"), "east": F.max("e.xmax"), "west": F.min("e.xmin")}
+    found = box.groupBy("regular").agg(*[F.format_string("%.6f", v).alias(k) for k, v in sides.items()]).orderBy(F.desc("regular")).first()
+    return found and {k: found[k] for k in sides}
+
+
+def attribute_keys(records: DataFrame) -> DataFrame:
+    """key: every key that stands in the attributes of a record's JSON."""
+    return records.select(F.explode(F.json_object_keys(F.get_json_object("record_json", "$.attributes"))).alias("key")).distinct()
+
+
+def containment_levels(relations: DataFrame) -> DataFrame:
+    """level: every level that stands in relations_json."""
+    within = F.from_json("relations_json", "within array<struct<level:int>>")["within"]["level"]
+    return relations.select(F.explode(within).alias("level")).distinct().filter("level is not null")
+
+
+def collection(records: DataFrame, relations: DataFrame | None, source: str, about: dict, attribution: str = "") -> dict | None:
+    """What describes a published collection, but for its categories; None where it has no tile and so no extent.
+
+    records: tile_qk, rkey, record_json. relations: relations_json. about: collection, source, license, generatedAt.
+    Everything that comes to the driver is bounded by the schema: keys, levels, one row of counts.
+    """
+    sides = extent(records)
+    if sides is None:
+        return None
+    kinds = list(LOCATION_TYPES[source])
+    if source == "places" and not records.filter(F.contains("record_json", F.lit(ADDRESS))).isEmpty():
+        kinds.append(ADDRESS)
+    names = {v: k for k, v in scoring.LEVELS.items()}
+    levels = sorted(r.level for r in containment_levels(relations).collect()) if relations is not None else []
+    out = about | {"recordCount": records.agg(F.countDistinct("rkey").alias("n")).first().n, "extent": sides, "locationTypes": kinds}
+    more = {"attribution": attribution, "containmentLevels": [names[x] for x in levels if x in names], "attributes": sorted(r.key for r in attribute_keys(records).collect())}
+    return out | {k: v for k, v in more.items() if v}
+
+
+def describe(repo: str, collections: dict[str, bool]) -> dict:
+    """The collections that are served; the value says whether a description of one is there to link to."""
+    link = lambda name: {"metadata": f"https://{repo}/org.atgeo.collection/{name}"}
+    return {"did": f"did:web:{repo}", "collections": [{"collection": name, **(link(name) if known else {})} for name, known in collections.items()]}

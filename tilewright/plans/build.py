@@ -1,24 +1,35 @@
 """The whole build: scores, imports, covering, tiles, containment, export; every artifact only when it isn't fresh.
 
-python -m tilewright.plans.build places|osm|divisions --config build.json
+python -m tilewright.plans.build places|osm|divisions|all|density|idf|covering --config build.json
+
+A run is published as tiles/<source>/<time>/<first six digits>/<tile>.json.gz with its record_tiles, collection.json
+and, last, manifest.json; then tiles/<source>/current points at it and all but the two newest whole runs go.
 """
 
 from __future__ import annotations
 
 import argparse
+import contextlib
 import json
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import containment, covering, export, importers, lookups, tiles
 from ..sources import scans, sinks
+from ..sources.hadoop import Files
 
 
 @dataclass
 class Config:
-    """Where things lie and what the stages use. inputs: name -> glob (places; nodes, ways, relations; divisions, areas)."""
+    """Where things lie and what the stages use.
+
+    inputs: name -> glob (places; nodes, ways, relations; divisions, areas), or osm -> a folder with type=node and so
+    on. Where a pattern has the segment /*/, its newest release counts. names: the collection of each source. tiles:
+    source, license and attribution that every tile and description carries.
+    """
 
     output: str
     inputs: dict[str, str]
@@ -28,12 +39,49 @@ class Config:
     summary: int = 10_000
     repo: str = "places.example"
     generated_at: str = ""
+    names: dict[str, str] = field(default_factory=dict)
     tiles: dict[str, str] = field(default_factory=lambda: {"source": "", "license": ""})
 
 
+def load(path: str) -> Config:
+    """Config from JSON, or from YAML where a reader for it is installed."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        return Config(**yaml.safe_load(text))
+    return Config(**json.loads(text))
+
+
 class Build:
     def __init__(self, spark: SparkSession, config: Config):
         self.spark, self.config = spark, config
+        self.when = config.generated_at or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+        inputs = dict(config.inputs)
+        if "osm" in inputs:
+            root = inputs.pop("osm").rstrip("/")
+            inputs |= {f"{t}s": f"{root}/type={t}" for t in scans.OSM_PARTS}
+        # Divisions and their areas, and the three kinds of elements, come from one release each.
+        for group in (("places",), ("nodes", "ways", "relations"), ("divisions", "areas")):
+            released = [n for n in group if "/*/" in inputs.get(n, "")]
+            if released:
+                inputs |= zip(released, scans.newest_release(spark, *[inputs[n] for n in released]))
+        config.inputs = inputs
+
+    def name(self, source: str) -> str:
+        return self.config.names.get(source, source)
+
+    @contextlib.contextmanager
+    def alone(self):
+        """No two builds write to one output; a lock that a broken build left is to be removed by hand."""
+        files, lock = Files(self.spark), f"{self.config.output}/.lock"
+        if not files.claim(lock):
+            raise RuntimeError(f"{lock}: another build is at work")
+        try:
+            yield
+        finally:
+            files.delete(lock)
 
     def read(self, name: str) -> DataFrame:
         return scans.scan(self.spark, self.config.inputs[name])
@@ -50,7 +98,10 @@ class Build:
         middle = lambda a, b: (F.col(f"bbox.{a}") + F.col(f"bbox.{b}")) / 2
         source = [self.config.inputs["places"]]
         dens = self.artifact("density", lambda: lookups.density(places, middle("xmin", "xmax"), middle("ymin", "ymax")), source, {}, "tile_qk15")
-        return dens, self.artifact("idf", lambda: lookups.rarity(places, F.col("categories.primary")), source, {}, "category")
+        idf = self.artifact("idf", lambda: lookups.rarity(places, F.col("categories.primary")), source, {}, "category")
+        lookups.require_unique(dens, "density", "tile_qk15")
+        lookups.require_unique(idf, "idf", "category")
+        return dens, idf
 
     def places(self, source: str) -> tuple[DataFrame, str]:
         """The imported table and the name of its key."""
@@ -80,10 +131,22 @@ class Build:
             chosen = cover.join(summary.select(F.col("place_id").alias("boundary_id")).distinct(), "boundary_id", "left_semi")
             regular = tiles.references(cover, regular.filter(F.length("tile_qk") >= self.config.low)).unionByName(regular).distinct()
             summary = tiles.references(chosen, summary).unionByName(summary).distinct()
-        return tiles.bands(regular, summary)
+        found = tiles.bands(regular, summary)
+        path = f"{self.config.output}/{source}_assignments"
+        sinks.write_sorted(found, path, "tile_qk")
+        found = self.spark.read.parquet(path)
+        if double := tiles.repeated(found).first():
+            raise ValueError(f"{double.place_id} stands {double.n} times in tile {double.tile_qk}")
+        return found
+
+    def categories(self, source: str, places: DataFrame) -> DataFrame:
+        """category, n: from the rarities of all that the source holds, for divisions from those imported."""
+        if source == "places":
+            return self.scores()[1].select("category", F.col("n_places").alias("n"))
+        return export.category_counts(places, F.col("primary_category" if source == "osm" else "subtype"))
 
     def run(self, source: str) -> str:
-        """Builds and publishes the records of a source; returns where they are."""
+        """Builds and publishes the records of a source; returns the run's folder."""
         c = self.config
         places, key = self.places(source)
         assigned = self.assignments(places, key, source)
@@ -97,32 +160,48 @@ class Build:
                 lon, lat = ("longitude", "latitude") if source == "osm" else ("(bbox.xmin + bbox.xmax) / 2", "(bbox.ymin + bbox.ymax) / 2")
                 spots = places.select(F.col(key).alias("place_id"), F.expr(lon).alias("lon"), F.expr(lat).alias("lat"), "qk17")
                 matched = containment.matches(spots, self.covering())
-            related = containment.relations(matched, assigned, names, "divisions")
+            related = containment.relations(matched, assigned, names, self.name("divisions"))
+            sinks.write_sorted(related, f"{c.output}/{source}_containment", "tile_qk")
+            related = self.spark.read.parquet(f"{c.output}/{source}_containment")
         record = {"places": lambda: export.place_record(dict(places.dtypes)), "osm": export.osm_record, "divisions": export.division_record}[source]()
         rkey = export.osm_rkey(F.col("rkey")) if source == "osm" else F.col("id").cast("string")
-        out = f"{c.output}/tiles/{source}"
-        records = export.tile_records(places, key, assigned, related, record, rkey)
-        sinks.write_by_prefix(records, f"{out}/records", "tile_qk", 6, "place_id")
-        records = scans.text_keys(self.spark, f"{out}/records")
-        payloads = sinks.payloads(records, source, c.tiles.get("source", ""), c.tiles.get("license", ""), c.generated_at, c.repo)
-        sinks.write_payloads(payloads, f"{out}/payloads")
-        category = F.col("primary_category") if source == "osm" else F.col("categories.primary") if source == "places" else F.col("subtype")
-        sinks.write_counts(export.category_counts(places, category), f"{out}/categories")
-        sinks.write_manifest(records, out, {"collection": source, "generated_at": c.generated_at, "categories": "categories", **export.collection_stats(records)})
+        root = f"{c.output}/tiles/{source}"
+        out = f"{root}/{self.when}"
+        sinks.write_by_prefix(export.tile_records(places, key, assigned, related, record, rkey), f"{c.output}/{source}_records", "tile_qk", 6, "place_id")
+        records = scans.text_keys(self.spark, f"{c.output}/{source}_records")
+        head = sinks.Head(self.name(source), c.tiles.get("source", ""), c.tiles.get("license", ""), self.when, c.repo)
+        written = sinks.publish(records, out, head)
+        counts = self.categories(source, places)
+        sinks.write_counts(counts, f"{out}/categories")
+        about = {"collection": head.collection, "source": head.source, "license": head.license, "generatedAt": self.when}
+        described = export.collection(records, related, source, about, c.tiles.get("attribution", ""))
+        if described:
+            # As many as the taxonomy has; they come to the driver row by row.
+            rows = self.spark.read.json(f"{out}/categories").orderBy(F.desc("n"), "category").toLocalIterator()
+            listed = [{"value": r.category, "count": r.n} for r in rows] if counts.columns and not counts.isEmpty() else []
+            sinks.write_json(self.spark, f"{out}/collection.json", described | ({"categories": listed} if listed else {}))
+        total = written.agg(F.count("*").alias("tiles"), F.sum("n").alias("n")).first()
+        sinks.write_manifest(records, out, {"collection": head.collection, "generated_at": self.when, "tiles": total.tiles, "records": total.n or 0})
+        sinks.make_current(self.spark, root, self.when)
+        sinks.retain(self.spark, root)
         return out
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("source", choices=["places", "osm", "divisions", "all"])
-    parser.add_argument("--config", required=True, help="JSON with the fields of Config")
-    args = parser.parse_args()
-    with open(args.config, encoding="utf-8") as f:
-        config = Config(**json.load(f))
-    build = Build(SparkSession.builder.getOrCreate(), config)
     known = {"divisions": "divisions", "places": "places", "osm": "nodes"}
-    for source in [s for s, name in known.items() if name in config.inputs] if args.source == "all" else [args.source]:
-        print(build.run(source))
+    parser.add_argument("what", choices=[*known, "all", "density", "idf", "covering"])
+    parser.add_argument("--config", required=True, help="JSON or YAML with the fields of Config")
+    args = parser.parse_args()
+    build = Build(SparkSession.builder.getOrCreate(), load(args.config))
+    with build.alone():
+        if args.what in ("density", "idf"):
+            build.scores()
+        elif args.what == "covering":
+            covering.stats(build.covering()).orderBy("zoom").show(100)
+        else:
+            for source in [s for s, name in known.items() if name in build.config.inputs] if args.what == "all" else [args.what]:
+                print(build.run(source))
 
 
 if __name__ == "__main__":

@@ -60,3 +60,9 @@ class Files:
             return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
         finally:
             stream.close()
+
+    def claim(self, path: str) -> bool:
+        """Makes a file that must not exist yet; False where it does."""
+        fs, p = self._at(path)
+        fs.mkdirs(p.getParent())
+        return fs.createNewFile(p)

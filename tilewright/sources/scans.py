@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -50,3 +52,9 @@ def text_keys(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     finally:
         spark.conf.set(name, before)
+
+
+def execute(spark: SparkSession, query: str, parameters: dict) -> DataFrame:
+    """SQL with those of the parameters that it names as :name."""
+    named = set(re.findall(r"(?<![:\w]):([A-Za-z_]\w*)", query))
+    return spark.sql(query, args={k: v for k, v in parameters.items() if k in named})

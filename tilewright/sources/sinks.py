@@ -5,13 +5,14 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import json_text as js
 from ..operators import export
 from .hadoop import Files
 
@@ -66,41 +67,94 @@ def build_artifact(frame: DataFrame, path: str, inputs: list[str], parameters: d
     files.write_text(f"{path}.meta.json", json.dumps({"inputs": inputs, "parameters": parameters}))
 
 
-def payloads(records: DataFrame, collection: str, source: str, license_url: str, generated_at: str, repo: str) -> DataFrame:
-    """tile_qk, payload: the JSON of each tile, records in order of place_id. The assignment bounds a tile's records."""
-    value = export.wrapped(repo, collection)
-    rows = records.select("tile_qk", F.struct(F.col("place_id").cast("string").alias("place_id"), value.alias("value")).alias("r"))
-    grouped = rows.groupBy("tile_qk").agg(F.array_sort(F.collect_list("r")).alias("r"))
-    quoted = lambda v: js.quoted(F.lit(v))
-    head = {"collection": quoted(collection), "source": quoted(source), "license": quoted(license_url), "generated_at": quoted(generated_at)}
-    body: Column = js.whole_object(head | {"records": export.listed(F.transform("r", lambda r: r["value"]))})
-    return grouped.select("tile_qk", body.alias("payload"))
+@dataclass(frozen=True)
+class Head:
+    """What every tile says of itself."""
 
+    collection: str
+    source: str
+    license: str
+    generated_at: str
+    repo: str
 
-def write_payloads(tiles: DataFrame, path: str) -> None:
-    """Gzipped lines in folders by the first six digits, on any file system that Spark writes to."""
-    rows = tiles.withColumn("qk6", F.substring("tile_qk", 1, 6)).repartitionByRange("qk6", "tile_qk").sortWithinPartitions("qk6", "tile_qk")
-    rows.select("qk6", "payload").write.mode("overwrite").partitionBy("qk6").option("compression", "gzip").text(path)
+    def text(self) -> str:
+        fields = {"collection": self.collection, "source": self.source, "license": self.license, "generated_at": self.generated_at}
+        return json.dumps(fields, ensure_ascii=False, separators=(",", ":"))[:-1]
 
 
-def publish(tiles: DataFrame, root: str) -> None:
-    """One file a tile, root/<first six digits>/<tile>.json.gz, the same bytes for the same tile.
+def publish(records: DataFrame, root: str, head: Head) -> DataFrame:
+    """Writes one file a tile, root/<first six digits>/<tile>.json.gz, and returns tile_qk and n, its records.
 
-    root is a folder that all executors mount. A task that runs twice replaces its files by equal ones.
+    records: tile_qk, place_id, rkey, record_json; within a tile in order of place_id. root is a path or an address of
+    a file system that every executor reaches. Records run through a file that is open, so a task never holds a tile,
+    however large. The same records give the same bytes: a task that runs twice replaces its files by equal ones.
     """
-
-    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for tile, payload in zip(part.tile_qk, part.payload):
-                folder = os.path.join(root, tile[:6])
-                os.makedirs(folder, exist_ok=True)
-                path = os.path.join(folder, f"{tile}.json.gz")
-                with open(f"{path}.{os.getpid()}", "wb") as f:
-                    f.write(gzip.compress(payload.encode(), mtime=0))
-                os.replace(f"{path}.{os.getpid()}", path)
-            yield part[["tile_qk"]]
-
-    tiles.mapInPandas(write, "tile_qk string").write.format("noop").mode("overwrite").save()
+    rows = records.select("tile_qk", F.col("place_id").cast("string").alias("place_id"), export.wrapped(head.repo, head.collection).alias("value"))
+    dealt = rows.repartitionByRange(F.substring("tile_qk", 1, 6), "tile_qk").sortWithinPartitions("tile_qk", "place_id")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("/") else os.path.abspath(root))
+        at, out, n = None, None, 0
+
+        def close() -> pa.RecordBatch:
+            out.write(b"]}")
+            out.close()
+            stream.close()
+            system.move(f"{base}/{at[:6]}/.{at}.{mark}", f"{base}/{at[:6]}/{at}.json.gz")
+            return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([n], pa.int64())], ["tile_qk", "n"])
+
+        mark = uuid.uuid4().hex
+        for batch in batches:
+            for tile, value in zip(batch.column("tile_qk").to_pylist(), batch.column("value").to_pylist()):
+                if tile != at:
+                    if at is not None:
+                        yield close()
+                    at, n = tile, 0
+                    system.create_dir(f"{base}/{at[:6]}", recursive=True)
+                    stream = system.open_output_stream(f"{base}/{at[:6]}/.{at}.{mark}", compression=None)
+                    out = gzip.GzipFile("", "wb", fileobj=stream, mtime=0)
+                    out.write(f'{head.text()},"records":['.encode())
+                out.write((b"," if n else b"") + value.encode())
+                n += 1
+        if at is not None:
+            yield close()
+
+    written = dealt.mapInArrow(write, "tile_qk string, n long")
+    written.write.mode("overwrite").parquet(f"{root}/tiles")
+    return records.sparkSession.read.schema("tile_qk string, n long").parquet(f"{root}/tiles")
+
+
+def make_current(spark: SparkSession, root: str, run: str) -> None:
+    """Points root/current at a run: a link where root is a local folder, else a file that holds the run's name."""
+    if "://" in root:
+        Files(spark).write_text(f"{root}/current", run)
+        return
+    link = f"{root}/current.{uuid.uuid4().hex}"
+    os.symlink(run, link)
+    os.replace(link, f"{root}/current")
+
+
+def read_tile(spark: SparkSession, run: str, tile: str) -> dict | None:
+    """A published tile; None where there is none."""
+    path = f"{run}/{tile[:6]}/{tile}.json.gz"
+    return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())) if Files(spark).exists(path) else None
+
+
+def get_record(spark: SparkSession, run: str, rkey: str) -> dict | None:
+    """A published record by its key: uri, source, license, importance apart from it, and value; None if unknown.
+
+    Any tile of a record holds the same text, so the first that record_tiles names will do.
+    """
+    found = spark.read.parquet(f"{run}/record_tiles").filter(F.col("rkey") == rkey).select("tile_qk").first()
+    tile = found and read_tile(spark, run, found.tile_qk)
+    for record in (tile or {"records": []})["records"]:
+        value = record["value"]
+        if value["rkey"] == rkey:
+            score = {"importance": value.pop("importance")} if "importance" in value else {}
+            return {"uri": record["uri"], "source": tile["source"], "license": tile["license"], **score, "value": value}
+    return None
 
 
 def write_counts(counts: DataFrame, path: str) -> None:
@@ -108,10 +162,14 @@ def write_counts(counts: DataFrame, path: str) -> None:
     counts.orderBy(F.desc("n"), "category").write.mode("overwrite").json(path)
 
 
+def write_json(spark: SparkSession, path: str, data: dict) -> None:
+    Files(spark).write_text(path, json.dumps(data, indent=2))
+
+
 def write_manifest(records: DataFrame, path: str, metadata: dict) -> None:
     """rkey, tile_qk sorted by rkey, and manifest.json last: without it the run isn't complete."""
     write_sorted(records.select("rkey", "tile_qk").distinct(), f"{path}/record_tiles", "rkey")
-    Files(records.sparkSession).write_text(f"{path}/manifest.json", json.dumps(metadata))
+    write_json(records.sparkSession, f"{path}/manifest.json", metadata)
 
 
 def find_record(manifest: DataFrame, records: DataFrame, rkey: str) -> str | None:
@@ -126,7 +184,7 @@ def find_record(manifest: DataFrame, records: DataFrame, rkey: str) -> str | Non
 def retain(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Deletes runs under root but the newest `keep` complete ones; returns what stays. Names sort by time."""
     files = Files(spark)
-    runs = [n for n in files.names(root) if n != "current"]
+    runs = [n for n in files.names(root) if not n.startswith("current")]
     complete = [n for n in runs if files.exists(f"{root}/{n}/manifest.json")]
     stay = complete[-keep:]
     for name in runs:
