@@ -108,18 +108,17 @@ def idf_union3(spark, sf_dir):
     return lookups.rarity(arms[0].unionByName(arms[1]).unionByName(arms[2]), F.col("category")).withColumn("idf_score", F.round("idf_score", 9))
 
 
-CATEGORY_OF_ORDER = "'kind=' || (place_id % 40)"
+CATEGORY_OF_ORDER = "CASE WHEN place_id % 41 > 0 THEN 'kind=' || (place_id % 40) END"
 IMPORTANCE_SQL = f"""{px.POINTS_SQL}, {DENSITY_SQL}, cat AS (SELECT *, {CATEGORY_OF_ORDER} AS category FROM pts),
-    idf AS (SELECT category, ln((SELECT count(*) FROM cat) / count(*)) AS idf_score FROM cat WHERE place_id % 3 > 0 GROUP BY 1),
+    idf AS (SELECT category, ln((SELECT count(*) FROM cat WHERE category IS NOT NULL) / count(*)) AS idf_score FROM cat WHERE category IS NOT NULL GROUP BY 1),
     scored AS (SELECT place_id, lon, lat, qk17, category, CAST(round(60 * least(coalesce(density_score, 0) / 10, 1.0) + 40 * least(coalesce(idf_score, 0) / 18, 1.0)) AS INTEGER) AS importance
                FROM cat LEFT JOIN dens ON dens.tile_qk15 = left(qk17, 15) LEFT JOIN idf USING (category))"""
 
 
 def scored(spark, sf_dir):
-    places = px.points(spark, sf_dir).withColumn("category", F.concat(F.lit("kind="), (F.col("place_id") % 40).cast("string")))
-    total = places.agg(F.count("*").alias("total"))
-    idf = places.filter("place_id % 3 > 0").groupBy("category").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("category", F.log(F.col("total") / F.col("n")).alias("idf_score"))
-    out = lookups.with_scores(places, densities(spark, sf_dir), idf)
+    category = F.when(F.col("place_id") % 41 > 0, F.concat(F.lit("kind="), (F.col("place_id") % 40).cast("string")))
+    places = px.points(spark, sf_dir).withColumn("category", category)
+    out = lookups.with_scores(places, densities(spark, sf_dir), lookups.rarity(places, F.col("category")))
     return out.withColumn("importance", scoring.place_importance(F.col("density_score"), F.col("idf_score")))
 
 
@@ -408,7 +407,7 @@ def record_tiles(spark, sf_dir):
     return tile_assignment(spark, sf_dir).select(export.osm_rkey(F.concat(kind, F.col("place_id").cast("string"))).alias("rkey"), "tile_qk")
 
 
-@query(f"WITH {IMPORTANCE_SQL}, a AS ({assigned_sql('pts', 50, 1, 17)}) SELECT category, count(DISTINCT place_id) AS n, count(DISTINCT tile_qk) AS n_tiles FROM a JOIN scored USING (place_id) GROUP BY 1")
+@query(f"WITH {IMPORTANCE_SQL}, a AS ({assigned_sql('pts', 50, 1, 17)}) SELECT category, count(DISTINCT place_id) AS n, count(DISTINCT tile_qk) AS n_tiles FROM a JOIN scored USING (place_id) WHERE category IS NOT NULL GROUP BY 1")
 def collection_stats(spark, sf_dir):
     rows = tile_assignment(spark, sf_dir).join(scored(spark, sf_dir).select("place_id", "category"), "place_id")
     counts = export.category_counts(rows.select("place_id", "category").distinct(), F.col("category"))
@@ -487,3 +486,145 @@ def shallow_json(spark, sf_dir):
     nested = F.struct(F.lit(None).cast("int").alias("x"), F.col("n_regionkey").alias("y"))
     fields = {"a": (F.col("n_name"), "string"), "b": (F.when(F.col("n_nationkey") % 2 == 0, F.col("n_regionkey")), "int"), "c": (nested, "struct<x:int,y:int>"), "d": (F.lit(None).cast("string"), "string")}
     return px.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), js.shallow_object(fields).alias("json"))
+
+
+@query(f"WITH {px.POINTS_SQL} SELECT place_id, qk17 FROM pts WHERE starts_with(qk17, '120')")
+def qk_range(spark, sf_dir):
+    return px.points(spark, sf_dir).filter(qk.within(F.col("qk17"), "120")).select("place_id", "qk17")
+
+
+PEOPLE_SQL = "greatest(coalesce(CAST(trunc(c_acctbal * 1000) AS BIGINT), 0), 0)"
+
+
+@query(
+    f"SELECT c_custkey AS id, CAST(round(CASE WHEN c_custkey % 3 = 0 THEN 60 * least(coalesce(CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 14 END, 0) / 10, 1.0) ELSE 0 END + 40 * least(ln(1 + {PEOPLE_SQL}) / 20, 1.0)) AS INTEGER) AS importance FROM customer"
+)
+def locality_importance(spark, sf_dir):
+    key = F.col("c_custkey")
+    subtype = F.when(key % 3 == 0, "locality").when(key % 3 == 1, "region")
+    density = F.when(key % 5 > 0, (key % 14).cast("double"))
+    people = scoring.population((F.col("c_acctbal") * 1000).cast("long"))
+    return px.table(spark, sf_dir, "customer").select(key.alias("id"), scoring.division_importance(subtype, density, people).alias("importance"))
+
+
+@query(
+    f"""WITH {px.POINTS_SQL}, {px.BOXES_SQL}, a AS ({assigned_sql('pts', 50, 1, 17)}), r AS (
+        SELECT a.tile_qk, p.place_id, '{{"within":[' || string_agg('{{"rkey":"division:' || boundary_id || '","name":"' || name || '","level":' || level || '}}', ',' ORDER BY level, boundary_id) || ']}}' AS relations_json
+        FROM pts AS p JOIN boxes ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax JOIN a USING (place_id) WHERE p.place_id % 4 > 0 GROUP BY 1, 2)
+    SELECT a.tile_qk, a.place_id, '{{"rkey":"' || a.place_id || '","relations":' || coalesce(r.relations_json, '{{}}') || '}}' AS record_json FROM a LEFT JOIN r ON r.tile_qk = a.tile_qk AND r.place_id = a.place_id"""
+)
+def tile_records_with_relations(spark, sf_dir):
+    assigned = tile_assignment(spark, sf_dir)
+    matched = containment_prefix_join(spark, sf_dir).filter("place_id % 4 > 0")
+    related = containment.relations(matched, assigned, px.boxes(spark, sf_dir).select("boundary_id", "name"), "division")
+    rkey = F.col("place_id").cast("string")
+    record = js.whole_object({"rkey": js.quoted(rkey), "relations": F.coalesce("relations_json", F.lit("{}"))})
+    return export.tile_records(px.points(spark, sf_dir), "place_id", assigned, related, record, rkey).select("tile_qk", "place_id", "record_json")
+
+
+@query(f"WITH RECURSIVE {COVER_SQL} SELECT CAST(length(tile_qk) AS INTEGER) AS zoom, count(*) AS tiles, CAST(sum(CASE WHEN length(tile_qk) = 5 AND boundary_id % 2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS over_capacity FROM cover GROUP BY 1")
+def covering_stats(spark, sf_dir):
+    return covering.stats(box_cover(spark, sf_dir).withColumn("points", F.col("boundary_id") % 2), last=5, capacity=0)
+
+
+@query("SELECT DISTINCT unnest(CASE WHEN n_nationkey % 2 = 0 THEN ['id', 'even'] ELSE ['id', 'odd', 'nation=' || n_regionkey] END) AS key FROM nation")
+def attribute_keys(spark, sf_dir):
+    odd = F.concat(F.lit('{"attributes":{"id":1,"odd":{"deep":1},"nation='), F.col("n_regionkey").cast("string"), F.lit('":null}}'))
+    record = F.when(F.col("n_nationkey") % 2 == 0, F.lit('{"attributes":{"id":1,"even":[2]}}')).otherwise(odd)
+    return export.attribute_keys(px.table(spark, sf_dir, "nation").select(record.alias("record_json")))
+
+
+@query(f"WITH {px.POINTS_SQL}, {px.BOXES_SQL} SELECT DISTINCT level FROM pts JOIN boxes ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax")
+def containment_levels(spark, sf_dir):
+    return export.containment_levels(containment_relations(spark, sf_dir))
+
+
+@query(coverage_sql("TRUE").replace("SELECT tile_qk FROM e WHERE TRUE", "SELECT printf('%.6f', max(ymax)) AS north, printf('%.6f', min(ymin)) AS south, printf('%.6f', max(xmax)) AS east, printf('%.6f', min(xmin)) AS west FROM e WHERE length(tile_qk) >= 6 AND xmin > 0 AND ymin > 0"))
+def tile_extent(spark, sf_dir):
+    boxed = all_tiles(spark, sf_dir).distinct().withColumn("e", qk.envelope(F.col("tile_qk")))
+    sides = export.extent(boxed.filter("length(tile_qk) < 6 or (e.xmin > 0 and e.ymin > 0)"))
+    return spark.createDataFrame([tuple(sides.values())], ", ".join(f"{k} string" for k in sides))
+
+
+#: A C open to the west over the borders of tiles, and a boundary of two parts that overlap: (boundary, part) -> ring.
+PARTS = {
+    ("c", 0): [(-100.03, -40.07), (60.17, -42.19), (60.31, 50.37), (-100.41, 50.43), (-100.47, 30.53), (30.59, 30.61), (30.67, -10.71), (-100.73, -10.79)],
+    ("two", 0): [(90.03, -30.07), (144.11, -30.13), (144.17, 40.19), (90.23, 40.29)],
+    ("two", 1): [(90.03, -30.07), (144.11, -30.13), (144.17, 40.19), (90.23, 40.29)],
+    ("two", 2): [(120.31, 20.37), (170.41, 20.43), (170.47, 60.53), (120.59, 60.61)],
+}
+BORDER_POINTS_SQL = f"on_lines AS ({px.quadkey_sql('(SELECT o_orderkey AS place_id, CAST(o_orderkey % 32 AS DOUBLE) * 11.25 - 180 AS lon, ' + px.lat_sql('o_orderkey') + ' AS lat FROM orders)')})"
+
+
+def border_sql() -> str:
+    """Even-odd rule over the edges of each part; any part will do."""
+    edges = [f"('{name}', {part}, {a[0]}, {a[1]}, {b[0]}, {b[1]})" for (name, part), ring in PARTS.items() for a, b in zip(ring, ring[1:] + ring[:1])]
+    return f"""WITH {BORDER_POINTS_SQL}, e(boundary_id, part, ax, ay, bx, b_y) AS (VALUES {', '.join(edges)}), hit AS (
+        SELECT place_id, boundary_id, part FROM on_lines JOIN e ON (ay > lat) <> (b_y > lat) AND lon < ax + (lat - ay) / (b_y - ay) * (bx - ax) GROUP BY ALL HAVING count(*) % 2 = 1)
+    SELECT DISTINCT place_id, boundary_id, CAST(10 AS INTEGER) AS level FROM hit"""
+
+
+@query(border_sql())
+def containment_on_tile_borders(spark, sf_dir):
+    from ..functions import geometry
+
+    rows = []
+    for name in ("c", "two"):
+        shape = geometry.merge([[[geometry.open_ring(ring)]] for (own, _), ring in PARTS.items() if own == name])
+        rows.append((name, 10, bytearray(geometry.write(shape)), *map(float, geometry.bounds(shape))))
+    bounds = spark.createDataFrame(rows, "boundary_id string, level int, geom binary, xmin double, ymin double, xmax double, ymax double")
+    key = F.col("o_orderkey")
+    points = px.table(spark, sf_dir, "orders").select(key.alias("place_id"), ((key % 32).cast("double") * 11.25 - 180).alias("lon"), px.lat(key).alias("lat"))
+    points = points.withColumn("qk17", qk.quadkey(F.col("lon"), F.col("lat")))
+    return containment.matches(points, covering.cover(bounds, first=2, leaf=4, last=6, capacity=4), 2, 6)
+
+
+GEO_SQL = "'{\"$type\":\"community.lexicon.location.geo\",\"latitude\":\"' || CAST(CAST(lat AS DECIMAL(10,6)) AS VARCHAR) || '\",\"longitude\":\"' || CAST(CAST(lon AS DECIMAL(10,6)) AS VARCHAR) || '\"}'"
+
+
+@query(
+    f"""WITH p AS (SELECT *, {px.lat_sql('p_partkey')} AS lat, {px.lon_sql('p_partkey')} AS lon FROM part)
+    SELECT p_partkey AS id, '{{"$type":"org.atgeo.place","rkey":"' || CASE p_partkey % 3 WHEN 0 THEN 'node:' WHEN 1 THEN 'way:' ELSE 'relation:' END || p_partkey || '","name":"' || p_name || '","importance":' || p_size || ',"locations":[' || {GEO_SQL} || '],"variants":[' ||
+        CASE WHEN p_partkey % 2 = 0 THEN '{{"name":"' || p_brand || '","type":"alternate"}},{{"name":"x","type":"short","language":"en"}}' ELSE '' END || '],"attributes":{{"ref":"R' || p_size || '"' || CASE WHEN p_partkey % 5 > 0 THEN ',"shop":"' || p_type || '"' ELSE '' END || '}},"relations":{{}}}}' AS record_json FROM p"""
+)
+def osm_records(spark, sf_dir):
+    key, none = F.col("p_partkey"), F.lit(None).cast("string")
+    kind = F.element_at(F.array(*map(F.lit, "nwr")), (key % 3 + 1).cast("int"))
+    variant = lambda name, kind, language: F.struct(name.alias("name"), F.lit(kind).alias("type"), language.alias("language"))
+    variants = F.when(key % 2 == 0, F.array(variant(F.col("p_brand"), "alternate", none), variant(F.lit("x"), "short", F.lit("en"))))
+    rows = px.table(spark, sf_dir, "part").select(
+        key.alias("id"), F.concat(kind, key.cast("string")).alias("rkey"), F.col("p_name").alias("name"), F.col("p_size").alias("importance"), px.lat(key).alias("latitude"), px.lon(key).alias("longitude"),
+        F.when(key % 5 > 0, F.concat(F.lit("shop="), F.col("p_type"))).alias("primary_category"), F.create_map(F.lit("ref"), F.concat(F.lit("R"), F.col("p_size").cast("string"))).alias("tags"), variants.alias("variants"), none.alias("relations_json"),
+    )
+    return rows.select("id", export.osm_record().alias("record_json"))
+
+
+@query(
+    f"""WITH p AS (SELECT *, ({px.lat_sql('c_custkey')} + ({px.lat_sql('c_custkey')} + 0.5)) / 2 AS lat, ({px.lon_sql('c_custkey')} + ({px.lon_sql('c_custkey')} + 0.25)) / 2 AS lon FROM customer)
+    SELECT c_custkey AS id, '{{"$type":"org.atgeo.place","rkey":"' || c_custkey || '","name":"' || c_name || '","importance":' || c_nationkey || ',"locations":[' || {GEO_SQL} ||
+        CASE WHEN c_custkey % 2 = 0 THEN ',{{"$type":"community.lexicon.location.address","country":"US","region":"CA","street":"' || c_name || '"}}' ELSE '' END || '],"variants":[],"attributes":{{"id":"' || c_custkey || '","names":{{"primary":"' || c_name || '","extra":null}},"categories":{{"primary":"' || c_mktsegment || '"}}' ||
+        CASE WHEN c_custkey % 3 = 0 THEN ',"websites":["http://x",null]' ELSE '' END || ',"confidence":"' || CAST(CAST(0.0625 * (c_custkey % 16) AS DECIMAL(4,3)) AS VARCHAR) || '"}},"relations":{{"within":[]}}}}' AS record_json FROM p"""
+)
+def place_records(spark, sf_dir):
+    key, none = F.col("c_custkey"), F.lit(None).cast("string")
+    address = lambda country: F.struct(country.alias("country"), F.lit("US-CA").alias("region"), none.alias("locality"), F.col("c_name").alias("freeform"), none.alias("postcode"))
+    rows = px.table(spark, sf_dir, "customer").select(
+        key.cast("string").alias("id"), F.struct(px.lon(key).alias("xmin"), (px.lon(key) + 0.25).alias("xmax"), px.lat(key).alias("ymin"), (px.lat(key) + 0.5).alias("ymax")).alias("bbox"),
+        F.struct(F.col("c_name").alias("primary"), none.alias("extra")).alias("names"), F.struct(F.col("c_mktsegment").alias("primary")).alias("categories"), F.col("c_nationkey").alias("importance"),
+        F.when(key % 2 == 0, F.array(address(F.lit("US")), address(none))).alias("addresses"), F.when(key % 3 == 0, F.array(F.lit("http://x"), none)).alias("websites"), (0.0625 * (key % 16)).alias("confidence"),
+        F.lit(None).cast("array<struct<name:string,type:string,language:string>>").alias("variants"), F.lit('{"within":[]}').alias("relations_json"),
+    )
+    return rows.select(F.col("id").cast("long").alias("id"), export.place_record(dict(rows.dtypes)).alias("record_json"))
+
+
+@query(
+    f"""WITH {px.BOXES_SQL} SELECT boundary_id AS id, '{{"$type":"org.atgeo.place","rkey":"' || boundary_id || '","name":"' || name || '","importance":' || level || ',"locations":[{{"$type":"community.lexicon.location.bbox","north":"' || CAST(CAST(ymax AS DECIMAL(10,6)) AS VARCHAR) || '","south":"' || CAST(CAST(ymin AS DECIMAL(10,6)) AS VARCHAR)
+        || '","east":"' || CAST(CAST(xmax AS DECIMAL(10,6)) AS VARCHAR) || '","west":"' || CAST(CAST(xmin AS DECIMAL(10,6)) AS VARCHAR) || '"}}],"variants":[],"attributes":{{"subtype":"country",' || CASE WHEN boundary_id % 2 = 0 THEN '"country":"US",' ELSE '' END || '"level":' || level || ',"population":' || boundary_id * 1000 || '}},"relations":{{}}}}' AS record_json FROM boxes"""
+)
+def division_records(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    rows = px.boxes(spark, sf_dir).select(
+        F.col("boundary_id").alias("id"), F.struct(F.col("name").alias("primary")).alias("names"), F.col("level").alias("importance"), "xmin", "xmax", "ymin", "ymax", F.lit("country").alias("subtype"), F.when(F.col("boundary_id") % 2 == 0, "US").alias("country"),
+        none.alias("region"), "level", none.alias("wikidata"), (F.col("boundary_id") * 1000).alias("population"), F.lit(None).cast("array<struct<name:string,type:string,language:string>>").alias("variants"), none.alias("relations_json"),
+    )
+    return rows.select("id", export.division_record().alias("record_json"))
