@@ -72,3 +72,14 @@ def test_short_lines_go_too(spark, sf):
     want = brute(docs.select("doc_id", "text").collect(), least=1)
     got = {r.doc_id: r.removed for r in line_dedup.op7_line_dedup(spark, sf).collect() if r.n_removed}
     assert got == want and want != brute(docs.select("doc_id", "text").collect())
+
+
+def test_names_of_its_own_in_the_input(spark):
+    docs = spark.createDataFrame([(1, "a b c\nd e f", 7, "g"), (2, "d e f\nx", 8, "h"), (None, "x\ny", 9, None)], "doc_id int, text string, line_dedup_removed int, gone_doc string")
+    out = line_dedup.line_dedup(docs, least=1)
+    assert out.columns == ["doc_id", "text", "gone_doc", "line_dedup_removed"]
+    assert {(r.doc_id, r.text, r.gone_doc): r.line_dedup_removed for r in out.collect()} == {(1, "a b c\nd e f", "g"): [], (2, "x", "h"): [0], (None, "y", None): [0]}
+    again = line_dedup.line_dedup(out, least=1)
+    assert all(r.line_dedup_removed == [] for r in again.collect())
+    kept = line_dedup.without_repeats(docs, least=1)
+    assert kept.columns == docs.columns and sorted((r.text, r.line_dedup_removed) for r in kept.collect()) == [("a b c\nd e f", 7), ("x", 8), ("y", 9)]

@@ -82,3 +82,11 @@ def test_components(spark, edges):
     at = {x: i for i, x in enumerate(nodes)}
     label = common.roots(len(nodes), np.array([at[a] for a, _ in edges], int), np.array([at[b] for _, b in edges], int))
     assert got == {x: nodes[label[at[x]]] for x in nodes}
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    saved = []
+    monkeypatch.setattr(common, "save", lambda frame, save=common.save: saved.append(1) or save(frame))
+    edges = spark.range(1, 5001).selectExpr("id as a", "id + 1 as b")
+    got = common.components(edges).selectExpr("count(*) n", "min(component) low", "max(component) high").first()
+    assert (got.n, got.low, got.high) == (5001, 1, 1) and len(saved) <= 3 * 22 + 2

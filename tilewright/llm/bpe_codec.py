@@ -224,7 +224,7 @@ def bpe_round_trip(documents: DataFrame, vocabulary_file: str | None = None, pat
     doc_id is carried along.
     """
     rows = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
-    return rows.mapInArrow(coded(vocabulary_file, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(common.task(coded(vocabulary_file, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

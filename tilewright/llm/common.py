@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import string
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +17,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch on its way to Python and back.
+BATCH = 4 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From here on the session holds Arrow batches to BATCH bytes. Rows with whole texts are large, and a frame that
+    an operator returns runs later, when no setting around a call would hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def texts(documents: DataFrame) -> DataFrame:
     """doc_id and text, null as empty; whatever else the table holds stays behind."""
+    bound_batches(documents.sparkSession)
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
@@ -32,15 +46,36 @@ def lower_az(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a new local one."""
-    if path := spark.conf.get("spark.checkpoint.dir", None):
-        return path
-    if path := spark.sparkContext.getCheckpointDir():
+    """The folder of spark.checkpoint.dir, or the one set on the context. Where neither is, no folder is known that all
+    executors share: a RuntimeError, but in local mode, which is one process, a new folder for temporary files."""
+    if path := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return path
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tilewright-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def task(run: Callable) -> Callable:
+    """Wraps a mapInArrow function: when its task ends, free memory goes back to the system. Workers live on from
+    task to task and would otherwise each hold what their largest task needed."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def save(frame: DataFrame) -> DataFrame:
     """Cuts lineage: writes frame as a table in the shared folder and reads it back.
 
@@ -73,11 +108,12 @@ def small_batches(spark: SparkSession, rows: int):
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def discard(frame: DataFrame) -> None:
-    """Deletes a table made by save() that no later plan reads."""
-    spark = frame.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(frame.saved_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables made by save() that no later plan reads."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -133,14 +169,18 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node of each connected component, for every node that has an edge.
 
-    edges: long columns a and b, a never equal to b. Each round every node moves to its smallest neighbour and the
-    graph is drawn again over the targets, without doubles; the few rounds that this takes are then put together.
+    edges: long columns a and b, a never equal to b. Each round every node moves to the neighbour whose hash is
+    smallest, unless its own is, and the graph is drawn again over the targets, without doubles. Hashes are in no
+    order that data could have, so a chain of any length shrinks by half a round on average and a star takes two; the
+    logarithmic number of rounds is put together at the end.
     """
+    order = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
     edges = save(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     moves = []
     while True:
         both = edges.select("a", "b").union(edges.select("b", "a"))
-        moves.append(save(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))))
+        least = both.groupBy("a").agg(F.min(order("b")).alias("best"))
+        moves.append(save(least.select(F.col("a").alias("node"), F.least("best", order("a")).getField("v").alias("to"))))
         at = lambda end: moves[-1].select(F.col("node").alias(end), F.col("to").alias(f"to_{end}"))
         moved = edges.join(at("a"), "a").join(at("b"), "b").filter("to_a != to_b")
         following = save(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct())
@@ -148,8 +188,14 @@ def components(edges: DataFrame) -> DataFrame:
         edges = following
         if edges.isEmpty():
             break
-    out = moves[-1].withColumnRenamed("to", "component")
-    for move in reversed(moves[:-1]):
-        ends = out.select(F.col("node").alias("to"), "component")
-        out = move.join(ends, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
-    return save(out)
+    discard(edges)
+    used = [moves.pop()]
+    out = used[0].withColumnRenamed("to", "root")
+    for move in reversed(moves):
+        ends = out.select(F.col("node").alias("to"), "root")
+        out = save(move.join(ends, "to", "left").select("node", F.coalesce("root", "to").alias("root")))
+        used += [move, out]
+    least = out.groupBy("root").agg(F.min("node").alias("component"))
+    found = save(out.join(least, "root").select("node", "component"))
+    discard(*used)
+    return found

@@ -218,7 +218,7 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, settings: Se
     for dim in dims:  # one, but for odd tables
         part = groups.filter(F.size("vector") == dim)
         forest = embeddings.sparkSession.sparkContext.broadcast(fit(part, threshold, dim, settings))
-        leaves = part.mapInArrow(routed(forest, kind), LEAVES)
+        leaves = part.mapInArrow(common.task(routed(forest, kind)), LEAVES)
         # Crowded leaves (at most one in settings.block rows) are dealt out as pairs of blocks.
         counts = leaves.groupBy("label", "leaf").agg(F.count("*").alias("n"))
         crowded = common.save(counts.filter(F.col("n") > 2 * settings.block).select("label", "leaf", F.ceil(F.col("n") / F.lit(settings.block)).cast("long").alias("wide")))
@@ -226,7 +226,7 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, settings: Se
         tasks = tasks.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("wide")))
         tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
         tasks = tasks.withColumn("key", F.xxhash64("label", "leaf", F.least("side", "other"), F.greatest("side", "other"))).drop("other", "wide", "label")
-        done = tasks.repartition("key").sortWithinPartitions("key").mapInArrow(compared(threshold, settings.block, kind), "rep long, links long, root long")
+        done = tasks.repartition("key").sortWithinPartitions("key").mapInArrow(common.task(compared(threshold, settings.block, kind)), "rep long, links long, root long")
         checked = done if checked is None else checked.union(done)
     if checked is None:
         checked = embeddings.sparkSession.createDataFrame([], "rep long, links long, root long")

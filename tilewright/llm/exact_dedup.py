@@ -84,7 +84,7 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
     rows = common.texts(documents).withColumn("text", common.lower_az(F.col("text")))
     rows = rows.withColumn("fingerprint", F.xxhash64("text"))
     bits = quotient_bits(documents.rdd.getNumPartitions())
-    filters = rows.select("fingerprint").mapInArrow(build(bits), FILTER)
+    filters = rows.select("fingerprint").mapInArrow(common.task(build(bits)), FILTER)
     suspects = common.save(filters.groupBy("block").applyInArrow(repeated(bits), "fingerprint long"))
 
     # Bytes decide: grouping by the text itself, combined before the shuffle, so a hot group moves a row a partition.

@@ -7,7 +7,7 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes hashed at a time; arrays of eight times that size are alive meanwhile.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
@@ -39,8 +39,15 @@ def _window(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
     power, inverse = _power(len(data))
-    total = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE[data] * power, dtype=np.uint64)))
-    return starts, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.take(_BYTE, data, out=total[1:])
+    total[1:] *= power
+    np.cumsum(total[1:], out=total[1:])
+    sums = total[ends]
+    sums -= total[starts]
+    sums *= inverse[starts]
+    sums += (ends - starts).astype(np.uint64)
+    return starts, mix(sums)
 
 
 def word_hashes(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:

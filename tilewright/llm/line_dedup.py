@@ -21,8 +21,8 @@ from .ngram_join import by_row, shared_counts, unique_sets
 
 #: Word frequencies are counted in so many cells. They only set the order of words, so cells may be shared.
 CELLS = 1 << 17
-#: Bits of a filter that lets pass what a table holds, and little else while the table is no larger than that.
-FILTER_BITS = 1 << 24
+#: Least and greatest size, as powers of two, of a filter that lets pass what a table holds and little else.
+FILTER_BITS = 20, 27
 #: Lines compared at a time: a word with more of them is dealt out as pairs of blocks.
 BLOCK = 1024
 #: Lines of a cluster that are verified together; a larger cluster goes in blocks of so many.
@@ -31,6 +31,10 @@ VERIFIED = 512
 PIVOTS = 32
 #: Lines of small clusters verified in one go.
 TOGETHER = 64
+#: Words that are dealt out as blocks, the most frequent first: any other has less than one row in so many.
+SPLIT = 100_000
+#: Bytes of text that are gathered before they leave for the list of losses, and that a part of it should meet.
+GATHERED, PART = 16 << 20, 2 << 20
 #: Pairs held until they are folded into what they connect.
 PENDING = 1 << 19
 LAST = (1 << 63) - 1
@@ -88,13 +92,14 @@ def first_pass(least: int):
 SEEN = ["doc", "line", "id", "mark", "cell", "n"]
 
 
-def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
+def prefixes(frequency, threshold: float, least: int, bits: int, hot=None, count: bool = False):
     """mapInArrow function: the rare first words of each distinct line of a batch, packed by key.
 
     A key is a range of words (their high bits), a token names a word within it (its low bits; words that share one
     meet and fail the filters). A token of hot (sorted tokens and their numbers of blocks) has keys
     of its own instead, one for each pair of its blocks, and a line goes to those that hold its block. Lines so short
     that one word more or less takes them below the threshold match equal sets only, which marks find: they stay out.
+    With count it gives no rows but how many of them each token of a batch has, the token's key in the high bits.
     """
 
     def run(batches):
@@ -122,6 +127,10 @@ def prefixes(frequency, threshold: float, least: int, bits: int, hot=None):
             head = pos < (sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1)[row]
             words, row, pos = words[head], row[head], pos[head]
             words = words >> np.uint64(64 - bits) << np.uint64(32) | words & LOW
+            if count:
+                token, n = np.unique(words.view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
+                continue
             key, at = (words >> np.uint64(32)).astype(np.int64), np.arange(len(words))
             if len(crowded):
                 found = np.minimum(np.searchsorted(crowded, words), len(crowded) - 1)
@@ -208,23 +217,15 @@ class Parity:
         return out
 
 
-def crowded_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow function: how many rows each token has in a batch, its key in the high bits."""
-    for batch in batches:
-        bodies = batch.column("body").to_pylist()
-        if bodies:
-            key = np.repeat(batch.column("key").to_numpy(zero_copy_only=False), [*map(rows_of, bodies)])
-            token, n = np.unique(key << 32 | unpacked(bodies)[0].astype(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
-
-
 def bit_filter(keys: DataFrame, name: str) -> np.ndarray:
-    """FILTER_BITS bits, one set for each value of the column. Comes to the driver as 64-bit words, a bounded number."""
-    cell = F.pmod(F.col(name), F.lit(FILTER_BITS)).cast("int")
-    words = keys.select(cell.alias("cell")).groupBy(F.floor(F.col("cell") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cell % 64)")).alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():
-        out[r["word"]] = r["bits"]
+    """Bits, one set for each value of the column: eight times as many as keys has rows, within FILTER_BITS. Comes to
+    the driver as 64-bit words, two million at most; beyond that size more passes, and what passes is joined all the
+    same."""
+    size = 1 << int(np.clip(np.ceil(np.log2(8 * keys.count() + 1)), *FILTER_BITS))
+    cell = F.pmod(F.col(name), F.lit(size)).cast("int")
+    words = keys.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cell % 64)")).alias("bits"))
+    found, out = words.toArrow(), np.zeros(size // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out.view(np.uint8)
 
 
@@ -293,7 +294,7 @@ def place_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which values a bit_filter lets pass."""
-    cell = (values.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+    cell = (values.view(np.uint64) % np.uint64(8 * len(bits))).astype(np.int64)
     return (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -341,7 +342,7 @@ PLACE = ["id", "doc", "line"]
 
 
 def verified(sets: DataFrame, threshold: float) -> DataFrame:
-    """id and place of the lines that match an earlier one of their cluster.
+    """id and place of the lines that match an earlier one of their cluster. A table of save().
 
     A cluster of several blocks is judged block by block first, with its earliest lines in each. Where lines are much
     alike that settles nearly all; the rest, dealt out in blocks as well, then asks every other block.
@@ -349,7 +350,7 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
     spark = sets.sparkSession
     fields = [*PLACE, "words"]
     yes, no = F.lit(True), F.lit(False)
-    judged = lambda rows: rows.repartition("key").sortWithinPartitions("key").mapInArrow(later(threshold), "id long, doc long, line long").distinct()
+    judged = lambda rows: rows.repartition("key").sortWithinPartitions("key").mapInArrow(common.task(later(threshold)), "id long, doc long, line long").distinct()
 
     block, every = F.pmod(F.xxhash64("id"), F.col("wide")), F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)
     sets = sets.withColumn("block", block)
@@ -359,6 +360,7 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
     large = sets.filter("wide > 1")
     open_ = common.save(large.select(*PLACE, "component").join(near, PLACE, "left_anti").distinct())
     if open_.isEmpty():
+        common.discard(open_)
         return near
     counts = common.save(open_.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("turns")))
     turn = F.pmod(F.xxhash64("id", F.lit(5)), F.col("turns"))
@@ -368,14 +370,16 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
     base = base.select(F.xxhash64("component", "block", "turn").alias("key"), *fields, no.alias("asks"), yes.alias("base"))
     with common.small_batches(spark, 1000):
         far = common.save(judged(asking.union(base)))
-    return near.union(far)
+    both = common.save(near.union(far))
+    common.discard(open_, counts, near, far)
+    return both
 
 
 def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
-    """doc, lines: the numbers of the lines that go, of every document that loses any."""
+    """doc, lines: the numbers of the lines that go, of every document that loses any. A table of save()."""
     spark = documents.sparkSession
     docs = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
-    seen = common.save(docs.mapInArrow(first_pass(least), ", ".join(f"{c} long" for c in SEEN)))
+    seen = common.save(docs.mapInArrow(common.task(first_pass(least)), ", ".join(f"{c} long" for c in SEEN)))
     frequency = np.zeros(CELLS, np.int64)
     for r in seen.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
         frequency[r.cell] = r.n
@@ -386,30 +390,127 @@ def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3)
 
     # Crowded words are found on a sixteenth of the documents; that only decides how rows are dealt out.
     part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(16)) == 0)
-    counts = part.mapInArrow(prefixes(frequency, threshold, least, bits), PREFIX).mapInArrow(crowded_tokens, "token long, n long")
-    counts = counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(100_000)
+    counts = part.mapInArrow(common.task(prefixes(frequency, threshold, least, bits, count=True)), "token long, n long")
+    counts = counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(SPLIT)
     found = sorted((r.token, -(-r.n // BLOCK)) for r in counts.collect())
     hot = spark.sparkContext.broadcast((np.array([t for t, _ in found], np.uint64), np.array([n for _, n in found], np.int64)))
-    heads = docs.mapInArrow(prefixes(frequency, threshold, least, bits, hot), PREFIX).repartition("key").sortWithinPartitions("key")
+    heads = docs.mapInArrow(common.task(prefixes(frequency, threshold, least, bits, hot)), PREFIX).repartition("key").sortWithinPartitions("key")
     with common.small_batches(spark, 500):  # rows of some kilobytes each
-        clusters = common.components(heads.mapInArrow(meeting(threshold), "a long, b long"))
+        edges = common.save(heads.mapInArrow(common.task(meeting(threshold)), "a long, b long"))
+    clusters = common.components(edges)
 
     occ = seen.filter("cell is null").select("doc", "line", "id", "mark")
     firsts = common.save(occ.groupBy("id", "mark").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("wide"))
     placed = clusters.join(sizes, "component").withColumnRenamed("node", "id").join(firsts.select("id", "first.doc", "first.line"), "id")
     placed = common.save(placed)
+    common.discard(edges, clusters)
     rank = F.row_number().over(Window.partitionBy("component").orderBy("doc", "line"))
     pivots = placed.filter("wide > 1").withColumn("rank", rank).filter(F.col("rank") <= PIVOTS).select(*PLACE, F.lit(True).alias("pivot"))
-    lined = spark.sparkContext.broadcast((bit_filter(placed, "doc"), bit_filter(placed.mapInArrow(place_marks, "mark long"), "mark")))
-    placed = placed.join(pivots, PLACE, "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
-    sets = docs.mapInArrow(sets_of(lined, least), "id long, doc long, line long, words binary")
-    similar = verified(common.save(sets.join(placed, PLACE)), threshold)
+    marked = placed.mapInArrow(common.task(place_marks), "mark long")
+    lined = spark.sparkContext.broadcast((bit_filter(placed, "doc"), bit_filter(marked, "mark")))
+    pivoted = placed.join(pivots, PLACE, "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
+    sets = docs.mapInArrow(common.task(sets_of(lined, least)), "id long, doc long, line long, words binary")
+    sets = common.save(sets.join(pivoted, PLACE))
+    similar = verified(sets, threshold)
 
     # Of equal lines all but the first go, and that one too where it matches another earlier line.
     again = occ.join(firsts.filter("n > 1").select("id", "mark", "first"), ["id", "mark"]).filter("doc != first.doc or line != first.line")
     gone = again.select("doc", "line").union(similar.select("doc", "line"))
-    return gone.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("line").cast("int"))).alias("lines"))
+    gone = common.save(gone.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("line").cast("int"))).alias("lines")))
+    common.discard(seen, firsts, placed, sets, similar)
+    for held in (frequency, hot, lined):
+        held.unpersist()
+    return gone
+
+
+LOST = "line_dedup_removed"
+
+
+def ids_of(batch: pa.RecordBatch) -> np.ndarray:
+    """doc_id of each row as a number, null as LAST."""
+    return batch.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
+
+
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    return (hashing.mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def touched(bits):
+    """mapInArrow function: the rows whose document may lose lines, gathered and packed by part."""
+    bits, parts = bits
+
+    def run(batches):
+        held, size = [], 0
+        for batch in common.slices(batches):
+            batch = batch.filter(pa.array(passes(bits.value, ids_of(batch))))
+            held.append(batch)
+            size += batch.nbytes
+            if size >= GATHERED:
+                yield gathered(held, parts)
+                held, size = [], 0
+        if held:
+            yield gathered(held, parts)
+
+    return run
+
+
+def gathered(held: list[pa.RecordBatch], parts: int) -> pa.RecordBatch:
+    """part, doc, lines, body: the rows of each part as one compressed body."""
+    table = pa.Table.from_batches(held).combine_chunks()
+    ids = ids_of(table)
+    part = part_of(ids, parts)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else [0]
+    bodies, options = [], pa.ipc.IpcWriteOptions(compression="zstd")
+    for a, b in zip(cuts, cuts[1:]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+            writer.write_table(table.take(pa.array(order[a:b])))
+        bodies.append(sink.getvalue().to_pybytes())
+    none = pa.nulls(len(bodies), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), none, pa.nulls(len(bodies), pa.list_(pa.int32())), pa.array(bodies, pa.binary())], ["part", "doc", "lines", "body"])
+
+
+def losses(parts: int):
+    """mapInArrow function: doc and lines with their part, in the shape of gathered()."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(part_of(ids, parts)), batch.column("doc"), batch.column("lines"), pa.nulls(len(ids), pa.binary())], ["part", "doc", "lines", "body"])
+
+    return run
+
+
+def without_losses(columns: list[str]):
+    """mapInArrow function over rows sorted by part, its losses first: the rows of each body and what they lost.
+
+    Only the losses of one part are held; bodies go through one by one, however many a part has.
+    """
+
+    def run(batches):
+        known, at = {}, None
+        for batch in batches:
+            parts, docs, lines = (batch.column(c).to_pylist() for c in ("part", "doc", "lines"))
+            for i, (part, doc, gone) in enumerate(zip(parts, docs, lines)):
+                if part != at:
+                    known, at = {}, part
+                if doc is not None:
+                    known[doc] = gone
+                    continue
+                for rows in pa.ipc.open_stream(batch.column("body")[i].as_py()):
+                    lost = [known.get(d, []) for d in ids_of(rows).tolist()]
+                    texts = rows.column("text").to_pylist()
+                    for k, drop in enumerate(lost):
+                        if drop:
+                            out = set(drop)
+                            texts[k] = "\n".join([x for n, x in enumerate(texts[k].split("\n")) if n not in out])
+                    own = {"text": pa.array(texts, rows.schema.field("text").type), LOST: pa.array(lost, pa.list_(pa.int32()))}
+                    yield pa.RecordBatch.from_arrays([own[c] if c in own else rows.column(c) for c in columns], columns)
+
+    return run
 
 
 def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
@@ -417,34 +518,41 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
 
     Lines part at line feeds; their words at white space, A-Z in lower case. A line goes when an earlier one (by
     doc_id, then place) has Jaccard similarity threshold or more with it, whether that one stays or not; lines of
-    fewer than `least` different words stay as they are, and 1 leaves out none that has a word. line_dedup_removed: the numbers (from 0) of the lines that went, empty
-    where none did. Null texts stay null. A null doc_id comes after all others, and such rows, like repeated rows of a
-    doc_id, lose the lines that any of them loses. An empty table gives no rows.
+    fewer than `least` different words stay as they are, and 1 leaves out none that has a word. line_dedup_removed:
+    the numbers (from 0) of the lines that went, empty where none did; a column of that name in documents is replaced,
+    any other name goes through. Null texts stay null, texts of any length count whole. A null doc_id comes after all
+    others, and such rows, like repeated rows of a doc_id, lose the lines that any of them loses. An empty table gives
+    no rows.
     """
-    gone = common.save(removed_lines(documents, threshold, least))
-    named = gone.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("gone_doc"), F.col("lines").alias("line_dedup_removed"))
+    spark = documents.sparkSession
+    documents = documents.drop(LOST)
+    gone = removed_lines(documents, threshold, least)
     # Documents that lose nothing, as far as a filter of bounded size can tell, need not meet the list of losses.
-    bits = documents.sparkSession.sparkContext.broadcast(bit_filter(gone, "doc"))
+    bits = spark.sparkContext.broadcast(bit_filter(gone, "doc"))
 
     @F.pandas_udf("boolean")
-    def touched(ids: pd.Series) -> pd.Series:
-        return pd.Series(passes(bits.value, ids.fillna(LAST).astype("int64").to_numpy()))
+    def may_lose(ids: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits.value, ids.to_numpy()))
 
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    some = documents.filter(touched(key))
-    joined = some.join(named, some["doc_id"].eqNullSafe(named["gone_doc"]), "left").drop("gone_doc")
-    joined = joined.union(documents.filter(~touched(key)).withColumn("line_dedup_removed", F.lit(None).cast("array<int>")))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("line_dedup_removed"), i))
-    text = F.when(F.col("line_dedup_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.coalesce("line_dedup_removed", F.array().cast("array<int>")).alias("line_dedup_removed")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in documents.columns], removed)
+    whole = documents.filter(~may_lose(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))).withColumn(LOST, F.array().cast("array<int>"))
+    # The others meet it packed by part, a body for each part that a task has rows of: texts compress well together.
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = int(np.clip(size // PART, 16, 1 << 20))
+    shape = "part long, doc long, lines array<int>, body binary"
+    met = documents.mapInArrow(common.task(touched((bits, parts))), shape).union(gone.mapInArrow(common.task(losses(parts)), shape))
+    met = met.repartition("part").sortWithinPartitions("part", F.col("doc").isNull())
+    return whole.union(met.mapInArrow(common.task(without_losses(whole.columns)), whole.schema))
 
 
 def without_repeats(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
     """line_dedup() with the columns of documents; a row whose words all went is dropped, others stay."""
-    out = line_dedup(documents, threshold, least)
-    return out.filter((F.size("line_dedup_removed") == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).select(*documents.columns)
+    kept = (F.size(LOST) == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
+    if LOST not in documents.columns:
+        return line_dedup(documents, threshold, least).filter(kept).drop(LOST)
+    # Their own column of that name comes through under another one.
+    aside = next(c for c in (f"{LOST}_{i}" for i in range(len(documents.columns) + 1)) if c not in documents.columns)
+    out = line_dedup(documents.withColumnRenamed(LOST, aside), threshold, least).filter(kept).drop(LOST)
+    return out.withColumnRenamed(aside, LOST).select(*documents.columns)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

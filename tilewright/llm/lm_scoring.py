@@ -226,14 +226,14 @@ def lm_scores(documents: DataFrame, mu: float = 3.0) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Ranges grow with the blocks, so that what one owner holds stays the same.
     bits = int(np.clip(np.ceil(np.log2(max(size / BLOCK, 1))) + 2, 8, 22))
-    asks = docs.mapInArrow(asked(bits), ROWS).withColumn("key", F.col("kind").cast("long") * (1 << 32) + F.col("slot"))
+    asks = docs.mapInArrow(common.task(asked(bits)), ROWS).withColumn("key", F.col("kind").cast("long") * (1 << 32) + F.col("slot"))
     asks = asks.repartition("key").sortWithinPartitions("key", "block")
-    answers = common.save(asks.mapInArrow(answered(bits), ROWS + ", total long, distinct long"))
+    answers = common.save(asks.mapInArrow(common.task(answered(bits)), ROWS + ", total long, distinct long"))
     tokens, distinct = answers.agg(F.sum("total"), F.sum("distinct")).first()
-    rows = docs.mapInArrow(packed, ROWS).union(answers.drop("total", "distinct"))
+    rows = docs.mapInArrow(common.task(packed), ROWS).union(answers.drop("total", "distinct"))
     rows = rows.repartition("block").sortWithinPartitions("block", "kind", "slot")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.mapInArrow(scored(bits, int(tokens or 0), int(distinct or 0), mu), out)
+    return rows.mapInArrow(common.task(scored(bits, int(tokens or 0), int(distinct or 0), mu)), out)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,10 +193,10 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     """
     bands, rows = choose_bands(threshold, recall)
     docs = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
-    marks = common.save(docs.mapInArrow(signed(n, bands, rows), "doc_id long, f1 long, f2 long, bands binary"))
+    marks = common.save(docs.mapInArrow(common.task(signed(n, bands, rows)), "doc_id long, f1 long, f2 long, bands binary"))
     groups = common.save(marks.filter("f1 is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members"), F.min("bands").alias("bands")))
 
-    buckets = groups.filter("rep is not null").select("rep", "bands").mapInArrow(unpacked, "bucket long, rep long")
+    buckets = groups.filter("rep is not null").select("rep", "bands").mapInArrow(common.task(unpacked), "bucket long, rep long")
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
     candidates = buckets.join(hubs, "bucket").filter("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     clusters = common.components(candidates)
@@ -204,9 +204,9 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("long").alias("blocks"))
     wanted = clusters.join(sizes, "component").join(groups.select(F.col("rep").alias("node"), "members"), "node")
     wanted = common.save(wanted.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "members", "blocks"))
-    sets = docs.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "cluster", "members", "blocks", "text").mapInArrow(with_sets(n), "rep long, cluster long, members long, blocks long, grams binary")
+    sets = docs.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "cluster", "members", "blocks", "text").mapInArrow(common.task(with_sets(n)), "rep long, cluster long, members long, blocks long, grams binary")
     tasks = block_pairs(sets).repartition("key").sortWithinPartitions("key")
-    checked = common.save(tasks.mapInArrow(verified(threshold), "rep long, links long, root long"))
+    checked = common.save(tasks.mapInArrow(common.task(verified(threshold)), "rep long, links long, root long"))
     classes = common.components(checked.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
 

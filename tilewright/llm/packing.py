@@ -268,7 +268,7 @@ def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1,
     carried along. An empty table gives no rows.
     """
     rows = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
-    pieces = common.save(rows.mapInArrow(cut_pieces(vocabulary_file, end_id, capacity), PIECES))
+    pieces = common.save(rows.mapInArrow(common.task(cut_pieces(vocabulary_file, end_id, capacity)), PIECES))
     pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
 
     # At most capacity x SALTS counts, whatever the input.
@@ -281,7 +281,7 @@ def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1,
 
     part = "row_number() OVER (PARTITION BY length, salt ORDER BY doc_id, piece, start, ids_crc32) AS rank"
     ranked = pieces.selectExpr("*", part)
-    return ranked.mapInArrow(placed(slots, np.cumsum(counts, axis=1) - counts), PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(common.task(placed(slots, np.cumsum(counts, axis=1) - counts)), PIECES + ", sequence_id long, offset long")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,7 +131,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     rows = common.texts(documents)
     # The sample has settings.labelled rows at most, which bounds the broadcast.
     marked = rows.join(F.broadcast(sample), "doc_id", "left")
-    counts = marked.select("text", F.coalesce(F.col("good") & ~F.col("held_out"), F.lit(False)).alias("good")).mapInArrow(counted(settings), "target int, bucket int, n long")
+    counts = marked.select("text", F.coalesce(F.col("good") & ~F.col("held_out"), F.lit(False)).alias("good")).mapInArrow(common.task(counted(settings)), "target int, bucket int, n long")
     total = np.zeros((2, settings.buckets))
     for r in counts.groupBy("target", "bucket").agg(F.sum("n").alias("n")).collect():  # 2 x buckets rows at most
         total[r.target, r.bucket] = r.n

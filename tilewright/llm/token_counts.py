@@ -91,7 +91,7 @@ def token_counts(documents: DataFrame, limit: int = 4096, model_file: str | None
     """
     rows = common.texts(documents)
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.octet_length("text").cast("long").alias("n_bytes"))
-    out = rows.mapInArrow(counted(model_file), "doc_id long, n_bytes long, n_tokens long")
+    out = rows.mapInArrow(common.task(counted(model_file)), "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
