@@ -22,15 +22,13 @@ from . import common, hashing
 @dataclass(frozen=True)
 class Settings:
     """buckets: hashed n-grams are counted in so many, which bounds the model. labelled: most labelled rows used to
-    learn the target and the cut, those of the smallest hashes of doc_id; a quarter of them sets the cut. mercy: how much worse it is to lose a good text than to keep a bad one, as
-    shares of their classes. sharpness: how much a text's mean log ratio
-    counts against the Gumbel noise. ngram: longest run of words. smoothing: counts
-    added to each bucket of both models."""
+    learn the target and k, those of the smallest hashes of doc_id; a quarter of them is held out of the target and
+    sets k. mercy: how much worse it is to lose a good text than to keep a bad one, as shares of their classes. ngram:
+    longest run of words. smoothing: counts added to each bucket of both models."""
 
     buckets: int = 1 << 15
     ngram: int = 2
     labelled: int = 20_000
-    sharpness: float = 60.0
     mercy: float = 3.0
     smoothing: float = 5.0
     seed: int = 17
@@ -72,14 +70,13 @@ def labelled_sample(labels: DataFrame, settings: Settings) -> DataFrame:
 
 @dataclass
 class Model:
-    """log_ratio of each bucket, and the key from which on a document is drawn; None draws every document."""
+    """log_ratio of each bucket."""
 
     log_ratio: np.ndarray
-    cut: float | None
     settings: Settings
 
     def weigh(self) -> Column:
-        """struct<n_features, log_weight> of text: log_weight is the mean log ratio, so that length does not decide."""
+        """struct<n_features, log_weight> of text: log_weight is the log of the ratio of its probabilities."""
         log_ratio, settings = self.log_ratio, self.settings
 
         @F.pandas_udf("n_features long, log_weight double")
@@ -92,18 +89,15 @@ class Model:
                     buckets, rows = features([texts[i] for i in part], settings)
                     n[part] = np.bincount(rows, minlength=len(part))
                     total[part] = np.bincount(rows, log_ratio[buckets], minlength=len(part))
-            return pd.DataFrame({"n_features": n, "log_weight": total / np.maximum(n, 1)})
+            return pd.DataFrame({"n_features": n, "log_weight": total})
 
         return weigh(F.col("text"))
 
     def key(self, weight: Column) -> Column:
-        """The log weight, sharpened, with Gumbel noise from a hash of doc_id; texts without words are below all."""
+        """The log weight with Gumbel noise from a hash of doc_id; texts without words are below all."""
         u = (F.pmod(F.xxhash64("doc_id", F.lit(self.settings.seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
         gumbel = -F.log(-F.log(u))
-        return F.when(weight["n_features"] > 0, weight["log_weight"] * self.settings.sharpness + gumbel).otherwise(F.lit(float("-inf")))
-
-    def drawn(self, key: Column) -> Column:
-        return F.lit(True) if self.cut is None else key >= F.lit(self.cut)
+        return F.when(weight["n_features"] > 0, weight["log_weight"] + gumbel).otherwise(F.lit(float("-inf")))
 
 
 def best_cut(keys: np.ndarray, good: np.ndarray, mercy: float) -> float | None:
@@ -125,12 +119,10 @@ def best_cut(keys: np.ndarray, good: np.ndarray, mercy: float) -> float | None:
     return float((keys[at] + keys[min(at + 1, len(keys) - 1)]) / 2)
 
 
-def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """Counts over all documents for the raw model, over the good of the labelled sample that aren't held out for the target."""
-    sample = common.save(labelled_sample(labels, settings))
-    rows = common.texts(documents)
+def fit(documents: DataFrame, sample: DataFrame, settings: Settings = Settings()) -> Model:
+    """Counts over all documents for the raw model, over the good of a labelled_sample() that aren't held out for the target."""
     # The sample has settings.labelled rows at most, which bounds the broadcast.
-    marked = rows.join(F.broadcast(sample), "doc_id", "left")
+    marked = common.texts(documents).join(F.broadcast(sample), "doc_id", "left")
     counts = marked.select("text", F.coalesce(F.col("good") & ~F.col("held_out"), F.lit(False)).alias("good")).mapInArrow(common.task(counted(settings)), "target int, bucket int, n long")
     total = np.zeros((2, settings.buckets))
     for r in counts.groupBy("target", "bucket").agg(F.sum("n").alias("n")).collect():  # 2 x buckets rows at most
@@ -140,13 +132,21 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     log_ratio = np.log((total[1] + settings.smoothing) / (expected + settings.smoothing))
     if not total[1].any():
         log_ratio[:] = 0
-    model = Model(log_ratio, None, settings)
-    # Bad texts are no part of the target, so all of them are fresh to it; of the good only those held out.
-    weighed = rows.join(F.broadcast(sample.filter("held_out or not good")), "doc_id").select("doc_id", "good", model.weigh().alias("w"))
-    found = weighed.select(model.key(F.col("w")).alias("key"), "good").groupBy("good", "key").count().collect()  # the sample's
-    keys, good, n = (np.array([r[c] for r in found]) for c in ("key", "good", "count"))
-    model.cut = best_cut(np.repeat(keys, n), np.repeat(good, n).astype(bool), settings.mercy) if len(found) else None
-    return model
+    return Model(log_ratio, settings)
+
+
+def wanted(scored: DataFrame, sample: DataFrame, mercy: float) -> int | None:
+    """k: how many documents have a log weight where, by the labels, good ones are. None without both classes.
+
+    Bad texts are no part of the target, so all of them are fresh to it; of the good only those held out.
+    """
+    fresh = scored.join(F.broadcast(sample.filter("held_out or not good")), "doc_id").filter("n_features > 0")
+    found = fresh.groupBy("good", "log_weight").count().collect()  # the sample's rows at most
+    if not found:
+        return None
+    weights, good, n = (np.array([r[c] for r in found]) for c in ("log_weight", "good", "count"))
+    cut = best_cut(np.repeat(weights, n), np.repeat(good, n).astype(bool), mercy)
+    return None if cut is None else scored.filter((F.col("n_features") > 0) & (F.col("log_weight") >= cut)).count()
 
 
 def top_k_cut(keys: DataFrame, k: int, bins: int = 1024, rounds: int = 12) -> float:
@@ -176,31 +176,39 @@ def top_k_cut(keys: DataFrame, k: int, bins: int = 1024, rounds: int = 12) -> fl
     return float(low)
 
 
+def drawn(documents: DataFrame, labels: DataFrame, k: int | None, settings: Settings) -> tuple[Model, DataFrame, float]:
+    """The model, the table doc_id, n_features, log_weight, key of all documents, and the k-th largest key."""
+    sample = common.save(labelled_sample(labels, settings))
+    model = fit(documents, sample, settings)
+    weighed = common.texts(documents).select("doc_id", model.weigh().alias("w"))
+    scored = common.save(weighed.select("doc_id", "w.n_features", "w.log_weight", model.key(F.col("w")).alias("key")))
+    k = wanted(scored, sample, settings.mercy) if k is None else k
+    cut = float("-inf") if k is None else top_k_cut(scored, k)
+    common.discard(sample)
+    return model, scored, cut
+
+
 def resample(documents: DataFrame, labels: DataFrame, k: int | None = None, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_features, log_weight, key, selected for every row.
 
-    selected: drawn by Gumbel top-k. With k None, k is the number of documents whose key reaches the cut that parts
-    good from bad among the labelled best. Null and empty texts have no features and are not drawn; without both
-    classes among the labels every other text is. Repeated rows share key and fate; rows that tie with the k-th are
-    all drawn.
+    selected: among the k of largest key, the log weight plus Gumbel noise; so k documents are drawn without
+    replacement in proportion to their weights. With k None the labels set k (see wanted()). Null, empty and blank
+    texts have no features and are not drawn; without both classes among the labels every other text is. Texts of any
+    length count whole. Repeated rows share key and fate; rows that tie with the k-th are all drawn. An empty table
+    gives no rows. Other columns, whatever their names, stay behind.
     """
-    model = fit(documents, labels, settings)
-    weighed = common.texts(documents).select("doc_id", model.weigh().alias("w"))
-    scored = weighed.select("doc_id", "w.n_features", "w.log_weight", model.key(F.col("w")).alias("key"))
-    if k is not None:
-        scored = common.save(scored)
-        model.cut = top_k_cut(scored, k)
-    return scored.withColumn("selected", model.drawn(F.col("key")) & (F.col("n_features") > 0))
+    _, scored, cut = drawn(documents, labels, k, settings)
+    return scored.withColumn("selected", (F.col("key") >= F.lit(cut)) & (F.col("n_features") > 0))
 
 
-def keep_drawn(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of documents, with all their columns, that resample() selects."""
-    model = fit(documents, labels, settings)
+def keep_drawn(documents: DataFrame, labels: DataFrame, k: int | None = None, settings: Settings = Settings()) -> DataFrame:
+    """The rows of documents, with all their columns, that resample() selects. Keys are worked out again: the same
+    text and doc_id give the same key, and no text meets a table of keys."""
+    model, scored, cut = drawn(documents, labels, k, settings)
+    common.discard(scored)
     weight = model.weigh()
-    if model.cut is None:
-        return documents.filter(weight["n_features"] > 0)
-    # The noise is at most -log(-log(1 - 2**-53)), about 36.8, so -inf keys never reach the cut.
-    return documents.filter(model.drawn(model.key(weight)))
+    # The noise is at most -log(-log(1 - 2**-53)), about 36.8, so -inf keys never reach a finite cut.
+    return documents.filter((weight["n_features"] > 0) & (model.key(weight) >= F.lit(cut)))
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
