@@ -62,3 +62,34 @@ def test_awkward_rows(spark):
     compare(frame)
     assert embedding_dedup.embedding_dedup(frame.limit(0)).count() == 0
     compare(frame.selectExpr("vec_id", "cast(embedding as array<double>) embedding", "label"))
+
+
+def groups(spark, n, dims=(16,), labels=(1,), seed=0):
+    """Vectors around common middles, at cosines on either side of the threshold."""
+    rng, rows = np.random.default_rng(seed), []
+    for i in range(n):
+        dim, label = dims[i % len(dims)], labels[i % len(labels)]
+        if i % 5 == 0 or dim != len(middle):
+            middle = rng.normal(size=dim)
+        rows.append((i, [float(x) for x in middle + 0.22 * rng.normal(size=dim)], label))
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def test_recall_against_brute_force(spark):
+    frame = groups(spark, 3000, labels=(1, 2))
+    want = {i: n for i, n, _ in brute(frame.collect())}
+    # Splits of the upper levels and of those below them, set in two steps.
+    got = {r.vec_id: r.n_links for r in embedding_dedup.embedding_dedup(frame, settings=embedding_dedup.Settings(leaf=24, first=3, block=256)).collect()}
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.99 * sum(want.values()) > 3000
+
+
+def test_vectors_of_any_number_of_lengths(spark):
+    compare(groups(spark, 700, dims=tuple(range(3, 90))), embedding_dedup.Settings(leaf=4))
+
+
+def test_first_shared_leaf():
+    lists = [np.array(x, np.int64) for x in ([1, 5, 9], [5, 9], [2, 9], [2, 5, 9], [9])]
+    i, j = np.triu_indices(5, 1)
+    for leaf in (1, 2, 5, 6, 9):
+        got = embedding_dedup.share_any(embedding_dedup.sets_before(lists, leaf), i, j)
+        assert got.tolist() == [bool({x for x in lists[a] if x < leaf} & {*lists[b].tolist()}) for a, b in zip(i, j)]

@@ -22,13 +22,15 @@ from . import common
 class Settings:
     """trees: independent trees. leaf: vectors that a leaf should hold. overlap: how far from a split, as a share of
     the distance that two vectors at the threshold have along a random direction (standard deviation), vectors go both
-    ways. sample: most vectors of a label on which its splits are set; with leaf that bounds the depth. values: most
-    split values in all, which bounds the forest that every task gets. block: vectors compared at a time."""
+    ways. node: vectors, about, on which the last split above a leaf is set. first: levels that are set in one go from
+    one sample of a label; deeper ones are set below each of their nodes, from a sample that grows with the depth.
+    values: most split values in all, which bounds the forest that every task gets. block: vectors compared at a time."""
 
     trees: int = 4
     leaf: int = 256
     overlap: float = 0.6
-    sample: int = 16_384
+    node: int = 8
+    first: int = 11
     values: int = 4_000_000
     block: int = 1024
     seed: int = 11
@@ -36,81 +38,139 @@ class Settings:
 
 @dataclass
 class Forest:
-    """directions[tree][level]; splits[label][tree] in heap order; margin on either side of a split."""
+    """By space, that is label and number of components: splits[space][tree] in heap order. By number of components:
+    directions[dim][tree, level], and the margin on either side of a split."""
 
-    directions: np.ndarray
-    splits: dict[int, np.ndarray]
-    margin: float
+    directions: dict[int, np.ndarray]
+    splits: dict[tuple[int, int], np.ndarray]
+    margin: dict[int, float]
 
     def route(self, vectors: np.ndarray, label: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Of each tree (vector, leaf) for every leaf that a vector falls into."""
-        out = []
-        for tree in range(len(self.directions)):
-            splits = self.splits.get(label)
+        """Of each tree (vector, leaf) for every leaf that a vector falls into. A space without splits is one leaf."""
+        dim = vectors.shape[1]
+        splits, out = self.splits.get((label, dim)), []
+        if splits is None:
+            return [(np.arange(len(vectors)), np.zeros(len(vectors), np.int64))]
+        margin, depth = self.margin[dim], int(np.log2(splits.shape[1] + 1))
+        for tree, values in enumerate(splits):
             row, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
-            depth = 0 if splits is None else int(np.log2(len(splits[tree]) + 1))
             for level in range(depth):
-                side = vectors @ self.directions[tree, level]
-                off = side[row] - splits[tree][node]
-                left, right = off <= self.margin, off >= -self.margin
+                side = vectors @ self.directions[dim][tree, level]
+                off = side[row] - values[node]
+                left, right = off <= margin, off >= -margin
                 row, node = np.concatenate((row[left], row[right])), np.concatenate((2 * node[left] + 1, 2 * node[right] + 2))
             out.append((row, node))
         return out
 
 
 def set_splits(vectors: np.ndarray, directions: np.ndarray, depth: int) -> np.ndarray:
-    """Medians of the sample at every node, [tree, node]."""
-    out = np.zeros((len(directions), 2**depth - 1))
-    for tree in range(len(directions)):
-        node = np.zeros(len(vectors), np.int64)
-        for level in range(depth):
-            side = vectors @ directions[tree, level]
-            order = np.lexsort((side, node))
-            ends = np.searchsorted(node[order], np.arange(2**level - 1, 2 ** (level + 1)))
-            for k in range(2**level):
-                at = order[ends[k] : ends[k + 1]]
-                out[tree, 2**level - 1 + k] = np.median(side[at]) if len(at) else 0.0
-            node = 2 * node + 1 + (side > out[tree, node])
+    """Medians of the sample at every node of a tree, in heap order."""
+    out, node = np.zeros(2**depth - 1), np.zeros(len(vectors), np.int64)
+    for level in range(depth):
+        side = vectors @ directions[level]
+        order = np.lexsort((side, node))
+        ends = np.searchsorted(node[order], np.arange(2**level - 1, 2 ** (level + 1)))
+        for k in range(2**level):
+            at = order[ends[k] : ends[k + 1]]
+            out[2**level - 1 + k] = np.median(side[at]) if len(at) else 0.0
+        node = 2 * node + 1 + (side > out[node])
     return out
 
 
+def descended(vectors: np.ndarray, directions: np.ndarray, splits: np.ndarray) -> np.ndarray:
+    """The one node below the splits of a tree that each vector falls into, margins aside, counted from the left."""
+    node = np.zeros(len(vectors), np.int64)
+    for level in range(int(np.log2(len(splits) + 1))):
+        node = 2 * node + 1 + (vectors @ directions[level] > splits[node])
+    return node - len(splits)
+
+
 def unit(rows) -> np.ndarray:
     found = np.asarray(rows, np.float64)
     found = found / np.abs(found).max(axis=1, keepdims=True)  # no square overflows or vanishes
     return found / np.sqrt((found * found).sum(axis=1, keepdims=True))
 
 
-def fit(vectors: DataFrame, threshold: float, dim: int, settings: Settings) -> Forest:
-    """Splits from a bounded sample of each label with more than a leaf of vectors."""
-    rng = np.random.default_rng(settings.seed)
-    directions = rng.normal(size=(settings.trees, 24, dim))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
-    margin = settings.overlap * np.sqrt(2 * (1 - threshold) / dim)
-    big = vectors.groupBy("label").agg(F.count("*").alias("n")).filter(F.col("n") > settings.leaf)
-    # So many labels at most, the largest first; the rest have one leaf each, compared in blocks.
-    big = big.orderBy(F.desc("n"), "label").limit(1024).collect()
-    depths, room = {}, settings.values // settings.trees
-    for r in big:
-        depth = int(np.clip(np.ceil(np.log2(r.n / settings.leaf)), 0, min(24, np.log2(settings.sample / 8))))
-        if depth and 2**depth <= room:
-            depths[r.label], room = (depth, r.n), room - 2**depth
-    if not depths:
-        return Forest(directions, {}, margin)
-    share = F.lit(0.0)
-    for label, (_, n) in depths.items():
-        share = F.when(F.col("label") == label, min(1.0, settings.sample / n)).otherwise(share)
-    picked = vectors.filter(F.pmod(F.xxhash64("rep", F.lit(settings.seed)), F.lit(1 << 20)) < share * (1 << 20))
+def sampled(vectors: DataFrame, shares: dict[tuple[int, int], float], seed: int) -> DataFrame:
+    """About the given share of each space, by a hash of the vector's id; other spaces are left out."""
+    spark = vectors.sparkSession
+    rows = [(label, dim, min(1.0, share)) for (label, dim), share in shares.items()]
+    wanted = F.broadcast(spark.createDataFrame(rows, "label long, dim int, share double"))  # SPACES rows at most
+    return vectors.join(wanted, ["label", "dim"]).filter(F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 40)) < F.col("share") * (1 << 40)).drop("share")
+
 
-    def splits(table: pa.Table) -> pa.Table:
-        label = table.column("label")[0].as_py()
-        found = set_splits(unit(table.column("vector").to_pylist()), directions, depths[label][0])
-        return pa.table({"label": pa.array([label], pa.int64()), "splits": pa.array([found.tobytes()], pa.binary())})
+#: Spaces with a forest of their own, the largest first; any other is one leaf, compared in blocks.
+SPACES = 1024
 
-    rows = picked.groupBy("label").applyInArrow(splits, "label long, splits binary").collect()  # settings.values at most
-    return Forest(directions, {r.label: np.frombuffer(r.splits).reshape(settings.trees, -1) for r in rows}, margin)
 
+def fit(vectors: DataFrame, threshold: float, settings: Settings) -> Forest:
+    """Splits from samples: of each space with more than a leaf of vectors, settings.node for every leaf it gets.
 
-LEAVES = "label long, leaf long, rep long, members long, vector binary, leaves binary"
+    vectors: label, dim, rep, vector. The upper levels of a space are one group, each node below them another, so no
+    group has more than settings.node * 2**settings.first vectors, about.
+    """
+    big = vectors.groupBy("label", "dim").agg(F.count("*").alias("n")).filter(F.col("n") > settings.leaf)
+    big = big.orderBy(F.desc("n"), "label", "dim").limit(SPACES).collect()
+    depths, counts, room = {}, {}, settings.values // settings.trees
+    for r in big:
+        depth = int(min(np.ceil(np.log2(r.n / settings.leaf)), 2 * settings.first, np.floor(np.log2(max(room, 1)))))
+        if depth > 0:
+            depths[r.label, r.dim], counts[r.label, r.dim], room = depth, r.n, room - 2**depth
+    directions, margin = {}, {}
+    for dim in {d for _, d in depths}:
+        found = np.random.default_rng([settings.seed, dim]).normal(size=(settings.trees, max(n for (_, d), n in depths.items() if d == dim), dim))
+        directions[dim] = found / np.linalg.norm(found, axis=2, keepdims=True)
+        margin[dim] = settings.overlap * np.sqrt(2 * (1 - threshold) / dim)
+    forest = Forest(directions, {}, margin)
+    if not depths:
+        return forest
+    first = settings.first
+
+    def upper(table: pa.Table) -> pa.Table:
+        space = table.column("label")[0].as_py(), table.column("dim")[0].as_py()
+        rows = unit(table.column("vector").to_pylist())
+        found = np.stack([set_splits(rows, d, min(depths[space], first)) for d in directions[space[1]]])
+        return pa.table({"label": pa.array([space[0]], pa.int64()), "dim": pa.array([space[1]], pa.int32()), "splits": pa.array([found.tobytes()], pa.binary())})
+
+    share = {space: settings.node * 2.0 ** min(depth, first) / counts[space] for space, depth in depths.items()}
+    rows = sampled(vectors, share, settings.seed).groupBy("label", "dim").applyInArrow(upper, "label long, dim int, splits binary").collect()  # settings.values at most
+    for r in rows:
+        forest.splits[r.label, r.dim] = np.frombuffer(r.splits).reshape(settings.trees, -1)
+    deep = {space: depth for space, depth in depths.items() if depth > first and space in forest.splits}
+    if not deep:
+        return forest
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, dims = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "dim"))
+            for label, dim in set(zip(labels.tolist(), dims.tolist())):
+                own = batch.filter(pa.array((labels == label) & (dims == dim)))
+                found = unit(own.column("vector").to_pylist())
+                for tree, splits in enumerate(forest.splits[label, dim]):
+                    node = descended(found, directions[dim][tree], splits)
+                    same = lambda x, kind: pa.array(np.full(len(node), x), kind)
+                    yield pa.RecordBatch.from_arrays([same(label, pa.int64()), same(dim, pa.int32()), same(tree, pa.int32()), pa.array(node), own.column("vector")], ["label", "dim", "tree", "node", "vector"])
+
+    def lower(table: pa.Table) -> pa.Table:
+        label, dim, tree, node = (table.column(c)[0].as_py() for c in ("label", "dim", "tree", "node"))
+        found = set_splits(unit(table.column("vector").to_pylist()), directions[dim][tree, first:], deep[label, dim] - first)
+        return pa.table({"label": pa.array([label], pa.int64()), "dim": pa.array([dim], pa.int32()), "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "splits": pa.array([found.tobytes()], pa.binary())})
+
+    share = {space: settings.node * 2.0**depth / counts[space] for space, depth in deep.items()}
+    kind = vectors.schema["vector"].dataType.simpleString()
+    placed = sampled(vectors, share, settings.seed + 1).select("label", "dim", "vector").mapInArrow(common.task(place), f"label long, dim int, tree int, node long, vector {kind}")
+    below = placed.groupBy("label", "dim", "tree", "node").applyInArrow(lower, "label long, dim int, tree int, node long, splits binary")
+    for space, depth in deep.items():
+        forest.splits[space] = np.concatenate([forest.splits[space], np.zeros((settings.trees, 2**depth - 2**first))], axis=1)
+    for r in below.toLocalIterator():  # settings.values at most
+        found, whole = np.frombuffer(r.splits), forest.splits[r.label, r.dim][r.tree]
+        for level in range(deep[r.label, r.dim] - first):
+            at = 2 ** (first + level) - 1 + (r.node << level)
+            whole[at : at + 2**level] = found[2**level - 1 : 2 ** (level + 1) - 1]
+    return forest
+
+
+LEAVES = "label long, dim int, leaf long, rep long, members long, vector binary, leaves binary"
 
 
 def routed(forest, kind: str):
@@ -124,13 +184,14 @@ def routed(forest, kind: str):
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                labels, rep = batch.column("label").to_numpy(zero_copy_only=False), batch.column("rep").to_numpy(zero_copy_only=False)
-                given = np.array(batch.column("vector").to_pylist(), np.float64)
-                vectors = unit(given)
-                row, leaf = [], []
-                for label in np.unique(labels):
-                    own = np.flatnonzero(labels == label)
-                    for tree, (r, node) in enumerate(found.route(vectors[own], label)):
+                labels, dims, rep = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "dim", "rep"))
+                given, row, leaf, packed = batch.column("vector").to_pylist(), [], [], [b""] * len(rep)
+                for label, dim in set(zip(labels.tolist(), dims.tolist())):
+                    own = np.flatnonzero((labels == label) & (dims == dim))
+                    vectors = np.array([given[i] for i in own.tolist()], np.float64)
+                    for i, v in zip(own.tolist(), vectors.astype(kind)):
+                        packed[i] = v.tobytes()
+                    for tree, (r, node) in enumerate(found.route(unit(vectors), label)):
                         row.append(own[r])
                         leaf.append(tree << 40 | node)
                 row, leaf = np.concatenate(row), np.concatenate(leaf)
@@ -138,26 +199,40 @@ def routed(forest, kind: str):
                 row, leaf = row[order], leaf[order]
                 n = np.bincount(row, minlength=len(rep))
                 lists = [x.tobytes() for x in np.split(leaf, np.cumsum(n)[:-1])]
-                packed = [v.tobytes() for v in given.astype(kind)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(labels[row].astype(np.int64)),
+                        pa.array(dims[row].astype(np.int32)),
                         pa.array(leaf),
                         pa.array(rep[row]),
                         batch.column("members").take(pa.array(row)),
                         pa.array([packed[i] for i in row.tolist()], pa.binary()),
                         pa.array([lists[i] for i in row.tolist()], pa.binary()),
                     ],
-                    ["label", "leaf", "rep", "members", "vector", "leaves"],
+                    ["label", "dim", "leaf", "rep", "members", "vector", "leaves"],
                 )
 
     return run
 
 
-def shared_before(a: np.ndarray, b: np.ndarray, leaf: int) -> bool:
-    """Whether two ascending lists of leaves share one before leaf."""
-    both = np.intersect1d(a, b, assume_unique=True)
-    return bool(len(both)) and both[0] < leaf
+def sets_before(lists: list[np.ndarray], leaf: int) -> np.ndarray:
+    """Of each list of leaves those before leaf as bits of 64-bit words; only leaves that several lists hold count."""
+    flat, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), [*map(len, lists)])
+    row, flat = row[flat < leaf], flat[flat < leaf]
+    _, code, often = np.unique(flat, return_inverse=True, return_counts=True)
+    row, code = row[often[code] > 1], code[often[code] > 1]
+    code = (np.cumsum(often > 1) - 1)[code]
+    out = np.zeros((len(lists), int(code.max(initial=0)) // 64 + 1), np.uint64)
+    np.bitwise_or.at(out, (row, code >> 6), np.uint64(1) << (code & 63).astype(np.uint64))
+    return out
+
+
+def share_any(sets: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs have a bit in common."""
+    step, out = max(1, (1 << 22) // sets.shape[1]), np.zeros(len(i), bool)
+    for at in range(0, len(i), step):
+        out[at : at + step] = (sets[i[at : at + step]] & sets[j[at : at + step]]).any(axis=1)
+    return out
 
 
 def compared(threshold: float, block: int, kind: str):
@@ -170,7 +245,7 @@ def compared(threshold: float, block: int, kind: str):
             members, side = (table.column(c).to_numpy() for c in ("members", "side"))
             leaf = table.column("leaf")[0].as_py()
             vectors = unit(np.stack([np.frombuffer(v, kind) for v in table.column("vector").to_pylist()]))
-            lists = [np.frombuffer(x, np.int64) for x in table.column("leaves").to_pylist()]
+            before = sets_before([np.frombuffer(x, np.int64) for x in table.column("leaves").to_pylist()], leaf)
             links, a, b = np.zeros(len(rep), np.int64), [], []
             across = (side != side[0]).any()
             for at in range(0, len(rep), block):
@@ -180,7 +255,7 @@ def compared(threshold: float, block: int, kind: str):
                 i, j = np.nonzero(close)
                 i += at
                 i, j = i[i < j], j[i < j]
-                own = np.fromiter((not shared_before(lists[x], lists[y], leaf) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
+                own = ~share_any(before, i, j)
                 i, j = i[own], j[own]
                 np.add.at(links, i, members[j])
                 np.add.at(links, j, members[i])
@@ -201,8 +276,9 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, settings: Se
     empty and zero vectors and such with a null or non-finite component link with nothing, nor do vectors of
     different length. n_links counts the other rows linked directly, component_id is the smallest vec_id that links
     reach. A null vec_id keeps its own row and is otherwise left out; rows repeated with their vec_id link with each
-    other. An empty table gives no rows.
+    other. An empty table gives no rows. Other columns, whatever their names, stay behind.
     """
+    common.bound_batches(embeddings.sparkSession)
     kind = "<f4" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "<f8"
     vector = F.transform("embedding", lambda x: x.cast("double"))
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), vector.alias("vector"))
@@ -213,23 +289,17 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, settings: Se
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     whole = rows.filter("vector is not null")
     groups = common.save(whole.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("members")))
-    dims = [r.n for r in groups.select(F.size("vector").alias("n")).distinct().orderBy("n").limit(64).collect()]
-    checked = None
-    for dim in dims:  # one, but for odd tables
-        part = groups.filter(F.size("vector") == dim)
-        forest = embeddings.sparkSession.sparkContext.broadcast(fit(part, threshold, dim, settings))
-        leaves = part.mapInArrow(common.task(routed(forest, kind)), LEAVES)
-        # Crowded leaves (at most one in settings.block rows) are dealt out as pairs of blocks.
-        counts = leaves.groupBy("label", "leaf").agg(F.count("*").alias("n"))
-        crowded = common.save(counts.filter(F.col("n") > 2 * settings.block).select("label", "leaf", F.ceil(F.col("n") / F.lit(settings.block)).cast("long").alias("wide")))
-        tasks = leaves.join(crowded, ["label", "leaf"], "left").withColumn("wide", F.coalesce("wide", F.lit(1).cast("long")))
-        tasks = tasks.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("wide")))
-        tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
-        tasks = tasks.withColumn("key", F.xxhash64("label", "leaf", F.least("side", "other"), F.greatest("side", "other"))).drop("other", "wide", "label")
-        done = tasks.repartition("key").sortWithinPartitions("key").mapInArrow(common.task(compared(threshold, settings.block, kind)), "rep long, links long, root long")
-        checked = done if checked is None else checked.union(done)
-    if checked is None:
-        checked = embeddings.sparkSession.createDataFrame([], "rep long, links long, root long")
+    part = groups.withColumn("dim", F.size("vector"))
+    forest = embeddings.sparkSession.sparkContext.broadcast(fit(part, threshold, settings))
+    leaves = part.mapInArrow(common.task(routed(forest, kind)), LEAVES)
+    # Crowded leaves (at most one in settings.block rows) are dealt out as pairs of blocks.
+    counts = leaves.groupBy("label", "dim", "leaf").agg(F.count("*").alias("n"))
+    crowded = common.save(counts.filter(F.col("n") > 2 * settings.block).select("label", "dim", "leaf", F.ceil(F.col("n") / F.lit(settings.block)).cast("long").alias("wide")))
+    tasks = leaves.join(crowded, ["label", "dim", "leaf"], "left").withColumn("wide", F.coalesce("wide", F.lit(1).cast("long")))
+    tasks = tasks.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("wide")))
+    tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
+    tasks = tasks.withColumn("key", F.xxhash64("label", "dim", "leaf", F.least("side", "other"), F.greatest("side", "other"))).drop("other", "wide", "label", "dim")
+    checked = tasks.repartition("key").sortWithinPartitions("key").mapInArrow(common.task(compared(threshold, settings.block, kind)), "rep long, links long, root long")
     checked = common.save(checked)
     components = common.components(checked.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
