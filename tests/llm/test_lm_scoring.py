@@ -15,30 +15,33 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), None]
 
 
-def brute(rows, mu=3.0):
+def brute(rows, order=3, mu=3.0):
     held = [zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 5 == 1 for r in rows]
-    one, two = Counter(), Counter()
+    runs = Counter()
     for r, h in zip(rows, held):
         if not h:
-            t = tokens(r.text)
-            one.update(t)
-            two.update(zip(["<s>", *t], t))
+            t = ("<s>", *tokens(r.text))
+            runs.update(t[i : i + k] for k in range(1, order + 1) for i in range(len(t) - k + 1) if k > 1 or i)
+    runs["<s>",] = runs[None,]
+    one = {w[0]: n for w, n in runs.items() if len(w) == 1 and w[0] != "<s>" and n}
     n, v = sum(one.values()), len(one)
-    p = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
+
+    def p(run):
+        if len(run) == 1:
+            return (one.get(run[0], 0) + 0.5) / (n + 0.5 * (v + 1))
+        return (runs[run] + mu * p(run[1:])) / (runs[run[:-1]] + mu)
+
     out = []
     for r, h in zip(rows, held):
-        t = tokens(r.text)
-        score = 0.0
-        for a, b in zip(["<s>", *t], t):
-            seen = one[None] if a == "<s>" else one[a]
-            score += math.log10((two[a, b] + mu * p(b)) / (seen + mu))
-        out.append((r.doc_id or 0, h, len(t), sum(one[w] > 0 for w in t), n, sum(math.log10(p(w)) for w in t), score))
+        t = ("<s>", *tokens(r.text))
+        score = sum(math.log10(p(t[max(0, i + 1 - order) : i + 1] if order > 1 else t[i : i + 1])) for i in range(1, len(t)))
+        out.append((r.doc_id or 0, h, len(t) - 1, sum(w in one for w in t[1:]), n, sum(math.log10(p((w,))) for w in t[1:]), score))
     return sorted(out)
 
 
-def compare(docs):
-    got = sorted((r.doc_id or 0, *r[1:]) for r in lm_scoring.lm_scores(docs).collect())
-    want = brute(docs.select("doc_id", "text").collect())
+def compare(docs, **more):
+    got = sorted((r.doc_id or 0, *r[1:]) for r in lm_scoring.lm_scores(docs, **more).collect())
+    want = brute(docs.select("doc_id", "text").collect(), **more)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
 
@@ -48,7 +51,9 @@ def test_against_dictionaries(spark, sf, awkward, monkeypatch):
     compare(awkward)
     assert lm_scoring.lm_scores(awkward.limit(0)).count() == 0
     monkeypatch.setattr(lm_scoring, "BLOCK", 20_000)
-    compare(common.read_table(spark, sf, "documents"))
+    compare(common.read_table(spark, sf, "documents"), order=4)
+    compare(common.read_table(spark, sf, "documents"), order=2)
+    compare(awkward, order=1)
 
 
 def test_held_out_text_is_better_predicted_than_by_single_words(spark):
@@ -58,7 +63,8 @@ def test_held_out_text_is_better_predicted_than_by_single_words(spark):
 
 def test_packing_round_trips():
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
-    for slot, part in lm_scoring.cut(keys, 9):
-        assert (lm_scoring.unpack_keys(lm_scoring.pack_keys(keys[part]), slot, 9) == keys[part]).all()
-    n = np.array([0, 1, 255, 256, 1 << 40])
-    assert (lm_scoring.unpack_counts(lm_scoring.pack_counts(n)) == n).all()
+    for kind, own in ((1, keys), (2, np.unique(keys & lm_scoring.SHORT))):
+        for slot, part in lm_scoring.cut(own, 9):
+            assert (lm_scoring.unpack_keys(lm_scoring.pack_keys(own[part], kind), kind) == own[part]).all() and (own[part] >> np.uint64(55) == slot).all()
+    for n in ([0, 1, 255, 256, 1 << 40], [0], [7]):
+        assert (lm_scoring.unpack(lm_scoring.pack(np.array(n))) == n).all()
