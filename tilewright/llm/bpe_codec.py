@@ -18,9 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, common
 
-#: Words that a worker remembers; the memory is emptied when it is full.
-CACHE = 250_000
-
 
 class ByteCodec:
     """One byte-level vocabulary. Symbols are token ids throughout."""
@@ -53,6 +50,7 @@ class ByteCodec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.tokenizer = Tokenizer.from_file(vocabulary_file)
         self.ids: dict[str, str] = {}
+        self.held = 0
         self.decoded: dict[str, bytes] = {}
         self.size_of = np.array([*map(len, self.bytes_of)])
         self.text_of = [*map(str, range(size))]
@@ -159,6 +157,7 @@ class ByteCodec:
         text, decoded = [*map(self.text_of.__getitem__, ids)], self.decode(ids)
         ends = np.cumsum(n)
         bytes_to = np.concatenate(([0], np.cumsum(self.size_of[tokens])))[ends]
+        self.held += 8 * len(ids) + 2 * len(decoded) + 2 * bpe.ENTRY * len(fresh)
         ends, bytes_to = [0, *ends.tolist()], [0, *bytes_to.tolist()]
         for i, w in enumerate(fresh):
             self.ids[w] = ",".join(text[ends[i] : ends[i + 1]])
@@ -187,9 +186,10 @@ class ByteCodec:
     def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
         """Of each text its ids joined by commas, and those ids decoded."""
         split = [self.parts(t) for t in texts]
-        if len(self.ids) > CACHE:
+        if self.held > bpe.KEPT:
             self.ids.clear()
             self.decoded.clear()
+            self.held = 0
         for token, i in self.special.items():
             self.ids[token], self.decoded[token] = str(i), self.bytes_of[i]
         self.learn(set().union(*split))

@@ -8,7 +8,9 @@ ranks the pieces of each length and looks every one up in the plan.
 
 from __future__ import annotations
 
+import itertools
 import json
+import random
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,10 +24,8 @@ from pyspark.sql import functions as F
 
 from . import bpe, common
 
-#: Words that a worker remembers; the memory is emptied when it is full.
-CACHE = 300_000
-#: Parts in which the pieces of one length are ranked, so that a frequent length is no single group.
-SALTS = 32
+#: Pieces of one length that are ranked together: a more frequent length is dealt out in parts of about so many.
+RANKED = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -50,6 +50,7 @@ class WordCodec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.tokenizer = Tokenizer.from_file(vocabulary_file)
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def words(self, text: str) -> list[str]:
         if text.isascii():
@@ -85,32 +86,37 @@ class WordCodec:
         packed, ends = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(n)).tolist()]
         for i, w in enumerate(fresh):
             self.known[w] = packed[ends[i] : ends[i + 1]]
+        self.held += len(packed) + len(flat) + bpe.ENTRY * len(fresh)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit numbers."""
         split = [self.parts(t) for t in texts]
-        if len(self.known) > CACHE:
+        if self.held > bpe.KEPT:
             self.known.clear()
+            self.held = 0
         self.known.update(self.special)
         self.learn(set().union(*split))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def cut_pieces(vocabulary_file: str | None, end_id: int, capacity: int):
+    """mapInArrow function: the pieces of every text. salt: a number that deals pieces out evenly, repeated rows too."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
         codec = WordCodec(vocabulary_file or public_tokenizers.path("word_bpe_49k.json"))
         end = np.array([end_id], "<u4").tobytes()
+        salt = itertools.count(random.getrandbits(24))
         for batch in common.slices(batches):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), codec.encode(batch.column("text").to_pylist())):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), next(salt)))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "salt"]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
     return run
@@ -237,10 +243,10 @@ def plan_packing(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray,
     return np.array(sorted(rows), np.int64).reshape(-1, 5), sequences
 
 
-def placed(slots: np.ndarray, before: np.ndarray):
+def placed(slots: np.ndarray, first: np.ndarray, before: np.ndarray):
     """mapInArrow function: global rank of each piece in its length, then its slot.
 
-    slots: rows of plan_packing. before: pieces of each length in the salts before, [length, salt].
+    slots: rows of plan_packing. before[first[length] + part]: pieces of that length in the parts before.
     """
     key = slots[:, 0] << 40 | slots[:, 1]
 
@@ -248,7 +254,7 @@ def placed(slots: np.ndarray, before: np.ndarray):
         for batch in batches:
             take = lambda name: batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
             length = take("length")
-            rank = take("rank") - 1 + before[length, take("salt")]
+            rank = take("rank") - 1 + before[first[length] + take("part")]
             slot = slots[np.searchsorted(key, length << 40 | rank, side="right") - 1]
             nth = rank - slot[:, 1]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -264,24 +270,33 @@ def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1,
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every piece of every row and its place.
 
     A document is its tokens and the end id; only one longer than capacity is cut, into pieces of capacity tokens and
-    a last, shorter one. Null and empty texts are the end id alone. Repeated rows are packed each; a null doc_id is
-    carried along. An empty table gives no rows.
+    a last, shorter one. Texts of any length count whole; null and empty ones are the end id alone. Repeated rows are
+    packed each; a null doc_id is carried along. An empty table gives no rows. Other columns stay behind.
     """
     rows = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
-    pieces = common.save(rows.mapInArrow(common.task(cut_pieces(vocabulary_file, end_id, capacity)), PIECES))
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-
-    # At most capacity x SALTS counts, whatever the input.
-    by_salt = pieces.groupBy("length", "salt").count().collect()
-    counts = np.zeros((capacity + 1, SALTS), np.int64)
-    for r in by_salt:
-        counts[r["length"], r["salt"]] = r["count"]
-    totals = counts.sum(axis=1)
-    slots, _ = plan_packing({int(n): int(totals[n]) for n in np.flatnonzero(totals)}, capacity)
-
-    part = "row_number() OVER (PARTITION BY length, salt ORDER BY doc_id, piece, start, ids_crc32) AS rank"
-    ranked = pieces.selectExpr("*", part)
-    return ranked.mapInArrow(common.task(placed(slots, np.cumsum(counts, axis=1) - counts)), PIECES + ", sequence_id long, offset long")
+    spark = documents.sparkSession
+    pieces = common.save(rows.mapInArrow(common.task(cut_pieces(vocabulary_file, end_id, capacity)), PIECES + ", salt long"))
+
+    # At most capacity rows, whatever the input; then as many more as there are times RANKED pieces.
+    counts = np.zeros(capacity + 1, np.int64)
+    for r in pieces.groupBy("length").count().collect():
+        counts[r["length"]] = r["count"]
+    parts = -(-counts // RANKED)
+    first = np.cumsum(parts) - parts
+    dealt = spark.createDataFrame([(n, int(parts[n])) for n in np.flatnonzero(parts).tolist()], "length long, parts long")
+    pieces = pieces.join(F.broadcast(dealt), "length").withColumn("part", F.pmod("salt", "parts")).drop("salt", "parts")
+    before = np.zeros(int(parts.sum()), np.int64)
+    if (parts > 1).any():
+        many = pieces.filter(F.col("length").isin(np.flatnonzero(parts > 1).tolist()))
+        for r in many.groupBy("length", "part").count().collect():
+            before[first[r["length"]] + r["part"]] = r["count"]
+        for n in np.flatnonzero(parts > 1).tolist():
+            own = before[first[n] : first[n] + parts[n]]
+            own[:] = np.cumsum(own) - own
+    slots, _ = plan_packing({int(n): int(counts[n]) for n in np.flatnonzero(counts)}, capacity)
+
+    ranked = pieces.selectExpr("*", "row_number() OVER (PARTITION BY length, part ORDER BY doc_id, piece, start, ids_crc32) AS rank")
+    return ranked.mapInArrow(common.task(placed(slots, first, before)), PIECES + ", sequence_id long, offset long")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from . import bpe, common
 
-#: Pre-tokens that a worker remembers; the memory is emptied when it is full.
-CACHE = 300_000
 #: The vocabulary writes a space as this sign; here every text keeps plain spaces, and the sign counts as one.
 SIGN, SPACE = "▁", " "
 
@@ -40,6 +38,7 @@ class PieceCounter:
         self.merger = bpe.Merger(bpe.Pairs.of(*zip(*pairs)))
         self.single = np.array(sorted(ord(p) for p in score if len(p) == 1), np.int64)
         self.counts: dict[str, int] = {}
+        self.held = 0
         # A character that no longer piece holds merges with nothing, so a text may be cut at it.
         inner = {c for p in whole for c in p}
         cut = "".join(c for c in "\n\r\t" if c not in inner)
@@ -56,6 +55,7 @@ class PieceCounter:
             return
         symbols = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.held += 4 * len(symbols) + bpe.ENTRY * len(words)
         symbols, sizes = self.merger.merge(symbols, sizes)
         # Unmerged characters outside the vocabulary fall back to their UTF-8 bytes.
         at = np.minimum(np.searchsorted(self.single, symbols), len(self.single) - 1)
@@ -66,8 +66,9 @@ class PieceCounter:
 
     def count(self, texts: list[str]) -> list[int]:
         split = [self.words(t) for t in texts]
-        if len(self.counts) > CACHE:
+        if self.held > bpe.KEPT:
             self.counts.clear()
+            self.held = 0
         self.learn(list(set().union(*split) - self.counts.keys()))
         return [sum(map(self.counts.__getitem__, words)) for words in split]
 
@@ -87,7 +88,8 @@ def counted(model_file: str | None):
 def token_counts(documents: DataFrame, limit: int = 4096, model_file: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row: whole texts, no begin or end tokens.
 
-    Null and empty texts have 0 tokens. Repeated rows are counted each; a null doc_id is carried along.
+    Null and empty texts have 0 tokens, texts of any length count whole. Repeated rows are counted each; a null doc_id
+    is carried along. An empty table gives no rows. Other columns, whatever their names, stay behind.
     """
     rows = common.texts(documents)
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.octet_length("text").cast("long").alias("n_bytes"))
