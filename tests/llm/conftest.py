@@ -20,7 +20,7 @@ AWKWARD = [
 def awkward(spark):
     """Nulls, empty and very long texts, repeated rows, and extra columns with clashing names."""
     frame = spark.createDataFrame(AWKWARD, "doc_id long, text string, lang string, source string, n_chars long")
-    return frame.selectExpr("*", "1 as kept", "2 as fingerprint", "'x' as line", "0.5 as score", "3 as length")
+    return frame.selectExpr("*", "1 as kept", "2 as fingerprint", "'x' as line", "0.5 as score", "3 as length", "4 as line_dedup_removed", "5 as gone_doc", "6 as part", "7 as salt", "8 as body")
 
 
 @pytest.fixture(scope="session")

@@ -55,3 +55,10 @@ def test_awkward_rows_pass_through_every_stage(spark, awkward, sf):
         docs = common.save(stage(spark, docs, sf))
         assert docs.columns == awkward.columns
     assert packing.pack_documents(docs).count() >= docs.count()
+
+
+def test_empty_documents_pass_through_every_stage(spark, awkward, sf):
+    docs = awkward.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = common.save(stage(spark, docs, sf))
+        assert docs.count() == 0

@@ -79,7 +79,8 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
 
     Texts are equal when they are the same bytes after lower-casing A-Z; null counts as empty. The row with the
     largest doc_id of its group stays. A row repeated with its doc_id counts each time and is kept with its twins; a
-    null doc_id is below all others, and alone in its group keeps itself. An empty table gives no rows.
+    null doc_id is below all others, and alone in its group keeps itself. Texts of any length are compared whole. An
+    empty table gives no rows. Other columns, whatever their names, stay behind.
     """
     rows = common.texts(documents).withColumn("text", common.lower_az(F.col("text")))
     rows = rows.withColumn("fingerprint", F.xxhash64("text"))

@@ -87,8 +87,9 @@ def license_scan(documents: DataFrame, signatures: list[Rule] | None = None) ->
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections for every row.
 
     detections: array of start and end (characters of the text), priority, label and weight, after suppression.
-    Null counts as empty; a text without a hit has n_base 0, null words, empty labels and score 0. Repeated rows come
-    out each; a null doc_id is carried along.
+    Null counts as empty; a text without a hit has n_base 0, null words, empty labels and score 0. Texts of any length
+    are read whole. Repeated rows come out each; a null doc_id is carried along. An empty table gives no rows. Other
+    columns, whatever their names, stay behind.
     """
     signatures = rules() if signatures is None else signatures
     priorities = max(r.priority for r in signatures)

@@ -189,7 +189,8 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     white space) is threshold or more; class_id is the smallest doc_id that links reach, n_links the number of other
     rows linked directly, kept whether the row is its class's smallest. A text of 1 to n - 1 words is one n-gram; null,
     empty and blank texts link with nothing. Repeated rows link with each other and share one class; a null doc_id
-    never is a class and keeps itself only when alone. An empty table gives no rows.
+    never is a class and keeps itself only when alone. Texts of any length count whole. An empty table gives no rows.
+    Other columns, whatever their names, stay behind.
     """
     bands, rows = choose_bands(threshold, recall)
     docs = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
@@ -219,7 +220,8 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
 
 
 def keep_classes(documents: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of documents, with all their columns, that stay when each class keeps its smallest doc_id."""
+    """The rows of documents, with all their columns, that stay when each class keeps its smallest doc_id. Rows without
+    an id stay."""
     gone = common.save(ngram_join(documents, n, threshold).filter("not kept and doc_id is not null").select("doc_id").distinct())
     return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
 
