@@ -40,7 +40,7 @@ def _window(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     power, inverse = _power(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.take(_BYTE, data, out=total[1:])
+    np.take(_BYTE, data, out=total[1:], mode="clip")
     total[1:] *= power
     np.cumsum(total[1:], out=total[1:])
     sums = total[ends]

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ class Lines:
         ids = batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False)
         texts = [t.split("\n") for t in batch.column("text").to_pylist()]
         n = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.size = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
         flat = [line for lines in texts for line in lines]
         self.words, self.sizes = unique_sets(*hashing.word_hashes(flat))
         self.doc, self.line = np.repeat(ids, n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
@@ -73,23 +75,25 @@ def each(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Lines]:
 
 def first_pass(least: int):
     """mapInArrow function: place and marks of every line; then, with a cell and no place, in how many lines the words
-    of each cell stand."""
+    of each cell stand, and at the cell BYTES the size of all texts."""
 
     def run(batches):
-        total = np.zeros(CELLS, np.int64)
+        total, size = np.zeros(CELLS, np.int64), 0
         for lines in each(batches, least):
+            size += lines.size
             total += np.bincount((lines.words % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
             one, two = lines.marks()
             none = pa.nulls(len(one), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(lines.doc[lines.rows]), pa.array(lines.line[lines.rows]), pa.array(one), pa.array(two), none, none], SEEN)
         cell = np.flatnonzero(total)
-        none = pa.nulls(len(cell), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(cell), pa.array(total[cell])], SEEN)
+        none = pa.nulls(len(cell) + 1, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([*cell.tolist(), BYTES]), pa.array([*total[cell].tolist(), size])], SEEN)
 
     return run
 
 
 SEEN = ["doc", "line", "id", "mark", "cell", "n"]
+BYTES = -1
 
 
 def prefixes(frequency, threshold: float, least: int, bits: int, hot=None, count: bool = False):
@@ -377,15 +381,20 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
 
 def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3) -> DataFrame:
     """doc, lines: the numbers of the lines that go, of every document that loses any. A table of save()."""
+    return measured_losses(documents, threshold, least)[0]
+
+
+def measured_losses(documents: DataFrame, threshold: float, least: int) -> tuple[DataFrame, int]:
+    """removed_lines(), and the bytes of all texts."""
     spark = documents.sparkSession
     docs = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
     seen = common.save(docs.mapInArrow(common.task(first_pass(least)), ", ".join(f"{c} long" for c in SEEN)))
-    frequency = np.zeros(CELLS, np.int64)
-    for r in seen.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
-        frequency[r.cell] = r.n
+    found = seen.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS + 1 rows at most
+    cell, n = (found.column(c).to_numpy() for c in ("cell", "n"))
+    frequency, size = np.zeros(CELLS, np.int64), int(n[cell == BYTES].sum())
+    frequency[cell[cell != BYTES]] = n[cell != BYTES]
     frequency = spark.sparkContext.broadcast(frequency)
     # Ranges grow with the input, so that what meets in one stays at some hundred thousand words.
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(max(size / (6 << 20), 1))), 4, 22))
 
     # Crowded words are found on a sixteenth of the documents; that only decides how rows are dealt out.
@@ -421,7 +430,7 @@ def removed_lines(documents: DataFrame, threshold: float = 0.8, least: int = 3)
     common.discard(seen, firsts, placed, sets, similar)
     for held in (frequency, hot, lined):
         held.unpersist()
-    return gone
+    return gone, size
 
 
 LOST = "line_dedup_removed"
@@ -526,7 +535,7 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
     """
     spark = documents.sparkSession
     documents = documents.drop(LOST)
-    gone = removed_lines(documents, threshold, least)
+    gone, size = measured_losses(documents, threshold, least)
     # Documents that lose nothing, as far as a filter of bounded size can tell, need not meet the list of losses.
     bits = spark.sparkContext.broadcast(bit_filter(gone, "doc"))
 
@@ -536,7 +545,6 @@ def line_dedup(documents: DataFrame, threshold: float = 0.8, least: int = 3) ->
 
     whole = documents.filter(~may_lose(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))).withColumn(LOST, F.array().cast("array<int>"))
     # The others meet it packed by part, a body for each part that a task has rows of: texts compress well together.
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(np.clip(size // PART, 16, 1 << 20))
     shape = "part long, doc long, lines array<int>, body binary"
     met = documents.mapInArrow(common.task(touched((bits, parts))), shape).union(gone.mapInArrow(common.task(losses(parts)), shape))
@@ -556,6 +564,34 @@ def without_repeats(documents: DataFrame, threshold: float = 0.8, least: int = 3
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_removed, removed (the numbers of the lines that went) and the text that stays, for every row."""
+    """doc_id, n_removed, removed (the numbers of the lines that went, joined by commas) and the text that stays, for
+    every row."""
     out = line_dedup(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
-    return out.select("doc_id", F.size("line_dedup_removed").cast("long").alias("n_removed"), F.col("line_dedup_removed").alias("removed"), "text")
+    return out.select("doc_id", F.size(LOST).cast("long").alias("n_removed"), F.array_join(LOST, ",").alias("removed"), "text")
+
+
+#: Sets of words once each, candidates by the rarest words of each, the exact similarity of those, and the earliest line
+#: that each set is equal or similar to. Built for documents whose ids are neither null nor repeated.
+SQL = r"""
+WITH l AS (
+    SELECT doc_id, line - 1 AS line, x, list_sort(list_distinct(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents WHERE text IS NOT NULL)
+), sets AS (
+    SELECT w, len(w) AS n, min(ROW(doc_id, line)) AS first, row_number() OVER () AS id FROM l WHERE len(w) > 0 GROUP BY w
+), e AS (SELECT id, n, unnest(w) AS word FROM sets), f AS (SELECT word, count(*) AS often FROM e GROUP BY word
+), heads AS (
+    SELECT id, n, word FROM (SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY often, word) AS place FROM e JOIN f USING (word))
+    WHERE place <= n - ceil(0.8 * n - 1e-9) + 1
+), met AS (
+    SELECT DISTINCT a.id AS a, b.id AS b FROM heads AS a JOIN heads AS b ON a.word = b.word AND a.id <> b.id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+), alike AS (
+    SELECT x.id, min(y.first) AS first FROM met JOIN sets AS x ON x.id = met.a JOIN sets AS y ON y.id = met.b
+    WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (x.n + y.n) GROUP BY x.id
+), judged AS (
+    SELECT l.doc_id, l.line, l.x, coalesce(ROW(l.doc_id, l.line) > least(s.first, coalesce(m.first, s.first)), FALSE) AS gone
+    FROM l LEFT JOIN sets AS s USING (w) LEFT JOIN alike AS m ON m.id = s.id
+)
+SELECT d.doc_id, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed, coalesce(string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (gone), '') AS removed,
+    CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (NOT gone), '') END AS text
+FROM documents AS d LEFT JOIN judged USING (doc_id) GROUP BY d.doc_id, d.text
+"""

@@ -17,4 +17,9 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
-ORACLE_SQL = {"op2_embedding_near_dedup": embedding_dedup.SQL, "op4_ngram_jaccard_join": ngram_join.SQL, "op9_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL = {
+    "op2_embedding_near_dedup": embedding_dedup.SQL,
+    "op4_ngram_jaccard_join": ngram_join.SQL,
+    "op7_line_dedup": line_dedup.SQL,
+    "op9_exact_dedup": exact_dedup.SQL,
+}
