@@ -22,14 +22,16 @@ from . import common
 class Settings:
     """trees: independent trees. leaf: vectors that a leaf should hold. overlap: how far from a split, as a share of
     the distance that two vectors at the threshold have along a random direction (standard deviation), vectors go both
-    ways. node: vectors, about, on which the last split above a leaf is set. first: levels that are set in one go from
-    one sample of a label; deeper ones are set below each of their nodes, from a sample that grows with the depth.
-    values: most split values in all, which bounds the forest that every task gets. block: vectors compared at a time."""
+    ways. node: vectors, about, on which the last split above a leaf is set; least: on which those of a label are, at
+    the least. first: levels that are set in one go from one sample of a label; deeper ones are set below each of their
+    nodes, from a sample that grows with the depth. values: most split values in all, which bounds the forest that
+    every task gets. block: vectors compared at a time."""
 
     trees: int = 4
     leaf: int = 256
     overlap: float = 0.6
     node: int = 8
+    least: int = 4096
     first: int = 11
     values: int = 4_000_000
     block: int = 1024
@@ -107,7 +109,7 @@ def fit(vectors: DataFrame, threshold: float, settings: Settings) -> Forest:
     """Splits from samples: of each space with more than a leaf of vectors, settings.node for every leaf it gets.
 
     vectors: label, dim, rep, vector. The upper levels of a space are one group, each node below them another, so no
-    group has more than settings.node * 2**settings.first vectors, about.
+    group has more than settings.node * 2**settings.first vectors, or settings.least, about.
     """
     big = vectors.groupBy("label", "dim").agg(F.count("*").alias("n")).filter(F.col("n") > settings.leaf)
     big = big.orderBy(F.desc("n"), "label", "dim").limit(SPACES).collect()
@@ -132,7 +134,7 @@ def fit(vectors: DataFrame, threshold: float, settings: Settings) -> Forest:
         found = np.stack([set_splits(rows, d, min(depths[space], first)) for d in directions[space[1]]])
         return pa.table({"label": pa.array([space[0]], pa.int64()), "dim": pa.array([space[1]], pa.int32()), "splits": pa.array([found.tobytes()], pa.binary())})
 
-    share = {space: settings.node * 2.0 ** min(depth, first) / counts[space] for space, depth in depths.items()}
+    share = {space: max(settings.least, settings.node * 2.0 ** min(depth, first)) / counts[space] for space, depth in depths.items()}
     rows = sampled(vectors, share, settings.seed).groupBy("label", "dim").applyInArrow(upper, "label long, dim int, splits binary").collect()  # settings.values at most
     for r in rows:
         forest.splits[r.label, r.dim] = np.frombuffer(r.splits).reshape(settings.trees, -1)
