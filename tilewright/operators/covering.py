@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,14 +49,21 @@ def seeds(boundaries: DataFrame, zoom: int = 4) -> DataFrame:
     return boundaries.join(F.broadcast(tiles), lat & lon).select("boundary_id", "level", "geom", "x", "y")
 
 
-def descend(first: int, leaf: int, last: int, capacity: int):
-    """mapInArrow function: the tiles of one boundary below one seed, clipped from level to level in the task."""
+#: Levels that a task goes down before what is still open is dealt out anew.
+STEP = 4
+OPEN = COVERING + ", x long, y long, zoom int"
+
+
+def descend(stop: int, leaf: int, last: int, capacity: int):
+    """mapInArrow function over rows of OPEN: tiles (with tile_qk) go through; of the others, a boundary's part in tile
+    x, y at a zoom, the tiles below as far as level stop, from which on they are left open again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                out = []
-                stack = [(row["x"], row["y"], first, geometry.parse(row["geom"]))]
+            done = batch.column("tile_qk").is_valid()
+            yield pa.RecordBatch.from_arrays(batch.filter(done).columns, batch.schema.names)
+            for row in batch.filter(pc.invert(done)).to_pylist():
+                out, stack = [], [(row["x"], row["y"], row["zoom"], geometry.parse(row["geom"]))]
                 while stack:
                     x, y, zoom, shape = stack.pop()
                     box = tile_box(x, y, zoom)
@@ -64,9 +72,11 @@ def descend(first: int, leaf: int, last: int, capacity: int):
                     if not part or not geometry.area(part) > 0:
                         continue
                     if geometry.fills(part, *box):
-                        out.append((quadkey_of(x, y, zoom), True, None, 5))
+                        out.append((quadkey_of(x, y, zoom), True, None, 5, x, y, zoom))
                     elif zoom >= last or (zoom >= leaf and geometry.points(part) <= capacity):
-                        out.append((quadkey_of(x, y, zoom), False, geometry.write(shape), geometry.points(part)))
+                        out.append((quadkey_of(x, y, zoom), False, geometry.write(shape), geometry.points(part), x, y, zoom))
+                    elif zoom >= stop:
+                        out += [(None, None, geometry.write(shape), None, 2 * x + dx, 2 * y + dy, zoom + 1) for dx in (0, 1) for dy in (0, 1)]
                     else:
                         stack += [(2 * x + dx, 2 * y + dy, zoom + 1, shape) for dx in (0, 1) for dy in (0, 1)]
                     if len(out) >= 1000:
@@ -78,10 +88,10 @@ def descend(first: int, leaf: int, last: int, capacity: int):
     return run
 
 
-def tiles_of(row: dict, out: list[tuple[str, bool, bytes | None, int]]) -> pa.RecordBatch:
-    tile, interior, geom, points = zip(*out)
-    kinds = [(tile, pa.string()), ([str(row["boundary_id"])] * len(out), pa.string()), ([row["level"]] * len(out), pa.int32()), (interior, pa.bool_()), (geom, pa.binary()), (points, pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in kinds], ["tile_qk", "boundary_id", "level", "interior", "geom", "points"])
+def tiles_of(row: dict, out: list[tuple]) -> pa.RecordBatch:
+    tile, interior, geom, points, x, y, zoom = zip(*out)
+    kinds = [(tile, pa.string()), ([str(row["boundary_id"])] * len(out), pa.string()), ([row["level"]] * len(out), pa.int32()), (interior, pa.bool_()), (geom, pa.binary()), (points, pa.int64()), (x, pa.int64()), (y, pa.int64()), (zoom, pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in kinds], ["tile_qk", "boundary_id", "level", "interior", "geom", "points", "x", "y", "zoom"])
 
 
 def stats(covering: DataFrame, last: int = 16, capacity: int = 5000) -> DataFrame:
@@ -101,8 +111,16 @@ def cover(boundaries: DataFrame, first: int = 4, leaf: int = 12, last: int = 16,
     """
     if not 0 <= first <= leaf <= last <= qk.ZOOM:
         raise ValueError(f"levels must rise: {first}, {leaf}, {last}")
-    # A boundary's seeds go to different tasks: the largest polygons are no single row's work.
-    return seeds(boundaries, first).repartition("boundary_id", "x", "y").mapInArrow(descend(first, leaf, last, capacity), COVERING)
+    rows = seeds(boundaries, first)
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = rows.select(
+        none("string").alias("tile_qk"), F.col("boundary_id").cast("string").alias("boundary_id"), F.col("level").cast("int").alias("level"), none("boolean").alias("interior"),
+        "geom", none("long").alias("points"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), F.lit(first).alias("zoom"),
+    )
+    # What is open goes to different tasks every few levels: the largest polygons are no single row's work.
+    for stop in range(first + STEP - 1, last + STEP, STEP):
+        rows = rows.repartition("boundary_id", "x", "y").mapInArrow(descend(stop, leaf, last, capacity), OPEN)
+    return rows.drop("x", "y", "zoom")
 
 
 def cover_boxes(boxes: DataFrame, first: int, last: int) -> DataFrame:

@@ -181,6 +181,12 @@ def attribute_keys(records: DataFrame) -> DataFrame:
     return records.select(F.explode(F.json_object_keys(F.get_json_object("record_json", "$.attributes"))).alias("key")).distinct()
 
 
+def tag_keys(tagged: DataFrame) -> DataFrame:
+    """key: every key that stands in a map of tags; a null map has none."""
+    tags = F.coalesce("tags", F.create_map().cast("map<string,string>"))
+    return tagged.select(F.explode(F.map_keys(tags)).alias("key")).distinct()
+
+
 def containment_levels(relations: DataFrame) -> DataFrame:
     """level: every level that stands in relations_json."""
     within = F.from_json("relations_json", "within array<struct<level:int>>")["within"]["level"]

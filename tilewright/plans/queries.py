@@ -534,6 +534,11 @@ def attribute_keys(spark, sf_dir):
     return export.attribute_keys(px.table(spark, sf_dir, "nation").select(record.alias("record_json")))
 
 
+@query(f"WITH {px.TAGS_SQL} SELECT DISTINCT unnest(map_keys(CASE WHEN id % 3 > 0 THEN tags END)) AS key FROM tagged")
+def tag_keys(spark, sf_dir):
+    return export.tag_keys(px.tagged(spark, sf_dir).withColumn("tags", F.when(F.col("id") % 3 > 0, F.col("tags"))))
+
+
 @query(f"WITH {px.POINTS_SQL}, {px.BOXES_SQL} SELECT DISTINCT level FROM pts JOIN boxes ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax")
 def containment_levels(spark, sf_dir):
     return export.containment_levels(containment_relations(spark, sf_dir))
