@@ -27,26 +27,26 @@ def candidates(points: DataFrame, covering: DataFrame, low: int = 4, high: int =
 
 
 def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow function over rows sorted by tile, salt and kind, shapes (with geom) before points: the points that
-    the shapes of their tile cover. Each shape is parsed once a tile and meets all points of a batch at a time."""
+    """mapInArrow function over rows sorted by tile, salt and kind, covering tiles (kind 0) before points: the points
+    that lie in a boundary. Each shape is parsed once a tile and meets all points of a batch at a time; a tile inside a
+    boundary has none and takes every point."""
     at, shapes = None, []
     for batch in batches:
-        tile, salt = batch.column("tile_qk").to_pylist(), batch.column("salt").to_pylist()
-        geom, bounds = batch.column("geom"), batch.column("boundary_id")
-        is_shape = geom.is_valid().to_numpy(zero_copy_only=False)
-        x, y = batch.column("lon").to_numpy(zero_copy_only=False), batch.column("lat").to_numpy(zero_copy_only=False)
+        tile, salt, kind = (batch.column(c).to_pylist() for c in ("tile_qk", "salt", "kind"))
+        x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lon", "lat"))
+        bounds, levels, interior, geom = (batch.column(c) for c in ("boundary_id", "level", "interior", "geom"))
         start = 0
         while start < len(tile):
             end = start + 1
-            while end < len(tile) and tile[end] == tile[start] and salt[end] == salt[start] and is_shape[end] == is_shape[start]:
+            while end < len(tile) and tile[end] == tile[start] and salt[end] == salt[start] and kind[end] == kind[start]:
                 end += 1
             if (tile[start], salt[start]) != at:
                 at, shapes = (tile[start], salt[start]), []
-            if is_shape[start]:
-                shapes += [(bounds.slice(i, 1), batch.column("level").slice(i, 1), geometry.parse(geom[i].as_py())) for i in range(start, end)]
+            if kind[start] == 0:
+                shapes += [(bounds.slice(i, 1), levels.slice(i, 1), None if interior[i].as_py() else geometry.parse(geom[i].as_py())) for i in range(start, end)]
             else:
                 for boundary, level, shape in shapes:
-                    hit = np.flatnonzero(geometry.covers_each(shape, x[start:end], y[start:end])) + start
+                    hit = np.arange(start, end) if shape is None else np.flatnonzero(geometry.covers_each(shape, x[start:end], y[start:end])) + start
                     if len(hit):
                         first = pa.array(np.zeros(len(hit), np.int64))
                         yield pa.RecordBatch.from_arrays([batch.column("place_id").take(pa.array(hit)), boundary.take(first), level.take(first)], ["place_id", "boundary_id", "level"])
@@ -54,21 +54,23 @@ def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def matches(points: DataFrame, covering: DataFrame, low: int = 4, high: int = 16, most: int = 50_000) -> DataFrame:
-    """place_id, boundary_id, level. Tiles inside a boundary need no test; for the others the shapes go, once each, to
-    where the points of their tile are. A tile of over `most` points is dealt out in several parts."""
+    """place_id, boundary_id, level, once for each point and boundary that holds it.
+
+    Covering tiles and points meet once, by tile: a point goes out under each of its tiles from level low to high, a
+    covering tile under its own, and as no two tiles of a boundary overlap no pair comes twice. A tile of over `most`
+    points is dealt out in several parts, its covering tiles to each of them.
+    """
     keys = keyed(points, low, high)
-    sure = keys.join(covering.filter("interior").select("tile_qk", "boundary_id", "level"), "tile_qk").select("place_id", "boundary_id", "level")
-    edge = covering.filter("not interior").select("tile_qk", "boundary_id", "level", "geom")
-    tiles = edge.select("tile_qk").distinct()
-    parts = keys.select("tile_qk").join(tiles, "tile_qk", "left_semi").groupBy("tile_qk").agg(F.ceil(F.count("*") / F.lit(most)).cast("long").alias("parts"))
+    crowded = keys.groupBy("tile_qk").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("tile_qk", F.ceil(F.col("n") / F.lit(most)).cast("long").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
     none = lambda c, of: F.lit(None).cast(of.schema[c].dataType).alias(c)
-    shapes = edge.join(parts, "tile_qk").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    shapes = shapes.select("tile_qk", "salt", none("place_id", points), none("lon", points), none("lat", points), "boundary_id", "level", "geom")
-    spots = keys.join(parts, "tile_qk").withColumn("salt", F.pmod(F.xxhash64("place_id"), F.col("parts")))
-    spots = spots.select("tile_qk", "salt", "place_id", "lon", "lat", *[none(c, covering) for c in ("boundary_id", "level", "geom")])
-    met = shapes.union(spots).repartition("tile_qk", "salt").sortWithinPartitions("tile_qk", "salt", F.col("geom").isNull())
+    shapes = covering.join(crowded, "tile_qk", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    shapes = shapes.select("tile_qk", "salt", F.lit(0).alias("kind"), none("place_id", points), none("lon", points), none("lat", points), "boundary_id", "level", "interior", "geom")
+    spots = keys.join(crowded, "tile_qk", "left").withColumn("salt", F.pmod(F.xxhash64("place_id"), parts))
+    spots = spots.select("tile_qk", "salt", F.lit(1).alias("kind"), "place_id", "lon", "lat", *[none(c, covering) for c in ("boundary_id", "level", "interior", "geom")])
+    met = shapes.union(spots).repartition("tile_qk", "salt").sortWithinPartitions("tile_qk", "salt", "kind")
     kinds = ", ".join(f"{c} {of.schema[c].dataType.simpleString()}" for c, of in (("place_id", points), ("boundary_id", covering), ("level", covering)))
-    return sure.union(met.mapInArrow(covered, kinds)).distinct()
+    return met.mapInArrow(covered, kinds)
 
 
 def relations(matched: DataFrame, assignments: DataFrame, names: DataFrame, prefix: str) -> DataFrame:
