@@ -307,7 +307,9 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, settings: Se
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     named = groups.join(links, "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("label", "vector", F.coalesce("component", "rep").alias("found"), (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
-    out = rows.join(common.save(named), ["label", "vector"], "left")
+    named = common.save(named)
+    common.discard(groups, crowded, checked, components)
+    out = rows.join(named, ["label", "vector"], "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("found", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -213,6 +213,7 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
 
     named = groups.select("f1", "f2", "rep", "members").join(links, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
     named = common.save(named.select("f1", "f2", F.coalesce("component", "rep").alias("class_id"), (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    common.discard(groups, clusters, wanted, checked, classes)
     out = marks.select("doc_id", "f1", "f2").join(named, ["f1", "f2"], "left")
     class_id = F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     out = out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
