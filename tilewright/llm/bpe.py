@@ -11,7 +11,7 @@ import regex
 
 NONE = np.int64(1) << 40
 #: Bytes, about, that a worker keeps of words it has met, with what each of them stands for; then it starts anew.
-KEPT = 48 << 20
+KEPT = 32 << 20
 #: Bytes that an entry takes beside its word and value.
 ENTRY = 160
 #: Longer sequences merge one by one on a heap: in step with short ones they would be quadratic.

@@ -8,6 +8,7 @@ ranks the pieces of each length and looks every one up in the plan.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import random
@@ -33,8 +34,6 @@ class WordCodec:
     """Word-level BPE with an end-of-word mark: NFC, lower case, white space dropped. Words map to packed ids."""
 
     def __init__(self, vocabulary_file: str):
-        from tokenizers import Tokenizer
-
         with open(vocabulary_file, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
@@ -48,10 +47,17 @@ class WordCodec:
         self.split, self.split_latin = regex.compile(pattern), bpe.latin(pattern)
         self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.tokenizer = Tokenizer.from_file(vocabulary_file)
+        self.vocabulary_file = vocabulary_file
         self.known: dict[str, bytes] = {}
         self.held = 0
 
+    @functools.cached_property
+    def tokenizer(self):
+        """The library's own, for texts whose splitting it has to settle: few, so it isn't loaded for the others."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary_file)
+
     def words(self, text: str) -> list[str]:
         if text.isascii():
             return self.split_latin.findall(text.lower())
@@ -108,7 +114,7 @@ def cut_pieces(vocabulary_file: str | None, end_id: int, capacity: int):
         codec = WordCodec(vocabulary_file or public_tokenizers.path("word_bpe_49k.json"))
         end = np.array([end_id], "<u4").tobytes()
         salt = itertools.count(random.getrandbits(24))
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, most=1 << 20):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), codec.encode(batch.column("text").to_pylist())):
                 ids += end
