@@ -8,6 +8,9 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes hashed at a time; arrays of eight times that size are alive meanwhile.
 WINDOW = 1 << 18
+#: Bytes of words between white space: all but space and 9 to 13.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
@@ -33,10 +36,9 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def _window(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word in bytes that end with white space. White space: space and 9 to 13."""
-    word = (data != 32) & ((data < 9) | (data > 13))
-    edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
+def _window(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word in bytes that end with one that is in no word."""
+    edge = np.flatnonzero(np.diff(inside[data], prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
     power, inverse = _power(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
@@ -47,21 +49,13 @@ def _window(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sums -= total[starts]
     sums *= inverse[starts]
     sums += (ends - starts).astype(np.uint64)
-    return starts, mix(sums)
+    return starts, ends, mix(sums)
 
 
-def word_hashes(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of all texts, end to end, and how many words each text has.
-
-    Words are runs without white space (space, 9 to 13); lower puts A-Z in lower case first.
-    """
-    coded = [t.encode("utf-8", "surrogatepass") for t in texts]
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
-    joined = sep.join(coded) + sep
-    if lower:
-        joined = joined.lower()
+def spans(joined: bytes, inside: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word: runs of bytes that inside marks. The last byte is in no word."""
     data = np.frombuffer(joined, np.uint8)
-    starts, hashes, at = [], [], 0
+    found, at = [], 0
     while at < len(data):
         end = min(at + WINDOW, len(data))
         if end < len(data):  # back to white space, or on to it where a word is longer than the window
@@ -69,14 +63,32 @@ def word_hashes(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tup
             if cut < at:
                 cut = min((c for c in (joined.find(b" ", end), joined.find(b"\n", end)) if c >= 0), default=len(data) - 1)
             end = cut + 1
-        s, h = _window(data[at:end])
-        starts.append(s + at)
-        hashes.append(h)
+        starts, ends, hashes = _window(data[at:end], inside)
+        found.append((starts + at, ends + at, hashes))
         at = end
-    if not starts:
-        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    ends = np.searchsorted(np.concatenate(starts), np.cumsum(sizes))
-    return np.concatenate(hashes), np.diff(ends, prepend=0)
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def joined_texts(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tuple[bytes, np.ndarray]:
+    """All texts end to end, each closed by sep, and their sizes with it; lower puts A-Z in lower case."""
+    coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
+    joined = sep.join(coded) + sep
+    return joined.lower() if lower else joined, sizes
+
+
+def word_hashes(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of all texts, end to end, and how many words each text has.
+
+    Words are runs without white space (space, 9 to 13); lower puts A-Z in lower case first.
+    """
+    if not texts:
+        return np.empty(0, np.uint64), np.zeros(0, np.int64)
+    joined, sizes = joined_texts(texts, lower, sep)
+    starts, _, hashes = spans(joined)
+    return hashes, np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
 
 
 def grams(hashes: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, embedding_dedup, exact_dedup, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality, token_counts
+from . import bpe_codec, decontamination, embedding_dedup, exact_dedup, fill_in_middle, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality, token_counts
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_bpe_round_trip": bpe_codec.op8_bpe_round_trip,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_benchmark_decontamination": decontamination.op11_benchmark_decontamination,
+    "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -22,4 +24,6 @@ ORACLE_SQL = {
     "op4_ngram_jaccard_join": ngram_join.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_benchmark_decontamination": decontamination.SQL,
+    "op12_fill_in_middle": fill_in_middle.SQL,
 }
