@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontamination, embedding_dedup, exact_dedup, fill_in_middle, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality, token_counts
+from . import bpe_codec, collocations, decontamination, embedding_dedup, exact_dedup, fill_in_middle, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality, token_counts
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_benchmark_decontamination": decontamination.op11_benchmark_decontamination,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 ORACLE_SQL = {
@@ -26,4 +27,5 @@ ORACLE_SQL = {
     "op9_exact_dedup": exact_dedup.SQL,
     "op11_benchmark_decontamination": decontamination.SQL,
     "op12_fill_in_middle": fill_in_middle.SQL,
+    "op13_phrase_collocations": collocations.SQL,
 }
