@@ -24,8 +24,8 @@ BLOCK, KEY = 1 << 21, 1 << 20
 HOT = 4096
 #: Word frequencies are counted in so many cells to find hot words; a word that shares a hot one's cell is taken as hot.
 CELLS = 1 << 16
-#: Candidates of a language are ranked in so many parts before they are ranked together.
-PARTS = 64
+#: Candidates of a language are ranked in so many parts, then what is left in fewer, at last together.
+PARTS = 512, 32, 4, 1
 #: Kinds of bytes: in a word, between words, and between pieces ([.,;:!?] and 10 to 13).
 WORD, GAP, BREAK = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
@@ -268,9 +268,9 @@ def collocations(documents: DataFrame, min_n: int = 2, max_n: int = 3, least: in
     kept = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # What is not among the first of its part isn't among the first of all.
-    kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
-    for within in (["lang", "part"], ["lang"]):
-        kept = kept.withColumn("rank", F.row_number().over(W.partitionBy(*within).orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
+    for parts in PARTS:
+        kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+        kept = kept.withColumn("rank", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return kept.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("all").alias("n"), "score")
 
 
