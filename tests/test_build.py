@@ -1,9 +1,12 @@
 """Sources, sinks, freshness and a whole build on small tables."""
 
+import dataclasses
 import gzip
 import json
 import os
+import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,7 +80,8 @@ def test_tiles_and_manifest(spark, tmp_path):
     assert sinks.find_record(manifest, records, "c") == '{"rkey":"c"}' and sinks.find_record(manifest, records, "zz") is None
 
 
-def test_whole_build(spark, tmp_path):
+@pytest.mark.parametrize("files", ["", "/*.parquet"])
+def test_whole_build(spark, tmp_path, files):
     shape = lambda *box: bytearray(geometry.write(geometry.box(*box)))
     spark.createDataFrame(
         [(f"p{i}", (float(i), 1.0, float(i), 1.0), b"g", (f"Place {i}", None, None), ("bar" if i % 2 else "inn",), None) for i in range(30)],
@@ -88,8 +92,11 @@ def test_whole_build(spark, tmp_path):
         [("c", ("Country", None, None), "country", "US", None, None, 100, None, [[("c",)]]), ("r", ("Region", None, None), "region", "US", None, None, 10, "c", [[("c",), ("r",)]])],
         f"id string, names {NAMES}, subtype string, country string, region string, wikidata string, population long, parent_division_id string, hierarchies {chain}",
     ).write.parquet(f"{tmp_path}/divisions")
-    spark.createDataFrame([("c", True, shape(0, 0, 20, 10), (0.0, 0.0, 20.0, 10.0)), ("r", True, shape(0, 0, 10, 10), (0.0, 0.0, 10.0, 10.0))], f"division_id string, is_land boolean, geometry binary, bbox {BOX}").write.parquet(f"{tmp_path}/areas")
-    config = build.Config(f"{tmp_path}/out", {n: f"{tmp_path}/{n}" for n in ("places", "divisions", "areas")}, most=5, summary=10, names={"divisions": "org.divisions"})
+    # The country comes in two overlapping parts and one that has no inside; "gone" has nothing else.
+    flat = bytearray(geometry.write([[np.array([(0, 0), (5, 5), (9, 9)], float)]]))
+    areas = [("c", True, shape(0, 0, 12, 10), (0.0, 0.0, 12.0, 10.0)), ("c", True, shape(8, 0, 20, 10), (8.0, 0.0, 20.0, 10.0)), ("c", True, flat, (0.0, 0.0, 9.0, 9.0)), ("gone", True, flat, (0.0, 0.0, 9.0, 9.0))]
+    spark.createDataFrame([*areas, ("r", True, shape(0, 0, 10, 10), (0.0, 0.0, 10.0, 10.0))], f"division_id string, is_land boolean, geometry binary, bbox {BOX}").write.parquet(f"{tmp_path}/areas")
+    config = build.Config(f"{tmp_path}/out", {n: f"{tmp_path}/{n}{files}" for n in ("places", "divisions", "areas")}, most=5, summary=10, names={"divisions": "org.divisions"})
     made = build.Build(spark, config)
     out = made.run("places")
     records = scans.text_keys(spark, f"{tmp_path}/out/places_records")
@@ -108,7 +115,22 @@ def test_whole_build(spark, tmp_path):
     found = sinks.get_record(spark, f"{tmp_path}/out/tiles/places/current", "p7")
     assert found["uri"] == "https://places.example/places/p7" and found["importance"] >= 0 and found["value"]["name"] == "Place 7" and "importance" not in found["value"]
     assert sinks.get_record(spark, out, "none") is None and sinks.read_tile(spark, out, "333333") is None
+    assert about["license"].startswith("https://") and about["attribution"]
+    first = ["density", "idf", "places", "places_assignments", "shapes", "divisions", "covering", "places_containment", "places_records", "tiles/places"]
+    assert made.made == first
     run = made.run("divisions")
+    assert made.made == [*first, "divisions_assignments", "divisions_containment", "divisions_records", "tiles/divisions"]
+    about = json.loads(Files(spark).read_text(f"{run}/manifest.json"))
+    assert (about["unusable_areas"], about["divisions_without_area"]) == (2, 1)
+    country = spark.read.parquet(f"{tmp_path}/out/divisions").filter("id = 'c'").first()
+    assert geometry.area(geometry.parse(country.geom)) == 200 and len(geometry.parse(country.geom)) == 1
+    again = build.Build(spark, dataclasses.replace(config, generated_at="99990101T000000Z"))
+    assert again.run("places") == out and again.run("divisions") == run and again.made == []
+    extra = spark.read.parquet(f"{tmp_path}/places").filter("id = 'p1'").selectExpr("'more' as id", "* except (id)")
+    extra.write.mode("append").parquet(f"{tmp_path}/places")
+    third = build.Build(spark, dataclasses.replace(config, generated_at="99990101T000000Z"))
+    assert third.run("places") != out and "shapes" not in third.made and {"density", "places", "tiles/places"} <= set(third.made)
+    assert sinks.get_record(spark, f"{tmp_path}/out/tiles/places/current", "more") is not None
     divisions = scans.text_keys(spark, f"{tmp_path}/out/divisions_records").collect()
     assert {r.place_id for r in divisions} == {"c", "r"} and len(divisions) == len({(r.place_id, r.tile_qk) for r in divisions})
     about = json.loads(Files(spark).read_text(f"{run}/collection.json"))
@@ -155,6 +177,34 @@ def test_density_of_a_stream(spark, tmp_path):
     assert len(spark.table("counts").first().tile_qk) == 9 and qk.ZOOM == 17
 
 
+def test_sources_have_their_own_licences():
+    one = build.Build.about
+    of = lambda tiles: (lambda s: one(type("B", (), {"config": build.Config("o", {}, tiles=tiles)})(), s))
+    assert of({})("osm") == build.ABOUT["osm"] and of({"source": "s", "license": "l"})("osm") == {"source": "s", "license": "l", "attribution": build.ABOUT["osm"]["attribution"]}
+    assert of({"osm": {"license": "mine"}})("osm")["license"] == "mine" and of({"osm": {"license": "mine"}})("places") == build.ABOUT["places"]
+
+
+def test_config_from_json_and_yaml(tmp_path, monkeypatch):
+    fields = {"output": "o", "inputs": {"places": "p/*.parquet"}, "most": 7}
+    (tmp_path / "c.json").write_text(json.dumps(fields))
+    assert build.load(f"{tmp_path}/c.json") == build.Config("o", {"places": "p/*.parquet"}, most=7)
+    # JSON is YAML; any reader with safe_load will do.
+    monkeypatch.setitem(sys.modules, "yaml", type(sys)("yaml"))
+    sys.modules["yaml"].safe_load = json.loads
+    (tmp_path / "c.yaml").write_text(json.dumps(fields))
+    assert build.load(f"{tmp_path}/c.yaml") == build.load(f"{tmp_path}/c.json")
+
+
+def test_categories_run_into_the_description(spark, tmp_path):
+    counts = spark.range(3000).selectExpr("concat('k\"', id) as category", "id + 1 as n")
+    sinks.write_counts(counts, f"{tmp_path}/counts")
+    sinks.write_described(spark, f"{tmp_path}/c.json", {"collection": "c"}, counts, f"{tmp_path}/counts")
+    got = json.loads((tmp_path / "c.json").read_text())
+    assert got["collection"] == "c" and len(got["categories"]) == 3000 and got["categories"][0] == {"value": 'k"2999', "count": 3000}
+    sinks.write_described(spark, f"{tmp_path}/d.json", {"collection": "c"}, None, "")
+    assert json.loads((tmp_path / "d.json").read_text()) == {"collection": "c"}
+
+
 def test_every_category_is_counted(spark, tmp_path):
     places = spark.range(4000).selectExpr("id", "case when id % 4 < 3 then concat('k=', id % 1999) end category")
     sinks.write_counts(export.category_counts(places, F.col("category")), f"{tmp_path}/categories")

@@ -167,8 +167,8 @@ def clip(polygons: Polygons, xmin: float, ymin: float, xmax: float, ymax: float)
 
 
 def fills(polygons: Polygons, xmin: float, ymin: float, xmax: float, ymax: float) -> bool:
-    """Whether one polygon of a clip to the box has the box's whole area. Parts may overlap, so their areas don't add
-    up; a box that only several parts fill together counts as not filled and is tested point by point."""
+    """Whether one polygon of a clip to the box has the box's whole area. Polygons that overlay.union() made are apart,
+    so no two of them fill a box together; of others, a box that only several fill counts as not filled."""
     whole = (xmax - xmin) * (ymax - ymin)
     return any(area([p]) >= whole * (1 - 1e-12) for p in polygons)
 
@@ -200,6 +200,6 @@ def interior_point(polygons: Polygons) -> tuple[float, float]:
 
 
 def merge(parts: list[Polygons]) -> Polygons:
-    """The union of parts as one geometry. Parts stay as they are, overlapping or not: covers_each() holds where any of
-    them covers, which is the union."""
+    """Parts as one geometry. They stay as they are, overlapping or not: covers_each() holds where any of them covers.
+    overlay.union() makes them one without inner edges."""
     return [p for part in parts for p in part]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geometry, osm_rules, scoring
+from ..functions import geometry, osm_rules, overlay, scoring
 from ..functions import quadkey as qk
 from . import lookups
 
@@ -132,34 +133,54 @@ def import_osm(nodes: DataFrame, ways: DataFrame, relations: DataFrame, box: Box
     return flat.unionByName(kept.drop("ext_xmin", "ext_xmax", "ext_ymin", "ext_ymax"))
 
 
-MEASURED = "id {id}, geom binary, xmin double, ymin double, xmax double, ymax double, interior_lon double, interior_lat double"
+MEASURED = "id {id}, parts int, unusable int, geom binary, xmin double, ymin double, xmax double, ymax double, interior_lon double, interior_lat double"
 
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of each division put together, with bounds and a point inside."""
+    """The union of the areas of each division with bounds and a point inside; null where none of them has an inside.
+    unusable: areas that are no polygons, or flat, empty, broken off or not finite."""
+    names = ["id", "parts", "unusable", "geom", "xmin", "ymin", "xmax", "ymax", "interior_lon", "interior_lat"]
     for batch in batches:
-        rows = {k: [] for k in ("id", "geom", "xmin", "ymin", "xmax", "ymax", "interior_lon", "interior_lat")}
+        rows = {k: [] for k in names}
         for key, parts in zip(batch.column("id").to_pylist(), batch.column("parts").to_pylist()):
-            shape = geometry.merge([geometry.parse(p) for p in parts])
-            values = (key, geometry.write(shape), *geometry.bounds(shape), *geometry.interior_point(shape))
-            for k, v in zip(rows, values):
+            found, bad = [], 0
+            for part in parts:
+                try:
+                    shape = overlay.usable(geometry.parse(part))
+                except (ValueError, IndexError, struct.error):
+                    shape = []
+                found += shape
+                bad += not shape
+            shape = overlay.union(found)
+            values = (geometry.write(shape), *geometry.bounds(shape), *geometry.interior_point(shape)) if shape else (None,) * 7
+            for k, v in zip(rows, (key, len(parts), bad, *values)):
                 rows[k].append(v)
-        kinds = [batch.schema.field("id").type, pa.binary(), *[pa.float64()] * 6]
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
+        kinds = [batch.schema.field("id").type, pa.int32(), pa.int32(), pa.binary(), *[pa.float64()] * 6]
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names)
 
 
-def import_divisions(divisions: DataFrame, areas: DataFrame, box: Box = WORLD, densities: DataFrame | None = None, density_norm: float = 10, pop_norm: float = 20) -> DataFrame:
+def area_shapes(areas: DataFrame, box: Box = WORLD) -> DataFrame:
+    """id, parts, unusable, geom, bounds and interior point: the land areas of each division that meet the box as one.
+
+    areas: division_id, is_land, geometry (WKB), bbox. Overlapping and adjoining areas become one without inner edges;
+    unusable ones are counted and left out, and a division with no other keeps a row without geom.
+    """
+    land = areas.filter(F.col("is_land") & F.col("geometry").isNotNull() & meets_box(F.col("bbox"), box))
+    parts = land.groupBy(F.col("division_id").alias("id")).agg(F.collect_list("geometry").alias("parts"))
+    return parts.mapInArrow(measured, MEASURED.format(id=parts.schema["id"].dataType.simpleString()))
+
+
+def import_divisions(divisions: DataFrame, areas: DataFrame, box: Box = WORLD, densities: DataFrame | None = None, density_norm: float = 10, pop_norm: float = 20, shapes: DataFrame | None = None) -> DataFrame:
     """Divisions with land area: geom, level, population, bounds, interior point, qk17, importance, variants.
 
     divisions: id, names, subtype, country, region, wikidata, population, parent_division_id; areas: division_id,
-    is_land, geometry (WKB), bbox. A subtype without a level raises ValueError.
+    is_land, geometry (WKB), bbox; shapes: area_shapes() of them, where they are worked out already. A division whose
+    areas are all unusable goes. A subtype without a level raises ValueError.
     """
     unknown = divisions.filter(scoring.level(F.col("subtype")).isNull()).select("subtype").limit(1).collect()
     if unknown:
         raise ValueError(f"no level for subtype {unknown[0].subtype!r}")
-    land = areas.filter(F.col("is_land") & F.col("geometry").isNotNull() & meets_box(F.col("bbox"), box))
-    parts = land.groupBy(F.col("division_id").alias("id")).agg(F.collect_list("geometry").alias("parts"))
-    shapes = parts.mapInArrow(measured, MEASURED.format(id=parts.schema["id"].dataType.simpleString()))
+    shapes = (area_shapes(areas, box) if shapes is None else shapes).filter("geom is not null").drop("parts", "unusable")
     keep = ["id", "names", "subtype", "country", "region", "wikidata", "parent_division_id"]
     rows = divisions.select(*keep, scoring.level(F.col("subtype")).alias("level"), scoring.population(F.col("population")).alias("population")).join(shapes, "id")
     rows = rows.withColumn("qk17", qk.quadkey(F.col("interior_lon"), F.col("interior_lat")))

@@ -633,3 +633,69 @@ def division_records(spark, sf_dir):
         none.alias("region"), "level", none.alias("wikidata"), (F.col("boundary_id") * 1000).alias("population"), F.lit(None).cast("array<struct<name:string,type:string,language:string>>").alias("variants"), none.alias("relations_json"),
     )
     return rows.select("id", export.division_record().alias("record_json"))
+
+
+#: A box for every supplier, in whole degrees, overlapping others of its nation: the same text in both dialects.
+PLOT = {
+    "xmin": "(s_nationkey * 37 % 300 - 150) + s_suppkey * 7 % 12",
+    "xmax": "(s_nationkey * 37 % 300 - 150) + s_suppkey * 7 % 12 + 2 + s_suppkey % 5",
+    "ymin": "(s_nationkey * 23 % 120 - 60) + s_suppkey * 11 % 10",
+    "ymax": "(s_nationkey * 23 % 120 - 60) + s_suppkey * 11 % 10 + 2 + s_suppkey % 4",
+}
+PLOTS_SQL = (
+    "plots AS (SELECT CAST(s_nationkey AS BIGINT) AS id, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in PLOT.items()) + " FROM supplier), "
+    + ", ".join(
+        f"{c}s AS (SELECT id, {c} AS {c}0, lead({c}) OVER (PARTITION BY id ORDER BY {c}) AS {c}1 FROM (SELECT id, {c}min AS {c} FROM plots UNION SELECT id, {c}max FROM plots))"
+        for c in "xy"
+    )
+    + ", cells AS (SELECT xs.id, x0, x1, y0, y1 FROM xs JOIN ys ON ys.id = xs.id WHERE x1 IS NOT NULL AND y1 IS NOT NULL AND EXISTS "
+    "(SELECT 1 FROM plots AS p WHERE p.id = xs.id AND p.xmin <= x0 AND p.xmax >= x1 AND p.ymin <= y0 AND p.ymax >= y1))"
+)
+
+
+def plots(spark, sf_dir):
+    """Land areas of nations: division_id, is_land, geometry, bbox."""
+
+    def drawn(batches):
+        import pyarrow as pa
+
+        from ..functions import geometry
+
+        for batch in batches:
+            sides = [batch.column(c).to_pylist() for c in PLOT]
+            shapes = [geometry.write(geometry.box(x, y, v, w)) for x, v, y, w in zip(*sides)]
+            yield pa.RecordBatch.from_arrays([batch.column("division_id"), pa.array(shapes, pa.binary()), *[batch.column(c) for c in PLOT]], ["division_id", "geometry", *PLOT])
+
+    boxes = px.table(spark, sf_dir, "supplier").selectExpr("cast(s_nationkey as long) as division_id", *[f"cast({v} as double) as {k}" for k, v in PLOT.items()])
+    rows = boxes.mapInArrow(drawn, "division_id long, geometry binary, xmin double, xmax double, ymin double, ymax double")
+    return rows.select("division_id", F.lit(True).alias("is_land"), "geometry", F.struct("xmin", "ymin", "xmax", "ymax").alias("bbox"))
+
+
+@query(f"WITH {PLOTS_SQL}, p AS (SELECT id, count(*) AS parts, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM plots GROUP BY id) SELECT p.*, round(area, 6) AS area FROM p JOIN (SELECT id, sum((x1 - x0) * (y1 - y0)) AS area FROM cells GROUP BY id) USING (id)")
+def united_areas(spark, sf_dir):
+    def sized(batches):
+        import pyarrow as pa
+
+        from ..functions import geometry
+
+        for batch in batches:
+            sizes = [geometry.area(geometry.parse(g)) for g in batch.column("geom").to_pylist()]
+            kept = [batch.column(c) for c in ("id", "parts", "xmin", "ymin", "xmax", "ymax")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes, pa.float64())], ["id", "parts", "xmin", "ymin", "xmax", "ymax", "area"])
+
+    rows = importers.area_shapes(plots(spark, sf_dir)).mapInArrow(sized, "id long, parts int, xmin double, ymin double, xmax double, ymax double, area double")
+    return rows.withColumn("parts", F.col("parts").cast("long")).withColumn("area", F.round("area", 6))
+
+
+@query(
+    f"""WITH RECURSIVE {PLOTS_SQL}, digits AS (SELECT unnest(['0', '1', '2', '3']) AS d), tree AS (
+        SELECT '' AS qk UNION ALL SELECT tree.qk || d FROM tree, digits WHERE length(tree.qk) < 6),
+    env AS ({px.envelope_sql('qk', "(SELECT qk FROM tree WHERE length(qk) = 6)")}),
+    hit AS (SELECT c.id AS boundary_id, e.qk AS tile_qk, any_value((e.xmax - e.xmin) * (e.ymax - e.ymin)) AS whole,
+                sum((least(x1, e.xmax) - greatest(x0, e.xmin)) * (least(y1, e.ymax) - greatest(y0, e.ymin))) AS part
+            FROM cells AS c JOIN env AS e ON e.xmin < x1 AND e.xmax > x0 AND e.ymin < y1 AND e.ymax > y0 GROUP BY 1, 2)
+    SELECT CAST(boundary_id AS VARCHAR) AS boundary_id, tile_qk, part >= whole * (1 - 1e-9) AS interior FROM hit"""
+)
+def united_covering(spark, sf_dir):
+    shapes = importers.area_shapes(plots(spark, sf_dir)).select(F.col("id").alias("boundary_id"), F.lit(10).alias("level"), "geom", "xmin", "ymin", "xmax", "ymax")
+    return covering.cover(shapes, first=6, leaf=6, last=6).select("boundary_id", "tile_qk", "interior")

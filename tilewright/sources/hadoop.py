@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -34,6 +36,19 @@ class Files:
             return status.getModificationTime()
         return max([status.getModificationTime(), *(s.getModificationTime() for s in fs.listStatus(p))])
 
+    def listing(self, pattern: str) -> list[tuple[str, int, int]]:
+        """Path, size and time of change of every file that a glob matches or that lies in a folder it matches, in
+        order; hidden ones don't count."""
+        fs, p = self._at(pattern)
+        out = []
+        for status in fs.globStatus(p) or []:
+            found = fs.listFiles(status.getPath(), True)
+            while found.hasNext():
+                f = found.next()
+                if not f.getPath().getName().startswith("."):
+                    out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return sorted(out)
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)
@@ -53,6 +68,21 @@ class Files:
         finally:
             out.close()
 
+    def write_pieces(self, path: str, pieces: Iterator[str]) -> None:
+        """Text piece by piece, some megabytes of it at a time."""
+        fs, p = self._at(path)
+        out, held, size = fs.create(p, True), [], 0
+        try:
+            for piece in pieces:
+                held.append(piece)
+                size += len(piece)
+                if size > 1 << 20:
+                    out.write("".join(held).encode())
+                    held, size = [], 0
+            out.write("".join(held).encode())
+        finally:
+            out.close()
+
     def read_text(self, path: str) -> str:
         fs, p = self._at(path)
         stream = fs.open(p)

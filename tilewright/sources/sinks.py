@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -42,29 +43,51 @@ def promote(spark: SparkSession, built: str, path: str) -> None:
     files.delete(f"{path}.old")
 
 
+def state(spark: SparkSession, inputs: list[str]) -> tuple[str, int]:
+    """A digest of the files that inputs (paths or globs) name, with sizes and times, and the newest time; files that
+    come, go or are replaced change it. FileNotFoundError where an input names none."""
+    files, digest, newest = Files(spark), hashlib.sha256(), 0
+    for pattern in inputs:
+        found = files.listing(pattern)
+        if not found:
+            raise FileNotFoundError(f"nothing matches {pattern}")
+        for path, size, time in found:
+            digest.update(f"{path}\t{size}\t{time}\n".encode())
+            newest = max(newest, time)
+    return digest.hexdigest(), newest
+
+
 def is_fresh(spark: SparkSession, path: str, inputs: list[str], parameters: dict) -> bool:
-    """Whether an artifact may stay: it and its mark exist, the mark names the same inputs and parameters, no input is
-    as new as the mark, and the artifact is no newer than it."""
+    """Whether an artifact may stay: it and its mark exist, the mark names the same inputs (paths or globs) with the
+    same files and the same parameters, no file is as new as the mark, and the artifact is no newer than it."""
     files, mark = Files(spark), f"{path}.meta.json"
     if not files.exists(path) or not files.exists(mark):
         return False
     try:
         known = json.loads(files.read_text(mark))
-    except ValueError:
+        now, newest = state(spark, inputs)
+    except (ValueError, FileNotFoundError):
         return False
-    if known.get("inputs") != inputs or known.get("parameters") != parameters:
+    if known.get("inputs") != inputs or known.get("parameters") != parameters or known.get("state") != now:
         return False
     made = files.modified(mark)
-    return all(files.exists(i) and files.modified(i) < made for i in inputs) and files.modified(path) <= made
+    return newest < made and files.modified(path) <= made
 
 
-def build_artifact(frame: DataFrame, path: str, inputs: list[str], parameters: dict, key: str) -> None:
-    """Writes beside, promotes, and marks last: a build that stops half-way leaves no fresh artifact."""
-    spark, files = frame.sparkSession, Files(frame.sparkSession)
+def make_artifact(spark: SparkSession, write: Callable[[str], None], path: str, inputs: list[str], parameters: dict) -> None:
+    """Calls write with a path beside, promotes what stands there, and marks last: a build that stops half-way leaves
+    no fresh artifact. The mark holds the inputs as they were before: what changes meanwhile makes it stale."""
+    files = Files(spark)
+    before, _ = state(spark, inputs)
     files.delete(f"{path}.meta.json")
-    write_sorted(frame, f"{path}.tmp", key)
+    write(f"{path}.tmp")
     promote(spark, f"{path}.tmp", path)
-    files.write_text(f"{path}.meta.json", json.dumps({"inputs": inputs, "parameters": parameters}))
+    files.write_text(f"{path}.meta.json", json.dumps({"inputs": inputs, "state": before, "parameters": parameters}))
+
+
+def build_artifact(frame: DataFrame, path: str, inputs: list[str], parameters: dict, key: str) -> None:
+    """An artifact in order of key."""
+    make_artifact(frame.sparkSession, lambda to: write_sorted(frame, to, key), path, inputs, parameters)
 
 
 @dataclass(frozen=True)
@@ -89,13 +112,17 @@ def publish(records: DataFrame, root: str, head: Head) -> DataFrame:
     a file system that every executor reaches. Records run through a file that is open, so a task never holds a tile,
     however large. The same records give the same bytes: a task that runs twice replaces its files by equal ones.
     """
+    if "://" not in root and not root.startswith("/"):
+        if records.sparkSession.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"{root}: a relative path means another folder to every executor")
+        root = os.path.abspath(root)
     rows = records.select("tile_qk", F.col("place_id").cast("string").alias("place_id"), export.wrapped(head.repo, head.collection).alias("value"))
     dealt = rows.repartitionByRange(F.substring("tile_qk", 1, 6), "tile_qk").sortWithinPartitions("tile_qk", "place_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("/") else os.path.abspath(root))
+        system, base = fs.FileSystem.from_uri(root)
         at, out, n = None, None, 0
 
         def close() -> pa.RecordBatch:
@@ -136,6 +163,13 @@ def make_current(spark: SparkSession, root: str, run: str) -> None:
     os.replace(link, f"{root}/current")
 
 
+def current(spark: SparkSession, root: str) -> str | None:
+    """The run that root/current points at."""
+    if "://" not in root:
+        return os.readlink(f"{root}/current") if os.path.islink(f"{root}/current") else None
+    return Files(spark).read_text(f"{root}/current") if Files(spark).exists(f"{root}/current") else None
+
+
 def read_tile(spark: SparkSession, run: str, tile: str) -> dict | None:
     """A published tile; None where there is none."""
     path = f"{run}/{tile[:6]}/{tile}.json.gz"
@@ -166,6 +200,24 @@ def write_json(spark: SparkSession, path: str, data: dict) -> None:
     Files(spark).write_text(path, json.dumps(data, indent=2))
 
 
+def write_described(spark: SparkSession, path: str, described: dict, counts: DataFrame | None, written: str) -> None:
+    """A description with its categories, the most frequent first. They run from their table (written) into the file,
+    a partition's rows at a time on the driver, however many there are."""
+    text = json.dumps(described, indent=2)
+    if counts is None:
+        Files(spark).write_text(path, text)
+        return
+    rows = spark.read.json(written, schema="category string, n long").orderBy(F.desc("n"), "category").toLocalIterator()
+
+    def pieces() -> Iterator[str]:
+        yield text[:-2] + ',\n  "categories": ['
+        for k, r in enumerate(rows):
+            yield ("," if k else "") + "\n    " + json.dumps({"value": r.category, "count": r.n})
+        yield "\n  ]\n}"
+
+    Files(spark).write_pieces(path, pieces())
+
+
 def write_manifest(records: DataFrame, path: str, metadata: dict) -> None:
     """rkey, tile_qk sorted by rkey, and manifest.json last: without it the run isn't complete."""
     write_sorted(records.select("rkey", "tile_qk").distinct(), f"{path}/record_tiles", "rkey")
