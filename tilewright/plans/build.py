@@ -70,6 +70,8 @@ class Build:
         self.spark, self.config = spark, config
         self.when = config.generated_at or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
         self.made: list[str] = []
+        #: Folders of tiles that the last run published wrote anew.
+        self.written: list[str] = []
         self._known: dict[str, DataFrame] = {}
         inputs = dict(config.inputs)
         if "osm" in inputs:
@@ -236,17 +238,18 @@ class Build:
         if now and Files(self.spark).exists(f"{root}/{now}/manifest.json") and Files(self.spark).exists(noted) and json.loads(Files(self.spark).read_text(noted)) == mark:
             return f"{root}/{now}"
         out = f"{root}/{self.when}"
-        self.publish(source, out, records, related, places, about)
+        self.publish(source, out, f"{root}/{now}" if now else None, records, related, places, about)
         sinks.make_current(self.spark, root, self.when)
         sinks.write_json(self.spark, noted, mark)
         sinks.retain(self.spark, root)
         self.made.append(f"tiles/{source}")
         return out
 
-    def publish(self, source: str, out: str, records: DataFrame, related: DataFrame | None, places: DataFrame, about: dict[str, str]) -> None:
-        """Writes a run: tiles, categories, collection.json, record_tiles and, last, manifest.json."""
+    def publish(self, source: str, out: str, last: str | None, records: DataFrame, related: DataFrame | None, places: DataFrame, about: dict[str, str]) -> None:
+        """Writes a run: tiles (those of folders that didn't change are carried over from the last run), categories,
+        collection.json, record_tiles and, at the end, manifest.json."""
         head = sinks.Head(self.name(source), about["source"], about["license"], self.when, self.config.repo)
-        written = sinks.publish(records, out, head)
+        written, self.written = sinks.publish_changed(records, out, head, last)
         counts = self.categories(source, places)
         sinks.write_counts(counts, f"{out}/categories")
         told = {"collection": head.collection, "source": head.source, "license": head.license, "generatedAt": self.when}

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
 import os
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import export
+from . import tile_files
 from .hadoop import Files
+from .tile_files import Head
 
 
 def write_sorted(frame: DataFrame, path: str, key: str, partitions: int | None = None) -> None:
@@ -90,67 +90,84 @@ def build_artifact(frame: DataFrame, path: str, inputs: list[str], parameters: d
     make_artifact(frame.sparkSession, lambda to: write_sorted(frame, to, key), path, inputs, parameters)
 
 
-@dataclass(frozen=True)
-class Head:
-    """What every tile says of itself."""
-
-    collection: str
-    source: str
-    license: str
-    generated_at: str
-    repo: str
-
-    def text(self) -> str:
-        fields = {"collection": self.collection, "source": self.source, "license": self.license, "generated_at": self.generated_at}
-        return json.dumps(fields, ensure_ascii=False, separators=(",", ":"))[:-1]
-
-
-def publish(records: DataFrame, root: str, head: Head) -> DataFrame:
-    """Writes one file a tile, root/<first six digits>/<tile>.json.gz, and returns tile_qk and n, its records.
+def publish(records: DataFrame, root: str, head: Head, folders: list[str] | None = None) -> DataFrame:
+    """Writes one file a tile, root/<first six digits>/<tile>.json.gz, and returns tile_qk, n (its records) and digests
+    of head and records, also kept as root/tiles. With folders only those are written.
 
     records: tile_qk, place_id, rkey, record_json; within a tile in order of place_id. root is a path or an address of
     a file system that every executor reaches. Records run through a file that is open, so a task never holds a tile,
     however large. The same records give the same bytes: a task that runs twice replaces its files by equal ones.
     """
-    if "://" not in root and not root.startswith("/"):
-        if records.sparkSession.sparkContext.master.split("[")[0] != "local":
-            raise ValueError(f"{root}: a relative path means another folder to every executor")
-        root = os.path.abspath(root)
+    root = everywhere(records.sparkSession, root)
+    if folders is not None:
+        records = records.filter(F.substring("tile_qk", 1, tile_files.PREFIX).isin(folders))
     rows = records.select("tile_qk", F.col("place_id").cast("string").alias("place_id"), export.wrapped(head.repo, head.collection).alias("value"))
-    dealt = rows.repartitionByRange(F.substring("tile_qk", 1, 6), "tile_qk").sortWithinPartitions("tile_qk", "place_id")
+    dealt = rows.repartitionByRange(F.substring("tile_qk", 1, tile_files.PREFIX), "tile_qk").sortWithinPartitions("tile_qk", "place_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
+        out = tile_files.Writer(root, head)
+        one = lambda done: pa.RecordBatch.from_arrays([pa.array([x]) for x in done], ["tile_qk", "n", "head", "digest"])
+        for batch in batches:
+            for tile, value in zip(batch.column("tile_qk").to_pylist(), batch.column("value").to_pylist()):
+                if done := out.add(tile, value):
+                    yield one(done)
+        if done := out.finish():
+            yield one(done)
+
+    dealt.mapInArrow(write, TILES).write.mode("overwrite").parquet(f"{root}/tiles")
+    return records.sparkSession.read.schema(TILES).parquet(f"{root}/tiles")
+
 
-        system, base = fs.FileSystem.from_uri(root)
-        at, out, n = None, None, 0
+TILES = "tile_qk string, n long, head string, digest string"
 
-        def close() -> pa.RecordBatch:
-            out.write(b"]}")
-            out.close()
-            stream.close()
-            system.move(f"{base}/{at[:6]}/.{at}.{mark}", f"{base}/{at[:6]}/{at}.json.gz")
-            return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([n], pa.int64())], ["tile_qk", "n"])
 
-        mark = uuid.uuid4().hex
+def everywhere(spark: SparkSession, root: str) -> str:
+    """A path that means the same folder to every task."""
+    if "://" in root or root.startswith("/"):
+        return root
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError(f"{root}: a relative path means another folder to every executor")
+    return os.path.abspath(root)
+
+
+def folder_states(records: DataFrame) -> DataFrame:
+    """prefix, n, a, b: how many records each folder of tiles has, and 128 bits of them in any order."""
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "tile_qk", F.col("place_id").cast("string"), "rkey", "record_json"))
+    return records.groupBy(F.substring("tile_qk", 1, tile_files.PREFIX).alias("prefix")).agg(F.count("*").alias("n"), mark(0).alias("a"), mark(1).alias("b"))
+
+
+def publish_changed(records: DataFrame, root: str, head: Head, last: str | None) -> tuple[DataFrame, list[str]]:
+    """As publish(), but folders whose records are those of the run at last, under a head that differs in its time at
+    most, are carried over file by file; such tiles keep the time at which they were made. Returns what publish()
+    returns, and the folders that were written anew.
+
+    Every run keeps root/folders, a row for each folder: 5,460 at most, at any size.
+    """
+    spark, root = records.sparkSession, everywhere(records.sparkSession, root)
+    named = {"collection": head.collection, "source": head.source, "license": head.license, "repo": head.repo}
+    states = folder_states(records).withColumn("head", F.lit(json.dumps(named)))
+    states.coalesce(1).write.mode("overwrite").parquet(f"{root}/folders")
+    states = spark.read.parquet(f"{root}/folders")
+    same: list[str] = []
+    if last and Files(spark).exists(f"{last}/folders") and Files(spark).exists(f"{last}/tiles"):
+        same = sorted(r.prefix for r in states.join(spark.read.parquet(f"{last}/folders"), states.columns, "left_semi").select("prefix").collect())
+    fresh = sorted({r.prefix for r in states.select("prefix").collect()} - set(same))
+    if not same:
+        return publish(records, root, head), fresh
+    publish(records, root, head, fresh)
+    before = everywhere(spark, last)
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tile, value in zip(batch.column("tile_qk").to_pylist(), batch.column("value").to_pylist()):
-                if tile != at:
-                    if at is not None:
-                        yield close()
-                    at, n = tile, 0
-                    system.create_dir(f"{base}/{at[:6]}", recursive=True)
-                    stream = system.open_output_stream(f"{base}/{at[:6]}/.{at}.{mark}", compression=None)
-                    out = gzip.GzipFile("", "wb", fileobj=stream, mtime=0)
-                    out.write(f'{head.text()},"records":['.encode())
-                out.write((b"," if n else b"") + value.encode())
-                n += 1
-        if at is not None:
-            yield close()
-
-    written = dealt.mapInArrow(write, "tile_qk string, n long")
-    written.write.mode("overwrite").parquet(f"{root}/tiles")
-    return records.sparkSession.read.schema("tile_qk string, n long").parquet(f"{root}/tiles")
+            for folder in batch.column("prefix").to_pylist():
+                tile_files.carry(before, root, folder)
+            yield batch
+
+    todo = spark.createDataFrame([(p,) for p in same], "prefix string").repartition(min(len(same), 1024), "prefix")
+    todo.mapInArrow(carry, "prefix string").count()
+    kept = spark.read.parquet(f"{last}/tiles").filter(F.substring("tile_qk", 1, tile_files.PREFIX).isin(same))
+    kept.select("tile_qk", "n", "head", "digest").write.mode("append").parquet(f"{root}/tiles")
+    return spark.read.schema(TILES).parquet(f"{root}/tiles"), fresh
 
 
 def make_current(spark: SparkSession, root: str, run: str) -> None:
