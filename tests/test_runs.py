@@ -2,12 +2,14 @@
 
 import json
 import os
+import random
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.operators import parity
+from tilewright.functions import quadkey as qk
+from tilewright.operators import export, parity
 from tilewright.sources import sinks, tile_files, tile_source
 
 HEAD = sinks.Head("things", "src", "lic", "t1", "repo.example")
@@ -145,3 +147,40 @@ def test_equal_folders_are_not_read(spark, tmp_path, run):
         for root in (run, f"{tmp_path}/next"):
             open(f"{root}/{tile}.json.gz", "wb").write(b"spoilt")
     assert [tuple(r) for r in parity.compare_runs(spark, run, f"{tmp_path}/next").collect()] == [("record differs", "31", "p3")]
+
+
+def read_rows(frame):
+    """Rows that the scan of a frame gave, after row groups were left out by their statistics."""
+    leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_a_box_as_ranges(spark, tmp_path):
+    rng = random.Random(4)
+    tiles = sorted({"".join(rng.choices("0123", k=rng.randint(1, 17))) for _ in range(4000)})
+    table = spark.createDataFrame([(t,) for t in tiles], "tile_qk string")
+    for _ in range(12):
+        x, y = round(rng.uniform(-180, 150), 2), round(rng.uniform(-85, 70), 2)
+        w, h = rng.choice([(0.5, 0.5), (30, 15), (90, 5), (0.01, 0.01)])
+        for box in ((x, y, x + w, y + h), (179 - w, y, -179.0, y + h)):
+            want = {r.tile_qk for r in table.filter(qk.overlaps(qk.envelope(F.col("tile_qk")), box)).collect()}
+            for most in (4, 32):
+                keys = qk.box_tiles(box, most)
+                assert len(keys) <= max(most, 4) and len(qk.box_ranges(box, most)) <= len(keys)
+                got = {r.tile_qk for r in table.filter(qk.in_box(F.col("tile_qk"), box, most)).collect()}
+                assert want <= got
+    assert qk.box_ranges((-180, -90, 180, 90)) == [("0", "3" * 17)] and qk.box_ranges((0.0, 0.1, 10, 10), most=1)
+
+
+def test_a_small_box_reads_few_row_groups(spark, tmp_path):
+    rows = spark.range(60_000).select(qk.quadkey((F.col("id") * 7919 % 3600) / 10 - 180, (F.col("id") * 104729 % 1700) / 10 - 85, 9).alias("tile_qk")).distinct()
+    sorted_ = rows.coalesce(1).sortWithinPartitions("tile_qk")
+    sorted_.write.option("parquet.block.size", 4096).option("parquet.page.size", 1024).option("parquet.block.size.row.check.min", 10).option("parquet.page.size.row.check.min", 10).option("parquet.enable.dictionary", "false").parquet(f"{tmp_path}/tiles")
+    table = spark.read.parquet(f"{tmp_path}/tiles")
+    small = table.filter(qk.in_box(F.col("tile_qk"), (10.25, 47.75, 13.5, 50.5)))
+    found = small.count(), len(small.collect())
+    plan = small._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(" in plan or "Or(Or(" in plan
+    assert 0 < found[1] <= read_rows(small) < table.count() / 10
+    tiles = {r.tile_qk for r in export.coverage(table, (10.25, 47.75, 13.5, 50.5), most=1000).collect()}
+    assert tiles == {r.tile_qk for r in table.filter(qk.overlaps(qk.envelope(F.col("tile_qk")), (10.25, 47.75, 13.5, 50.5))).collect()}

@@ -8,12 +8,14 @@ twice.
 
 from __future__ import annotations
 
+import heapq
 import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ZOOM = 17
+Box = tuple[float, float, float, float]
 #: Latitude of the last row of tiles that the Mercator square holds; beyond it points count as on that row.
 MAX_LATITUDE = 85.05101030905541
 
@@ -108,3 +110,66 @@ def child_quadkey(x: Column, y: Column, zoom: Column) -> Column:
 def within(key: Column, prefix: str) -> Column:
     """Whether a full quadkey lies in a tile, as a range that reaches the scan of a table sorted by it."""
     return key.between(F.lit(prefix.ljust(ZOOM, "0")), F.lit(prefix.ljust(ZOOM, "3")))
+
+
+def _tile_bounds(x: int, y: int, zoom: int) -> Box:
+    """The envelope of a tile, as envelope() has it."""
+    n = 1 << zoom
+    lat = lambda row: math.degrees(math.atan(math.sinh(math.pi * (1 - 2 * row / n))))
+    return x / n * 360 - 180, -90.0 if y == n - 1 else lat(y + 1), (x + 1) / n * 360 - 180, 90.0 if y == 0 else lat(y)
+
+
+def _meets(a: Box, b: Box) -> bool:
+    lat = a[1] <= b[3] and a[3] >= b[1]
+    return lat and (a[0] <= b[2] and a[2] >= b[0] if b[0] <= b[2] else a[0] <= b[2] or a[2] >= b[0])
+
+
+def box_tiles(box: Box, most: int = 32, zoom: int = ZOOM) -> list[str]:
+    """At most so many tiles (four at least) that hold all of a box, edges included; one with xmin > xmax runs over the
+    antimeridian and falls into two lobes. The largest tile that only part of the box is in is split first, as long as
+    that leaves few enough."""
+    inside = lambda e: box[1] <= e[1] and e[3] <= box[3] and (box[0] <= e[0] and e[2] <= box[2] if box[0] <= box[2] else box[0] <= e[0] or e[2] <= box[2])
+    whole, todo = [], [(0, "", 0, 0)]
+    while todo:
+        level, key, x, y = heapq.heappop(todo)
+        e = _tile_bounds(x, y, level)
+        if level == zoom or (level and inside(e)):
+            whole.append(key)
+            continue
+        below = [(level + 1, f"{key}{dx + 2 * dy}", 2 * x + dx, 2 * y + dy) for dy in (0, 1) for dx in (0, 1)]
+        below = [t for t in below if _meets(_tile_bounds(t[2], t[3], t[0]), box)]
+        if level and len(whole) + len(todo) + len(below) > max(most, 4):
+            whole.append(key)
+        else:
+            for t in below:
+                heapq.heappush(todo, t)
+    return sorted(whole)
+
+
+def box_ranges(box: Box, most: int = 32, zoom: int = ZOOM) -> list[tuple[str, str]]:
+    """Few closed ranges of quadkeys of any length, in order, that hold every tile below those of box_tiles(); where one
+    ends at the next one's start they are one."""
+    out: list[tuple[str, str]] = []
+    for key in box_tiles(box, most, zoom):
+        low, high = key, key.ljust(zoom, "3")
+        if out and _successor(out[-1][1]) == low.rstrip("0").ljust(1, "0"):
+            low = out.pop()[0]
+        out.append((low, high))
+    return out
+
+
+def _successor(high: str) -> str:
+    """The shortest quadkey after a full one, without the zeros at its end."""
+    head = high.rstrip("3")
+    return head[:-1] + str(int(head[-1]) + 1) if head else ""
+
+
+def in_box(key: Column, box: Box, most: int = 32, zoom: int = ZOOM) -> Column:
+    """Whether a tile of any level may meet a box, as ranges and names that reach the scan of a table sorted by key.
+    Names are those of the tiles above the ranges. Tiles near the box pass too: overlaps() settles them."""
+    found = box_tiles(box, most, zoom)
+    above = sorted({k[:n] for k in found for n in range(1, len(k))})
+    test = key.isin(above) if above else F.lit(False)
+    for low, high in box_ranges(box, most, zoom):
+        test = test | key.between(F.lit(low), F.lit(high))
+    return test

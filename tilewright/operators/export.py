@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import json_text as js
 from ..functions import quadkey as qk
 from ..functions import scoring
+from ..sources import scratch
 
 
 def text(value: str) -> Column:
@@ -138,20 +139,22 @@ def parse_box(text: str) -> tuple[float, float, float, float]:
 
 
 def coverage(tiles: DataFrame, box: tuple[float, float, float, float], most: int = 50, regular: int = 6) -> DataFrame:
-    """tile_qk of the tiles that meet the box: regular ones, or where those are over `most`, all summary ones.
+    """tile_qk of the tiles that meet the box: regular ones, or where those are over `most`, summary ones.
 
-    tiles: tile_qk. Raises BadBox where there are too many and no summary tiles at all. One job counts what decides;
-    the result reads tiles once more, so a table of tiles is better than a plan that makes them.
+    tiles: tile_qk, best a table sorted by it: the box becomes a few ranges of keys that the scan prunes by, so a small
+    box reads few row groups. What is found there is saved, as one job counts it and the result reads it again. Raises
+    BadBox where there are too many and no summary tiles at all.
     """
-    fine = F.length("tile_qk") >= regular
-    distinct = tiles.select("tile_qk").distinct()
+    near = tiles.filter(qk.in_box(F.col("tile_qk"), box)).select("tile_qk").distinct()
     # Exploding one box works it out once for all comparisons.
-    boxed = distinct.select("tile_qk", F.explode(F.array(qk.envelope(F.col("tile_qk")))).alias("box"))
-    hit = qk.overlaps(F.col("box"), box)
-    found = boxed.agg(F.count_if(hit & fine).alias("fine"), F.count_if(~fine).alias("coarse")).first()
-    if found.fine > most and not found.coarse:
+    boxed = near.select("tile_qk", F.explode(F.array(qk.envelope(F.col("tile_qk")))).alias("box"))
+    found = scratch.saved(boxed.filter(qk.overlaps(F.col("box"), box)).select("tile_qk"))
+    fine = F.length("tile_qk") >= regular
+    if found.filter(fine).count() <= most:
+        return found.filter(fine)
+    if tiles.filter(~fine).isEmpty():
         raise BadBox("BboxTooLarge", f"the box meets more than {most} tiles")
-    return boxed.filter(hit & (fine if found.fine <= most else ~fine)).select("tile_qk")
+    return found.filter(~fine)
 
 
 def category_counts(places: DataFrame, category: Column) -> DataFrame:

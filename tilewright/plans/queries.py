@@ -11,6 +11,7 @@ from ..functions import json_text as js
 from ..functions import osm_rules, scoring
 from ..functions import quadkey as qk
 from ..operators import containment, covering, export, importers, lookups, tiles
+from ..sources import scratch
 from . import proxies as px
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -423,19 +424,30 @@ def all_tiles(spark, sf_dir):
     return tiles.bands(tiles.assign(points, 20), tiles.assign(points, 2000, 1, 5))
 
 
+def tile_list(spark, sf_dir):
+    """The tiles as a table in order."""
+    rows = all_tiles(spark, sf_dir).select("tile_qk").distinct()
+    return scratch.saved(rows.repartitionByRange("tile_qk").sortWithinPartitions("tile_qk"))
+
+
 @query(coverage_sql("length(tile_qk) >= 6 AND xmin <= 13.5 AND xmax >= 10.25 AND ymin <= 50.5 AND ymax >= 47.75"))
 def coverage_bbox(spark, sf_dir):
-    return export.coverage(all_tiles(spark, sf_dir), export.parse_box("10.25,47.75,13.5,50.5"), most=100_000)
+    return export.coverage(tile_list(spark, sf_dir), export.parse_box("10.25,47.75,13.5,50.5"), most=100_000)
 
 
 @query(coverage_sql("length(tile_qk) >= 6 AND (xmin <= -178.5 OR xmax >= 177.25) AND ymin <= 20.5 AND ymax >= -15.75"))
 def coverage_antimeridian(spark, sf_dir):
-    return export.coverage(all_tiles(spark, sf_dir), export.parse_box("177.25,-15.75,-178.5,20.5"), most=100_000)
+    return export.coverage(tile_list(spark, sf_dir), export.parse_box("177.25,-15.75,-178.5,20.5"), most=100_000)
+
+
+@query(coverage_sql("length(tile_qk) >= 6 AND xmin <= -68.5 AND xmax >= -75.25 AND ymin <= 45.5 AND ymax >= 40.25"))
+def coverage_small_box(spark, sf_dir):
+    return export.coverage(tile_list(spark, sf_dir), export.parse_box("-75.25,40.25,-68.5,45.5"), most=100_000)
 
 
 @query(coverage_sql("length(tile_qk) < 6 AND xmin <= 120.5 AND xmax >= -100.25 AND ymin <= 60.5 AND ymax >= -60.75"))
 def coverage_summary_fallback(spark, sf_dir):
-    return export.coverage(all_tiles(spark, sf_dir), export.parse_box("-100.25,-60.75,120.5,60.5"), most=10)
+    return export.coverage(tile_list(spark, sf_dir), export.parse_box("-100.25,-60.75,120.5,60.5"), most=10)
 
 
 @query(f"WITH {px.POINTS_SQL} SELECT place_id, tile_qk, 'https://tiles.example/' || left(tile_qk, 6) || '/' || tile_qk || '.json.gz' AS url FROM ({assigned_sql('pts', 50, 1, 17)}) WHERE place_id IN (7, 39, 4000)")
