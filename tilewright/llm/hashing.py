@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
@@ -38,7 +40,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _window(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of each word in bytes that end with one that is in no word."""
-    edge = np.flatnonzero(np.diff(inside[data], prepend=False, append=False))
+    edge = np.flatnonzero(np.diff(np.take(inside, data), prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
     power, inverse = _power(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
@@ -52,10 +54,9 @@ def _window(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, mix(sums)
 
 
-def spans(joined: bytes, inside: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of every word: runs of bytes that inside marks. The last byte is in no word."""
-    data = np.frombuffer(joined, np.uint8)
-    found, at = [], 0
+def _windows(joined: bytes, inside: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Where a window of bytes begins, and start, end and hash of the words in it. The last byte is in no word."""
+    data, at = np.frombuffer(joined, np.uint8), 0
     while at < len(data):
         end = min(at + WINDOW, len(data))
         if end < len(data):  # back to white space, or on to it where a word is longer than the window
@@ -63,9 +64,13 @@ def spans(joined: bytes, inside: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np
             if cut < at:
                 cut = min((c for c in (joined.find(b" ", end), joined.find(b"\n", end)) if c >= 0), default=len(data) - 1)
             end = cut + 1
-        starts, ends, hashes = _window(data[at:end], inside)
-        found.append((starts + at, ends + at, hashes))
+        yield at, *_window(data[at:end], inside)
         at = end
+
+
+def spans(joined: bytes, inside: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word: runs of bytes that inside marks. The last byte is in no word."""
+    found = [(s + at, e + at, h) for at, s, e, h in _windows(joined, inside)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -87,8 +92,12 @@ def word_hashes(texts: list[str], lower: bool = True, sep: bytes = b"\n") -> tup
     if not texts:
         return np.empty(0, np.uint64), np.zeros(0, np.int64)
     joined, sizes = joined_texts(texts, lower, sep)
-    starts, _, hashes = spans(joined)
-    return hashes, np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
+    starts, hashes = [], []
+    for at, s, _, h in _windows(joined, NOT_SPACE):
+        starts.append(s + at)
+        hashes.append(h)
+    ends = np.searchsorted(np.concatenate(starts), np.cumsum(sizes))
+    return np.concatenate(hashes), np.diff(ends, prepend=0)
 
 
 def grams(hashes: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
