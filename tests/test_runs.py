@@ -1,16 +1,18 @@
 """Published runs: the data source, what only changed folders cost, and parity."""
 
+import itertools
 import json
 import os
 import random
 import shutil
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tilewright.functions import quadkey as qk
-from tilewright.operators import export, parity
-from tilewright.sources import sinks, tile_files, tile_source
+from tilewright.operators import export, importers, parity, tiles
+from tilewright.sources import scans, sinks, tile_files, tile_source
 
 HEAD = sinks.Head("things", "src", "lic", "t1", "repo.example")
 SCHEMA = "tile_qk string, place_id string, rkey string, record_json string"
@@ -182,5 +184,76 @@ def test_a_small_box_reads_few_row_groups(spark, tmp_path):
     plan = small._jdf.queryExecution().toString()
     assert "PushedFilters: [Or(" in plan or "Or(Or(" in plan
     assert 0 < found[1] <= read_rows(small) < table.count() / 10
-    tiles = {r.tile_qk for r in export.coverage(table, (10.25, 47.75, 13.5, 50.5), most=1000).collect()}
-    assert tiles == {r.tile_qk for r in table.filter(qk.overlaps(qk.envelope(F.col("tile_qk")), (10.25, 47.75, 13.5, 50.5))).collect()}
+    found_tiles = {r.tile_qk for r in export.coverage(table, (10.25, 47.75, 13.5, 50.5), most=1000).collect()}
+    assert found_tiles == {r.tile_qk for r in table.filter(qk.overlaps(qk.envelope(F.col("tile_qk")), (10.25, 47.75, 13.5, 50.5))).collect()}
+
+
+def test_the_curve_has_no_jumps(spark):
+    tiles = [f"{n:0>5}" for n in ("".join(d) for d in itertools.product("0123", repeat=5))]
+    rows = spark.createDataFrame([(t,) for t in tiles], "qk string").select("qk", qk.hilbert(F.col("qk")).alias("h"), qk.tile_x(F.col("qk")).alias("x"), qk.tile_y(F.col("qk")).alias("y")).orderBy("h").collect()
+    assert len({r.h for r in rows}) == len(tiles) and all(len(r.h) == 5 for r in rows)
+    assert all(abs(a.x - b.x) + abs(a.y - b.y) == 1 for a, b in zip(rows, rows[1:]))
+    assert all(a.h[:3] == b.h[:3] for a in rows for b in rows if a.qk[:3] == b.qk[:3])  # the curve of a tile's parent holds it
+    assert spark.sql("select '' as qk").select(qk.hilbert(F.col("qk")).alias("h")).first().h == ""
+
+
+def test_a_box_touches_fewer_files_along_the_curve(spark, tmp_path):
+    lon, lat = (F.col("id") * 7919 % 3600) / 10 - 180, (F.col("id") * 104729 % 1700) / 10 - 85
+    rows = spark.range(40_000).select(lon.alias("lon"), lat.alias("lat"), qk.quadkey(lon, lat).alias("qk17"))
+    sinks.write_sorted(rows, f"{tmp_path}/keys", "qk17", 64)
+    sinks.write_along_curve(rows, f"{tmp_path}/curve", "qk17", 9, 64)
+    touched = {"keys": 0, "curve": 0}
+    for name in touched:
+        files = spark.read.parquet(f"{tmp_path}/{name}").groupBy(F.input_file_name()).agg(F.min("lon").alias("w"), F.max("lon").alias("e"), F.min("lat").alias("s"), F.max("lat").alias("n")).collect()
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == 40_000
+        for k in range(40):
+            x, y = k * 37 % 340 - 175, k * 23 % 120 - 65
+            touched[name] += sum(f.w <= x + 12 and f.e >= x and f.s <= y + 8 and f.n >= y for f in files)
+    assert touched["curve"] < touched["keys"]
+
+
+def test_any_kind_of_record_is_served(spark, tmp_path, run):
+    sinks.write_json(spark, f"{run}/collection.json", {"collection": "things", "source": "src", "license": "lic", "recordCount": 40})
+    os.makedirs(f"{tmp_path}/schemas")
+    for name, text in (("a.json", '{"id":"org.a","lexicon":1}'), ("b.json", "{}"), ("c.txt", "no")):
+        open(f"{tmp_path}/schemas/{name}", "w").write(text)
+    schemas = scans.schemas(spark, f"{tmp_path}/schemas")
+    assert schemas == {"org.a": {"id": "org.a", "lexicon": 1}}
+    get = lambda c, k: sinks.serve_record(spark, "repo.example", {"things": run}, schemas, c, k)
+    assert get("com.atproto.lexicon.schema", "org.a") == {"uri": "at://did:web:repo.example/com.atproto.lexicon.schema/org.a", "value": schemas["org.a"]}
+    found = get("org.atgeo.collection", "things")
+    assert (found["uri"], found["source"], found["license"], found["value"]["recordCount"]) == ("https://repo.example/org.atgeo.collection/things", "src", "lic", 40)
+    assert get("things", "p7")["value"]["name"] == "x"
+    for c, k in (("com.atproto.lexicon.schema", "x"), ("org.atgeo.collection", "x"), ("things", "x"), ("other", "p7")):
+        with pytest.raises(KeyError, match="NotFound"):
+            get(c, k)
+
+
+@pytest.mark.parametrize("rows", [7, 10_000])
+def test_tiles_over_the_ends_of_batches(spark, rows):
+    """Few rows a batch and many partitions: counts of tiles are put together from many pieces."""
+    rng = random.Random(rows)
+    near = ["".join(rng.choices("0123", [8, 1, 1, 1], k=17)) for _ in range(1500)] + ["0" * 17] * 60
+    frame = spark.createDataFrame([(k, q) for k, q in enumerate([*near, None, "0123", "4" * 17])], "place_id long, qk17 string")
+    counts = Counter(q[:n] for q in near for n in range(1, 18))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        for most, low, high in ((20, 1, 17), (20, 3, 9), (5000, 2, 4), (1, 1, 17)):
+            got = {r.place_id: r.tile_qk for r in tiles.assign(frame, most, low, high).collect()}
+            assert got == {k: next((q[:n] for n in range(low, high + 1) if counts[q[:n]] <= most), q[:high]) for k, q in enumerate(near)}
+        assert {(r.level, r.qk): r.cnt for r in tiles.cell_counts(frame, 2, 11).collect()} == {(len(q), q): n for q, n in counts.items() if 2 <= len(q) <= 11}
+        assert tiles.assign(frame.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_frequent_names_meet_by_place(spark):
+    rng = random.Random(8)
+    extents = [(k, f"n{k % 3}", *sorted(rng.uniform(-180, 180) for _ in range(2)), *sorted(rng.uniform(-89, 89) for _ in range(2))) for k in range(60)]
+    extents += [(100 + k, "n0", x := rng.uniform(-179, 179), x + 0.001 * k, y := rng.uniform(-80, 80), y + 0.002 * k) for k in range(60)] + [(300, "n0", -185.0, 190.0, -89.9, 89.9), (301, "n1", None, None, None, None), (302, "n1", -180.0, -180.0, 90.0, 90.0)]
+    places = [(f" n{k % 4} ", rng.uniform(-180, 180), rng.uniform(-90, 90)) for k in range(300)] + [("n0", a, c) for _, _, a, _, c, _ in extents[60:90]] + [("n1", -180.0, 90.0), ("n1", 180.0, -90.0)]
+    left = spark.createDataFrame(extents, "osm_id long, trimmed string, ext_xmin double, ext_xmax double, ext_ymin double, ext_ymax double")
+    right = spark.createDataFrame(places, "name string, longitude double, latitude double")
+    want = {k for k, n, a, b, c, d in extents if a is not None for m, x, y in places if m.strip() == n and a <= x <= b and c <= y <= d}
+    assert {r.osm_id for r in importers.holding(left, right).collect()} == want

@@ -173,3 +173,27 @@ def in_box(key: Column, box: Box, most: int = 32, zoom: int = ZOOM) -> Column:
     for low, high in box_ranges(box, most, zoom):
         test = test | key.between(F.lit(low), F.lit(high))
     return test
+
+
+def hilbert(key: Column) -> Column:
+    """The place of a tile on the Hilbert curve of its level, in digits 0 to 3 like its quadkey, so that keys in order
+    follow the curve: tiles next to each other in it share an edge.
+
+    At each digit the two bits of x and y, swapped and complemented as the digits before have left them, say which
+    quarter of the curve comes; the lower quarters swap what follows, the right one of them complements it too.
+    """
+    digits = F.filter(F.split(key, ""), lambda d: d != "")
+    start = F.struct(F.lit(0).alias("swap"), F.lit(0).alias("turn"), F.lit("").alias("out"))
+
+    def step(state: Column, digit: Column) -> Column:
+        d = digit.cast("int")
+        east, south = d.bitwiseAND(F.lit(1)), F.shiftright(d, 1)
+        x = F.when(state["swap"] == 1, south).otherwise(east).bitwiseXOR(state["turn"])
+        y = F.when(state["swap"] == 1, east).otherwise(south).bitwiseXOR(state["turn"])
+        low = 1 - y
+        return F.struct(
+            state["swap"].bitwiseXOR(low).alias("swap"), state["turn"].bitwiseXOR(low.bitwiseAND(x)).alias("turn"),
+            F.concat(state["out"], (3 * x).bitwiseXOR(y).cast("string")).alias("out"),
+        )
+
+    return F.aggregate(digits, start, step, lambda state: state["out"])

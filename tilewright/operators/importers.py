@@ -116,9 +116,34 @@ def without_doubles(relations: DataFrame, members: DataFrame, places: DataFrame)
     stand = places.select("osm_type", F.col("osm_id").alias("ref"), F.trim("name").alias("trimmed"))
     doubled = linked.join(stand, ["osm_type", "ref"]).select("osm_id", "trimmed").distinct()
     rows = relations.withColumn("trimmed", F.trim("name")).join(doubled, ["osm_id", "trimmed"], "left_anti")
+    return rows.join(holding(rows, places), "osm_id", "left_anti").drop("trimmed")
+
+
+def holding(extents: DataFrame, places: DataFrame) -> DataFrame:
+    """osm_id of those extents that hold a place of their name, edges included.
+
+    extents: osm_id, trimmed, ext_*; places: name, longitude, latitude. They meet by name and cell: an extent goes to
+    the tiles, four at most, of the finest level of which one is as large as it, and a place to the tiles over it at
+    all levels. So a frequent name isn't compared with all of its kind, but with those nearby.
+    """
+    zoom = qk.ZOOM
+    first = lambda c: F.greatest(c, F.lit(0).cast("long"))
+    ends = {
+        "west": first(qk.column_of(F.col("ext_xmin"), zoom)), "east": first(qk.column_of(F.col("ext_xmax"), zoom)),
+        "north": qk.row_of(F.col("ext_ymax"), zoom), "south": qk.row_of(F.col("ext_ymin"), zoom),
+    }
+    left = extents.select("osm_id", "trimmed", "ext_xmin", "ext_ymin", "ext_xmax", "ext_ymax", *[c.alias(n) for n, c in ends.items()])
+    wide = F.greatest(F.col("east") - F.col("west"), F.col("south") - F.col("north")) + 1
+    left = left.filter("ext_xmin <= ext_xmax and ext_ymin <= ext_ymax").withColumn("up", F.least(F.ceil(F.log2(wide.cast("double"))).cast("int"), F.lit(zoom)))
+    at = lambda c: F.expr(f"shiftright({c}, up)")
+    left = left.withColumn("x", F.explode(F.sequence(at("west"), at("east")))).withColumn("y", F.explode(F.sequence(at("north"), at("south"))))
+    left = left.withColumn("cell", qk.woven(F.col("x"), F.col("y"))).drop("west", "east", "north", "south", "x", "y")
     spots = places.select(F.trim("name").alias("trimmed"), F.col("longitude").alias("px"), F.col("latitude").alias("py"))
+    spots = spots.join(extents.select("trimmed").distinct(), "trimmed", "left_semi").withColumn("number", qk.number(F.col("px"), F.col("py"))).filter("number is not null")
+    spots = spots.select("trimmed", "px", "py", "number", F.explode(F.sequence(F.lit(0), F.lit(zoom))).alias("up"))
+    spots = spots.select("trimmed", "px", "py", "up", qk.ancestor(F.col("number"), F.col("up")).alias("cell"))
     within = F.col("px").between(F.col("ext_xmin"), F.col("ext_xmax")) & F.col("py").between(F.col("ext_ymin"), F.col("ext_ymax"))
-    return rows.join(spots, (rows["trimmed"] == spots["trimmed"]) & within, "left_anti").drop("trimmed")
+    return left.join(spots, ["trimmed", "up", "cell"]).filter(within).select("osm_id").distinct()
 
 
 def import_osm(nodes: DataFrame, ways: DataFrame, relations: DataFrame, box: Box = WORLD, densities: DataFrame | None = None, rarities: DataFrame | None = None, density_norm: float = 10, idf_norm: float = 18) -> DataFrame:

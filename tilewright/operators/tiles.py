@@ -2,49 +2,116 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quadkey as qk
+from ..sources import scratch
 
 
 def _cells(places: DataFrame, high: int) -> DataFrame:
-    """cell (a number), n: how many places each tile of the finest level has."""
+    """cell (a number), n: how many places each tile of the finest level has; in order over all partitions."""
     cell = F.substring("qk17", 1, high).cast("long")
-    return places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    counts = places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    return counts.repartitionByRange("cell").sortWithinPartitions("cell")
+
+
+def _tile_runs(cell: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tiles so many levels above cells in order, and where the run of each begins."""
+    tile = cell // 10**steps
+    return tile, np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1])))
+
 
+def _counted(low: int, high: int):
+    """mapInArrow function over cells in order: level, tile, n, open. A tile at either end of a batch is open: it may
+    go on in the next one."""
 
-def _levels(cells: DataFrame, low: int, high: int) -> DataFrame:
-    """Every cell with each of its tiles from level low to high: level, tile (a number)."""
-    rows = cells.select("*", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("level"))
-    return rows.withColumn("tile", qk.ancestor(F.col("cell"), F.lit(high) - F.col("level")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, n = (batch.column(c).to_numpy() for c in ("cell", "n"))
+            for level in range(low, high + 1) if len(cell) else ():
+                tile, starts = _tile_runs(cell, high - level)
+                outer = np.zeros(len(starts), bool)
+                outer[[0, -1]] = True
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), level, np.int32)), pa.array(tile[starts]), pa.array(np.add.reduceat(n, starts)), pa.array(outer)], ["level", "tile", "n", "open"])
 
+    return run
+
+
+def _placed(low: int, high: int, most: int):
+    """mapInArrow function over cells in order: cell, full, level, tile, n.
+
+    A row for each cell under a tile of more than `most`: full is the finest level of such a tile, as far as the batch
+    tells; level and tile name the finest open tile above the cell (see _counted()) where that has the last word. And a
+    row without cell for each open tile, with what the batch has of it.
+    """
 
-def _counts(cells: DataFrame, low: int, high: int) -> DataFrame:
-    return _levels(cells, low, high).groupBy("level", "tile").agg(F.sum("n").alias("cnt"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, n = (batch.column(c).to_numpy() for c in ("cell", "n"))
+            if not len(cell):
+                continue
+            full, level, above = np.zeros(len(cell), np.int32), np.zeros(len(cell), np.int32), np.zeros(len(cell), np.int64)
+            ends = []
+            for k in range(low, high + 1):
+                tile, starts = _tile_runs(cell, high - k)
+                count, size = np.add.reduceat(n, starts), np.diff(starts, append=len(cell))
+                outer = np.zeros(len(starts), bool)
+                outer[[0, -1]] = True
+                full[np.repeat(~outer & (count > most), size)] = k
+                at_end = np.repeat(outer, size)
+                level[at_end], above[at_end] = k, tile[at_end]
+                ends += [(k, int(tile[s]), int(c)) for s, c in zip(starts[outer], count[outer])]
+            some = np.flatnonzero((full > 0) | (level > 0))
+            known = pa.array(full[some] > 0)
+            none = lambda kind: pa.nulls(len(ends), kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell[some]), pc.if_else(known, pa.array(full[some]), None), pc.if_else(known, None, pa.array(level[some])), pc.if_else(known, None, pa.array(above[some])), pa.nulls(len(some), pa.int64())], _PLACED
+            )
+            k, tile, count = zip(*ends)
+            yield pa.RecordBatch.from_arrays([none(pa.int64()), none(pa.int32()), pa.array(k, pa.int32()), pa.array(tile, pa.int64()), pa.array(count, pa.int64())], _PLACED)
+
+    return run
+
+
+_PLACED = ["cell", "full", "level", "tile", "n"]
 
 
 def cell_counts(places: DataFrame, low: int, high: int) -> DataFrame:
     """level, qk, cnt for every tile from level low to high.
 
-    Places are counted once, at the finest level; the levels above add up those counts.
+    Places are counted once, at the finest level, and the cells put in order; one pass adds them up for all levels, and
+    only tiles at the ends of its batches are added up again.
     """
-    return _counts(_cells(places, high), low, high).select("level", qk.text(F.col("tile"), F.col("level")).alias("qk"), "cnt")
+    rows = _cells(places, high).mapInArrow(_counted(low, high), "level int, tile long, n long, open boolean")
+    rows = scratch.saved(rows)
+    parts = rows.filter("open").groupBy("level", "tile").agg(F.sum("n").alias("n"))
+    every = rows.filter("not open").select("level", "tile", "n").union(parts)
+    return every.select("level", qk.text(F.col("tile"), F.col("level")).alias("qk"), F.col("n").alias("cnt"))
 
 
 def assign(places: DataFrame, most: int = 1000, low: int = 6, high: int = 17) -> DataFrame:
     """place_id, tile_qk: the coarsest tile from level low to high that holds at most `most` places, else the finest.
 
     places: place_id, qk17. The level is chosen per cell of the finest level, so places join once, on their cell. A
-    tile that holds too many has only ancestors that do, so a cell's tile lies one level below the finest of those;
-    these are few, a share of 1/most of the places at every level.
+    tile that holds too many has only ancestors that do, so a cell's tile lies one level below the finest of those. One
+    pass over the cells in order finds it; a few cells ask the tiles that lie over the ends of batches.
     """
     if most < 1 or not 1 <= low <= high <= qk.ZOOM:
         raise ValueError(f"no tiles with most={most}, low={low}, high={high}")
-    cells = _cells(places, high)
-    full = _counts(cells, low, high).filter(F.col("cnt") > most).select("level", "tile")
-    levels = _levels(cells.select("cell", "n"), low, high)
-    depth = levels.join(full, ["level", "tile"]).groupBy("cell").agg(F.max("level").alias("full"))
+    found = scratch.saved(_cells(places, high).mapInArrow(_placed(low, high, most), "cell long, full int, level int, tile long, n long"))
+    ends = found.filter("cell is null").groupBy("level", "tile").agg(F.sum("n").alias("n"))
+    chain = ends.select("level", "tile", F.explode(F.sequence(F.lit(low), F.col("level"))).alias("up"))
+    chain = chain.select("level", "tile", "up", qk.ancestor(F.col("tile"), F.col("level") - F.col("up")).alias("over"))
+    crowded = ends.filter(F.col("n") > most).select(F.col("level").alias("up"), F.col("tile").alias("over"))
+    asked = chain.join(crowded, ["up", "over"]).groupBy("level", "tile").agg(F.max("up").alias("deepest"))
+    told = found.filter("cell is not null").join(asked, ["level", "tile"], "left")
+    depth = told.select("cell", F.coalesce("full", "deepest").alias("full")).filter("full is not null")
     rows = places.filter(qk.is_full(F.col("qk17"))).select("place_id", "qk17", F.substring("qk17", 1, high).cast("long").alias("cell"))
     level = F.least(F.coalesce(F.col("full") + 1, F.lit(low)), F.lit(high))
     return rows.join(depth, "cell", "left").select("place_id", F.substring(F.col("qk17"), F.lit(1), level).alias("tile_qk"))

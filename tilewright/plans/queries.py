@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import json_text as js
 from ..functions import osm_rules, scoring
 from ..functions import quadkey as qk
+from ..functions import sql as sql_functions
 from ..operators import containment, covering, export, importers, lookups, tiles
 from ..sources import scratch
 from . import proxies as px
@@ -711,3 +712,47 @@ def united_areas(spark, sf_dir):
 def united_covering(spark, sf_dir):
     shapes = importers.area_shapes(plots(spark, sf_dir)).select(F.col("id").alias("boundary_id"), F.lit(10).alias("level"), "geom", "xmin", "ymin", "xmax", "ymax")
     return covering.cover(shapes, first=6, leaf=6, last=6).select("boundary_id", "tile_qk", "interior")
+
+
+@query(
+    f"""WITH RECURSIVE {px.POINTS_SQL}, t AS (SELECT DISTINCT left(qk17, 8) AS tile_qk FROM pts), h AS (
+        SELECT tile_qk, 1 AS i, 0 AS swap, 0 AS turn, '' AS curve FROM t
+        UNION ALL SELECT tile_qk, i + 1, CASE WHEN y = 0 THEN 1 - swap ELSE swap END, CASE WHEN y = 0 AND x = 1 THEN 1 - turn ELSE turn END, curve || CAST(xor(3 * x, y) AS VARCHAR)
+        FROM (SELECT *, xor(CASE swap WHEN 1 THEN d >> 1 ELSE d & 1 END, turn) AS x, xor(CASE swap WHEN 1 THEN d & 1 ELSE d >> 1 END, turn) AS y
+              FROM (SELECT *, CAST(substr(tile_qk, i, 1) AS INTEGER) AS d FROM h WHERE i <= 8)))
+    SELECT tile_qk, curve FROM h WHERE i = 9"""
+)
+def hilbert_order(spark, sf_dir):
+    rows = px.points(spark, sf_dir).select(F.substring("qk17", 1, 8).alias("tile_qk")).distinct()
+    return rows.select("tile_qk", qk.hilbert(F.col("tile_qk")).alias("curve"))
+
+
+@query(f"WITH {px.POINTS_SQL} {assigned_sql('pts', 50, 1, 17)}")
+def sql_assignment(spark, sf_dir):
+    """tile_assignment in plain SQL with the functions of the session."""
+    sql_functions.register(spark)
+    rows = px.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("place_id"), px.lon(F.col("o_orderkey")).alias("lon"), px.lat(F.col("o_orderkey")).alias("lat"))
+    return spark.sql(
+        """WITH p AS (SELECT place_id, qk17(lon, lat) AS qk FROM {places}),
+           levels AS (SELECT place_id, level, left(qk, level) AS tile_qk FROM p LATERAL VIEW explode(sequence(1, 17)) AS level WHERE length(qk) = 17),
+           few AS (SELECT tile_qk FROM levels GROUP BY tile_qk HAVING count(*) <= 50),
+           best AS (SELECT place_id, min(level) AS level FROM levels LEFT SEMI JOIN few USING (tile_qk) GROUP BY place_id)
+           SELECT place_id, left(qk, coalesce(level, 17)) AS tile_qk FROM p LEFT JOIN best USING (place_id) WHERE length(qk) = 17""",
+        places=rows,
+    )
+
+
+@query(
+    f"WITH {px.POINTS_SQL}, t AS (SELECT DISTINCT left(qk17, 5) AS tile_qk FROM pts), c AS (SELECT tile_qk || d AS child FROM t, (SELECT unnest(['0', '1', '2', '3']) AS d)), e AS ({px.envelope_sql('child', 'c')}) "
+    "SELECT child, left(child, 5) AS parent, _x AS x, _y AS y, round(xmin, 9) AS xmin, round(ymin, 9) AS ymin, round(xmax, 9) AS xmax, round(ymax, 9) AS ymax FROM e"
+)
+def sql_children(spark, sf_dir):
+    """Tiles below others, with their numbers and sides, by the functions of the session."""
+    sql_functions.register(spark)
+    rows = px.table(spark, sf_dir, "orders").select(px.lon(F.col("o_orderkey")).alias("lon"), px.lat(F.col("o_orderkey")).alias("lat"))
+    return spark.sql(
+        """WITH t AS (SELECT DISTINCT qk_at(lon, lat, 17) AS qk FROM {places}), five AS (SELECT DISTINCT left(qk, 5) AS tile FROM t),
+           e AS (SELECT c.tile_qk AS child, qk_env(c.tile_qk) AS e FROM five, LATERAL qk_children(five.tile) AS c)
+           SELECT child, qk_parent(child) AS parent, qk_tile_x(child) AS x, qk_tile_y(child) AS y, round(e.xmin, 9) AS xmin, round(e.ymin, 9) AS ymin, round(e.xmax, 9) AS xmax, round(e.ymax, 9) AS ymax FROM e""",
+        places=rows,
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,13 @@ def text_keys(spark: SparkSession, path: str) -> DataFrame:
         spark.conf.set(name, before)
 
 
+def schemas(spark: SparkSession, folder: str) -> dict[str, dict]:
+    """Schema documents by their id: every .json file of a folder, a few dozen; those without an id are left out."""
+    files = Files(spark)
+    found = [json.loads(files.read_text(f"{folder}/{name}")) for name in files.names(folder) if name.endswith(".json")]
+    return {d["id"]: d for d in found if "id" in d}
+
+
 def execute(spark: SparkSession, query: str, parameters: dict) -> DataFrame:
     """SQL with those of the parameters that it names as :name."""
     named = set(re.findall(r"(?<![:\w]):([A-Za-z_]\w*)", query))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import quadkey as qk
 from ..operators import export
 from . import tile_files
 from .hadoop import Files
@@ -25,6 +26,16 @@ def write_sorted(frame: DataFrame, path: str, key: str, partitions: int | None =
     dealt.sortWithinPartitions(order).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_along_curve(frame: DataFrame, path: str, key: str, zoom: int = 9, partitions: int | None = None) -> None:
+    """Parquet along the Hilbert curve of the tiles of a level over all files, by key within, nulls last: what lies near
+    each other stands in few row groups, so the statistics of coordinates prune for a box."""
+    place = F.when(F.col(key).isNotNull(), qk.hilbert(F.substring(key, 1, zoom)))
+    rows = frame.withColumn("_curve", place)
+    order = [F.asc_nulls_last("_curve"), F.asc_nulls_last(key)]
+    dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).drop("_curve").write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
 def write_by_prefix(frame: DataFrame, path: str, key: str, length: int, *order: str) -> None:
     """Parquet in folders by the first digits of a quadkey, sorted within."""
     prefix = f"{key}{length}"
@@ -241,6 +252,33 @@ def write_manifest(records: DataFrame, path: str, metadata: dict) -> None:
     write_json(records.sparkSession, f"{path}/manifest.json", metadata)
 
 
+#: Collections of records that aren't places; fixed values.
+SCHEMAS, COLLECTIONS = "com.atproto.lexicon.schema", "org.atgeo.collection"
+
+
+def serve_record(spark: SparkSession, repo: str, runs: dict[str, str], schemas: dict[str, dict], collection: str, rkey: str) -> dict:
+    """Any record that a gazetteer has: a schema by its id, the description of a collection by its name, or a record of
+    one of runs (collection -> folder of the run). KeyError where there is none: CollectionNotFound or RecordNotFound.
+    """
+    missing = KeyError("RecordNotFound", collection, rkey)
+    if collection == SCHEMAS:
+        if rkey not in schemas:
+            raise missing
+        return {"uri": f"at://did:web:{repo}/{SCHEMAS}/{rkey}", "value": schemas[rkey]}
+    if collection == COLLECTIONS:
+        path = f"{runs.get(rkey)}/collection.json"
+        if rkey not in runs or not Files(spark).exists(path):
+            raise missing
+        value = json.loads(Files(spark).read_text(path))
+        return {"uri": f"https://{repo}/{COLLECTIONS}/{rkey}", "source": value["source"], "license": value["license"], "value": value}
+    if collection not in runs:
+        raise KeyError("CollectionNotFound", collection)
+    found = get_record(spark, runs[collection], rkey)
+    if found is None:
+        raise missing
+    return found
+
+
 def find_record(manifest: DataFrame, records: DataFrame, rkey: str) -> str | None:
     """A record's JSON by its key: the manifest names its tiles, any of which holds the same text."""
     tile = manifest.filter(F.col("rkey") == rkey).select("tile_qk").first()
