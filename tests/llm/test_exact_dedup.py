@@ -35,6 +35,18 @@ def test_filters_merge_without_loss():
     assert (found == want[0]).all() and (n == want[1]).all()
 
 
+def test_filters_are_packed_without_loss():
+    rng = np.random.default_rng(2)
+    for bits in (4, 8, 17, 20):
+        found = np.unique(rng.integers(0, 1 << (64 - bits), 300, dtype=np.uint64))
+        for most in (2, 300, 1 << 40):
+            counts = rng.integers(1, most, len(found))
+            a, b = exact_dedup.packed(found, exact_dedup.remainder_bytes(bits)), exact_dedup.packed(counts.astype(np.uint64), exact_dedup.count_bytes(counts))
+            got = exact_dedup.opened(a, b, bits)
+            assert (got[0] == found).all() and (got[1] == counts).all()
+            assert len(a) <= len(found) * 8 and (most > 256 or len(b) == len(found))
+
+
 def test_equal_fingerprints_of_different_texts_stay_apart(spark, monkeypatch):
     """Were all texts to share one fingerprint, the bytes would still tell them apart."""
     from pyspark.sql import functions as F

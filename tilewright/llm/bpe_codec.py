@@ -220,8 +220,9 @@ def coded(vocabulary_file: str | None, pattern: str | None):
 def bpe_round_trip(documents: DataFrame, vocabulary_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row: the whole text encoded, then decoded from its ids.
 
-    Null and empty texts have no tokens and the digests of the empty string. Repeated rows come out each; a null
-    doc_id is carried along.
+    Null and empty texts have no tokens and the digests of the empty string. Texts of any length are taken whole.
+    Repeated rows come out each; a null doc_id is carried along. An empty table gives no rows. Other columns, whatever
+    their names, stay behind.
     """
     rows = common.texts(documents).selectExpr("cast(doc_id as long) doc_id", "text")
     return rows.mapInArrow(common.task(coded(vocabulary_file, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -41,16 +41,43 @@ def build(bits: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array(block[np.concatenate(([0], cuts))], pa.int32()),
-                    "remainders": pa.array([x.tobytes() for x in np.split(remainder, cuts)], pa.binary()),
-                    "counts": pa.array([x.tobytes() for x in np.split(counts, cuts)], pa.binary()),
+                    "remainders": pa.array([packed(x, remainder_bytes(bits)) for x in np.split(remainder, cuts)], pa.binary()),
+                    "counts": pa.array([packed(x.astype(np.uint64), count_bytes(x)) for x in np.split(counts, cuts)], pa.binary()),
                 }
             )
 
     return run
 
 
+def remainder_bytes(bits: int) -> int:
+    """Bytes of a remainder: the quotient isn't stored."""
+    return -(-(64 - bits) // 8)
+
+
+def count_bytes(counts: np.ndarray) -> int:
+    """Bytes of each counter of a block: one, where none is over 255."""
+    return next(k for k in range(1, 9) if int(counts.max(initial=0)) < 1 << 8 * k)
+
+
+def packed(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit numbers."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
+def opened(remainders: bytes, counts: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Remainders and counters of a block of a filter."""
+    found = unpacked(remainders, remainder_bytes(bits))
+    return found, unpacked(counts, max(1, len(counts) // max(len(found), 1))).astype(np.int64)
+
+
 def merge_runs(runs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted runs into one; the counters of equal remainders add up."""
+    """Sorted runs into one; the counters of equal remainders add up. A stable sort merges runs that it finds sorted."""
     every, n = np.concatenate(runs), np.concatenate(counts)
     order = np.argsort(every, kind="stable")
     every, n = every[order], n[order]
@@ -64,10 +91,8 @@ def repeated(bits: int):
 
     def run(table: pa.Table) -> pa.Table:
         block = np.uint64(table.column("block")[0].as_py())
-        found, n = merge_runs(
-            [np.frombuffer(x, np.uint64) for x in table.column("remainders").to_pylist()],
-            [np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()],
-        )
+        runs = [opened(r, n, bits) for r, n in zip(table.column("remainders").to_pylist(), table.column("counts").to_pylist())]
+        found, n = merge_runs([r for r, _ in runs], [n for _, n in runs])
         more = (block << low) | found[n > 1]
         return pa.table({"fingerprint": pa.array(more.view(np.int64), pa.int64())})
 
@@ -96,8 +121,10 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
         .filter("group_size > 1")
         .select("fingerprint", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
     )
+    groups = common.save(groups)
+    common.discard(suspects)
     marked = rows.select("doc_id", "fingerprint", F.sha2("text", 256).alias("text_sha256"))
-    joined = marked.join(common.save(groups), ["fingerprint", "text_sha256"], "left")
+    joined = marked.join(groups, ["fingerprint", "text_sha256"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id",

@@ -189,7 +189,9 @@ def ngram_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     white space) is threshold or more; class_id is the smallest doc_id that links reach, n_links the number of other
     rows linked directly, kept whether the row is its class's smallest. A text of 1 to n - 1 words is one n-gram; null,
     empty and blank texts link with nothing. Repeated rows link with each other and share one class; a null doc_id
-    never is a class and keeps itself only when alone. Texts of any length count whole. An empty table gives no rows.
+    never is a class and keeps itself only when alone. Ids should be unique: where rows of one id differ in text, the
+    class of each is still known by its own set, but one of the texts stands for the id in comparisons. Texts of any
+    length count whole. An empty table gives no rows.
     Other columns, whatever their names, stay behind.
     """
     bands, rows = choose_bands(threshold, recall)
