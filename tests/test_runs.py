@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.functions import quadkey as qk
-from tilewright.operators import export, importers, parity, tiles
-from tilewright.sources import scans, sinks, tile_files, tile_source
+from tilewright.operators import export, importers, lookups, parity, tiles
+from tilewright.sources import scans, scratch, sinks, tile_files, tile_source
 
 HEAD = sinks.Head("things", "src", "lic", "t1", "repo.example")
 SCHEMA = "tile_qk string, place_id string, rkey string, record_json string"
@@ -257,3 +257,20 @@ def test_frequent_names_meet_by_place(spark):
     right = spark.createDataFrame(places, "name string, longitude double, latitude double")
     want = {k for k, n, a, b, c, d in extents if a is not None for m, x, y in places if m.strip() == n and a <= x <= b and c <= y <= d}
     assert {r.osm_id for r in importers.holding(left, right).collect()} == want
+
+
+def test_a_pyramid_answers_boxes(spark):
+    """The same averages as from all tiles, for boxes of any size, on the borders of tiles and beyond the world's edge;
+    a box meets as many tiles as its rim is long."""
+    rng = random.Random(6)
+    points = spark.createDataFrame([(rng.uniform(-180, 180), rng.uniform(-88, 88)) for _ in range(4000)] + [(0.001 * k, 0.002 * k) for k in range(500)], "lon double, lat double")
+    dens = scratch.saved(lookups.density(points, F.col("lon"), F.col("lat")))
+    boxes = [(k, x := rng.uniform(-180, 170), y := rng.uniform(-89, 80), min(180.0, x + rng.choice((0.0, 0.01, 3, 200))), min(90.0, y + rng.choice((0.0, 0.01, 3, 120)))) for k in range(60)]
+    boxes += [(100, -180.0, -90.0, 180.0, 90.0), (101, 0.0, 0.0, 0.0, 0.0), (102, 45.0, 0.0, 90.0, 66.51326044311186), (103, -0.02197265625, -5.0, 0.0, 5.0), (104, 10.0, 85.06, 11.0, 90.0)]
+    frame = spark.createDataFrame(boxes, "id long, xmin double, ymin double, xmax double, ymax double")
+    sums = scratch.saved(lookups.pyramid(dens))
+    want = {r.id: r.avg_density for r in lookups.box_density(frame, dens).collect()}
+    got = {r.id: r.avg_density for r in lookups.box_average(frame, sums).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    top = sums.filter("level = 0").first()
+    assert top.n == dens.count() and sums.filter("level = 15").count() == top.n

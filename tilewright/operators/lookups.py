@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import osm_rules
 from ..functions import quadkey as qk
+from . import tiles
 
 
 def density(points: DataFrame, lon: Column, lat: Column, zoom: int = 15) -> DataFrame:
@@ -96,3 +99,43 @@ def box_density(boxes: DataFrame, densities: DataFrame, zoom: int = 15) -> DataF
     meet = (F.col("tile_xmin") <= F.col("xmax")) & (F.col("tile_xmax") >= F.col("xmin")) & (F.col("tile_ymin") <= F.col("ymax")) & (F.col("tile_ymax") >= F.col("ymin"))
     found = left.join(right, ["up", "cell"]).filter(meet).groupBy("id").agg(F.avg("density_score").alias("avg_density"))
     return boxes.select("id").join(found, "id", "left").select("id", F.coalesce("avg_density", F.lit(0.0)).alias("avg_density"))
+
+
+def pyramid(densities: DataFrame, zoom: int = 15) -> DataFrame:
+    """level, tile, n, total: number and sum of the densities below every tile from level 0 on; a table."""
+    cells = densities.filter("tile_qk15 is not null").select(F.col("tile_qk15").cast("long").alias("cell"), F.lit(1).cast("long").alias("n"), F.col("density_score").alias("total"))
+    return tiles.level_sums(cells, 0, zoom, "n", "total")
+
+
+def box_average(boxes: DataFrame, sums: DataFrame, zoom: int = 15) -> DataFrame:
+    """id, avg_density as box_density() has it, from a pyramid: a box takes whole tiles inside it and finer ones along
+    its rim, so a box of any size meets as many tiles as its sides are long, not as its area holds.
+
+    boxes: id, xmin, ymin, xmax, ymax, no box over the antimeridian.
+    """
+    n = 1 << zoom
+    side = lambda column: F.lit(360.0) * column / n - 180
+    line = lambda row: F.degrees(F.atan(F.sinh(F.lit(math.pi) * (1 - 2 * row / n))))
+    one = F.lit(1).cast("long")
+    west, east, north, south = qk.column_of(F.col("xmin"), zoom), qk.column_of(F.col("xmax"), zoom), qk.row_of(F.col("ymax"), zoom), qk.row_of(F.col("ymin"), zoom)
+    rows = boxes.select("id", "xmin", "ymin", "xmax", "ymax", F.greatest(west, F.lit(0).cast("long")).alias("w"), east.alias("e"), north.alias("t"), south.alias("b"))
+    # A tile that only touches the box's edge is met too.
+    touch = {
+        "x0": F.when((F.col("w") > 0) & (side(F.col("w")) >= F.col("xmin")), F.col("w") - one).otherwise(F.col("w")),
+        "x1": F.when((F.col("e") < n - 1) & (side(F.col("e") + 1) <= F.col("xmax")), F.col("e") + one).otherwise(F.col("e")),
+        "y0": F.when((F.col("t") > 0) & (line(F.col("t")) <= F.col("ymax")), F.col("t") - one).otherwise(F.col("t")),
+        "y1": F.when((F.col("b") < n - 1) & (line(F.col("b") + 1) >= F.col("ymin")), F.col("b") + one).otherwise(F.col("b")),
+    }
+    rows = rows.filter("xmin <= xmax and ymin <= ymax and xmax >= -180 and xmin <= 180").select("id", *[c.alias(k) for k, c in touch.items()])
+    rows = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(zoom)))).withColumn("k", F.lit(zoom) - F.col("level"))
+    # Of each level the tiles inside the box (a..c by d..f), without those whose parents are (ap..cp by dp..fp).
+    first = lambda c, k: F.expr(f"shiftright({c} + shiftleft(1L, {k}) - 1, {k})")
+    last = lambda c, k: F.expr(f"shiftright({c} + 1, {k}) - 1")
+    rows = rows.select("id", "level", first("x0", "k").alias("a"), last("x1", "k").alias("c"), first("y0", "k").alias("d"), last("y1", "k").alias("f"), *[(2 * first(x, "(k + 1)")).alias(y) for x, y in (("x0", "ap"), ("y0", "dp"))], *[(2 * last(x, "(k + 1)") + 1).alias(y) for x, y in (("x1", "cp"), ("y1", "fp"))])
+    rows = rows.filter("a <= c and d <= f").withColumn("y", F.explode(F.sequence("d", "f")))
+    span = lambda a, b: f"CASE WHEN {a} <= {b} THEN sequence({a}, {b}) ELSE cast(array() AS array<bigint>) END"
+    inner = "level > 0 AND ap <= cp AND y BETWEEN dp AND fp"
+    rows = rows.withColumn("x", F.explode(F.expr(f"CASE WHEN {inner} THEN concat({span('a', 'ap - 1')}, {span('cp + 1', 'c')}) ELSE sequence(a, c) END")))
+    met = rows.select("id", "level", qk.woven(F.col("x"), F.col("y")).alias("tile")).join(sums, ["level", "tile"])
+    found = met.groupBy("id").agg((F.sum("total") / F.sum("n")).alias("avg_density"))
+    return boxes.select("id").join(found, "id", "left").select("id", F.coalesce("avg_density", F.lit(0.0)).alias("avg_density"))

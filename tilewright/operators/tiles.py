@@ -15,10 +15,9 @@ from ..sources import scratch
 
 
 def _cells(places: DataFrame, high: int) -> DataFrame:
-    """cell (a number), n: how many places each tile of the finest level has; in order over all partitions."""
+    """cell (a number), n: how many places each tile of the finest level has."""
     cell = F.substring("qk17", 1, high).cast("long")
-    counts = places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
-    return counts.repartitionByRange("cell").sortWithinPartitions("cell")
+    return places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
 
 
 def _tile_runs(cell: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
@@ -27,27 +26,41 @@ def _tile_runs(cell: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
     return tile, np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1])))
 
 
-def _counted(low: int, high: int):
-    """mapInArrow function over cells in order: level, tile, n, open. A tile at either end of a batch is open: it may
-    go on in the next one."""
+def _summed(low: int, high: int, values: list[str]):
+    """mapInArrow function over cells in order: level, tile, the sums of values, open. A tile at either end of a batch
+    is open: it may go on in the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, n = (batch.column(c).to_numpy() for c in ("cell", "n"))
+            cell, *numbers = (batch.column(c).to_numpy() for c in ("cell", *values))
             for level in range(low, high + 1) if len(cell) else ():
                 tile, starts = _tile_runs(cell, high - level)
                 outer = np.zeros(len(starts), bool)
                 outer[[0, -1]] = True
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), level, np.int32)), pa.array(tile[starts]), pa.array(np.add.reduceat(n, starts)), pa.array(outer)], ["level", "tile", "n", "open"])
+                sums = [pa.array(np.add.reduceat(n, starts)) for n in numbers]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), level, np.int32)), pa.array(tile[starts]), *sums, pa.array(outer)], ["level", "tile", *values, "open"])
 
     return run
 
 
+def level_sums(cells: DataFrame, low: int, high: int, *values: str) -> DataFrame:
+    """level, tile (a number) and the sums of values for every tile from level low to high.
+
+    cells: cell (a tile's number at level high) and values, long or double. They are put in order, and one pass adds
+    them up for all levels; only tiles at the ends of its batches are added up again.
+    """
+    kinds = dict(cells.dtypes)
+    dealt = cells.select("cell", *values).repartitionByRange("cell").sortWithinPartitions("cell")
+    rows = scratch.saved(dealt.mapInArrow(_summed(low, high, list(values)), "level int, tile long, " + "".join(f"{v} {kinds[v]}, " for v in values) + "open boolean"))
+    parts = rows.filter("open").groupBy("level", "tile").agg(*[F.sum(v).alias(v) for v in values])
+    return rows.filter("not open").select("level", "tile", *values).union(parts)
+
+
 def _placed(low: int, high: int, most: int):
     """mapInArrow function over cells in order: cell, full, level, tile, n.
 
     A row for each cell under a tile of more than `most`: full is the finest level of such a tile, as far as the batch
-    tells; level and tile name the finest open tile above the cell (see _counted()) where that has the last word. And a
+    tells; level and tile name the finest open tile above the cell (see _summed()) where that has the last word. And a
     row without cell for each open tile, with what the batch has of it.
     """
 
@@ -83,15 +96,8 @@ _PLACED = ["cell", "full", "level", "tile", "n"]
 
 
 def cell_counts(places: DataFrame, low: int, high: int) -> DataFrame:
-    """level, qk, cnt for every tile from level low to high.
-
-    Places are counted once, at the finest level, and the cells put in order; one pass adds them up for all levels, and
-    only tiles at the ends of its batches are added up again.
-    """
-    rows = _cells(places, high).mapInArrow(_counted(low, high), "level int, tile long, n long, open boolean")
-    rows = scratch.saved(rows)
-    parts = rows.filter("open").groupBy("level", "tile").agg(F.sum("n").alias("n"))
-    every = rows.filter("not open").select("level", "tile", "n").union(parts)
+    """level, qk, cnt for every tile from level low to high. Places are counted once, at the finest level."""
+    every = level_sums(_cells(places, high), low, high, "n")
     return every.select("level", qk.text(F.col("tile"), F.col("level")).alias("qk"), F.col("n").alias("cnt"))
 
 
@@ -104,7 +110,8 @@ def assign(places: DataFrame, most: int = 1000, low: int = 6, high: int = 17) ->
     """
     if most < 1 or not 1 <= low <= high <= qk.ZOOM:
         raise ValueError(f"no tiles with most={most}, low={low}, high={high}")
-    found = scratch.saved(_cells(places, high).mapInArrow(_placed(low, high, most), "cell long, full int, level int, tile long, n long"))
+    cells = _cells(places, high).repartitionByRange("cell").sortWithinPartitions("cell")
+    found = scratch.saved(cells.mapInArrow(_placed(low, high, most), "cell long, full int, level int, tile long, n long"))
     ends = found.filter("cell is null").groupBy("level", "tile").agg(F.sum("n").alias("n"))
     chain = ends.select("level", "tile", F.explode(F.sequence(F.lit(low), F.col("level"))).alias("up"))
     chain = chain.select("level", "tile", "up", qk.ancestor(F.col("tile"), F.col("level") - F.col("up")).alias("over"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text as js
-from ..functions import osm_rules, scoring
+from ..functions import osm_rules, schemas, scoring
 from ..functions import quadkey as qk
 from ..functions import sql as sql_functions
 from ..operators import containment, covering, export, importers, lookups, tiles
@@ -756,3 +756,55 @@ def sql_children(spark, sf_dir):
            SELECT child, qk_parent(child) AS parent, qk_tile_x(child) AS x, qk_tile_y(child) AS y, round(e.xmin, 9) AS xmin, round(e.ymin, 9) AS ymin, round(e.xmax, 9) AS xmax, round(e.ymax, 9) AS ymax FROM e""",
         places=rows,
     )
+
+
+#: Boxes of nations made six times as wide and high, as far as the world goes.
+WIDE_SQL = "wide AS (SELECT boundary_id AS id, greatest(-180.0, xmin - 2.5 * (xmax - xmin)) AS xmin, least(180.0, xmax + 2.5 * (xmax - xmin)) AS xmax, greatest(-90.0, ymin - 2.5 * (ymax - ymin)) AS ymin, least(90.0, ymax + 2.5 * (ymax - ymin)) AS ymax FROM boxes)"
+
+
+@query(
+    f"WITH {px.POINTS_SQL}, {px.BOXES_SQL}, {WIDE_SQL}, {DENSITY_SQL}, e AS ({px.envelope_sql('tile_qk15', 'dens')}) SELECT b.id, round(coalesce(avg(e.density_score), 0), 9) AS avg_density "
+    "FROM wide AS b LEFT JOIN e ON e.xmin <= b.xmax AND e.xmax >= b.xmin AND e.ymin <= b.ymax AND e.ymax >= b.ymin GROUP BY 1"
+)
+def density_of_large_boxes(spark, sf_dir):
+    wide = lambda a, b, end, f: f(F.lit(end), F.col(a) - 2.5 * (F.col(b) - F.col(a)))
+    sides = {"xmin": wide("xmin", "xmax", -180.0, F.greatest), "xmax": wide("xmax", "xmin", 180.0, F.least), "ymin": wide("ymin", "ymax", -90.0, F.greatest), "ymax": wide("ymax", "ymin", 90.0, F.least)}
+    boxes = px.boxes(spark, sf_dir).select(F.col("boundary_id").alias("id"), *[c.alias(k) for k, c in sides.items()])
+    return lookups.box_average(boxes, lookups.pyramid(densities(spark, sf_dir))).withColumn("avg_density", F.round("avg_density", 9))
+
+
+#: A schema for the records below: a name is required, importance ends at 100, variants have names.
+NAMED = {
+    "things": {
+        "id": "things",
+        "defs": {
+            "variant": {"type": "object", "required": ["name"], "properties": {"name": {"type": "string"}}},
+            "main": {
+                "type": "record",
+                "record": {
+                    "type": "object",
+                    "required": ["name"],
+                    "properties": {
+                        "rkey": {"type": "string", "format": "record-key"}, "name": {"type": "string", "maxLength": 16},
+                        "importance": {"type": "integer", "maximum": 100}, "variants": {"type": "array", "items": {"type": "ref", "ref": "#variant"}},
+                    },
+                },
+            },
+        },
+    }
+}
+
+
+@query(
+    "SELECT 'p' || p_partkey AS rkey, v.path, v.rule FROM part, (VALUES (1, '$.name', 'required'), (2, '$.name', 'too long'), (3, '$.importance', 'too large'), (4, '$.variants[].name', 'required')) AS v(k, path, rule) "
+    "WHERE CASE k WHEN 1 THEN p_partkey % 5 = 0 WHEN 2 THEN p_partkey % 5 > 0 AND length(p_name) > 16 WHEN 3 THEN p_partkey % 150 > 100 ELSE p_partkey % 3 = 0 END"
+)
+def record_violations(spark, sf_dir):
+    key = F.col("p_partkey")
+    fields = {
+        "rkey": js.quoted(F.concat(F.lit("p"), key.cast("string"))), "name": F.when(key % 5 > 0, js.quoted(F.col("p_name"))),
+        "importance": (key % 150).cast("string"), "variants": F.when(key % 3 == 0, F.lit('[{"name":"a"},{"type":"b"}]')),
+    }
+    text = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields.items()]), F.lit("}"))
+    records = px.table(spark, sf_dir, "part").select(F.concat(F.lit("p"), key.cast("string")).alias("rkey"), text.alias("record_json"))
+    return schemas.violations(records, NAMED, "things")
