@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tilewright.functions import quadkey as qk
 from tilewright.operators import export, importers, lookups, parity, tiles
 from tilewright.sources import scans, scratch, sinks, tile_files, tile_source
+from tilewright.streaming import tiles as tiles_stream
 
 HEAD = sinks.Head("things", "src", "lic", "t1", "repo.example")
 SCHEMA = "tile_qk string, place_id string, rkey string, record_json string"
@@ -274,3 +275,35 @@ def test_a_pyramid_answers_boxes(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     top = sums.filter("level = 0").first()
     assert top.n == dens.count() and sums.filter("level = 15").count() == top.n
+
+
+def test_tiles_split_as_records_arrive(spark, tmp_path):
+    """Any order of arrival gives the tiles of one build over all records; a batch that comes again changes nothing."""
+    rng = random.Random(5)
+    rows = [(f"p{k}", "".join(rng.choices("0123", [9, 1, 1, 1], k=6)) + "".join(rng.choices("0123", [5, 1, 1, 1], k=11)), f"p{k}", record(f"p{k}"), 1) for k in range(400)]
+    rows += [(p, q, k, record(k, "newer"), 2) for p, q, k, _, _ in rows[:40]] + [(p, q, k, None, 3) for p, q, k, _, _ in rows[50:60]] + [("nowhere", None, "n", "{}", 1)]
+    last = {}
+    for r in rows[:-1]:
+        last[r[0]] = max(r, last.get(r[0], r), key=lambda x: x[4])
+    kept = spark.createDataFrame([r for r in last.values() if r[3]], tiles_stream.ROW)
+    records = kept.join(tiles.assign(kept, 12, 6), "place_id").select("tile_qk", "place_id", "rkey", "record_json")
+    sinks.publish(records, f"{tmp_path}/whole", HEAD)
+    assert records.filter("length(tile_qk) > 6").count() > 0
+    for name, seed, parts in (("a", 1, 3), ("b", 2, 2)):
+        dealt = random.Random(seed).sample(rows, len(rows))
+        for k in range(parts):
+            spark.createDataFrame(dealt[k::parts], tiles_stream.ROW).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in_{name}")
+        root = f"{tmp_path}/{name}"
+        stream = spark.readStream.schema(tiles_stream.ROW).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in_{name}")
+        query = tiles_stream.maintain(stream, root, HEAD, most=12).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = f"{root}/tiles/{sinks.current(spark, f'{root}/tiles')}"
+        assert {r.kind for r in parity.compare_runs(spark, f"{tmp_path}/whole", found).collect()} == {"manifest differs"}
+        for tile in [r.tile_qk for r in spark.read.parquet(f"{found}/tiles").collect()][:20]:
+            assert open(f"{found}/{tile[:6]}/{tile}.json.gz", "rb").read() == open(f"{tmp_path}/whole/{tile[:6]}/{tile}.json.gz", "rb").read()
+    again = spark.createDataFrame(dealt[1::2], tiles_stream.ROW)
+    tiles_stream.fold(again, 1, root, HEAD, 12)
+    assert parity.compare_runs(spark, found, f"{root}/tiles/{1:020d}").count() == 0
+    one = [r for r in dealt if r[1] and r[3]][:1]
+    tiles_stream.fold(spark.createDataFrame([(*one[0][:4], 9)], tiles_stream.ROW), 2, root, HEAD, 12)
+    assert os.listdir(f"{root}/index/{2:020d}") and sum(n.startswith("prefix=") for n in os.listdir(f"{root}/index/{2:020d}")) == 1

@@ -166,19 +166,24 @@ def publish_changed(records: DataFrame, root: str, head: Head, last: str | None)
     if not same:
         return publish(records, root, head), fresh
     publish(records, root, head, fresh)
-    before = everywhere(spark, last)
+    carried(spark, last, root, same)
+    return spark.read.schema(TILES).parquet(f"{root}/tiles"), fresh
+
+
+def carried(spark: SparkSession, last: str, run: str, folders: list[str]) -> None:
+    """Takes folders of tiles, and what is known of them, over from another run."""
+    a, b = everywhere(spark, last), everywhere(spark, run)
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for folder in batch.column("prefix").to_pylist():
-                tile_files.carry(before, root, folder)
+                tile_files.carry(a, b, folder)
             yield batch
 
-    todo = spark.createDataFrame([(p,) for p in same], "prefix string").repartition(min(len(same), 1024), "prefix")
+    todo = spark.createDataFrame([(p,) for p in folders], "prefix string").repartition(min(len(folders), 1024), "prefix")
     todo.mapInArrow(carry, "prefix string").count()
-    kept = spark.read.parquet(f"{last}/tiles").filter(F.substring("tile_qk", 1, tile_files.PREFIX).isin(same))
-    kept.select("tile_qk", "n", "head", "digest").write.mode("append").parquet(f"{root}/tiles")
-    return spark.read.schema(TILES).parquet(f"{root}/tiles"), fresh
+    kept = spark.read.schema(TILES).parquet(f"{last}/tiles").filter(F.substring("tile_qk", 1, tile_files.PREFIX).isin(folders))
+    kept.write.mode("append").parquet(f"{run}/tiles")
 
 
 def make_current(spark: SparkSession, root: str, run: str) -> None:
