@@ -8,72 +8,70 @@ from pyspark.sql import functions as F
 # Results must agree on them.
 #: Keys in the order in which the first present one names the category.
 CATEGORY_KEYS = (
-    "amenity shop tourism leisure office craft healthcare historic natural man_made aeroway railway public_transport "
-    "place boundary waterway power landuse highway barrier emergency telecom building"
-).split()
+    "amenity", "shop", "tourism", "leisure", "office", "craft", "healthcare", "historic", "natural", "man_made",
+    "aeroway", "railway", "public_transport", "place", "boundary", "waterway", "power", "landuse", "highway",
+    "barrier", "emergency", "telecom", "building",
+)
 #: key -> ("any",) or ("not" | "in", values): an element with a name counts when one of these holds.
-WHITELIST: dict[str, tuple[str, str]] = {
-    "amenity": (
-        "not",
-        "parking parking_space bench waste_basket bicycle_parking shelter recycling toilets post_box drinking_water "
-        "vending_machine waste_disposal hunting_stand parking_entrance grit_bin give_box bbq",
-    ),
-    "shop": ("not", "yes vacant"),
-    "tourism": ("not", ""),
-    "leisure": (
-        "in",
-        "park sports_centre fitness_centre swimming_pool golf_course stadium sports_hall marina nature_reserve garden "
-        "playground dog_park ice_rink water_park miniature_golf bowling_alley beach_resort resort horse_riding dance "
-        "sauna amusement_arcade adult_gaming_centre trampoline_park escape_game hackerspace bird_hide",
-    ),
-    "office": ("not", "yes"),
-    "craft": ("not", "yes"),
-    "healthcare": ("not", "yes"),
-    "historic": (
-        "in",
-        "castle monument memorial archaeological_site ruins fort manor church city_gate building mine wreck "
-        "wayside_shrine tomb citywalls monastery battlefield aircraft",
-    ),
-    "natural": (
-        "in",
-        "peak beach spring bay cave_entrance volcano glacier hot_spring cape hill valley saddle ridge geyser arch gorge "
-        "rock water wood wetland cliff strait peninsula",
-    ),
-    "man_made": (
-        "in",
-        "lighthouse tower pier observatory windmill water_tower works chimney obelisk watermill beacon bridge "
-        "wastewater_plant water_works pumping_station adit mineshaft",
-    ),
-    "aeroway": ("in", "aerodrome terminal heliport helipad"),
-    "railway": ("in", "station halt tram_stop subway_entrance yard"),
-    "public_transport": ("in", "station"),
-    "place": (
-        "in",
-        "city town village hamlet suburb neighbourhood quarter island square locality isolated_dwelling farm islet "
-        "city_block",
-    ),
-    "landuse": ("in", "cemetery industrial quarry allotments military winter_sports"),
-    "waterway": ("in", "dam waterfall"),
-    "power": ("in", "plant substation"),
-    "boundary": ("in", "national_park protected_area aboriginal_lands"),
-    "highway": ("in", "services rest_area trailhead"),
-    "barrier": ("in", "toll_booth"),
-    "emergency": ("in", "ambulance_station"),
-    "telecom": ("in", "data_center"),
-}
+WHITELIST: dict[str, tuple[str, tuple[str, ...]]] = {
+    "amenity": ("not", (
+        "parking", "parking_space", "bench", "waste_basket", "bicycle_parking", "shelter", "recycling", "toilets",
+        "post_box", "drinking_water", "vending_machine", "waste_disposal", "hunting_stand", "parking_entrance",
+        "grit_bin", "give_box", "bbq",
+    )),
+    "shop": ("not", ("yes", "vacant")),
+    "tourism": ("not", ()),
+    "leisure": ("in", (
+        "park", "sports_centre", "fitness_centre", "swimming_pool", "golf_course", "stadium", "sports_hall", "marina",
+        "nature_reserve", "garden", "playground", "dog_park", "ice_rink", "water_park", "miniature_golf",
+        "bowling_alley", "beach_resort", "resort", "horse_riding", "dance", "sauna", "amusement_arcade",
+        "adult_gaming_centre", "trampoline_park", "escape_game", "hackerspace", "bird_hide",
+    )),
+    "office": ("not", ("yes",)),
+    "craft": ("not", ("yes",)),
+    "healthcare": ("not", ("yes",)),
+    "historic": ("in", (
+        "castle", "monument", "memorial", "archaeological_site", "ruins", "fort", "manor", "church", "city_gate",
+        "building", "mine", "wreck", "wayside_shrine", "tomb", "citywalls", "monastery", "battlefield", "aircraft",
+    )),
+    "natural": ("in", (
+        "peak", "beach", "spring", "bay", "cave_entrance", "volcano", "glacier", "hot_spring", "cape", "hill",
+        "valley", "saddle", "ridge", "geyser", "arch", "gorge", "rock", "water", "wood", "wetland", "cliff", "strait",
+        "peninsula",
+    )),
+    "man_made": ("in", (
+        "lighthouse", "tower", "pier", "observatory", "windmill", "water_tower", "works", "chimney", "obelisk",
+        "watermill", "beacon", "bridge", "wastewater_plant", "water_works", "pumping_station", "adit", "mineshaft",
+    )),
+    "aeroway": ("in", ("aerodrome", "terminal", "heliport", "helipad")),
+    "railway": ("in", ("station", "halt", "tram_stop", "subway_entrance", "yard")),
+    "public_transport": ("in", ("station",)),
+    "place": ("in", (
+        "city", "town", "village", "hamlet", "suburb", "neighbourhood", "quarter", "island", "square", "locality",
+        "isolated_dwelling", "farm", "islet", "city_block",
+    )),
+    "landuse": ("in", ("cemetery", "industrial", "quarry", "allotments", "military", "winter_sports")),
+    "waterway": ("in", ("dam", "waterfall")),
+    "power": ("in", ("plant", "substation")),
+    "boundary": ("in", ("national_park", "protected_area", "aboriginal_lands")),
+    "highway": ("in", ("services", "rest_area", "trailhead")),
+    "barrier": ("in", ("toll_booth",)),
+    "emergency": ("in", ("ambulance_station",)),
+    "telecom": ("in", ("data_center",)),
+}
 #: Buildings count for ways and relations only.
-BUILDING = (
-    "not",
-    "house detached semidetached_house terrace garage garages shed hut barn greenhouse static_caravan roof no "
-    "construction ruins",
-)
+BUILDING = ("not", (
+    "house", "detached", "semidetached_house", "terrace", "garage", "garages", "shed", "hut", "barn", "greenhouse",
+    "static_caravan", "roof", "no", "construction", "ruins",
+))
 #: Tags that a record keeps besides name:*.
 KEPT_TAGS = (
-    "alt_name old_name official_name short_name loc_name int_name cuisine sport religion denomination opening_hours "
-    "phone website wikidata wheelchair internet_access addr:street addr:housenumber addr:city addr:postcode addr:country"
-).split()
+    "alt_name", "old_name", "official_name", "short_name", "loc_name", "int_name", "cuisine", "sport", "religion",
+    "denomination", "opening_hours", "phone", "website", "wikidata", "wheelchair", "internet_access", "addr:street",
+    "addr:housenumber", "addr:city", "addr:postcode", "addr:country",
+)
 #: Suffixes of name tags that are no names; each also as the head of x:...
-NO_NAME = "prefix etymology signed pronunciation adjective genitive".split()
+NO_NAME = ("prefix", "etymology", "signed", "pronunciation", "adjective", "genitive")
 #: Name tag -> type of variant.
 VARIANT_TYPES = {
     "alt_name": "alternate",
@@ -93,7 +91,7 @@ def qualifies(tags: Column, building: bool = False) -> Column:
     """Whether an element is a place. building: its rule counts too (ways and relations)."""
     test = F.lit(False)
     for key, (kind, values) in {**WHITELIST, **({"building": BUILDING} if building else {})}.items():
-        value, listed = tags[key], values.split()
+        value, listed = tags[key], list(values)
         if kind == "in":
             test = test | F.coalesce(value.isin(listed), F.lit(False))
         else:
@@ -108,7 +106,7 @@ def category(tags: Column) -> Column:
 
 def kept_tags(tags: Column, primary: Column) -> Column:
     """The tags that a record keeps: name:* and KEPT_TAGS, without the category's own key."""
-    return F.map_filter(tags, lambda k, _: (k != F.split_part(primary, F.lit("="), F.lit(1))) & (k.startswith("name:") | k.isin(KEPT_TAGS)))
+    return F.map_filter(tags, lambda k, _: (k != F.split_part(primary, F.lit("="), F.lit(1))) & (k.startswith("name:") | k.isin(*KEPT_TAGS)))
 
 
 def dropped_suffix(suffix: Column) -> Column:

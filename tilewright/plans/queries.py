@@ -228,7 +228,7 @@ def category_case(spark, sf_dir):
 
 
 def whitelist_sql(building: bool) -> str:
-    quote = lambda values: ", ".join(f"'{v}'" for v in values.split())
+    quote = lambda values: ", ".join(f"'{v}'" for v in values)
     tests = []
     for key, (kind, values) in {**osm_rules.WHITELIST, **({"building": osm_rules.BUILDING} if building else {})}.items():
         test = f"tags['{key}'] {'NOT ' if kind == 'not' else ''}IN ({quote(values)})" if values else "TRUE"
@@ -523,12 +523,12 @@ def locality_importance(spark, sf_dir):
 @query(
     f"""WITH {px.POINTS_SQL}, {px.BOXES_SQL}, a AS ({assigned_sql('pts', 50, 1, 17)}), r AS (
         SELECT a.tile_qk, p.place_id, '{{"within":[' || string_agg('{{"rkey":"division:' || boundary_id || '","name":"' || name || '","level":' || level || '}}', ',' ORDER BY level, boundary_id) || ']}}' AS relations_json
-        FROM pts AS p JOIN boxes ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax JOIN a USING (place_id) WHERE p.place_id % 4 > 0 GROUP BY 1, 2)
+        FROM pts AS p JOIN boxes ON lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax JOIN a USING (place_id) GROUP BY 1, 2)
     SELECT a.tile_qk, a.place_id, '{{"rkey":"' || a.place_id || '","relations":' || coalesce(r.relations_json, '{{}}') || '}}' AS record_json FROM a LEFT JOIN r ON r.tile_qk = a.tile_qk AND r.place_id = a.place_id"""
 )
 def tile_records_with_relations(spark, sf_dir):
     assigned = tile_assignment(spark, sf_dir)
-    matched = containment_prefix_join(spark, sf_dir).filter("place_id % 4 > 0")
+    matched = containment_prefix_join(spark, sf_dir)  # points outside every box have no relations
     related = containment.relations(matched, assigned, px.boxes(spark, sf_dir).select("boundary_id", "name"), "division")
     rkey = F.col("place_id").cast("string")
     record = js.whole_object({"rkey": js.quoted(rkey), "relations": F.coalesce("relations_json", F.lit("{}"))})
