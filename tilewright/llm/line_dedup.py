@@ -246,8 +246,8 @@ def meeting(threshold: float):
             kind = parity_class(size)
             begin = np.cumsum(1 << kind) - (1 << kind)
             # Most words stand in one prefix only. Those that, by a count in cells, stand in no other are left out.
-            cell = token & np.uint32((1 << 20) - 1)
-            some = np.flatnonzero(np.bincount(cell, minlength=1 << 20)[cell] > 1)
+            cell = token & np.uint32((1 << min(20, len(token).bit_length() + 3)) - 1)
+            some = np.flatnonzero(np.bincount(cell)[cell] > 1)
             some = some[np.lexsort((ids[some], size[some], token[some]))]
             token, ids, size, pos = (x[some] for x in (token, ids, size, pos))
             parity = Parity(flat, begin[some], kind[some])
