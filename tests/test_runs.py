@@ -260,6 +260,13 @@ def test_frequent_names_meet_by_place(spark):
     assert {r.osm_id for r in importers.holding(left, right).collect()} == want
 
 
+def test_places_go_to_the_levels_of_their_name(spark):
+    places = spark.createDataFrame([(f" n{k % 4}", k - 90.0, k / 4) for k in range(180)] + [("n1", 0.0, 91.0)], "name string, longitude double, latitude double")
+    levels = spark.createDataFrame([("n1", 13), ("n1", 2), ("n2", 17), ("n9", 4)], "trimmed string, up int")
+    got = Counter((r.trimmed, r.up) for r in importers.leveled(places, levels).collect())
+    assert got == {("n1", 13): 45, ("n1", 2): 45, ("n2", 17): 45}
+
+
 def test_a_pyramid_answers_boxes(spark):
     """The same averages as from all tiles, for boxes of any size, on the borders of tiles and beyond the world's edge;
     a box meets as many tiles as its rim is long."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, osm_rules, overlay, scoring
 from ..functions import quadkey as qk
+from ..sources import scratch
 from . import lookups
 
 Box = tuple[float, float, float, float]
@@ -49,33 +50,33 @@ def elements(source: DataFrame, building: bool) -> DataFrame:
 def way_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """osm_id, latitude, longitude: the mean of a way's nodes, each as often as the way names it.
 
-    ways: osm_id, nds. Only nodes that a way names are carried into the join.
+    ways: osm_id, nds. Found nodes go to their way as they are: they come from all over, so sums that each task makes
+    before are as many and wider.
     """
     refs = ways.select("osm_id", F.explode("nds.ref").alias("id"))
-    found = located(nodes).join(refs.select("id").distinct(), "id", "left_semi")
-    return refs.join(found, "id").groupBy("osm_id").agg(F.avg("lat").alias("latitude"), F.avg("lon").alias("longitude"))
+    found = refs.join(located(nodes), "id").select("osm_id", "lat", "lon").repartition("osm_id")
+    return found.groupBy("osm_id").agg(F.avg("lat").alias("latitude"), F.avg("lon").alias("longitude"))
 
 
 def located(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "lat", "lon").filter("lat is not null and lon is not null")
 
 
-def relation_points(relations: DataFrame, ways: DataFrame, nodes: DataFrame) -> DataFrame:
+def relation_points(relations: DataFrame, ways: DataFrame, nodes: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """osm_id, latitude, longitude and the extent of members: nodes of a relation itself and of its member ways.
 
     relations: osm_id, members; ways: id, nds. A member named twice counts once; a node that several ways share counts
-    with each. Members that are relations lead nowhere.
+    with each. Members that are relations lead nowhere. members: relation_members() of them, where they are worked out
+    already.
     """
-    members = relation_members(relations)
+    members = relation_members(relations) if members is None else members
     own = members.filter("type = 'node'").select("osm_id", F.col("ref").alias("id"))
     ways_named = members.filter("type = 'way'").select("osm_id", F.col("ref").alias("way"))
-    needed = ways.select(F.col("id").alias("way"), "nds").join(ways_named.select("way").distinct(), "way", "left_semi")
-    through = ways_named.join(needed.select("way", F.explode("nds.ref").alias("id")), "way").select("osm_id", "id")
+    through = ways_named.join(ways.select(F.col("id").alias("way"), "nds"), "way").select("osm_id", F.explode("nds.ref").alias("id"))
     refs = own.unionByName(through)
-    found = located(nodes).join(refs.select("id").distinct(), "id", "left_semi")
     stats = [f("lat").alias(a) for f, a in ((F.avg, "latitude"), (F.min, "ext_ymin"), (F.max, "ext_ymax"))]
     stats += [f("lon").alias(a) for f, a in ((F.avg, "longitude"), (F.min, "ext_xmin"), (F.max, "ext_xmax"))]
-    return refs.join(found, "id").groupBy("osm_id").agg(*stats)
+    return refs.join(located(nodes), "id").select("osm_id", "lat", "lon").repartition("osm_id").groupBy("osm_id").agg(*stats)
 
 
 def relation_members(relations: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def without_doubles(relations: DataFrame, members: DataFrame, places: DataFrame)
     linked = members.select("osm_id", kind.alias("osm_type"), F.col("ref").alias("ref")).filter("osm_type is not null")
     stand = places.select("osm_type", F.col("osm_id").alias("ref"), F.trim("name").alias("trimmed"))
     doubled = linked.join(stand, ["osm_type", "ref"]).select("osm_id", "trimmed").distinct()
-    rows = relations.withColumn("trimmed", F.trim("name")).join(doubled, ["osm_id", "trimmed"], "left_anti")
+    rows = scratch.saved(relations.withColumn("trimmed", F.trim("name")).join(doubled, ["osm_id", "trimmed"], "left_anti"))
     return rows.join(holding(rows, places), "osm_id", "left_anti").drop("trimmed")
 
 
@@ -124,7 +125,8 @@ def holding(extents: DataFrame, places: DataFrame) -> DataFrame:
 
     extents: osm_id, trimmed, ext_*; places: name, longitude, latitude. They meet by name and cell: an extent goes to
     the tiles, four at most, of the finest level of which one is as large as it, and a place to the tiles over it at
-    all levels. So a frequent name isn't compared with all of its kind, but with those nearby.
+    the levels that extents of its name have. So a frequent name isn't compared with all of its kind, but with those
+    nearby, and only until one is found.
     """
     zoom = qk.ZOOM
     first = lambda c: F.greatest(c, F.lit(0).cast("long"))
@@ -138,12 +140,20 @@ def holding(extents: DataFrame, places: DataFrame) -> DataFrame:
     at = lambda c: F.expr(f"shiftright({c}, up)")
     left = left.withColumn("x", F.explode(F.sequence(at("west"), at("east")))).withColumn("y", F.explode(F.sequence(at("north"), at("south"))))
     left = left.withColumn("cell", qk.woven(F.col("x"), F.col("y"))).drop("west", "east", "north", "south", "x", "y")
+    spots = leveled(places, left.select("trimmed", "up").distinct())
+    same = [left[c] == spots[c] for c in ("trimmed", "up", "cell")]
+    within = spots["px"].between(left["ext_xmin"], left["ext_xmax"]) & spots["py"].between(left["ext_ymin"], left["ext_ymax"])
+    return left.join(spots, [*same, within], "left_semi").select("osm_id").distinct()
+
+
+def leveled(places: DataFrame, levels: DataFrame) -> DataFrame:
+    """trimmed, px, py, up, cell: every place in the tiles over it at the levels of its name, counted up from the finest.
+
+    levels: trimmed, up.
+    """
     spots = places.select(F.trim("name").alias("trimmed"), F.col("longitude").alias("px"), F.col("latitude").alias("py"))
-    spots = spots.join(extents.select("trimmed").distinct(), "trimmed", "left_semi").withColumn("number", qk.number(F.col("px"), F.col("py"))).filter("number is not null")
-    spots = spots.select("trimmed", "px", "py", "number", F.explode(F.sequence(F.lit(0), F.lit(zoom))).alias("up"))
-    spots = spots.select("trimmed", "px", "py", "up", qk.ancestor(F.col("number"), F.col("up")).alias("cell"))
-    within = F.col("px").between(F.col("ext_xmin"), F.col("ext_xmax")) & F.col("py").between(F.col("ext_ymin"), F.col("ext_ymax"))
-    return left.join(spots, ["trimmed", "up", "cell"]).filter(within).select("osm_id").distinct()
+    spots = spots.withColumn("number", qk.number(F.col("px"), F.col("py"))).filter("number is not null").join(levels, "trimmed")
+    return spots.select("trimmed", "px", "py", "up", qk.ancestor(F.col("number"), F.col("up")).alias("cell"))
 
 
 def import_osm(nodes: DataFrame, ways: DataFrame, relations: DataFrame, box: Box = WORLD, densities: DataFrame | None = None, rarities: DataFrame | None = None, density_norm: float = 10, idf_norm: float = 18) -> DataFrame:
@@ -153,8 +163,9 @@ def import_osm(nodes: DataFrame, ways: DataFrame, relations: DataFrame, box: Box
     lines = elements(ways, True)
     flat = done(own, "n").unionByName(done(lines.join(way_points(lines, nodes), "osm_id"), "w"))
     groups = elements(relations, True)
-    placed = done(groups.join(relation_points(groups, ways, nodes), "osm_id"), "r")
-    kept = without_doubles(placed, relation_members(groups), flat)
+    members = scratch.saved(relation_members(groups))
+    placed = done(groups.join(relation_points(groups, ways, nodes, members), "osm_id"), "r")
+    kept = without_doubles(placed, members, flat)
     return flat.unionByName(kept.drop("ext_xmin", "ext_xmax", "ext_ymin", "ext_ymax"))
 
 

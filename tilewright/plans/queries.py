@@ -209,14 +209,15 @@ STANDING_SQL = f"""standing AS (SELECT 'w' AS osm_type, o_orderkey AS osm_id, '
 def relation_suppression(spark, sf_dir):
     name = lambda c: F.concat(F.lit("n"), (F.col(c) % 60).cast("string"))
     rels, nodes = relations(spark, sf_dir), node_points(spark, sf_dir)
-    placed = importers.relation_points(rels, ways(spark, sf_dir), nodes).withColumn("name", name("osm_id"))
+    members = scratch.saved(importers.relation_members(rels))
+    placed = importers.relation_points(rels, ways(spark, sf_dir), nodes, members).withColumn("name", name("osm_id"))
     # A member extent spans half the world here, so the test uses a box around the centre.
     for c, mid, d in (("ext_xmin", "longitude", -8), ("ext_xmax", "longitude", 8), ("ext_ymin", "latitude", -4), ("ext_ymax", "latitude", 4)):
         placed = placed.withColumn(c, F.col(mid) + d)
     key = F.col("o_orderkey")
     lines = px.table(spark, sf_dir, "orders").select(F.lit("w").alias("osm_type"), key.alias("osm_id"), F.concat(F.lit(" "), name("o_orderkey")).alias("name"), px.lon(key).alias("longitude"), px.lat(key).alias("latitude"))
     spots = nodes.filter("lat is not null").select(F.lit("n").alias("osm_type"), F.col("id").alias("osm_id"), name("id").alias("name"), F.col("lon").alias("longitude"), F.col("lat").alias("latitude"))
-    return importers.without_doubles(placed, importers.relation_members(rels), lines.unionByName(spots)).select("osm_id", "name")
+    return importers.without_doubles(placed, members, lines.unionByName(spots)).select("osm_id", "name")
 
 
 CATEGORY_SQL = "CASE " + " ".join(f"WHEN tags['{k}'] IS NOT NULL THEN '{k}=' || tags['{k}']" for k in osm_rules.CATEGORY_KEYS) + " END"
