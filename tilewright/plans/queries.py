@@ -734,11 +734,17 @@ def sql_assignment(spark, sf_dir):
     sql_functions.register(spark)
     rows = px.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("place_id"), px.lon(F.col("o_orderkey")).alias("lon"), px.lat(F.col("o_orderkey")).alias("lat"))
     return spark.sql(
+        # In the order of cells, tiles of more than 50 are what 51 neighbours have in common; only those above the ninth level are counted.
         """WITH p AS (SELECT place_id, qk17(lon, lat) AS qk FROM {places}),
-           levels AS (SELECT place_id, level, left(qk, level) AS tile_qk FROM p LATERAL VIEW explode(sequence(1, 17)) AS level WHERE length(qk) = 17),
-           few AS (SELECT tile_qk FROM levels GROUP BY tile_qk HAVING count(*) <= 50),
-           best AS (SELECT place_id, min(level) AS level FROM levels LEFT SEMI JOIN few USING (tile_qk) GROUP BY place_id)
-           SELECT place_id, left(qk, coalesce(level, 17)) AS tile_qk FROM p LEFT JOIN best USING (place_id) WHERE length(qk) = 17""",
+           q AS (SELECT place_id, qk, left(qk, 9) AS head, cast(conv(qk, 4, 10) AS BIGINT) AS cell FROM p WHERE length(qk) = 17),
+           heads AS (SELECT head, count(*) AS n FROM q GROUP BY head),
+           levels AS (SELECT head, n, level, left(head, level) AS tile_qk FROM heads LATERAL VIEW explode(sequence(1, 9)) AS level),
+           crowded AS (SELECT tile_qk FROM levels GROUP BY tile_qk HAVING sum(n) > 50),
+           above AS (SELECT head, max(level) AS level FROM levels LEFT SEMI JOIN crowded USING (tile_qk) GROUP BY head),
+           pairs AS (SELECT *, cell ^ lead(cell, 50) OVER (PARTITION BY head ORDER BY cell, place_id) AS apart FROM q),
+           shared AS (SELECT *, CASE WHEN apart = 0 THEN 17 WHEN apart > 0 THEN 17 - cast(ceil(length(bin(apart)) / 2) AS INT) END AS level FROM pairs),
+           below AS (SELECT place_id, qk, head, max(level) OVER (PARTITION BY head ORDER BY cell, place_id ROWS BETWEEN 50 PRECEDING AND CURRENT ROW) AS level FROM shared)
+           SELECT place_id, left(qk, least(coalesce(greatest(below.level, above.level), 0) + 1, 17)) AS tile_qk FROM below LEFT JOIN above USING (head)""",
         places=rows,
     )
 
