@@ -7,6 +7,7 @@ import random
 import shutil
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,3 +315,23 @@ def test_tiles_split_as_records_arrive(spark, tmp_path):
     one = [r for r in dealt if r[1] and r[3]][:1]
     tiles_stream.fold(spark.createDataFrame([(*one[0][:4], 9)], tiles_stream.ROW), 2, root, HEAD, 12)
     assert os.listdir(f"{root}/index/{2:020d}") and sum(n.startswith("prefix=") for n in os.listdir(f"{root}/index/{2:020d}")) == 1
+
+
+def test_counts_of_cells_are_kept_by_batch(spark):
+    (out,) = tiles._counted([pa.RecordBatch.from_pydict({"cell": [3, 1, 3, 3]})])
+    assert out.to_pydict() == {"cell": [1, 3], "n": [1, 3]}
+
+
+def test_rows_that_differ_often_are_listed_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(parity, "MANY", 2)
+    left, right = (spark.createDataFrame([(None, "x")] * n + [(1, "y")] * m, "a long, b string") for n, m in ((5, 1), (0, 4)))
+    got = Counter(map(tuple, parity.differences(left, right).collect()))
+    assert got == {("left", None, "x"): 5, ("right", 1, "y"): 3}
+
+
+def test_assignment_in_sql_lists_no_place_at_every_level(spark):
+    from tilewright.plans.queries import QUERIES
+
+    own, other = (QUERIES[n](spark, "/root/testdata/sf0.001") for n in ("sql_assignment", "tile_assignment"))
+    assert "16,17]" not in own._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(own.collect()) == sorted(other.collect())

@@ -14,10 +14,19 @@ from ..functions import quadkey as qk
 from ..sources import scratch
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cell, n = np.unique(batch.column("cell").to_numpy(), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(n, pa.int64())], ["cell", "n"])
+
+
 def _cells(places: DataFrame, high: int) -> DataFrame:
-    """cell (a number), n: how many places each tile of the finest level has."""
+    """cell (a number), n: how many places each tile of the finest level has, in as many rows as batches held some.
+
+    Most cells hold few places, so a task that counted all of its own would keep nearly as many counts as it reads.
+    """
     cell = F.substring("qk17", 1, high).cast("long")
-    return places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    return scratch.saved(places.filter(qk.is_full(F.col("qk17"))).select(cell.alias("cell")).mapInArrow(_counted, "cell long, n long"))
 
 
 def _tile_runs(cell: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +70,8 @@ def _placed(low: int, high: int, most: int):
 
     A row for each cell under a tile of more than `most`: full is the finest level of such a tile, as far as the batch
     tells; level and tile name the finest open tile above the cell (see _summed()) where that has the last word. And a
-    row without cell for each open tile, with what the batch has of it.
+    row without cell for each open tile, with what the batch has of it. A cell may stand in several rows; those at
+    either end of a batch, which may go on in the next one, are open tiles and have no row of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,6 +79,8 @@ def _placed(low: int, high: int, most: int):
             cell, n = (batch.column(c).to_numpy() for c in ("cell", "n"))
             if not len(cell):
                 continue
+            cell, starts = _tile_runs(cell, 0)
+            cell, n = cell[starts], np.add.reduceat(n, starts)
             full, level, above = np.zeros(len(cell), np.int32), np.zeros(len(cell), np.int32), np.zeros(len(cell), np.int64)
             ends = []
             for k in range(low, high + 1):
@@ -80,7 +92,7 @@ def _placed(low: int, high: int, most: int):
                 at_end = np.repeat(outer, size)
                 level[at_end], above[at_end] = k, tile[at_end]
                 ends += [(k, int(tile[s]), int(c)) for s, c in zip(starts[outer], count[outer])]
-            some = np.flatnonzero((full > 0) | (level > 0))
+            some = np.flatnonzero(((full > 0) | (level > 0)) & (level < high))
             known = pa.array(full[some] > 0)
             none = lambda kind: pa.nulls(len(ends), kind)
             yield pa.RecordBatch.from_arrays(
@@ -117,8 +129,9 @@ def assign(places: DataFrame, most: int = 1000, low: int = 6, high: int = 17) ->
     chain = chain.select("level", "tile", "up", qk.ancestor(F.col("tile"), F.col("level") - F.col("up")).alias("over"))
     crowded = ends.filter(F.col("n") > most).select(F.col("level").alias("up"), F.col("tile").alias("over"))
     asked = chain.join(crowded, ["up", "over"]).groupBy("level", "tile").agg(F.max("up").alias("deepest"))
-    told = found.filter("cell is not null").join(asked, ["level", "tile"], "left")
-    depth = told.select("cell", F.coalesce("full", "deepest").alias("full")).filter("full is not null")
+    told = found.filter("cell is not null").join(asked, ["level", "tile"], "left").select("cell", F.coalesce("full", "deepest").alias("full"))
+    outer = asked.filter(F.col("level") == high).select(F.col("tile").alias("cell"), F.col("deepest").alias("full"))
+    depth = told.filter("full is not null").union(outer)
     rows = places.filter(qk.is_full(F.col("qk17"))).select("place_id", "qk17", F.substring("qk17", 1, high).cast("long").alias("cell"))
     level = F.least(F.coalesce(F.col("full") + 1, F.lit(low)), F.lit(high))
     return rows.join(depth, "cell", "left").select("place_id", F.substring(F.col("qk17"), F.lit(1), level).alias("tile_qk"))
