@@ -15,14 +15,21 @@ from ..sources import tile_files, tile_source
 from ..sources.hadoop import Files
 
 TILES = "tile_qk string, n long, head string, digest string"
+#: Copies of a row that are listed at once.
+MANY = 10_000
 #: What can differ: kinds of the rows that compare_runs() gives.
 KINDS = ("tile only left", "tile only right", "record only left", "record only right", "record differs", "head differs", "manifest differs", "manifest row only left", "manifest row only right")
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """side ("left" or "right") and the rows that only that side has, as often as it has them more."""
-    side = lambda name, rows: rows.select(F.lit(name).alias("side"), "*")
-    return side("left", left.exceptAll(right)).union(side("right", right.exceptAll(left)))
+    names = left.columns
+    both = left.select("*", F.lit(1).alias("_more")).union(right.select("*", F.lit(-1)))
+    # Dealt out before they are counted: few rows repeat, and a count of a task's own would hold nearly all that it reads.
+    net = both.repartition(*names).groupBy(*names).agg(F.sum("_more").alias("_more")).filter("_more != 0")
+    often = net.withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), F.abs("_more") - 1, F.lit(MANY).cast("long"))))
+    often = often.withColumn("_one", F.explode(F.array_repeat(F.lit(0), F.least(F.abs("_more") - F.col("_first"), F.lit(MANY)).cast("int"))))
+    return often.select(F.when(F.col("_more") > 0, "left").otherwise("right").alias("side"), *names)
 
 
 def tile_digests(spark: SparkSession, run: str) -> DataFrame:
