@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,12 +52,11 @@ def elements(source: DataFrame, building: bool) -> DataFrame:
 def way_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """osm_id, latitude, longitude: the mean of a way's nodes, each as often as the way names it.
 
-    ways: osm_id, nds. Found nodes go to their way as they are: they come from all over, so sums that each task makes
-    before are as many and wider.
+    ways: osm_id, nds. Only nodes that a way names are carried into the join.
     """
     refs = ways.select("osm_id", F.explode("nds.ref").alias("id"))
-    found = refs.join(located(nodes), "id").select("osm_id", "lat", "lon").repartition("osm_id")
-    return found.groupBy("osm_id").agg(F.avg("lat").alias("latitude"), F.avg("lon").alias("longitude"))
+    found = located(nodes).join(refs.select("id").distinct(), "id", "left_semi")
+    return refs.join(found, "id").groupBy("osm_id").agg(F.avg("lat").alias("latitude"), F.avg("lon").alias("longitude"))
 
 
 def located(nodes: DataFrame) -> DataFrame:
@@ -72,11 +73,13 @@ def relation_points(relations: DataFrame, ways: DataFrame, nodes: DataFrame, mem
     members = relation_members(relations) if members is None else members
     own = members.filter("type = 'node'").select("osm_id", F.col("ref").alias("id"))
     ways_named = members.filter("type = 'way'").select("osm_id", F.col("ref").alias("way"))
-    through = ways_named.join(ways.select(F.col("id").alias("way"), "nds"), "way").select("osm_id", F.explode("nds.ref").alias("id"))
+    needed = ways.select(F.col("id").alias("way"), "nds").join(ways_named.select("way").distinct(), "way", "left_semi")
+    through = ways_named.join(needed.select("way", F.explode("nds.ref").alias("id")), "way").select("osm_id", "id")
     refs = own.unionByName(through)
+    found = located(nodes).join(refs.select("id").distinct(), "id", "left_semi")
     stats = [f("lat").alias(a) for f, a in ((F.avg, "latitude"), (F.min, "ext_ymin"), (F.max, "ext_ymax"))]
     stats += [f("lon").alias(a) for f, a in ((F.avg, "longitude"), (F.min, "ext_xmin"), (F.max, "ext_xmax"))]
-    return refs.join(located(nodes), "id").select("osm_id", "lat", "lon").repartition("osm_id").groupBy("osm_id").agg(*stats)
+    return refs.join(found, "id").groupBy("osm_id").agg(*stats)
 
 
 def relation_members(relations: DataFrame) -> DataFrame:
@@ -169,27 +172,45 @@ def import_osm(nodes: DataFrame, ways: DataFrame, relations: DataFrame, box: Box
     return flat.unionByName(kept.drop("ext_xmin", "ext_xmax", "ext_ymin", "ext_ymax"))
 
 
+#: Level of the tiles in which areas of a division become one first.
+NEAR = 6
 MEASURED = "id {id}, parts int, unusable int, geom binary, xmin double, ymin double, xmax double, ymax double, interior_lon double, interior_lat double"
 
 
+def joined(parts: list[bytes]) -> tuple[geometry.Polygons, int]:
+    """The union of areas, and how many of them are unusable. Equal areas are looked at once."""
+    found, bad = [], 0
+    for part, times in Counter(parts).items():
+        try:
+            shape = overlay.usable(geometry.parse(part))
+        except (ValueError, IndexError, struct.error):
+            shape = []
+        found += shape
+        bad += 0 if shape else times
+    return overlay.union(found), bad
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Areas of a division that lie close together as one."""
+    for batch in batches:
+        parts = batch.column("parts").to_pylist()
+        shapes = [joined(p) for p in parts]
+        kinds = [(list(map(len, parts)), pa.int32()), ([bad for _, bad in shapes], pa.int32()), ([geometry.write(shape) if shape else None for shape, _ in shapes], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(v, k) for v, k in kinds]], ["id", "n", "bad", "near"])
+
+
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The union of the areas of each division with bounds and a point inside; null where none of them has an inside.
-    unusable: areas that are no polygons, or flat, empty, broken off or not finite."""
+    unusable: areas that are no polygons, or flat, empty, broken off or not finite. n, bad: areas and unusable ones
+    among them, where parts are made of others."""
     names = ["id", "parts", "unusable", "geom", "xmin", "ymin", "xmax", "ymax", "interior_lon", "interior_lat"]
     for batch in batches:
         rows = {k: [] for k in names}
-        for key, parts in zip(batch.column("id").to_pylist(), batch.column("parts").to_pylist()):
-            found, bad = [], 0
-            for part in parts:
-                try:
-                    shape = overlay.usable(geometry.parse(part))
-                except (ValueError, IndexError, struct.error):
-                    shape = []
-                found += shape
-                bad += not shape
-            shape = overlay.union(found)
+        counts = zip(*(batch.column(c).to_pylist() for c in ("n", "bad"))) if "n" in batch.schema.names else repeat((None, 0))
+        for key, parts, (n, gone) in zip(batch.column("id").to_pylist(), batch.column("parts").to_pylist(), counts):
+            shape, bad = joined(parts)
             values = (geometry.write(shape), *geometry.bounds(shape), *geometry.interior_point(shape)) if shape else (None,) * 7
-            for k, v in zip(rows, (key, len(parts), bad, *values)):
+            for k, v in zip(rows, (key, len(parts) if n is None else n, gone + bad, *values)):
                 rows[k].append(v)
         kinds = [batch.schema.field("id").type, pa.int32(), pa.int32(), pa.binary(), *[pa.float64()] * 6]
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names)
@@ -199,11 +220,16 @@ def area_shapes(areas: DataFrame, box: Box = WORLD) -> DataFrame:
     """id, parts, unusable, geom, bounds and interior point: the land areas of each division that meet the box as one.
 
     areas: division_id, is_land, geometry (WKB), bbox. Overlapping and adjoining areas become one without inner edges;
-    unusable ones are counted and left out, and a division with no other keeps a row without geom.
+    unusable ones are counted and left out, and a division with no other keeps a row without geom. They become one in
+    two steps, near ones first, so that the areas of a large division are no single task's work.
     """
     land = areas.filter(F.col("is_land") & F.col("geometry").isNotNull() & meets_box(F.col("bbox"), box))
-    parts = land.groupBy(F.col("division_id").alias("id")).agg(F.collect_list("geometry").alias("parts"))
-    return parts.mapInArrow(measured, MEASURED.format(id=parts.schema["id"].dataType.simpleString()))
+    middle = lambda axis: (F.col(f"bbox.{axis}min") + F.col(f"bbox.{axis}max")) / 2
+    near = land.groupBy(F.col("division_id").alias("id"), qk.number(middle("x"), middle("y"), NEAR).alias("cell")).agg(F.collect_list("geometry").alias("parts"))
+    kind = near.schema["id"].dataType.simpleString()
+    shapes = near.mapInArrow(gathered, f"id {kind}, n int, bad int, near binary")
+    whole = shapes.groupBy("id").agg(F.collect_list("near").alias("parts"), F.sum("n").cast("int").alias("n"), F.sum("bad").cast("int").alias("bad"))
+    return whole.mapInArrow(measured, MEASURED.format(id=kind))
 
 
 def import_divisions(divisions: DataFrame, areas: DataFrame, box: Box = WORLD, densities: DataFrame | None = None, density_norm: float = 10, pop_norm: float = 20, shapes: DataFrame | None = None) -> DataFrame:
