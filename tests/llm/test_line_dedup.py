@@ -2,6 +2,11 @@
 
 import random
 import re
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
+import pytest
 
 from tilewright.llm import common, line_dedup
 
@@ -83,3 +88,52 @@ def test_names_of_its_own_in_the_input(spark):
     assert all(r.line_dedup_removed == [] for r in again.collect())
     kept = line_dedup.without_repeats(docs, least=1)
     assert kept.columns == docs.columns and sorted((r.text, r.line_dedup_removed) for r in kept.collect()) == [("a b c\nd e f", 7), ("x", 8), ("y", 9)]
+
+
+def tied(lines, threshold, second, long):
+    """Of each line the smallest one that the prefix join ties it to, without Spark."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(lines)), pa.int64()), pa.array([" ".join(x) for x in lines])], ["doc_id", "text"])
+    every = SimpleNamespace(value=np.full(1 << 10, 255, np.uint8))
+    frequency = SimpleNamespace(value=np.ones(line_dedup.CELLS, np.int64))
+    packs = pa.Table.from_batches(line_dedup.prefixes(frequency, threshold, 1, 4, often=every, long=long)(iter([batch]))).sort_by("key")
+    marks = line_dedup.Lines(batch, 1).marks()[0].tolist()
+    at = {m: k for k, m in reversed([*enumerate(marks)])}
+    a, b = [], []
+    for out in line_dedup.meeting(threshold, second)(iter(packs.to_batches())):
+        a += [at[x] for x in out.column("a").to_pylist()]
+        b += [at[x] for x in out.column("b").to_pylist()]
+    same = [at[m] for m in marks]
+    return common.roots(len(lines), np.array([*a, *range(len(lines))]), np.array([*b, *same]))
+
+
+@pytest.mark.parametrize("threshold, sizes, second, long", [(0.8, (4, 40), 4, 256), (0.8, (4, 60), 4, 30), (0.3, (1, 8), 4, 256), (0.55, (1, 12), 2, 7), (0.8, (4, 40), 1 << 30, 256)])
+def test_split_words_tie_every_pair(threshold, sizes, second, long):
+    rng = random.Random(8)
+    lines = []
+    for _ in range(120):
+        words = rng.sample(range(70), rng.randint(*sizes))
+        lines.append(words)
+        for _ in range(3):
+            keep = rng.sample(words, max(1, len(words) - rng.randrange(len(words) // 4 + 2)))
+            lines.append(list({*keep, *rng.sample(range(70), rng.randrange(len(words) // 5 + 2))}))
+    lines = [[f"w{x}" for x in words] for words in lines]
+    root, sets = tied(lines, threshold, second, long), [{*words} for words in lines]
+    near = lambda i: len(sets[i]) >= threshold * (len(sets[i]) + 1) - 1e-9
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i) if near(i) and near(j) and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9]
+    assert len(pairs) > 100 and all(root[i] == root[j] for i, j in pairs)
+
+
+def test_compared_pairs_grow_with_the_lines(monkeypatch):
+    """Four times the lines over the same words: pairs that meet at one word would be sixteen times as many."""
+    compared, entries = [], line_dedup.entries
+    monkeypatch.setattr(line_dedup, "entries", lambda *a: (out := entries(*a), compared.append(int(out[1].sum())))[0])
+    made = []
+    for n in (1500, 6000):
+        rng = random.Random(n)
+        lines = [[f"w{x}" for x in rng.sample(range(1000), 20)] for _ in range(n)]
+        lines += [[*x[:-1], "other"] for x in lines[:50]]
+        compared.clear()
+        root = tied(lines, 0.8, 16, 256)
+        assert all(root[n + k] == root[k] for k in range(50))
+        made.append(sum(compared))
+    assert made[1] < 8 * made[0] and made[1] < 20 * 6000

@@ -1,7 +1,8 @@
 """Line dedup by an exact set-similarity join.
 
 A line is its set of words. Words are ordered by rarity, and two lines of Jaccard similarity t or more share one of
-their first words in that order: only those prefixes are shuffled. What meets at a word passes a length filter, a
+their first words in that order: only those prefixes are shuffled. Where many lines meet at a word, only those that share a
+second one too are compared, so that pairs don't grow with the square of the input. They pass a length filter, a
 positional filter and a bound on the symmetric difference from parity bits; what still hangs together is verified on
 the full sets, and every line that matches an earlier one goes. No pair that reaches t can fail a filter.
 """
@@ -24,8 +25,14 @@ from .ngram_join import by_row, shared_counts, unique_sets
 CELLS = 1 << 17
 #: Least and greatest size, as powers of two, of a filter that lets pass what a table holds and little else.
 FILTER_BITS = 20, 27
-#: Lines compared at a time: a word with more of them is dealt out as pairs of blocks.
-BLOCK = 1024
+#: Lines of a block: a word with more than four of them is dealt out as pairs of blocks.
+BLOCK = 4096
+#: A word that more lines meet at is split by their second common word.
+SECOND = 128
+#: Lines of more words have no second words with them, which grow with the square of a line: they meet at one word.
+LONG = 256
+#: Pairs compared at a time.
+PAIRS = 1 << 17
 #: Lines of a cluster that are verified together; a larger cluster goes in blocks of so many.
 VERIFIED = 512
 #: Earliest lines of a larger cluster that every block of it gets to see.
@@ -36,8 +43,10 @@ TOGETHER = 64
 SPLIT = 100_000
 #: Bytes of text that are gathered before they leave for the list of losses, and that a part of it should meet.
 GATHERED, PART = 16 << 20, 2 << 20
+#: Bytes of text whose prefixes are packed together: the fewer packs, the more rows in each, however many keys there are.
+PACKED = 16 << 20
 #: Pairs held until they are folded into what they connect.
-PENDING = 1 << 19
+PENDING = 1 << 16
 LAST = (1 << 63) - 1
 
 
@@ -96,72 +105,113 @@ SEEN = ["doc", "line", "id", "mark", "cell", "n"]
 BYTES = -1
 
 
-def prefixes(frequency, threshold: float, least: int, bits: int, hot=None, count: bool = False):
-    """mapInArrow function: the rare first words of each distinct line of a batch, packed by key.
+def prefixes(frequency, threshold: float, least: int, bits: int, hot=None, often=None, long: int = 0, count: bool = False):
+    """mapInArrow function: the rare first words of each distinct line of some batches, packed by key.
 
     A key is a range of words (their high bits), a token names a word within it (its low bits; words that share one
     meet and fail the filters). A token of hot (sorted tokens and their numbers of blocks) has keys
     of its own instead, one for each pair of its blocks, and a line goes to those that hold its block. Lines so short
     that one word more or less takes them below the threshold match equal sets only, which marks find: they stay out.
+    A token that the bit filter often lets pass has with it what may be the second common word of its line and another,
+    in 16 bits each: a pair shares two of its first words and one more, if it shares two at all. 0 stands for none, in
+    lines that may share one only, and in those that may match one of over long words, which have nothing else.
     With count it gives no rows but how many of them each token of a batch has, the token's key in the high bits.
     """
 
+    def packs(held):
+        ids, sizes, width, seconds, parity = (np.concatenate([x[k] for x in held]) for k in range(5))
+        base = np.cumsum([0, *(len(x[0]) for x in held)])
+        words, pos = (np.concatenate([x[k] for x in held]) for k in (5, 7))
+        row = np.concatenate([x[6] + n for x, n in zip(held, base.tolist())])
+        flat = np.concatenate([x[8] for x in held])
+        key, at = (words >> np.uint64(32)).astype(np.int64), np.arange(len(words))
+        crowded, wide = hot.value if hot else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        if len(crowded):
+            found = np.minimum(np.searchsorted(crowded, words), len(crowded) - 1)
+            own = np.flatnonzero(crowded[found] == words)
+            blocks = wide[found[own]]
+            block = (hashing.mix(ids[row[own]].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+            again = np.repeat(np.arange(len(own)), blocks)
+            other = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            pair = np.minimum(block[again], other).astype(np.uint64) << np.uint64(32) | np.maximum(block[again], other).astype(np.uint64)
+            special = (hashing.mix(words[own][again] ^ hashing.mix(pair)) >> np.uint64(1)).astype(np.int64) | 1 << 62
+            rest = np.setdiff1d(at, own, assume_unique=True)
+            key, at = np.concatenate((key[rest], special)), np.concatenate((rest, own[again]))
+        order = np.argsort(key, kind="stable")
+        key, at = key[order], at[order]
+        words, row, pos = words[at], row[at], pos[at]
+        cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
+        last = np.cumsum(seconds)[row]
+        first = np.where(sizes[row] > long, last - 1, last - seconds[row] + pos + 1)
+        if often:
+            first = np.where(passes(often.value, words.view(np.int64)), first, last)
+            tails, tail_ends = ragged(flat, first, last - first)
+        else:
+            tails, tail_ends = np.empty(0, np.uint16), np.zeros(len(row) + 1, np.int64)
+        bits_, ends = ragged(parity, (np.cumsum(width) - width)[row], width[row])
+        # Numbers in halves: the high ones are mostly zero and take no room once compressed.
+        halves = (h.astype(np.uint16) for x in (sizes[row], pos) for h in (x & 0xFFFF, x >> 16))
+        fields = ((words & LOW).astype(np.uint32), ids[row], *halves, np.diff(tail_ends).astype(np.uint16))
+        spans = zip(cuts.tolist(), cuts[1:].tolist(), ends[cuts[:-1]].tolist(), ends[cuts[1:]].tolist(), tail_ends[cuts[:-1]].tolist(), tail_ends[cuts[1:]].tolist())
+        bodies = [np.uint32(b - a).tobytes() + b"".join(f[a:b].tobytes() for f in fields) + tails[v:w].tobytes() + bits_[t:u].tobytes() for a, b, t, u, v, w in spans]
+        return pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]]), pa.array(bodies, pa.binary())], ["key", "body"])
+
     def run(batches):
-        often, (crowded, wide) = frequency.value, hot.value if hot else (np.empty(0, np.uint64), np.empty(0, np.int64))
         # Rarity in eighths of a doubling: enough for an order, and it leaves room for the word itself in a sort key.
-        rarity = np.floor(8 * np.log2(np.maximum(often, 1))).astype(np.uint64)
+        rarity = np.floor(8 * np.log2(np.maximum(frequency.value, 1))).astype(np.uint64)
+        held, known, size = [], set(), 0
         for lines in each(batches, least):
             sizes = lines.sizes[lines.rows]
             near = sizes >= threshold * (sizes + 1) - 1e-9
             ids, first = np.unique(lines.marks()[0][near], return_index=True)
+            if known:
+                fresh = np.fromiter((x not in known for x in ids.tolist()), bool, len(ids))
+                ids, first = ids[fresh], first[fresh]
             rows = lines.rows[near][first]
             if not len(rows):
                 continue
             sizes = lines.sizes[rows]
-            take = np.repeat(lines.starts[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            words, row = lines.words[take], np.repeat(np.arange(len(rows)), sizes)
+            begin = np.cumsum(sizes) - sizes
+            words, row = ragged(lines.words, lines.starts[rows], sizes)[0], np.repeat(np.arange(len(rows)), sizes)
             place = rarity[(words % np.uint64(CELLS)).astype(np.int64)] << np.uint64(55) | words >> np.uint64(9)
             words = words[by_row(row, place)]
-            pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            width = 1 << parity_class(sizes)
-            begin = np.cumsum(width) - width
-            bit = (hashing.mix(words + np.uint64(1)) >> np.uint64(54)).astype(np.int64) & (64 * width - 1)[row]
-            parity = np.zeros(width.sum(), np.uint64)
-            np.bitwise_xor.at(parity, begin[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
-            head = pos < (sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1)[row]
-            words, row, pos = words[head], row[head], pos[head]
-            words = words >> np.uint64(64 - bits) << np.uint64(32) | words & LOW
+            pos = np.arange(len(words)) - begin[row]
+            shared = np.ceil(threshold * sizes - 1e-9).astype(np.int64)
+            head = pos < (sizes - shared + 1)[row]
+            tokens = words[head] >> np.uint64(64 - bits) << np.uint64(32) | words[head] & LOW
             if count:
-                token, n = np.unique(words.view(np.int64), return_counts=True)
+                token, n = np.unique(tokens.view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
                 continue
-            key, at = (words >> np.uint64(32)).astype(np.int64), np.arange(len(words))
-            if len(crowded):
-                found = np.minimum(np.searchsorted(crowded, words), len(crowded) - 1)
-                own = np.flatnonzero(crowded[found] == words)
-                blocks = wide[found[own]]
-                block = (hashing.mix(ids[row[own]].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
-                again = np.repeat(np.arange(len(own)), blocks)
-                other = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                pair = np.minimum(block[again], other).astype(np.uint64) << np.uint64(32) | np.maximum(block[again], other).astype(np.uint64)
-                special = (hashing.mix(words[own][again] ^ hashing.mix(pair)) >> np.uint64(1)).astype(np.int64) | 1 << 62
-                rest = np.setdiff1d(at, own, assume_unique=True)
-                key, at = np.concatenate((key[rest], special)), np.concatenate((rest, own[again]))
-            order = np.argsort(key, kind="stable")
-            key, at = key[order], at[order]
-            cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
-            # Numbers in halves: the high ones are mostly zero and take no room once compressed.
-            halves = (h.astype(np.uint16) for x in (sizes[row[at]], pos[at]) for h in (x & 0xFFFF, x >> 16))
-            fields = ((words[at] & LOW).astype(np.uint32), ids[row[at]], *halves)
-            many = width[row[at]]
-            ends = np.concatenate(([0], np.cumsum(many)))
-            bits_ = parity[np.repeat(begin[row[at]] - ends[:-1], many) + np.arange(ends[-1])]
-            bodies = [np.uint32(b - a).tobytes() + b"".join(f[a:b].tobytes() for f in fields) + bits_[ends[a] : ends[b]].tobytes() for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(key[cuts[:-1]]), pa.array(bodies, pa.binary())], ["key", "body"])
+            width = 1 << parity_class(sizes)
+            bit = (hashing.mix(words + np.uint64(1)) >> np.uint64(54)).astype(np.int64) & (64 * width - 1)[row]
+            parity = np.zeros(width.sum(), np.uint64)
+            np.bitwise_xor.at(parity, (np.cumsum(width) - width)[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+            # Of each line the first words and one more, then 0 where it may have to meet without a second one.
+            some = np.minimum(sizes - shared + 2, sizes)
+            lone = (shared < 2) | (sizes >= threshold * long - 1e-9)
+            seconds = some + lone
+            flat = np.zeros(seconds.sum(), np.uint16)
+            own = np.flatnonzero(pos < some[row])
+            flat[(np.cumsum(seconds) - seconds)[row[own]] + pos[own]] = (words[own] >> np.uint64(32)) % np.uint64(0xFFFF) + np.uint64(1)
+            held.append((ids, sizes, width, seconds, parity, tokens, row[head], pos[head], flat))
+            known.update(ids.tolist())
+            size += lines.size
+            if size >= PACKED:
+                yield packs(held)
+                held, known, size = [], set(), 0
+        if held:
+            yield packs(held)
 
     return run
 
 
+def ragged(flat: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of flat that begin at first and are so many long, end to end, and where each ends, after a 0."""
+    ends = np.concatenate(([0], np.cumsum(many)))
+    return flat[np.repeat(first - ends[:-1], many) + np.arange(ends[-1])], ends
+
+
 PREFIX = "key long, body binary"
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -172,17 +222,19 @@ def parity_class(sizes: np.ndarray) -> np.ndarray:
 
 
 def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
-    """token, id, size and pos of all rows, and the parity bits of all, end to end."""
-    kinds = ("<u4", "<i8", "<u2", "<u2", "<u2", "<u2")
-    out = [[] for _ in (*kinds, "<u8")]
+    """token, id, size, pos and number of second words of all rows; those words, and the parity bits, of all end to end."""
+    kinds = ("<u4", "<i8", "<u2", "<u2", "<u2", "<u2", "<u2")
+    out = [[] for _ in (*kinds, "<u2", "<u8")]
     for body in bodies:
         n, at = rows_of(body), 4
         for x, kind in zip(out, kinds):
             x.append(np.frombuffer(body, kind, n, at))
             at += n * int(kind[-1])
-        out[-1].append(np.frombuffer(body, "<u8", -1, at))
-    token, ids, s1, s2, p1, p2, parity = [np.concatenate(x) for x in out]
-    return [token, ids, s1 | s2.astype(np.int64) << 16, p1 | p2.astype(np.int64) << 16, parity]
+        out[-2].append(np.frombuffer(body, "<u2", int(x[-1].sum(dtype=np.int64)), at))
+        at += 2 * len(out[-2][-1])
+        out[-1].append(np.frombuffer(body, "<u8", -1, at) if at < len(body) else np.empty(0, np.uint64))
+    token, ids, s1, s2, p1, p2, many, tails, parity = [np.concatenate(x) for x in out]
+    return [token, ids, s1 | s2.astype(np.int64) << 16, p1 | p2.astype(np.int64) << 16, many.astype(np.int64), tails, parity]
 
 
 def rows_of(body: bytes) -> int:
@@ -233,41 +285,45 @@ def bit_filter(keys: DataFrame, name: str) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def meeting(threshold: float):
+def meeting(threshold: float, second: int = SECOND):
     """mapInArrow function over rows sorted by key: ties lines that pass all filters to the smallest id they reach.
 
-    Rows of a token stand in order of size, so every row looks ahead as far as sizes agree, all rows at the same time.
+    A token of over second rows is split: its rows are compared where they share one of their second words too. Every
+    pair that reaches the threshold is compared at the first two words that it has in common.
     """
     share = threshold / (1 + threshold)
 
     def run(batches):
         for table in common.by_key(batches):
-            token, ids, size, pos, flat = unpacked(table.column("body").to_pylist())
+            token, ids, size, pos, many, tails, flat = unpacked(table.column("body").to_pylist())
             kind = parity_class(size)
-            begin = np.cumsum(1 << kind) - (1 << kind)
+            begin, tail = np.cumsum(1 << kind) - (1 << kind), np.cumsum(many) - many
             # Most words stand in one prefix only. Those that, by a count in cells, stand in no other are left out.
             cell = token & np.uint32((1 << min(20, len(token).bit_length() + 3)) - 1)
             some = np.flatnonzero(np.bincount(cell)[cell] > 1)
-            some = some[np.lexsort((ids[some], size[some], token[some]))]
-            token, ids, size, pos = (x[some] for x in (token, ids, size, pos))
-            parity = Parity(flat, begin[some], kind[some])
-            known, own = np.unique(ids, return_inverse=True)
+            known, own = np.unique(ids[some], return_inverse=True)
+            _, group = np.unique(token[some], return_inverse=True)
+            # A line that several packs have counts once; from here on rows stand in order of size.
+            once = np.unique(group * (len(known) + 1) + own, return_index=True)[1]
+            once = once[np.argsort(size[some[once]], kind="stable")]
+            some, own, group = some[once], own[once], group[once]
+            if not len(some):
+                continue
+            size, many, tail = size[some], many[some], tail[some]
+            rest, parity = size - pos[some], Parity(flat, begin[some], kind[some])
+            stand, ahead = entries(group, np.where(np.bincount(group)[group] > second, many, 0), tail, tails, size, threshold)
             root, a, b, held = np.arange(len(known)), [], [], 0
-            left, ahead = np.arange(len(token)), 0
-            while len(left):
-                ahead += 1
-                left = left[: np.searchsorted(left, len(token) - ahead)]
-                right = left + ahead
-                near = (token[left] == token[right]) & (size[left] >= threshold * size[right] - 1e-9)
-                left, right = left[near], right[near]
-                total = size[left] + size[right]
+            for x, y in spans_of(ahead):
+                other = ragged(stand, np.arange(x, y) + 1, ahead[x:y])[0]
+                this = np.repeat(stand[x:y], ahead[x:y])
+                # What stands before the first common word is in one of the two only.
+                total = size[this] + size[other]
                 need = np.ceil(share * total - 1e-9)
-                ok = np.minimum(pos[left], pos[right]) + np.minimum(size[left] - pos[left], size[right] - pos[right]) >= need
-                ok &= ~parity.apart(left, right, total - 2 * need)
-                i, j = own[left[ok]], own[right[ok]]
-                apart = root[i] != root[j]  # the others are tied already
-                a.append(i[apart])
-                b.append(j[apart])
+                ok = np.flatnonzero((np.minimum(rest[this], rest[other]) >= need) & (root[own[this]] != root[own[other]]))
+                this, other = this[ok], other[ok]
+                ok = ~parity.apart(this, other, total[ok] - 2 * need[ok])
+                a.append(own[this[ok]])
+                b.append(own[other[ok]])
                 held += len(a[-1])
                 if held > PENDING:
                     root, a, b, held = fold(root, a, b), [], [], 0
@@ -279,6 +335,38 @@ def meeting(threshold: float):
     return run
 
 
+def entries(group: np.ndarray, many: np.ndarray, tail: np.ndarray, tails: np.ndarray, size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order in which they are compared, and how many of those that follow each one has to meet.
+
+    Rows are in order of size. Those with second words stand once for each of them, the others once in their group.
+    """
+    row_bits, group_bits = len(group).bit_length(), int(group.max()).bit_length()
+    fit = np.uint64(min(16, 64 - row_bits - group_bits))
+    row = np.repeat(np.arange(len(group)), np.maximum(many, 1))
+    word = np.zeros(len(row), np.uint64)
+    word[np.repeat(many > 0, np.maximum(many, 1))] = ragged(tails, tail, many)[0]
+    meet = group[row].astype(np.uint64) << fit | word & (np.uint64(1) << fit) - np.uint64(1)
+    # Most stand alone, which a count in cells shows.
+    cell = (meet * np.uint64(hashing.BASE) >> np.uint64(64 - min(22, len(row).bit_length() + 2))).astype(np.int64)
+    some = np.flatnonzero(np.bincount(cell)[cell] > 1)
+    both = np.sort(meet[some] << np.uint64(row_bits) | row[some].astype(np.uint64))
+    both = both[np.diff(both, prepend=~both[:1]) != 0]  # two second words of a row may share their 16 bits
+    meet, row = both >> np.uint64(row_bits), (both & (np.uint64(1) << np.uint64(row_bits)) - np.uint64(1)).astype(np.int64)
+    place = np.cumsum(np.diff(meet, prepend=meet[:1]) != 0) * (int(size[-1]) + 1)
+    most = np.minimum(np.floor((size[row] + 1e-9) / threshold), size[-1]).astype(np.int64)
+    return row, np.searchsorted(place + size[row], place + most, side="right") - np.arange(len(row)) - 1
+
+
+def spans_of(ahead: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Spans of rows that have some PAIRS to meet together; a row with more is alone."""
+    ends, at = np.cumsum(ahead), 0
+    while at < len(ahead):
+        end = int(np.searchsorted(ends, ends[at] - ahead[at] + PAIRS, side="right"))
+        end = max(end, at + 1)
+        yield at, end
+        at = end
+
+
 def fold(root: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Roots after more edges."""
     return common.roots(len(root), np.concatenate([np.arange(len(root)), *a]), np.concatenate([root, *b]))
@@ -397,15 +485,16 @@ def measured_losses(documents: DataFrame, threshold: float, least: int) -> tuple
     # Ranges grow with the input, so that what meets in one stays at some hundred thousand words.
     bits = int(np.clip(np.ceil(np.log2(max(size / (6 << 20), 1))), 4, 22))
 
-    # Crowded words are found on a sixteenth of the documents; that only decides how rows are dealt out.
+    # Frequent words are found on a sixteenth of the documents; that only decides how rows are dealt out and split.
     part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(16)) == 0)
     counts = part.mapInArrow(common.task(prefixes(frequency, threshold, least, bits, count=True)), "token long, n long")
-    counts = counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(SPLIT)
-    found = sorted((r.token, -(-r.n // BLOCK)) for r in counts.collect())
+    counts = common.save(counts.groupBy("token").agg((16 * F.sum("n")).alias("n")).filter(F.col("n") >= SECOND // 2))
+    found = sorted((r.token, -(-r.n // BLOCK)) for r in counts.filter(F.col("n") > 4 * BLOCK).orderBy(F.desc("n"), "token").limit(SPLIT).collect())
     hot = spark.sparkContext.broadcast((np.array([t for t, _ in found], np.uint64), np.array([n for _, n in found], np.int64)))
-    heads = docs.mapInArrow(common.task(prefixes(frequency, threshold, least, bits, hot)), PREFIX).repartition("key").sortWithinPartitions("key")
+    often = spark.sparkContext.broadcast(bit_filter(counts, "token"))
+    heads = docs.mapInArrow(common.task(prefixes(frequency, threshold, least, bits, hot, often, LONG)), PREFIX).repartition("key").sortWithinPartitions("key")
     with common.small_batches(spark, 500):  # rows of some kilobytes each
-        edges = common.save(heads.mapInArrow(common.task(meeting(threshold)), "a long, b long"))
+        edges = common.save(heads.mapInArrow(common.task(meeting(threshold, SECOND)), "a long, b long"))
     clusters = common.components(edges)
 
     occ = seen.filter("cell is null").select("doc", "line", "id", "mark")
@@ -413,7 +502,7 @@ def measured_losses(documents: DataFrame, threshold: float, least: int) -> tuple
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(VERIFIED)).cast("long").alias("wide"))
     placed = clusters.join(sizes, "component").withColumnRenamed("node", "id").join(firsts.select("id", "first.doc", "first.line"), "id")
     placed = common.save(placed)
-    common.discard(edges, clusters)
+    common.discard(counts, edges, clusters)
     rank = F.row_number().over(Window.partitionBy("component").orderBy("doc", "line"))
     pivots = placed.filter("wide > 1").withColumn("rank", rank).filter(F.col("rank") <= PIVOTS).select(*PLACE, F.lit(True).alias("pivot"))
     marked = placed.mapInArrow(common.task(place_marks), "mark long")
@@ -428,7 +517,7 @@ def measured_losses(documents: DataFrame, threshold: float, least: int) -> tuple
     gone = again.select("doc", "line").union(similar.select("doc", "line"))
     gone = common.save(gone.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("line").cast("int"))).alias("lines")))
     common.discard(seen, firsts, placed, sets, similar)
-    for held in (frequency, hot, lined):
+    for held in (frequency, hot, often, lined):
         held.unpersist()
     return gone, size
 
