@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tilewright.llm import common, line_dedup
@@ -137,3 +138,15 @@ def test_compared_pairs_grow_with_the_lines(monkeypatch):
         assert all(root[n + k] == root[k] for k in range(50))
         made.append(sum(compared))
     assert made[1] < 8 * made[0] and made[1] < 20 * 6000
+
+
+def test_small_bodies_leave_together():
+    docs = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([f"a{i}\nb{i}" for i in range(300)])], ["doc_id", "text"])
+    bodies = line_dedup.gathered([docs], 1000)
+    assert bodies.num_rows > 200
+    gone = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([[i % 2] for i in range(300)], pa.list_(pa.int32()))], ["doc", "lines"])
+    met = pa.Table.from_batches([*line_dedup.losses(1000)(iter([gone])), bodies])
+    met = met.append_column("last", pc.is_null(met.column("doc"))).sort_by([("part", "ascending"), ("last", "ascending")])
+    out = [*line_dedup.without_losses(["doc_id", "text", line_dedup.LOST])(iter(met.to_batches()))]
+    rows = sorted((r["doc_id"], r["text"]) for b in out for r in b.to_pylist())
+    assert len(out) == 1 and rows == [(i, f"b{i}" if i % 2 == 0 else f"a{i}") for i in range(300)]

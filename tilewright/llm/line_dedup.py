@@ -42,7 +42,9 @@ TOGETHER = 64
 #: Words that are dealt out as blocks, the most frequent first: any other has less than one row in so many.
 SPLIT = 100_000
 #: Bytes of text that are gathered before they leave for the list of losses, and that a part of it should meet.
-GATHERED, PART = 16 << 20, 2 << 20
+GATHERED, PART = 16 << 20, 8 << 20
+#: Bytes of rows that leave together once they have met it: bodies of large inputs have a row or two each.
+TOLD = 1 << 20
 #: Bytes of text whose prefixes are packed together: the fewer packs, the more rows in each, however many keys there are.
 PACKED = 16 << 20
 #: Pairs held until they are folded into what they connect.
@@ -589,7 +591,7 @@ def without_losses(columns: list[str]):
     """
 
     def run(batches):
-        known, at = {}, None
+        known, at, held, size = {}, None, [], 0
         for batch in batches:
             parts, docs, lines = (batch.column(c).to_pylist() for c in ("part", "doc", "lines"))
             for i, (part, doc, gone) in enumerate(zip(parts, docs, lines)):
@@ -606,7 +608,13 @@ def without_losses(columns: list[str]):
                             out = set(drop)
                             texts[k] = "\n".join([x for n, x in enumerate(texts[k].split("\n")) if n not in out])
                     own = {"text": pa.array(texts, rows.schema.field("text").type), LOST: pa.array(lost, pa.list_(pa.int32()))}
-                    yield pa.RecordBatch.from_arrays([own[c] if c in own else rows.column(c) for c in columns], columns)
+                    held.append(pa.RecordBatch.from_arrays([own[c] if c in own else rows.column(c) for c in columns], columns))
+                    size += held[-1].nbytes
+                    if size >= TOLD:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                        held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     return run
 
